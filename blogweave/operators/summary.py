@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from blogweave.schemas import SUMMARY_COLUMNS
 
-_VALID = ~F.col("banned") & F.col("time").isNotNull()
+def _valid():
+    """Not banned and with a time: the comments that count as parsed."""
+    return ~F.col("banned") & F.col("time").isNotNull()
 
 
 def comment_stats(comments: DataFrame, posts: DataFrame | None = None,
@@ -31,10 +33,10 @@ def comment_stats(comments: DataFrame, posts: DataFrame | None = None,
     for posts without an author and 0 otherwise.
     """
     stats = comments.groupBy("post_id").agg(
-        F.count_if(_VALID).alias("comments_parsed"),
+        F.count_if(_valid()).alias("comments_parsed"),
         F.count_if(F.coalesce(F.col("banned"), F.lit(False))).alias("comments_banned"),
-        F.min(F.when(_VALID, F.col("time"))).alias("first_comment_time"),
-        F.max(F.when(_VALID, F.col("time"))).alias("last_comment_time"),
+        F.min(F.when(_valid(), F.col("time"))).alias("first_comment_time"),
+        F.max(F.when(_valid(), F.col("time"))).alias("last_comment_time"),
     )
     if posts is None:
         return stats
@@ -48,7 +50,7 @@ def comment_stats(comments: DataFrame, posts: DataFrame | None = None,
     # Pre-aggregate per (post, user) before touching posts: bounded by the
     # number of distinct commenters, and hashed on both keys so a hot post
     # spreads over many tasks.
-    per_user = (comments.where(_VALID & F.col(author_key).isNotNull())
+    per_user = (comments.where(_valid() & F.col(author_key).isNotNull())
                 .groupBy("post_id", F.col(author_key).alias("_user"))
                 .agg(F.count(F.lit(1)).alias("_n")))
     by_author = (per_user.join(authors.where(F.col("author").isNotNull()),

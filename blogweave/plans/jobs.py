@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blogweave.operators import summary
 from blogweave.session import configure
@@ -40,3 +41,92 @@ def post_summary(spark, sf_dir):
 def comment_stats(spark, sf_dir):
     """Per post with comments: parsed, banned, first/last time, author comments."""
     return summary.comment_stats(comments_view(spark, sf_dir), posts_view(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- pages
+from blogweave.operators import frontier, pages as pg  # noqa: E402
+from blogweave.sources.dims import fixture_sites, sites_frame  # noqa: E402
+from blogweave.sources.tables import read_table  # noqa: E402
+
+# Parameters for the driver's generic web pages (selector spec is data).
+FIXTURE_CONTAINER_TAG = "article"
+FIXTURE_NAV_TAG = "nav"
+FIXTURE_ALLOWED_DOMAINS = ["example.com", "example.org"]
+FIXTURE_DENY_HOSTS = r"^m\."
+FIXTURE_FEED_ROOT = "https://feed.example.org/"
+
+
+def _pages(spark, sf_dir, *cols):
+    return read_table(spark, sf_dir, "pages", *(cols or ("page_id", "url", "html")))
+
+
+@job("J08_extract_links")
+def extract_links(spark, sf_dir):
+    """Every anchor of every page with kind and absolute URL."""
+    return pg.extract_links(_pages(spark, sf_dir))
+
+
+@job("J09_url_ids")
+def url_ids(spark, sf_dir):
+    """Blog, company, post, user and hub ids of each page URL."""
+    return pg.url_ids(_pages(spark, sf_dir), sites_frame(spark))
+
+
+@job("J15_visible_text")
+def visible_text(spark, sf_dir):
+    """Text nodes of each page, joined with no separator."""
+    return pg.visible_text(_pages(spark, sf_dir, "page_id", "html"))
+
+
+@job("J16_usable_pages")
+def usable_pages(spark, sf_dir):
+    """Pages that are not restricted and have the container element."""
+    return pg.usable_pages(_pages(spark, sf_dir), container_tag=FIXTURE_CONTAINER_TAG,
+                           container_class=None)
+
+
+@job("J17_extraction_outcomes")
+def extraction_outcomes(spark, sf_dir):
+    """Outcome per fetched page: stored, 404, forbidden or exception."""
+    return frontier.extraction_outcomes(_pages(spark, sf_dir, "page_id", "html"),
+                                        container_tag=FIXTURE_CONTAINER_TAG, container_class=None)
+
+
+@job("J18_pending_pages")
+def pending_pages(spark, sf_dir):
+    """Ids of [0, 2·(max id + 1)) still to fetch after the stored outcomes."""
+    p = _pages(spark, sf_dir, "page_id", "html")
+    top = p.agg(F.max("page_id").alias("m")).first()["m"]
+    outcomes = frontier.extraction_outcomes(p, container_tag=FIXTURE_CONTAINER_TAG, container_class=None)
+    return frontier.pending_pages(spark, outcomes, 0, 2 * (top + 1))
+
+
+@job("J19_frontier_seeds")
+def frontier_seeds(spark, sf_dir):
+    """Post id range of the posts × blog sites, plus feed seeds."""
+    b = posts_view(spark, sf_dir).agg(F.min("post_id").alias("lo"), F.max("post_id").alias("hi")).first()
+    bases = [s[2] for s in fixture_sites()]
+    return frontier.frontier_seeds(spark, b["lo"], b["hi"], bases, root=FIXTURE_FEED_ROOT)
+
+
+def _routed(spark, sf_dir):
+    return frontier.route_links(pg.extract_links(_pages(spark, sf_dir)),
+                                FIXTURE_ALLOWED_DOMAINS, FIXTURE_DENY_HOSTS)
+
+
+@job("J20_route_links")
+def route_links(spark, sf_dir):
+    """First matching routing rule and host checks for every link."""
+    return _routed(spark, sf_dir).select("page_id", "pos", "abs_url", "host", "denied", "route", "on_site")
+
+
+@job("J21_new_links")
+def new_links(spark, sf_dir):
+    """Distinct on-site links not among the fetched page URLs."""
+    return frontier.new_links(_routed(spark, sf_dir), _pages(spark, sf_dir, "url"))
+
+
+@job("J26_feed_links")
+def feed_links(spark, sf_dir):
+    """Navigation and post-title links of every page."""
+    return pg.feed_links(_pages(spark, sf_dir), nav_tag=FIXTURE_NAV_TAG, nav_attr="")

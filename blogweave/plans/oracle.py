@@ -95,3 +95,161 @@ SELECT p.post_id, p.updated_at AS last_update, p.published, p.title, p.author,
        array_to_string([h.name FOR h IN p.hubs], ',') AS hubs
 FROM v_posts p LEFT JOIN comment_stats s USING (post_id)
 ORDER BY p.post_id""", V_POSTS, V_COMMENTS, COMMENT_STATS_BODY)
+
+
+# ------------------------------------------------------------ page jobs
+from blogweave.functions import html as _H  # noqa: E402
+from blogweave.functions import urls as _U  # noqa: E402
+from blogweave.operators import frontier as _FR  # noqa: E402
+from blogweave.sources.dims import fixture_sites as _fixture_sites  # noqa: E402
+
+
+def q(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_join_url(base: str, ref: str) -> str:
+    origin = f"regexp_extract({base}, {q(r'^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)')}, 1)"
+    no_frag = f"regexp_replace({base}, '#.*$', '')"
+    no_query = f"regexp_replace({no_frag}, '\\?.*$', '')"
+    path = f"regexp_extract({no_query}, {q(r'^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$')}, 1)"
+    directory = f"regexp_replace({path}, '[^/]*$', '')"
+    return f"""(CASE WHEN {ref} IS NULL THEN NULL
+      WHEN {ref} = '' THEN {no_frag}
+      WHEN regexp_matches({ref}, {q(_U.SCHEME)}) THEN {ref}
+      WHEN starts_with({ref}, '//') THEN regexp_extract({base}, {q(_U.SCHEME)}, 1) || ':' || {ref}
+      WHEN starts_with({ref}, '/') THEN {origin} || {ref}
+      WHEN starts_with({ref}, '?') THEN {no_query} || {ref}
+      WHEN starts_with({ref}, '#') THEN {no_frag} || {ref}
+      ELSE {origin} || (CASE WHEN {directory} = '' THEN '/' ELSE {directory} END) || {ref} END)"""
+
+
+def sql_group(col: str, pattern: str, idx: int = 1) -> str:
+    return f"nullif(regexp_extract({col}, {q(pattern)}, {idx}), '')"
+
+
+def sql_has_class(classes: str, name: str) -> str:
+    return f"list_contains(regexp_split_to_array({classes}, '\\s+'), {q(name)})"
+
+
+def sql_anchor_rows(source: str, html_expr: str) -> str:
+    """Rows (page_id, url, pos, href, inner, tag) of the anchors in html_expr."""
+    a = q(_H.ANCHOR)
+    return f"""(SELECT page_id, url,
+        unnest(generate_series(0, len(hrefs) - 1)) AS pos,
+        unnest(hrefs) AS href, unnest(inners) AS inner_html, unnest(tags) AS tag
+      FROM (SELECT page_id, url,
+              regexp_extract_all({html_expr}, {a}, 2) AS hrefs,
+              regexp_extract_all({html_expr}, {a}, 3) AS inners,
+              regexp_extract_all({html_expr}, {a}, 1) AS tags
+            FROM {source}))"""
+
+
+def sql_link_kind(tag: str) -> str:
+    cls = f"regexp_extract({tag}, {q(_H.CLASS_ATTR)}, 1)"
+    from blogweave.operators.pages import LINK_KINDS
+    whens = " ".join(f"WHEN {sql_has_class(cls, n)} THEN {q(k)}" for n, k in LINK_KINDS)
+    return f"(CASE {whens} ELSE 'link' END)"
+
+
+SQL_LINKS = f"""
+links AS (
+  SELECT page_id, CAST(pos AS INTEGER) AS pos, {sql_link_kind('tag')} AS kind, href,
+         {sql_join_url('url', 'href')} AS abs_url,
+         regexp_replace(inner_html, '<[^>]*>', '', 'g') AS anchor_text
+  FROM {sql_anchor_rows('pages', 'html')}
+)"""
+
+SQL["J08_extract_links"] = with_views("SELECT * FROM links", SQL_LINKS)
+
+_SITES_VALUES = ", ".join(f"({q(h)}, {q(b)})" for h, b, _ in _fixture_sites())
+
+SQL["J09_url_ids"] = f"""
+WITH c AS (
+  SELECT page_id, coalesce({sql_group('html', _U.CANONICAL)}, url) AS canonical_url FROM pages
+), ids AS (
+  SELECT page_id, canonical_url,
+         {sql_group('canonical_url', _U.NETLOC)} AS host,
+         {sql_group('canonical_url', _U.COMPANY_ID)} AS company_id,
+         TRY_CAST({sql_group('canonical_url', _U.POST_ID, 2)} AS BIGINT) AS post_id,
+         {sql_group('canonical_url', _U.USER_ID)} AS user_id,
+         {sql_group('canonical_url', _U.HUB_ID)} AS hub_id
+  FROM c
+), sites(host, blog_id) AS (VALUES {_SITES_VALUES})
+SELECT ids.page_id, ids.canonical_url, ids.host, sites.blog_id, sites.blog_id IS NOT NULL AS host_known,
+       ids.company_id, ids.post_id, ids.user_id, ids.hub_id
+FROM ids LEFT JOIN sites ON ids.host = sites.host"""
+
+SQL["J15_visible_text"] = f"""
+SELECT page_id, t AS text, CAST(length(t) AS INTEGER) AS n_chars
+FROM (SELECT page_id, regexp_replace(html, {q(_H.SOUP_TEXT)}, '\\1\\2\\3', 'g') AS t FROM pages)"""
+
+_TITLE = f"nullif(regexp_extract(html, {q(_H.TITLE)}, 1), '')"
+_RESTRICTED = f"coalesce(ends_with({_TITLE}, {q(_FR.REFERENCE_RESTRICTED_TITLE)}), false)"
+_ARTICLE = q(r"(?is)<article\b[^>]*>")
+
+SQL["J16_usable_pages"] = f"""
+SELECT page_id, url, {_TITLE} AS title FROM pages
+WHERE NOT {_RESTRICTED} AND regexp_matches(html, {_ARTICLE})"""
+
+SQL_OUTCOMES = f"""
+outcomes AS (
+  SELECT page_id,
+         CASE WHEN {_RESTRICTED} THEN 'forbidden'
+              WHEN NOT regexp_matches(html, {_ARTICLE}) THEN 'exception'
+              ELSE 'stored' END AS outcome,
+         CASE WHEN NOT {_RESTRICTED} AND NOT regexp_matches(html, {_ARTICLE})
+              THEN 'no container element' END AS error
+  FROM pages
+)"""
+
+SQL["J17_extraction_outcomes"] = with_views("SELECT * FROM outcomes", SQL_OUTCOMES)
+
+SQL["J18_pending_pages"] = with_views("""
+SELECT CAST(r.page_id AS BIGINT) AS page_id
+FROM (SELECT unnest(range(0, (SELECT 2 * (max(page_id) + 1) FROM pages))) AS page_id) r
+WHERE NOT EXISTS (SELECT 1 FROM outcomes o
+                  WHERE o.page_id = r.page_id AND o.outcome IN ('stored', '404', 'forbidden'))""",
+                                      SQL_OUTCOMES)
+
+_ORIGINS = [b.rstrip("/") for _, _, b in _fixture_sites()]
+_FEED_ROWS = ", ".join(f"({q(o + p)}, 'feed')" for o in _ORIGINS for p in _FR.REFERENCE_FEED_PAGES)
+
+SQL["J19_frontier_seeds"] = with_views(f"""
+SELECT o.origin || '/post/' || CAST(r.post_id AS VARCHAR) AS url, 'post' AS kind, r.post_id
+FROM (SELECT unnest(range((SELECT min(post_id) FROM v_posts), (SELECT max(post_id) FROM v_posts) + 1)) AS post_id) r,
+     (SELECT unnest([{', '.join(q(o) for o in _ORIGINS)}]) AS origin) o
+UNION ALL
+SELECT url, kind, CAST(NULL AS BIGINT) AS post_id
+FROM (VALUES {_FEED_ROWS}, ('https://feed.example.org/', 'root')) AS f(url, kind)""", V_POSTS)
+
+
+def _sql_routed(allowed: list[str], deny: str) -> str:
+    host = f"lower(regexp_replace({sql_group('abs_url', _U.NETLOC)}, ':[0-9]*$', ''))"
+    denied = f"coalesce(regexp_matches({host}, {q(deny)}), false)"
+    whens = " ".join(f"WHEN NOT {denied} AND regexp_matches(abs_url, {q(_FR._ascii(p))}) THEN {q(n)}"
+                     for p, n in _FR.ROUTES)
+    return f"""
+routed AS (
+  SELECT page_id, pos, abs_url, {host} AS host, {denied} AS denied,
+         CASE {whens} ELSE 'follow' END AS route,
+         coalesce(regexp_matches({host}, {q(_FR.domain_pattern(allowed))}), false) AS on_site
+  FROM links
+)"""
+
+
+_ROUTED = _sql_routed(["example.com", "example.org"], r"^m\.")
+SQL["J20_route_links"] = with_views("SELECT * FROM routed", SQL_LINKS, _ROUTED)
+SQL["J21_new_links"] = with_views("""
+SELECT DISTINCT abs_url AS url, route FROM routed r
+WHERE on_site AND NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = r.abs_url)""", SQL_LINKS, _ROUTED)
+
+_NAV = f"array_to_string(regexp_extract_all(html, {q(r'(?is)<nav\b[^>]*[^>]*>(.*?)</nav>')}, 1), '')"
+SQL["J26_feed_links"] = f"""
+SELECT page_id, 'page' AS kind, CAST(pos AS INTEGER) AS pos, href, {sql_join_url('url', 'href')} AS abs_url, 0 AS priority
+FROM {sql_anchor_rows('pages', _NAV)}
+UNION ALL
+SELECT page_id, 'post' AS kind, CAST(pos AS INTEGER) AS pos, href, {sql_join_url('url', 'href')} AS abs_url, 0 AS priority
+FROM {sql_anchor_rows('pages', 'html')}
+WHERE {sql_has_class(f"regexp_extract(tag, {q(_H.CLASS_ATTR)}, 1)", 'post_title')}"""
