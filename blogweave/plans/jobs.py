@@ -130,3 +130,63 @@ def new_links(spark, sf_dir):
 def feed_links(spark, sf_dir):
     """Navigation and post-title links of every page."""
     return pg.feed_links(_pages(spark, sf_dir), nav_tag=FIXTURE_NAV_TAG, nav_attr="")
+
+
+# --------------------------------------------------------------- corpus
+from blogweave.operators import corpus  # noqa: E402
+
+
+@job("J04_post_participants")
+def post_participants(spark, sf_dir):
+    """Distinct participants per post (author ∪ commenters), sorted."""
+    pp = corpus.post_participants(posts_view(spark, sf_dir), comments_view(spark, sf_dir))
+    return pp.select("post_id", "blog_id",
+                     F.array_join("users_participated", " ").alias("participants"),
+                     F.size("users_participated").alias("n_participants"))
+
+
+@job("J11_word_counts")
+def word_counts(spark, sf_dir):
+    """(post_id, lemma, n) over the text of every post."""
+    return corpus.word_counts(posts_view(spark, sf_dir))
+
+
+@job("J12_tag_hub_terms")
+def tag_hub_terms(spark, sf_dir):
+    """Distinct tag and hub terms per post."""
+    return corpus.tag_hub_terms(posts_view(spark, sf_dir))
+
+
+@job("J13_user_counts")
+def user_counts(spark, sf_dir):
+    """(post_id, username, n) over comments not banned."""
+    return corpus.user_counts(comments_view(spark, sf_dir))
+
+
+@job("J25_modality_terms")
+def modality_terms(spark, sf_dir):
+    """Long union of words, author, users, tags and hubs per post."""
+    return corpus.modality_terms(posts_view(spark, sf_dir), comments_view(spark, sf_dir))
+
+
+@job("J14_corpus_lines")
+def corpus_lines(spark, sf_dir):
+    """One bag-of-words line per post with five modalities."""
+    posts = posts_view(spark, sf_dir)
+    return corpus.corpus_lines(posts, corpus.modality_terms(posts, comments_view(spark, sf_dir)))
+
+
+def _posts_with_users(spark, sf_dir):
+    return corpus.post_participants(posts_view(spark, sf_dir), comments_view(spark, sf_dir))
+
+
+@job("J22_participant_activity")
+def participant_activity(spark, sf_dir):
+    """(username, blog, count) descending, with favourites and profile URLs."""
+    return corpus.participant_activity(_posts_with_users(spark, sf_dir), sites_frame(spark))
+
+
+@job("J22_participant_total")
+def participant_total(spark, sf_dir):
+    """Number of distinct (participant, blog) pairs."""
+    return corpus.participant_total(_posts_with_users(spark, sf_dir))

@@ -253,3 +253,105 @@ UNION ALL
 SELECT page_id, 'post' AS kind, CAST(pos AS INTEGER) AS pos, href, {sql_join_url('url', 'href')} AS abs_url, 0 AS priority
 FROM {sql_anchor_rows('pages', 'html')}
 WHERE {sql_has_class(f"regexp_extract(tag, {q(_H.CLASS_ATTR)}, 1)", 'post_title')}"""
+
+
+# --------------------------------------------------------------- corpus
+from blogweave.functions import text as _X  # noqa: E402
+
+SQL_PAIRS = """
+pairs AS (
+  SELECT DISTINCT post_id, u AS username FROM (
+    SELECT post_id, regexp_replace(author_user, '^/+|/+$', '', 'g') AS u FROM v_posts
+    UNION ALL
+    SELECT post_id, username AS u FROM v_comments WHERE NOT banned) t
+  WHERE u IS NOT NULL
+),
+per_post AS (
+  SELECT post_id, list_sort(list(username)) AS users FROM pairs GROUP BY post_id
+)"""
+
+SQL["J04_post_participants"] = with_views("""
+SELECT p.post_id, p.blog_id, coalesce(array_to_string(pp.users, ' '), '') AS participants,
+       CAST(coalesce(len(pp.users), 0) AS INTEGER) AS n_participants
+FROM v_posts p LEFT JOIN per_post pp USING (post_id)""", V_POSTS, V_COMMENTS, SQL_PAIRS)
+
+_SOUP_CONTENT = f"regexp_replace(content_html, {q(_H.SOUP_TEXT)}, '\\1\\2\\3', 'g')"
+SQL_WORDS = f"""
+words AS (
+  SELECT post_id, lemma, CAST(count(*) AS BIGINT) AS n FROM (
+    SELECT post_id, translate(lower(tok), 'ё', 'е') AS lemma FROM (
+      SELECT post_id, unnest(regexp_extract_all(
+        translate({_SOUP_CONTENT}, {q(_X.SPACE_CHARS)}, {q(' ' * len(_X.SPACE_CHARS))}), {q(_X.TOKEN)})) AS tok
+      FROM v_posts) t
+    WHERE length(tok) >= {_X.MIN_TOKEN_LENGTH}) w
+  WHERE length(lemma) > 0
+  GROUP BY post_id, lemma
+)"""
+
+SQL["J11_word_counts"] = with_views("SELECT * FROM words", V_POSTS, SQL_WORDS)
+
+_HUB_PATH = "regexp_replace(regexp_replace(h.url, " + q(_U.NETLOC) + ", ''), '[?#].*$', '')"
+SQL_TAG_HUB = f"""
+tag_hub AS (
+  SELECT DISTINCT post_id, kind, term FROM (
+    SELECT post_id, 'tag' AS kind, unnest(tags) AS term FROM v_posts
+    UNION ALL
+    SELECT post_id, 'hub' AS kind,
+           CASE WHEN len(parts) >= 2 THEN array_to_string(parts[-2:], '_') END AS term
+    FROM (SELECT post_id, [s FOR s IN string_split({_HUB_PATH}, '/') IF s <> ''] AS parts
+          FROM (SELECT post_id, unnest(hubs) AS h FROM v_posts) x) y) z
+  WHERE term IS NOT NULL
+)"""
+
+SQL["J12_tag_hub_terms"] = with_views("SELECT * FROM tag_hub", V_POSTS, SQL_TAG_HUB)
+
+SQL_USERS = """
+users AS (
+  SELECT post_id, username, CAST(count(*) AS BIGINT) AS n FROM v_comments
+  WHERE NOT banned AND username IS NOT NULL GROUP BY post_id, username
+)"""
+
+SQL["J13_user_counts"] = with_views("SELECT * FROM users", V_COMMENTS, SQL_USERS)
+
+SQL_TERMS = """
+terms AS (
+  SELECT post_id, 'words' AS modality, lemma AS term, n FROM words
+  UNION ALL SELECT post_id, 'author', author, CAST(1 AS BIGINT) FROM v_posts WHERE author IS NOT NULL
+  UNION ALL SELECT post_id, 'users', username, n FROM users
+  UNION ALL SELECT post_id, CASE WHEN kind = 'tag' THEN 'tags' ELSE 'hubs' END, term, CAST(1 AS BIGINT) FROM tag_hub
+)"""
+
+SQL["J25_modality_terms"] = with_views("SELECT * FROM terms", V_POSTS, V_COMMENTS, SQL_WORDS,
+                                       SQL_TAG_HUB, SQL_USERS, SQL_TERMS)
+
+_ITEM = (f"translate(term, ' :|' || chr(9), '____') || "
+         "CASE WHEN n = 1 THEN '' ELSE ':' || CAST(n AS VARCHAR) END")
+_BAGS = ", ".join(f"max(CASE WHEN modality = '{m}' THEN bag END) AS {m}" for m in _X.MODALITIES)
+_LINE_PARTS = ", ".join(f"'|{m}', nullif(b.{m}, '')" for m in _X.MODALITIES)
+SQL["J14_corpus_lines"] = with_views(f"""
+SELECT p.post_id, concat_ws(' ', '''' || CAST(p.post_id AS VARCHAR), {_LINE_PARTS}) AS line
+FROM v_posts p LEFT JOIN (
+  SELECT post_id, {_BAGS} FROM (
+    SELECT post_id, modality, array_to_string(list_sort(list({_ITEM})), ' ') AS bag
+    FROM terms GROUP BY post_id, modality) t
+  GROUP BY post_id) b USING (post_id)""", V_POSTS, V_COMMENTS, SQL_WORDS, SQL_TAG_HUB, SQL_USERS, SQL_TERMS)
+
+_SITE_BASES = ", ".join(f"({q(b)}, {q(base.rstrip('/'))})" for _, b, base in _fixture_sites())
+SQL_ACTIVITY = f"""
+activity AS (
+  SELECT c.username, c.blog_id, c.count, s.origin FROM (
+    SELECT pp.username, p.blog_id, CAST(count(*) AS BIGINT) AS count
+    FROM pairs pp JOIN v_posts p USING (post_id) GROUP BY pp.username, p.blog_id) c
+  JOIN (VALUES {_SITE_BASES}) AS s(blog_id, origin) ON c.blog_id = s.blog_id
+)"""
+
+SQL["J22_participant_activity"] = with_views("""
+SELECT username, blog_id, count, origin || '/users/' || username || '/favorites/' AS url, 1 AS priority FROM activity
+UNION ALL
+SELECT username, blog_id, count, origin || '/users/' || username || '/' AS url, 0 AS priority FROM activity
+ORDER BY count DESC, blog_id, username, priority DESC""", V_POSTS, V_COMMENTS, SQL_PAIRS, SQL_ACTIVITY)
+
+SQL["J22_participant_total"] = with_views("""
+SELECT CAST(count(*) AS BIGINT) AS total FROM (
+  SELECT DISTINCT pp.username, p.blog_id FROM pairs pp JOIN v_posts p USING (post_id)) t""",
+                                          V_POSTS, V_COMMENTS, SQL_PAIRS)
