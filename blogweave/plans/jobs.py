@@ -190,3 +190,14 @@ def participant_activity(spark, sf_dir):
 def participant_total(spark, sf_dir):
     """Number of distinct (participant, blog) pairs."""
     return corpus.participant_total(_posts_with_users(spark, sf_dir))
+
+
+# --------------------------------------------------------------- fields
+from blogweave.operators import normalise  # noqa: E402
+
+
+@job("J10_normalise_fields")
+def normalise_fields(spark, sf_dir):
+    """Site texts rendered from ``events`` and parsed back to typed fields."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "value", "props")
+    return normalise.normalise_fields(normalise.render_fields(ev))

@@ -355,3 +355,11 @@ SQL["J22_participant_total"] = with_views("""
 SELECT CAST(count(*) AS BIGINT) AS total FROM (
   SELECT DISTINCT pp.username, p.blog_id FROM pairs pp JOIN v_posts p USING (post_id)) t""",
                                           V_POSTS, V_COMMENTS, SQL_PAIRS)
+
+
+SQL["J10_normalise_fields"] = """
+SELECT event_id, date_trunc('minute', ts) AS time,
+       CAST(regexp_extract(props, '(-?[0-9]+)', 1) AS INTEGER) - 50 AS votes,
+       value,
+       CASE WHEN event_id % 2 = 0 THEN value ELSE -value END AS karma
+FROM events"""
