@@ -201,3 +201,20 @@ def normalise_fields(spark, sf_dir):
     """Site texts rendered from ``events`` and parsed back to typed fields."""
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "value", "props")
     return normalise.normalise_fields(normalise.render_fields(ev))
+
+
+# ---------------------------------------------------------------- trees
+from blogweave.operators import tree  # noqa: E402
+
+
+def path_text(col: str = "path"):
+    return F.array_join(F.transform(col, lambda x: x.cast("string")), ".")
+
+
+@job("J24_comment_tree")
+def comment_tree(spark, sf_dir):
+    """Flat comments → nested trees → flat rows with path and depth."""
+    nested = tree.nest_comments(comments_view(spark, sf_dir))
+    flat = tree.flatten_comments(nested)
+    return flat.select("post_id", path_text().alias("path"), "depth", "banned", "time",
+                       "username", "link", "votes", "message_html")

@@ -363,3 +363,21 @@ SELECT event_id, date_trunc('minute', ts) AS time,
        value,
        CASE WHEN event_id % 2 = 0 THEN value ELSE -value END AS karma
 FROM events"""
+
+
+SQL_TREE = """
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY post_id, parent_id ORDER BY comment_id) - 1 AS sib
+  FROM v_comments
+),
+walk(post_id, comment_id, path, depth) AS (
+  SELECT post_id, comment_id, CAST(sib AS VARCHAR), 0 FROM ranked WHERE parent_id IS NULL
+  UNION ALL
+  SELECT r.post_id, r.comment_id, w.path || '.' || CAST(r.sib AS VARCHAR), w.depth + 1
+  FROM ranked r JOIN walk w ON r.parent_id = w.comment_id
+)"""
+
+SQL["J24_comment_tree"] = "WITH RECURSIVE " + ",".join([V_COMMENTS, SQL_TREE]) + """
+SELECT w.post_id, w.path, CAST(w.depth AS INTEGER) AS depth, r.banned,
+       date_trunc('second', r.time) AS time, r.username, r.link, r.votes, r.message_html
+FROM walk w JOIN ranked r USING (comment_id)"""
