@@ -284,3 +284,37 @@ def export_corpus(spark, sf_dir):
     """Corpus lines written as ordered text and read back."""
     path = exports.export_corpus(corpus_lines(spark, sf_dir), scratch_path(spark, "corpus-txt"))
     return exports.read_corpus(spark, path)
+
+
+# ---------------------------------------------------------- collections
+from blogweave.operators import upsert as ups  # noqa: E402
+from blogweave.streaming import upsert_stream as ustream  # noqa: E402
+from blogweave.sources.adapters import EPOCH  # noqa: E402
+
+
+def conversation_records(spark, sf_dir) -> DataFrame:
+    """Messages as versioned records: key (role, conversation), version = turn."""
+    conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    ts = F.timestamp_add("MINUTE", F.col("turn"),
+                         F.timestamp_add("HOUR", F.col("conv_id"), F.lit(EPOCH).cast("timestamp_ntz")))
+    return ups.with_record_keys(conv.withColumn("ts", ts), "role", ["conv_id"], "ts", "turn")
+
+
+@job("J27_upsert_latest")
+def upsert_latest(spark, sf_dir):
+    """Collection of the first two turns, upserted with all later turns."""
+    rec = conversation_records(spark, sf_dir)
+    collection = ups.upsert(None, rec.where(F.col("turn") < 2))
+    return ups.upsert(collection, rec.where(F.col("turn") >= 2))
+
+
+@job("J28_upsert_stream")
+def upsert_stream(spark, sf_dir):
+    """The same records streamed file by file into versioned snapshots."""
+    rec = conversation_records(spark, sf_dir)
+    src = scratch_path(spark, "records-in")
+    rec.repartitionByRange(4, "turn").write.parquet(src)
+    root, ckpt = scratch_path(spark, "collection"), scratch_path(spark, "stream-ckpt")
+    q = ustream.upsert_stream(spark, src, rec.schema, root, ckpt)
+    q.awaitTermination()
+    return ustream.read_collection(spark, root)

@@ -409,3 +409,14 @@ FROM v_posts p LEFT JOIN ncom c USING (post_id)""", V_POSTS, V_COMMENTS, SQL_NCO
 
 SQL["J30_export_summary"] = SQL["J02_post_summary"]
 SQL["J31_export_corpus"] = SQL["J14_corpus_lines"]
+
+
+SQL["J27_upsert_latest"] = """
+SELECT _type, _id, updated_at, seq, conv_id, turn, text FROM (
+  SELECT role AS _type, CAST(conv_id AS VARCHAR) AS _id,
+         TIMESTAMP '2024-01-01 00:00:00' + to_hours(conv_id) + to_minutes(turn) AS updated_at,
+         turn AS seq, conv_id, turn, text,
+         row_number() OVER (PARTITION BY role, conv_id ORDER BY turn DESC) AS rn
+  FROM conversations) t
+WHERE rn = 1"""
+SQL["J28_upsert_stream"] = SQL["J27_upsert_latest"]
