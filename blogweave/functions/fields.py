@@ -55,8 +55,9 @@ def parse_site_datetime(text, fetched_at) -> Column:
     yesterday = F.date_format(F.date_sub(F.to_date(fetched), 1), "yyyy-MM-dd")
     s = _replace_months(_col(text))
     s = F.replace(s, F.lit(AT_WORD), F.lit(" "))
-    s = F.replace(s, F.lit(TODAY_WORD), today)
-    s = F.replace(s, F.lit(YESTERDAY_WORD), yesterday)
+    # Relative words need the fetch time; without it the text stays as is.
+    s = F.coalesce(F.replace(s, F.lit(TODAY_WORD), today), s)
+    s = F.coalesce(F.replace(s, F.lit(YESTERDAY_WORD), yesterday), s)
     s = F.trim(s)
     tries = [F.try_to_timestamp(s, F.lit(p)) for p in DATE_PATTERNS]
     with_year = F.concat(s, F.lit(" "), F.year(fetched).cast("string"))

@@ -65,3 +65,17 @@ def class_of(tag) -> Column:
 
 def has_class(classes, name: str) -> Column:
     return F.array_contains(F.split(_col(classes), r"\s+"), name)
+
+
+def unescape_basic(c) -> Column:
+    """Undo the five basic entities (``&amp;`` last)."""
+    c = _col(c)
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        c = F.replace(c, F.lit(ent), F.lit(ch))
+    return c
+
+
+def first_anchor_text(html, container_tag: str, container_class: str) -> Column:
+    """Text of the first anchor directly inside ``<tag class="cls">``."""
+    pattern = rf'(?is)<{container_tag}\b[^>]*class="{container_class}"[^>]*>\s*<a\b[^>]*>([^<]*)</a>'
+    return F.nullif(F.regexp_extract(_col(html), pattern, 1), F.lit(""))

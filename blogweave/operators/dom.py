@@ -1,0 +1,160 @@
+"""Minimal tolerant HTML tree for the extraction workers.
+
+Built on the standard-library ``html.parser`` (no third-party parser is
+available): void elements, a ``<p>`` closed by the next block, and end
+tags without an open element are ignored.  Only what the extraction
+needs is here: descendant / child search by tag, class, exact class
+attribute and id; first text node, all text, attribute, inner markup.
+"""
+
+from __future__ import annotations
+
+import html
+from html.parser import HTMLParser
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+        "source", "track", "wbr"}
+CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form",
+            "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "menu", "nav", "ol", "p", "pre",
+            "section", "table", "ul"}
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "children", "parent")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+
+    def get(self, name: str) -> str | None:
+        return self.attrs.get(name)
+
+    def classes(self) -> list[str]:
+        return (self.attrs.get("class") or "").split()
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Node("#root", {}, None)
+        self.cur = self.root
+
+    def handle_starttag(self, tag, attrs):
+        if tag in CLOSES_P:
+            self._close_open_p()
+        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
+        self.cur.children.append(node)
+        if tag not in VOID:
+            self.cur = node
+
+    def handle_startendtag(self, tag, attrs):
+        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
+        self.cur.children.append(node)
+
+    def handle_endtag(self, tag):
+        n = self.cur
+        while n is not None and n.tag != tag:
+            n = n.parent
+        if n is not None and n.parent is not None:
+            self.cur = n.parent
+
+    def handle_data(self, data):
+        self.cur.children.append(data)
+
+    def _close_open_p(self):
+        n = self.cur
+        while n is not None and n.tag not in ("p", "#root", "div", "td", "li"):
+            n = n.parent
+        if n is not None and n.tag == "p":
+            self.cur = n.parent
+
+
+def parse(markup: str) -> Node:
+    b = _Builder()
+    b.feed(markup or "")
+    b.close()
+    return b.root
+
+
+def _match(n: Node, tag: str | None, cls: str | None, exact_cls: str | None, id_: str | None) -> bool:
+    return ((tag is None or n.tag == tag)
+            and (cls is None or cls in n.classes())
+            and (exact_cls is None or n.attrs.get("class") == exact_cls)
+            and (id_ is None or n.attrs.get("id") == id_))
+
+
+def find_all(roots, tag=None, cls=None, exact_cls=None, id=None) -> list[Node]:
+    """Descendants (document order, no duplicates) of each root that match:
+    a CSS descendant step applied to a selection."""
+    want_id = id
+    out: list[Node] = []
+    seen: set[int] = set()
+    for root in ([roots] if isinstance(roots, Node) else roots):
+        stack = list(reversed([c for c in root.children if isinstance(c, Node)]))
+        while stack:
+            n = stack.pop()
+            if _match(n, tag, cls, exact_cls, want_id) and _key(n) not in seen:
+                seen.add(_key(n))
+                out.append(n)
+            stack.extend(reversed([c for c in n.children if isinstance(c, Node)]))
+    return out
+
+
+def _key(n: Node) -> int:
+    return id(n)
+
+
+def children(root: Node, tag=None, cls=None, exact_cls=None, id=None) -> list[Node]:
+    return [c for c in root.children if isinstance(c, Node) and _match(c, tag, cls, exact_cls, id)]
+
+
+def text_nodes(nodes) -> list[str]:
+    """All text nodes under the selection, document order (``::text``)."""
+    out: list[str] = []
+    for root in ([nodes] if isinstance(nodes, Node) else nodes):
+        stack = list(reversed(root.children))
+        while stack:
+            c = stack.pop()
+            if isinstance(c, str):
+                out.append(c)
+            else:
+                stack.extend(reversed(c.children))
+    return out
+
+
+def first_text(nodes) -> str | None:
+    t = text_nodes(nodes)
+    return t[0] if t else None
+
+
+def attrs(nodes, name: str) -> list[str]:
+    return [n.attrs[name] for n in nodes if name in n.attrs]
+
+
+def first_attr(nodes, name: str) -> str | None:
+    a = attrs(nodes, name)
+    return a[0] if a else None
+
+
+def outer_html(n: Node | str) -> str:
+    if isinstance(n, str):
+        return html.escape(n, quote=False)
+    attr = "".join(f' {k}="{html.escape(v)}"' for k, v in n.attrs.items())
+    if n.tag in VOID:
+        return f"<{n.tag}{attr}>"
+    return f"<{n.tag}{attr}>{''.join(outer_html(c) for c in n.children)}</{n.tag}>"
+
+
+def inner_html(nodes) -> str | None:
+    """Markup of the children of the first node, stripped."""
+    if not nodes:
+        return None
+    n = nodes[0] if not isinstance(nodes, Node) else nodes
+    return "".join(outer_html(c) for c in n.children).strip()
+
+
+def children_path(nodes, tags: list[str]) -> list[Node]:
+    """``a > b > c`` child steps from each node of a selection."""
+    cur = list(nodes) if not isinstance(nodes, Node) else [nodes]
+    for t in tags:
+        cur = [c for n in cur for c in children(n, tag=t)]
+    return cur

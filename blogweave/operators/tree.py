@@ -18,6 +18,7 @@ level checkpointed to cut lineage); the tree is then built bottom-up, one
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -114,7 +115,10 @@ def comment_depths(comments: DataFrame, max_depth: int = 4 * TREE_DEPTH) -> Data
     spark = comments.sparkSession
     from blogweave.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    base = comments.select("comment_id", "parent_id")
+    # Two narrow columns, materialised once: every level reads this instead
+    # of re-deriving parent links (and Catalyst cannot grow constraints
+    # across the levels).
+    base = comments.select("comment_id", "parent_id").checkpoint()
     level = base.where(F.col("parent_id").isNull()).select("comment_id", F.lit(0).alias("depth")).checkpoint()
     levels = [level]
     rest = base.where(F.col("parent_id").isNotNull())
@@ -131,42 +135,62 @@ def comment_depths(comments: DataFrame, max_depth: int = 4 * TREE_DEPTH) -> Data
     return out
 
 
+def with_depths(comments: DataFrame) -> tuple[DataFrame, int | None]:
+    """Comments with their depth (checkpointed once) and the greatest depth."""
+    depths = comment_depths(comments)
+    top = depths.agg(F.max("depth").alias("m")).first()["m"]
+    return comments.join(depths, "comment_id").checkpoint(), top
+
+
+def fold_up(nodes: DataFrame, top: int, node: Callable[[int, Column | None], Column],
+            kids: Callable[[int, Column], Column]) -> DataFrame:
+    """Bottom-up fold of the trees: ``(post_id, value)`` per post.
+
+    For each level from the deepest up, ``node(d, replies)`` builds a
+    node's value from its columns and the folded value of its children
+    (``None`` on the deepest level; null for a leaf), and ``kids(d, arr)``
+    folds the children of one parent (ordered by ``comment_id``).  One
+    ``groupBy(parent)`` and one join per level, each over that level only.
+    """
+    children = None
+    for d in range(top, -1, -1):
+        lv = nodes.where(F.col("depth") == d)
+        if children is not None:
+            lv = lv.join(children, lv.comment_id == children._parent, "left")
+        value = node(d, F.col("_replies") if children is not None else None)
+        key = "parent_id" if d > 0 else "post_id"
+        agg = lv.groupBy(F.col(key).alias("_parent")).agg(
+            F.sort_array(F.collect_list(F.struct(F.col("comment_id").alias("k"), value.alias("n")))).alias("_kids"))
+        children = agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies"))
+    return children.select(F.col("_parent").alias("post_id"), F.col("_replies").alias("value"))
+
+
 def nest_comments(comments: DataFrame, depth: int = TREE_DEPTH) -> DataFrame:
     """Flat comments with parent links → ``(post_id, comments)`` nested arrays.
 
     Siblings are ordered by ``comment_id``; times become ISO text as in the
     stored documents.  Levels at or below ``depth`` cannot be typed and are
-    written as JSON text into the last level's ``replies``.
+    written as JSON text into the last typed level's ``replies``.
     """
-    depths = comment_depths(comments)
-    # Read once per level below: cut the lineage instead of re-joining.
-    nodes = comments.join(depths, "comment_id").checkpoint()
-    top = depths.agg(F.max("depth").alias("m")).first()["m"]
+    nodes, top = with_depths(comments)
     if top is None:
         return comments.select("post_id").where(F.lit(False)).withColumn(
             "comments", F.array().cast(comment_tree_type(depth)))
-    children = None
-    for d in range(top, -1, -1):
-        lv = nodes.where(F.col("depth") == d)
-        if children is not None:
-            lv = lv.join(children, lv.comment_id == children._parent, "left")
+
+    def node(d: int, replies: Column | None) -> Column:
         fields = [F.col("banned"), iso("time").alias("time"), F.col("username"), F.col("link"),
                   F.col("votes").cast("int").alias("votes"), F.col("message_html")]
         if d < depth:
             rtype = comment_tree_type(depth - d - 1)
             empty = F.lit("[]") if isinstance(rtype, T.StringType) else F.array().cast(rtype)
-            replies = F.coalesce(F.col("_replies"), empty) if children is not None else empty
-            node = F.struct(*fields, replies.alias("replies")).cast(_node_type(d, depth))
-        else:
-            # Below the typed schema: the node is JSON text with its replies spliced in.
-            replies = F.coalesce(F.col("_replies"), F.lit("[]")) if children is not None else F.lit("[]")
-            node = F.concat(F.regexp_replace(F.to_json(F.struct(*fields)), "}$", ""),
-                            F.lit(',"replies":'), replies, F.lit("}"))
-        group_key = "parent_id" if d > 0 else "post_id"
-        agg = lv.groupBy(F.col(group_key).alias("_parent")).agg(
-            F.sort_array(F.collect_list(F.struct(F.col("comment_id").alias("k"), node.alias("n")))).alias("_kids"))
-        kids = F.transform("_kids", lambda x: x["n"])
-        if d >= depth:
-            kids = F.concat(F.lit("["), F.array_join(kids, ","), F.lit("]"))
-        children = agg.select("_parent", kids.alias("_replies"))
-    return children.select(F.col("_parent").alias("post_id"), F.col("_replies").alias("comments"))
+            r = F.coalesce(replies, empty) if replies is not None else empty
+            return F.struct(*fields, r.alias("replies")).cast(_node_type(d, depth))
+        # Below the typed schema: JSON text with the replies spliced in.
+        r = F.coalesce(replies, F.lit("[]")) if replies is not None else F.lit("[]")
+        return F.concat(F.regexp_replace(F.to_json(F.struct(*fields)), "}$", ""),
+                        F.lit(',"replies":'), r, F.lit("}"))
+
+    def kids(d: int, arr: Column) -> Column:
+        return F.concat(F.lit("["), F.array_join(arr, ","), F.lit("]")) if d >= depth else arr
+
+    return fold_up(nodes, top, node, kids).withColumnRenamed("value", "comments")

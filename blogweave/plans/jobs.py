@@ -318,3 +318,71 @@ def upsert_stream(spark, sf_dir):
     q = ustream.upsert_stream(spark, src, rec.schema, root, ckpt)
     q.awaitTermination()
     return ustream.read_collection(spark, root)
+
+
+# ----------------------------------------------------------- extraction
+from blogweave.operators import extract, favourites, render  # noqa: E402
+
+
+def _post_pages_raw(spark, sf_dir):
+    pages = render.post_pages(posts_view(spark, sf_dir), comments_view(spark, sf_dir))
+    return extract.extract_post_pages(pages)
+
+
+@job("J05_extract_posts")
+def extract_posts(spark, sf_dir):
+    """Post pages rendered from the posts, parsed back into post records."""
+    posts = extract.posts_from_pages(_post_pages_raw(spark, sf_dir), sites_frame(spark))
+    return posts.select("post_id", "blog_id", "url", "title", "published",
+                        F.array_join("flags", ",").alias("flags"), F.array_join("hub_ids", ",").alias("hub_ids"),
+                        "company_blog", "content_html", F.array_join("tags", ",").alias("tags"),
+                        "pageviews", "favs_count", "voting_score", "author_user", "author_company",
+                        "comments_count")
+
+
+@job("J06_extract_comments")
+def extract_comments(spark, sf_dir):
+    """Comment trees of the rendered post pages, parsed back into flat rows."""
+    c = extract.comments_from_pages(_post_pages_raw(spark, sf_dir))
+    return c.select("post_id", path_text().alias("path"), "depth", "banned", "time", "username",
+                    "link", "votes", "message_html")
+
+
+def _joined(col):
+    return F.array_join(col, ",")
+
+
+def _info_text(col):
+    return F.array_join(F.transform(col, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+
+
+@job("J07_user_profiles")
+def user_profiles(spark, sf_dir):
+    """User pages rendered from ``customer``, parsed back into profiles."""
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    raw = extract.extract_profile_pages(render.user_pages(cust))
+    u = extract.user_profiles(raw, sites_frame(spark))
+    return u.select("_type", "_id", "blog_id", "page_id", "user_id", "username", "fullname", "avatar_url",
+                    "registration_date", "last_activity", "karma", "rating", "about_html", "website_url",
+                    _joined("working_companies").alias("working_companies"),
+                    _joined("favorite_companies").alias("favorite_companies"),
+                    _joined("hubs").alias("hubs"), _joined("tags").alias("tags"),
+                    _joined("invites").alias("invites"), _info_text("info").alias("info"))
+
+
+@job("J07_company_profiles")
+def company_profiles(spark, sf_dir):
+    """Company pages rendered from ``supplier``, parsed back into profiles."""
+    sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    raw = extract.extract_profile_pages(render.company_pages(sup))
+    c = extract.company_profiles(raw, sites_frame(spark))
+    return c.select("_type", "_id", "blog_id", "page_id", "company_id", "name", "icon_url", "about_html",
+                    "website_url", "registration_date", _joined("staff_users").alias("staff_users"),
+                    _info_text("info").alias("info"))
+
+
+@job("J23_favourite_edges")
+def favourite_edges(spark, sf_dir):
+    """Favourites pages rendered from the comments, parsed into (user, post) edges."""
+    pages = render.favourites_pages(comments_view(spark, sf_dir), posts_view(spark, sf_dir))
+    return favourites.favourite_edges(pages, sites_frame(spark))

@@ -420,3 +420,68 @@ SELECT _type, _id, updated_at, seq, conv_id, turn, text FROM (
   FROM conversations) t
 WHERE rn = 1"""
 SQL["J28_upsert_stream"] = SQL["J27_upsert_latest"]
+
+
+# ------------------------------------------------------- extraction jobs
+def sql_esc(c: str) -> str:
+    return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+SQL["J05_extract_posts"] = with_views(f"""
+SELECT post_id, blog_id, url, title, published,
+       array_to_string(flags, ',') AS flags,
+       array_to_string([h.name FOR h IN hubs IF h.url LIKE '%/hub/%'], ',') AS hub_ids,
+       company_blog,
+       regexp_replace({sql_esc('content_html')}, '^\\s+|\\s+$', '', 'g') AS content_html,
+       array_to_string(tags, ',') AS tags, pageviews, favs_count, voting_score,
+       author AS author_user, CAST(NULL AS VARCHAR) AS author_company, comments_count
+FROM v_posts""", V_POSTS)
+
+SQL["J06_extract_comments"] = "WITH RECURSIVE " + ",".join([V_COMMENTS, SQL_TREE]) + """
+SELECT w.post_id, w.path, CAST(w.depth AS INTEGER) AS depth, r.banned,
+       CASE WHEN NOT r.banned THEN date_trunc('minute', r.time) END AS time,
+       CASE WHEN NOT r.banned THEN r.username END AS username,
+       CASE WHEN NOT r.banned THEN r.link END AS link,
+       CASE WHEN NOT r.banned THEN r.votes END AS votes,
+       CASE WHEN NOT r.banned THEN r.message_html END AS message_html
+FROM walk w JOIN ranked r USING (comment_id)"""
+
+_ORIGIN = "'https://b' || CAST(c_custkey % 3 AS VARCHAR) || '.example.org'"
+_FETCHED = ("TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey + 30 AS INTEGER)) "
+            "+ to_hours(CAST(c_custkey % 48 AS INTEGER))")
+SQL["J07_user_profiles"] = f"""
+SELECT 'user' AS _type, 'b' || CAST(c_custkey % 3 AS VARCHAR) || '/c' || CAST(c_custkey AS VARCHAR) AS _id,
+       'b' || CAST(c_custkey % 3 AS VARCHAR) AS blog_id, c_custkey AS page_id,
+       'c' || CAST(c_custkey AS VARCHAR) AS user_id, 'c' || CAST(c_custkey AS VARCHAR) AS username,
+       trim(c_name) AS fullname,
+       {_ORIGIN} || '/images/avatars/c' || CAST(c_custkey AS VARCHAR) || '.png' AS avatar_url,
+       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey AS INTEGER)) AS registration_date,
+       {_FETCHED} - to_days(CAST(c_custkey % 3 AS INTEGER)) AS last_activity,
+       c_acctbal AS karma, CAST(c_nationkey AS DOUBLE) AS rating,
+       '<p>' || {sql_esc('c_name')} || ' from nation ' || CAST(c_nationkey AS VARCHAR) || '</p>' AS about_html,
+       'https://c' || CAST(c_custkey AS VARCHAR) || '.example.com/' AS website_url,
+       's' || CAST(c_custkey % 10 AS VARCHAR) AS working_companies,
+       '' AS favorite_companies,
+       'n' || CAST(c_nationkey AS VARCHAR) || ',' || lower(c_mktsegment) AS hubs,
+       c_mktsegment AS tags,
+       'c' || CAST(c_custkey + 1 AS VARCHAR) AS invites,
+       'Сегмент=<b>' || {sql_esc('c_mktsegment')} || '</b>' AS info
+FROM customer"""
+
+SQL["J07_company_profiles"] = f"""
+SELECT 'company' AS _type, 'b' || CAST(s_suppkey % 3 AS VARCHAR) || '/s' || CAST(s_suppkey AS VARCHAR) AS _id,
+       'b' || CAST(s_suppkey % 3 AS VARCHAR) AS blog_id, s_suppkey AS page_id,
+       's' || CAST(s_suppkey AS VARCHAR) AS company_id, s_name AS name,
+       'https://b' || CAST(s_suppkey % 3 AS VARCHAR) || '.example.org/images/companies/s'
+         || CAST(s_suppkey AS VARCHAR) || '.png' AS icon_url,
+       '<p>' || {sql_esc('s_name')} || ' of nation ' || CAST(s_nationkey AS VARCHAR) || '</p>' AS about_html,
+       'https://s' || CAST(s_suppkey AS VARCHAR) || '.example.net/' AS website_url,
+       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey AS INTEGER)) AS registration_date,
+       'c' || CAST(s_suppkey AS VARCHAR) || ',c' || CAST(s_suppkey + 1 AS VARCHAR) AS staff_users,
+       'Страна=n' || CAST(s_nationkey AS VARCHAR) AS info
+FROM supplier"""
+
+SQL["J23_favourite_edges"] = with_views("""
+SELECT DISTINCT c.username AS user, p.blog_id || '/' || CAST(p.post_id AS VARCHAR) AS post_key
+FROM v_comments c JOIN v_posts p USING (post_id)
+WHERE NOT c.banned AND c.username IS NOT NULL""", V_POSTS, V_COMMENTS)
