@@ -104,42 +104,60 @@ def _walk_deep(deep: DataFrame, key: str) -> DataFrame:
     return deep.mapInPandas(walk, schema)
 
 
-def comment_depths(comments: DataFrame, max_depth: int = 4 * TREE_DEPTH) -> DataFrame:
+def comment_depths(comments: DataFrame) -> DataFrame:
     """Depth of every comment reachable from a root (``parent_id`` null).
 
-    One level per step: the comments whose parent is in the previous level.
-    Each level is checkpointed (lineage stays one level long) and the walk
-    stops at the first empty level.  Comments in cycles or under missing
-    parents are not reachable and get no row.
+    Pointer jumping: each pending comment keeps an ancestor and the
+    distance to it; one round replaces the ancestor by the ancestor's own
+    ancestor and adds the distances, so the remaining distance halves and
+    a tree of depth D needs about log2(D) rounds, whatever D is.  A
+    comment resolves when its ancestor is a resolved one.  Every round
+    joins only the pending comments and is checkpointed (short lineage).
+    Comments under a missing parent drop out; comments on a cycle never
+    resolve, and the walk ends when a round resolves nothing.
     """
-    spark = comments.sparkSession
     from blogweave.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    # Two narrow columns, materialised once: every level reads this instead
-    # of re-deriving parent links (and Catalyst cannot grow constraints
-    # across the levels).
+    ensure_checkpoint_dir(comments.sparkSession)
     base = comments.select("comment_id", "parent_id").checkpoint()
-    level = base.where(F.col("parent_id").isNull()).select("comment_id", F.lit(0).alias("depth")).checkpoint()
-    levels = [level]
-    rest = base.where(F.col("parent_id").isNotNull())
-    for d in range(1, max_depth + 1):
-        keys = levels[-1].select(F.col("comment_id").alias("_p"))
-        nxt = (rest.join(keys, rest.parent_id == keys._p, "left_semi")
-               .select("comment_id", F.lit(d).alias("depth")).checkpoint())
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    pieces = [base.where(F.col("parent_id").isNull()).select("comment_id", F.lit(0).alias("dist"))]
+    pending = (base.where(F.col("parent_id").isNotNull())
+               .select("comment_id", F.col("parent_id").alias("anc"), F.lit(1).alias("dist")))
+    while True:
+        resolved = pieces[0]
+        for p in pieces[1:]:
+            resolved = resolved.unionByName(p)
+        look = resolved.select(F.col("comment_id").alias("l_id"), F.lit(None).cast("long").alias("l_anc"),
+                               F.col("dist").alias("l_dist")).unionByName(
+            pending.select(F.col("comment_id").alias("l_id"), F.col("anc").alias("l_anc"),
+                           F.col("dist").alias("l_dist")))
+        step = (pending.join(look, pending.anc == look.l_id)
+                .select("comment_id", F.col("l_anc").alias("anc"), (F.col("dist") + F.col("l_dist")).alias("dist"))
+                .checkpoint())
+        newly = step.where(F.col("anc").isNull()).select("comment_id", "dist")
+        pending = step.where(F.col("anc").isNotNull())
+        if newly.isEmpty():
+            break       # nothing reachable is left (empty, orphans, cycles)
+        pieces.append(newly)
+    out = pieces[0]
+    for p in pieces[1:]:
+        out = out.unionByName(p)
+    return out.withColumnRenamed("dist", "depth")
 
 
 def with_depths(comments: DataFrame) -> tuple[DataFrame, int | None]:
-    """Comments with their depth (checkpointed once) and the greatest depth."""
+    """Comments with their depth, written once as a table partitioned by
+    depth in the shared scratch folder (each level of a fold reads only
+    its partition), and the greatest depth."""
+    from blogweave.session import scratch_path
+    spark = comments.sparkSession
     depths = comment_depths(comments)
     top = depths.agg(F.max("depth").alias("m")).first()["m"]
-    return comments.join(depths, "comment_id").checkpoint(), top
+    joined = comments.join(depths, "comment_id")
+    if top is None:
+        return joined, None
+    path = scratch_path(spark, "comment-levels")
+    joined.write.partitionBy("depth").parquet(path)
+    return spark.read.schema(joined.schema).parquet(path), top
 
 
 def fold_up(nodes: DataFrame, top: int, node: Callable[[int, Column | None], Column],
@@ -161,7 +179,8 @@ def fold_up(nodes: DataFrame, top: int, node: Callable[[int, Column | None], Col
         key = "parent_id" if d > 0 else "post_id"
         agg = lv.groupBy(F.col(key).alias("_parent")).agg(
             F.sort_array(F.collect_list(F.struct(F.col("comment_id").alias("k"), value.alias("n")))).alias("_kids"))
-        children = agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies"))
+        # One level per step: cut the lineage so deep trees keep short plans.
+        children = agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies")).checkpoint()
     return children.select(F.col("_parent").alias("post_id"), F.col("_replies").alias("value"))
 
 
