@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from blogweave.functions import html as H
 from blogweave.functions import text as X
 from blogweave.functions import urls as U
+from blogweave.sources.tables import spread
 
 
 def word_counts(posts: DataFrame, lemmas: DataFrame | None = None, keep_comments: bool = True) -> DataFrame:
@@ -26,7 +27,8 @@ def word_counts(posts: DataFrame, lemmas: DataFrame | None = None, keep_comments
     to the planner, which broadcasts it only if its measured size is small.
     """
     text = X.space_out(H.visible_text("content_html", keep_comments))
-    toks = (posts.select("post_id", F.explode(X.tokens(text)).alias("tok"))
+    toks = (spread(posts.select("post_id", "content_html"))
+            .select("post_id", F.explode(X.tokens(text)).alias("tok"))
             .where(F.length("tok") >= X.MIN_TOKEN_LENGTH)
             .select("post_id", X.normalise_token("tok").alias("token")))
     if lemmas is not None:

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from blogweave.functions import fields as FD
 from blogweave.functions import urls as U
 from blogweave.operators import dom
+from blogweave.sources.tables import spread
 
 # Fixed markup values of the blogs.
 COMMENT_ITEM_CLASS = "comment_item"
@@ -164,7 +165,7 @@ def extract_post_pages(pages: DataFrame) -> DataFrame:
     """Raw post fields per page (``found`` false when there is no ``.post``)."""
     if "fetched_at" not in pages.columns:
         pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
-    return pages.select("page_id", "url", "fetched_at", "html").mapInPandas(_post_batches, RAW_POST)
+    return spread(pages.select("page_id", "url", "fetched_at", "html")).mapInPandas(_post_batches, RAW_POST)
 
 
 def _strip_slashes(c):
@@ -317,7 +318,7 @@ def _profile_batches(batches):
 def extract_profile_pages(pages: DataFrame) -> DataFrame:
     if "fetched_at" not in pages.columns:
         pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
-    return pages.select("page_id", "url", "fetched_at", "html").mapInPandas(_profile_batches, RAW_PROFILE)
+    return spread(pages.select("page_id", "url", "fetched_at", "html")).mapInPandas(_profile_batches, RAW_PROFILE)
 
 
 # Fixed labels of the profile definition lists.

@@ -6,13 +6,13 @@ Flat model used by every analytic job: one row per comment with
 *Flatten* (nested → flat) is a pure expression over each post row:
 ``transform``/``flatten`` per level of the depth-limited schema, then one
 ``inline``; no shuffle, no Python.  Subtrees deeper than the schema arrive
-as JSON text in the last level and are walked by a small ``mapInPandas``
+as raw JSON (VARIANT) in the last level and are walked by a small ``mapInPandas``
 stack (only those rows go to Python).
 
 *Nest* (flat → nested) is needed to write post documents.  Depths come
-from a level-by-level walk from the roots (one semi join per level, each
-level checkpointed to cut lineage); the tree is then built bottom-up, one
-``groupBy(parent)`` per level.
+from pointer jumping over the parent links (about log2(depth) rounds,
+each written to the shared scratch folder); the tree is then built
+bottom-up, one ``groupBy(parent)`` per level.
 """
 
 from __future__ import annotations
@@ -21,12 +21,13 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blogweave.functions.fields import iso, parse_iso
 from blogweave.schemas import TREE_DEPTH, comment_tree_type
+from blogweave.session import materialize, scratch_path
 
 NODE_FIELDS = ["banned", "time", "username", "link", "votes", "message_html"]
 
@@ -68,13 +69,18 @@ def flatten_comments(posts: DataFrame, col: str = "comments", depth: int = TREE_
             lambda c, i: F.struct(F.concat(p["path"], F.array(i)).alias("path"), c.alias("node"))))))
     last = f"_l{depth - 1}"
     nodes = F.concat(*[F.transform(f"_l{k}", _flat_node) for k in range(depth)])
-    overflow = F.filter(last, lambda p: p["node"]["replies"].isNotNull() & (p["node"]["replies"] != "[]"))
-    df = df.select(key, nodes.alias("_nodes"), overflow.alias("_over"))
-    flat = df.select(key, F.inline("_nodes"))
-    deep = df.where(F.size("_over") > 0).select(
-        key, F.inline(F.transform("_over", lambda p: F.struct(p["path"].alias("path"),
-                                                              p["node"]["replies"].alias("replies")))))
-    flat = flat.unionByName(_walk_deep(deep, key))
+    overflow = F.filter(last, lambda p: p["node"]["replies"].isNotNull()
+                        & (F.to_json(p["node"]["replies"]) != "[]"))
+    # The per-level expressions run once: written out with the number of
+    # posts whose trees go below the schema observed on the way.
+    per_post, seen = materialize(df.select(key, nodes.alias("_nodes"), overflow.alias("_over")),
+                                 "tree-flat", deep=F.count_if(F.size("_over") > 0))
+    flat = per_post.select(key, F.inline("_nodes"))
+    if seen.get("deep"):
+        deep = per_post.where(F.size("_over") > 0).select(
+            key, F.inline(F.transform("_over", lambda p: F.struct(
+                p["path"].alias("path"), F.to_json(p["node"]["replies"]).alias("replies")))))
+        flat = flat.unionByName(_walk_deep(deep, key))
     return flat.select(
         key, "path",
         (F.size("path") - 1).alias("depth"),
@@ -112,13 +118,12 @@ def comment_depths(comments: DataFrame) -> DataFrame:
     ancestor and adds the distances, so the remaining distance halves and
     a tree of depth D needs about log2(D) rounds, whatever D is.  A
     comment resolves when its ancestor is a resolved one.  Every round
-    joins only the pending comments and is checkpointed (short lineage).
-    Comments under a missing parent drop out; comments on a cycle never
-    resolve, and the walk ends when a round resolves nothing.
+    joins only the pending comments and is written to the shared scratch
+    folder (short lineage, one job per round, resolved count observed on
+    the way).  Comments under a missing parent drop out; comments on a
+    cycle never resolve, and the walk ends when a round resolves nothing.
     """
-    from blogweave.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(comments.sparkSession)
-    base = comments.select("comment_id", "parent_id").checkpoint()
+    base, _ = materialize(comments.select("comment_id", "parent_id"), "tree-links")
     pieces = [base.where(F.col("parent_id").isNull()).select("comment_id", F.lit(0).alias("dist"))]
     pending = (base.where(F.col("parent_id").isNotNull())
                .select("comment_id", F.col("parent_id").alias("anc"), F.lit(1).alias("dist")))
@@ -130,14 +135,14 @@ def comment_depths(comments: DataFrame) -> DataFrame:
                                F.col("dist").alias("l_dist")).unionByName(
             pending.select(F.col("comment_id").alias("l_id"), F.col("anc").alias("l_anc"),
                            F.col("dist").alias("l_dist")))
-        step = (pending.join(look, pending.anc == look.l_id)
-                .select("comment_id", F.col("l_anc").alias("anc"), (F.col("dist") + F.col("l_dist")).alias("dist"))
-                .checkpoint())
-        newly = step.where(F.col("anc").isNull()).select("comment_id", "dist")
+        step, seen = materialize(
+            pending.join(look, pending.anc == look.l_id)
+            .select("comment_id", F.col("l_anc").alias("anc"), (F.col("dist") + F.col("l_dist")).alias("dist")),
+            "tree-round", newly=F.count_if(F.col("anc").isNull()))
+        if not seen.get("newly"):
+            break       # nothing reachable is left (no pending, orphans, cycles)
+        pieces.append(step.where(F.col("anc").isNull()).select("comment_id", "dist"))
         pending = step.where(F.col("anc").isNotNull())
-        if newly.isEmpty():
-            break       # nothing reachable is left (empty, orphans, cycles)
-        pieces.append(newly)
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)
@@ -147,17 +152,13 @@ def comment_depths(comments: DataFrame) -> DataFrame:
 def with_depths(comments: DataFrame) -> tuple[DataFrame, int | None]:
     """Comments with their depth, written once as a table partitioned by
     depth in the shared scratch folder (each level of a fold reads only
-    its partition), and the greatest depth."""
-    from blogweave.session import scratch_path
+    its partition), and the greatest depth (observed during the write)."""
     spark = comments.sparkSession
-    depths = comment_depths(comments)
-    top = depths.agg(F.max("depth").alias("m")).first()["m"]
-    joined = comments.join(depths, "comment_id")
-    if top is None:
-        return joined, None
+    joined = comments.join(comment_depths(comments), "comment_id")
+    obs = Observation("levels")
     path = scratch_path(spark, "comment-levels")
-    joined.write.partitionBy("depth").parquet(path)
-    return spark.read.schema(joined.schema).parquet(path), top
+    joined.observe(obs, F.max("depth").alias("top")).write.partitionBy("depth").parquet(path)
+    return spark.read.schema(joined.schema).parquet(path), obs.get.get("top")
 
 
 def fold_up(nodes: DataFrame, top: int, node: Callable[[int, Column | None], Column],
@@ -177,10 +178,14 @@ def fold_up(nodes: DataFrame, top: int, node: Callable[[int, Column | None], Col
             lv = lv.join(children, lv.comment_id == children._parent, "left")
         value = node(d, F.col("_replies") if children is not None else None)
         key = "parent_id" if d > 0 else "post_id"
+        # Siblings by comment id (a comparator: node values need not be orderable).
         agg = lv.groupBy(F.col(key).alias("_parent")).agg(
-            F.sort_array(F.collect_list(F.struct(F.col("comment_id").alias("k"), value.alias("n")))).alias("_kids"))
-        # One level per step: cut the lineage so deep trees keep short plans.
-        children = agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies")).checkpoint()
+            F.array_sort(F.collect_list(F.struct(F.col("comment_id").alias("k"), value.alias("n"))),
+                         lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+            .alias("_kids"))
+        # One level per step, written out: deep trees keep short plans.
+        children, _ = materialize(
+            agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies")), "tree-fold")
     return children.select(F.col("_parent").alias("post_id"), F.col("_replies").alias("value"))
 
 
@@ -189,7 +194,7 @@ def nest_comments(comments: DataFrame, depth: int = TREE_DEPTH) -> DataFrame:
 
     Siblings are ordered by ``comment_id``; times become ISO text as in the
     stored documents.  Levels at or below ``depth`` cannot be typed and are
-    written as JSON text into the last typed level's ``replies``.
+    carried as raw JSON (``VARIANT``) in the last typed level's ``replies``.
     """
     nodes, top = with_depths(comments)
     if top is None:
@@ -201,8 +206,12 @@ def nest_comments(comments: DataFrame, depth: int = TREE_DEPTH) -> DataFrame:
                   F.col("votes").cast("int").alias("votes"), F.col("message_html")]
         if d < depth:
             rtype = comment_tree_type(depth - d - 1)
-            empty = F.lit("[]") if isinstance(rtype, T.StringType) else F.array().cast(rtype)
-            r = F.coalesce(replies, empty) if replies is not None else empty
+            if isinstance(rtype, T.VariantType):
+                # Last typed level: deeper replies arrive as JSON text.
+                r = F.parse_json(F.coalesce(replies, F.lit("[]")) if replies is not None else F.lit("[]"))
+            else:
+                empty = F.array().cast(rtype)
+                r = F.coalesce(replies, empty) if replies is not None else empty
             return F.struct(*fields, r.alias("replies")).cast(_node_type(d, depth))
         # Below the typed schema: JSON text with the replies spliced in.
         r = F.coalesce(replies, F.lit("[]")) if replies is not None else F.lit("[]")

@@ -3,15 +3,18 @@
 Post documents arrive in three historical shapes; they are read with one
 fixed schema (never inferred) and normalised.  The recursive comment tree
 has no Spark type, so a depth-limited schema is generated: its last level
-keeps ``replies`` as raw JSON text, which exposes trees that go deeper.
+keeps ``replies`` as ``VARIANT`` (raw JSON), which carries deeper trees
+through reads and writes unchanged and exposes them to the exact walk.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Depth of the generated comment-tree schema; deeper replies stay JSON text.
-TREE_DEPTH = 16
+# Depth of the generated comment-tree schema; deeper replies stay raw JSON.
+# Measured: flattening with 8 typed levels is 2.5x faster than with 16 on
+# the same data (the cost grows with the nesting of the types, not data).
+TREE_DEPTH = 8
 
 HUB = T.StructType([
     T.StructField("name", T.StringType()),
@@ -29,8 +32,8 @@ COMMENT_FIELDS = [
 
 
 def comment_tree_type(depth: int = TREE_DEPTH) -> T.DataType:
-    """``ARRAY<node>`` nested ``depth`` levels; the deepest ``replies`` is a STRING."""
-    inner: T.DataType = T.StringType()
+    """``ARRAY<node>`` nested ``depth`` levels; the deepest ``replies`` is a VARIANT."""
+    inner: T.DataType = T.VariantType()
     for _ in range(depth):
         node = T.StructType(COMMENT_FIELDS + [T.StructField("replies", inner)])
         inner = T.ArrayType(node)

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -45,9 +45,42 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the jobs rely on to a session built elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable by Python workers (``mapInPandas``).
+
+    Nothing is done when the workers' ``PYTHONPATH`` already holds it (or
+    the process runs from the repository).  Otherwise the package is zipped
+    once per context into the shared checkpoint folder, if that folder is
+    a local path, and added with ``addPyFile``; on a cluster with a remote
+    checkpoint folder it is expected to be shipped with ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    _SHIPPED.add(id(sc))
+    import shutil
+    import blogweave
+    parent = os.path.dirname(os.path.dirname(os.path.abspath(blogweave.__file__)))
+    paths = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if parent in paths or os.path.abspath(os.getcwd()) == parent:
+        return
+    root = ensure_checkpoint_dir(spark)
+    local = root[len("file:"):] if root.startswith("file:") else root
+    if "://" in local or not os.path.isabs(local):
+        return
+    target = os.path.join(local, "blogweave-pkg-" + uuid.uuid4().hex[:8])
+    os.makedirs(target, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(target, "blogweave"), "zip", root_dir=parent, base_dir="blogweave")
+    sc.addPyFile(archive)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext
@@ -62,6 +95,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialize(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` as Parquet to a fresh folder of the shared scratch area
+    and read it back: lineage is cut (the result survives lost executors),
+    the plan runs once, and the read side has real size statistics.
+    ``metrics`` (aggregate columns) are observed during the same write."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = None
+    if metrics:
+        obs = Observation(name)
+        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), (obs.get if obs else {})
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)

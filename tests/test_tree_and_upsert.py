@@ -89,3 +89,25 @@ def test_stream_equals_batch(spark, tmp_path):
     assert len(ustream.snapshots(spark, root)) >= 2               # several micro-batches
     got = rows(ustream.read_collection(spark, root), "_type", "_id", "body")
     assert got == rows(upsert.upsert(None, recs), "_type", "_id", "body")
+
+
+def test_deep_tree_survives_json_documents(spark, tmp_path):
+    from blogweave.operators import exports
+    from blogweave.sources import json_posts
+    c = _chain(spark, 12, post_id=7)
+    nested = tree.nest_comments(c)                     # default typed depth: deeper levels as VARIANT
+    posts = spark.createDataFrame([(7, "b/7", "b", "u", "t", T0, T0, [], [], "c", "x", [], 1, 2, 3, None, None,
+                                    None, None, None, 4)],
+                                  "post_id long, _id string, blog_id string, url string, title string, "
+                                  "published timestamp_ntz, updated_at timestamp_ntz, flags array<string>, "
+                                  "hubs array<struct<name:string,url:string>>, company_blog string, "
+                                  "content_html string, tags array<string>, pageviews int, favs_count int, "
+                                  "voting_score int, author string, author_url string, author_rating double, "
+                                  "author_company string, author_user string, comments_count int")
+    path = exports.export_posts(exports.with_nested_comments(posts, nested), str(tmp_path / "docs"))
+    text = open(next(p for p in (tmp_path / "docs").iterdir() if p.name.startswith("part-") and p.stat().st_size)).read()
+    assert text.count('"replies":[') == 12 and '"replies":"' not in text      # real nested arrays
+    back = json_posts.normalise_posts(json_posts.read_post_documents(spark, path))
+    flat = tree.flatten_comments(back.select("post_id", "comments"))
+    assert sorted(r.link for r in flat.collect()) == sorted(f"#{i}" for i in range(12))
+    assert flat.agg(F.max("depth")).first()[0] == 11
