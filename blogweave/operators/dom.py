@@ -10,6 +10,7 @@ attribute and id; first text node, all text, attribute, inner markup.
 from __future__ import annotations
 
 import html
+from bisect import bisect_right
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -20,10 +21,12 @@ CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset"
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "pre", "post", "doc")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.pre = self.post = 0
+        self.doc = None
 
     def get(self, name: str) -> str | None:
         return self.attrs.get(name)
@@ -68,10 +71,48 @@ class _Builder(HTMLParser):
             self.cur = n.parent
 
 
+class _Index:
+    """Elements in document order with their subtree ranges, and lists per
+    tag, class and id: a selector step is a bisect into one list."""
+
+    def __init__(self, root: Node):
+        self.by_tag: dict[str, list[Node]] = {}
+        self.by_class: dict[str, list[Node]] = {}
+        self.by_id: dict[str, list[Node]] = {}
+        self.all: list[Node] = []
+        n = 0
+        stack: list[tuple[Node, bool]] = [(root, False)]
+        while stack:
+            node, done = stack.pop()
+            if done:
+                node.post = n - 1
+                continue
+            node.pre, node.doc = n, self
+            n += 1
+            if node.parent is not None:
+                self.all.append(node)
+                self.by_tag.setdefault(node.tag, []).append(node)
+                for c in set(node.classes()):
+                    self.by_class.setdefault(c, []).append(node)
+                if "id" in node.attrs:
+                    self.by_id.setdefault(node.attrs["id"], []).append(node)
+            stack.append((node, True))
+            stack.extend((c, False) for c in reversed(node.children) if isinstance(c, Node))
+        self.pres = {}
+
+    def pres_of(self, lst: list[Node]) -> list[int]:
+        key = id(lst)
+        got = self.pres.get(key)
+        if got is None:
+            got = self.pres[key] = [x.pre for x in lst]
+        return got
+
+
 def parse(markup: str) -> Node:
     b = _Builder()
     b.feed(markup or "")
     b.close()
+    _Index(b.root)
     return b.root
 
 
@@ -85,22 +126,24 @@ def _match(n: Node, tag: str | None, cls: str | None, exact_cls: str | None, id_
 def find_all(roots, tag=None, cls=None, exact_cls=None, id=None) -> list[Node]:
     """Descendants (document order, no duplicates) of each root that match:
     a CSS descendant step applied to a selection."""
+    roots = [roots] if isinstance(roots, Node) else list(roots)
+    if not roots:
+        return []
     want_id = id
-    out: list[Node] = []
-    seen: set[int] = set()
-    for root in ([roots] if isinstance(roots, Node) else roots):
-        stack = list(reversed([c for c in root.children if isinstance(c, Node)]))
-        while stack:
-            n = stack.pop()
-            if _match(n, tag, cls, exact_cls, want_id) and _key(n) not in seen:
-                seen.add(_key(n))
-                out.append(n)
-            stack.extend(reversed([c for c in n.children if isinstance(c, Node)]))
-    return out
-
-
-def _key(n: Node) -> int:
-    return id(n)
+    idx = roots[0].doc
+    cand = (idx.by_id.get(want_id, []) if want_id is not None else
+            idx.by_tag.get(tag, []) if tag is not None else
+            idx.by_class.get(cls, []) if cls is not None else idx.all)
+    if not cand:
+        return []
+    pres = idx.pres_of(cand)
+    out: dict[int, Node] = {}
+    for root in roots:
+        lo, hi = bisect_right(pres, root.pre), bisect_right(pres, root.post)
+        for n in cand[lo:hi]:
+            if n.pre not in out and _match(n, tag, cls, exact_cls, want_id):
+                out[n.pre] = n
+    return [out[k] for k in sorted(out)] if len(roots) > 1 else list(out.values())
 
 
 def children(root: Node, tag=None, cls=None, exact_cls=None, id=None) -> list[Node]:

@@ -29,6 +29,9 @@ from blogweave.functions.fields import iso, parse_iso
 from blogweave.schemas import TREE_DEPTH, comment_tree_type
 from blogweave.session import materialize, scratch_path
 
+# Levels folded between two writes of the intermediate result.
+FOLD_WRITE_EVERY = 4
+
 NODE_FIELDS = ["banned", "time", "username", "link", "votes", "message_html"]
 
 FLAT_SCHEMA = T.StructType([
@@ -183,9 +186,10 @@ def fold_up(nodes: DataFrame, top: int, node: Callable[[int, Column | None], Col
             F.array_sort(F.collect_list(F.struct(F.col("comment_id").alias("k"), value.alias("n"))),
                          lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
             .alias("_kids"))
-        # One level per step, written out: deep trees keep short plans.
-        children, _ = materialize(
-            agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies")), "tree-fold")
+        children = agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies"))
+        if d and (top - d) % FOLD_WRITE_EVERY == FOLD_WRITE_EVERY - 1:
+            # Written out every few levels: deep trees keep short plans.
+            children, _ = materialize(children, "tree-fold")
     return children.select(F.col("_parent").alias("post_id"), F.col("_replies").alias("value"))
 
 
