@@ -40,8 +40,12 @@ def _cat(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def comment_item_html(fetched_at: Column, replies: Column | None) -> Column:
-    """Markup of one comment (columns of the flat comment row) and its replies."""
+ITEM_CLOSE = "</div></div>"
+
+
+def comment_open_html(fetched_at: Column) -> Column:
+    """Opening markup of one comment (columns of the flat comment row),
+    up to its open replies container."""
     t = F.col("time")
     live = _cat(
         '<div class="info">',
@@ -55,20 +59,30 @@ def comment_item_html(fetched_at: Column, replies: Column | None) -> Column:
         _opt(F.col("message_html").isNotNull(), '<div class="message html_format">', F.col("message_html"), "</div>"))
     body = F.when(F.col("banned"), F.lit(f'<div class="author_banned">{BANNED_TEXT}</div>')).otherwise(live)
     return _cat('<div class="comment_item">', '<div class="comment_body ">', body, "</div>",
-                '<div class="reply_comments">', F.coalesce(replies, F.lit("")) if replies is not None else "",
-                "</div></div>")
+                '<div class="reply_comments">')
 
 
 def comments_html(comments: DataFrame, fetched: DataFrame) -> DataFrame:
-    """``(post_id, comments_html)``: the comment tree markup of each post,
-    folded bottom-up level by level (see :func:`tree.fold_up`)."""
+    """``(post_id, comments_html)``: the comment tree markup of each post.
+
+    No per-level passes: every comment gets its lineage (root → itself,
+    by pointer jumping), a post's comments sorted by lineage are in
+    pre-order, and each opening is followed by as many closings as the
+    depth drops to the next comment.  One ``groupBy(post_id)``, whose group
+    is the post's own comments (the page holds them all anyway).
+    """
     from blogweave.operators import tree
-    nodes, top = tree.with_depths(comments.join(fetched, "post_id"))
-    if top is None:
-        return comments.select("post_id", F.lit("").alias("comments_html")).where(F.lit(False))
-    return (tree.fold_up(nodes, top, lambda d, r: comment_item_html(F.col("fetched_at"), r),
-                         lambda d, arr: F.array_join(arr, ""))
-            .withColumnRenamed("value", "comments_html"))
+    lin = tree.comment_depths(comments, lineage=True)
+    rows = comments.join(lin, "comment_id").join(fetched, "post_id")
+    items = rows.select("post_id", F.struct("lineage", "depth", comment_open_html(F.col("fetched_at")).alias("open"))
+                        .alias("it"))
+    per_post = items.groupBy("post_id").agg(F.array_sort(F.collect_list("it")).alias("its"))
+
+    def one(x, i):
+        nxt = F.try_element_at(F.col("its"), i + 2)["depth"]
+        return F.concat(x["open"], F.repeat(F.lit(ITEM_CLOSE), x["depth"] - F.coalesce(nxt, F.lit(0)) + 1))
+
+    return per_post.select("post_id", F.array_join(F.transform("its", one), "").alias("comments_html"))
 
 
 def page_fetch_times(posts: DataFrame) -> DataFrame:

@@ -113,7 +113,7 @@ def _walk_deep(deep: DataFrame, key: str) -> DataFrame:
     return deep.mapInPandas(walk, schema)
 
 
-def comment_depths(comments: DataFrame) -> DataFrame:
+def comment_depths(comments: DataFrame, lineage: bool = False) -> DataFrame:
     """Depth of every comment reachable from a root (``parent_id`` null).
 
     Pointer jumping: each pending comment keeps an ancestor and the
@@ -125,31 +125,40 @@ def comment_depths(comments: DataFrame) -> DataFrame:
     folder (short lineage, one job per round, resolved count observed on
     the way).  Comments under a missing parent drop out; comments on a
     cycle never resolve, and the walk ends when a round resolves nothing.
+
+    ``lineage=True`` also returns the comment ids from the root down to the
+    comment (segments are concatenated along the jumps): sorting a post's
+    comments by it gives pre-order with siblings by id.
     """
+    seg = (lambda c: F.array(F.col(c))) if lineage else (lambda c: F.lit(None).cast("array<long>"))
     base, _ = materialize(comments.select("comment_id", "parent_id"), "tree-links")
-    pieces = [base.where(F.col("parent_id").isNull()).select("comment_id", F.lit(0).alias("dist"))]
+    pieces = [base.where(F.col("parent_id").isNull())
+              .select("comment_id", F.lit(0).alias("dist"), seg("comment_id").alias("seg"))]
     pending = (base.where(F.col("parent_id").isNotNull())
-               .select("comment_id", F.col("parent_id").alias("anc"), F.lit(1).alias("dist")))
+               .select("comment_id", F.col("parent_id").alias("anc"), F.lit(1).alias("dist"),
+                       seg("comment_id").alias("seg")))
     while True:
         resolved = pieces[0]
         for p in pieces[1:]:
             resolved = resolved.unionByName(p)
         look = resolved.select(F.col("comment_id").alias("l_id"), F.lit(None).cast("long").alias("l_anc"),
-                               F.col("dist").alias("l_dist")).unionByName(
+                               F.col("dist").alias("l_dist"), F.col("seg").alias("l_seg")).unionByName(
             pending.select(F.col("comment_id").alias("l_id"), F.col("anc").alias("l_anc"),
-                           F.col("dist").alias("l_dist")))
+                           F.col("dist").alias("l_dist"), F.col("seg").alias("l_seg")))
         step, seen = materialize(
             pending.join(look, pending.anc == look.l_id)
-            .select("comment_id", F.col("l_anc").alias("anc"), (F.col("dist") + F.col("l_dist")).alias("dist")),
+            .select("comment_id", F.col("l_anc").alias("anc"), (F.col("dist") + F.col("l_dist")).alias("dist"),
+                    F.concat("l_seg", "seg").alias("seg")),
             "tree-round", newly=F.count_if(F.col("anc").isNull()))
         if not seen.get("newly"):
             break       # nothing reachable is left (no pending, orphans, cycles)
-        pieces.append(step.where(F.col("anc").isNull()).select("comment_id", "dist"))
+        pieces.append(step.where(F.col("anc").isNull()).select("comment_id", "dist", "seg"))
         pending = step.where(F.col("anc").isNotNull())
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)
-    return out.withColumnRenamed("dist", "depth")
+    out = out.withColumnRenamed("dist", "depth")
+    return out.withColumnRenamed("seg", "lineage") if lineage else out.drop("seg")
 
 
 def with_depths(comments: DataFrame) -> tuple[DataFrame, int | None]:

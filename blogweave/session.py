@@ -20,8 +20,6 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcast only small dimension sides; bigger sides go sort-merge.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 

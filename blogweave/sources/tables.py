@@ -27,6 +27,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scan gives fewer partitions than the cluster runs in parallel (small
     files with one row group).  Large inputs already have enough splits and
     are left alone, so no shuffle is added at scale."""
+    # Only plain scans are inspected: asking an adaptive plan with shuffles
+    # for its partitions would run those shuffles.  After a shuffle the
+    # parallelism is already the shuffle partition count.
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
