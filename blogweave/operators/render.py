@@ -85,18 +85,20 @@ def comments_html(comments: DataFrame, fetched: DataFrame) -> DataFrame:
     return per_post.select("post_id", F.array_join(F.transform("its", one), "").alias("comments_html"))
 
 
-def page_fetch_times(posts: DataFrame) -> DataFrame:
+def fetch_time() -> Column:
     """Pages are fetched 0, 1 or 2 days after publication, so the three
     date forms (today, yesterday, full date) all occur."""
-    return posts.select("post_id", F.timestamp_add("DAY", F.col("post_id") % 3, F.col("published"))
-                        .alias("fetched_at"))
+    return F.timestamp_add("DAY", F.col("post_id") % 3, F.col("published"))
+
+
+def page_fetch_times(posts: DataFrame) -> DataFrame:
+    return posts.select("post_id", fetch_time().alias("fetched_at"))
 
 
 def post_pages(posts: DataFrame, comments: DataFrame) -> DataFrame:
     """Post pages ``(page_id, url, html, fetched_at)``, one per post."""
-    fetched_df = page_fetch_times(posts)
-    trees = comments_html(comments, fetched_df)
-    posts = posts.join(fetched_df, "post_id").join(trees, "post_id", "left")
+    trees = comments_html(comments, page_fetch_times(posts))
+    posts = posts.withColumn("fetched_at", fetch_time()).join(trees, "post_id", "left")
     fetched = F.col("fetched_at")
     flags = F.array_join(F.transform("flags", lambda f: _cat('<span class="flag flag_', attr_esc(f), '">',
                                                              esc(f), "</span>")), "")
