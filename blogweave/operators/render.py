@@ -65,24 +65,15 @@ def comment_open_html(fetched_at: Column) -> Column:
 def comments_html(comments: DataFrame, fetched: DataFrame) -> DataFrame:
     """``(post_id, comments_html)``: the comment tree markup of each post.
 
-    No per-level passes: every comment gets its lineage (root → itself,
-    by pointer jumping), a post's comments sorted by lineage are in
-    pre-order, and each opening is followed by as many closings as the
-    depth drops to the next comment.  One ``groupBy(post_id)``, whose group
-    is the post's own comments (the page holds them all anyway).
+    No per-level passes: a post's comments in pre-order (lineage from
+    pointer jumping), each opening followed by as many closings as the
+    depth drops to the next comment.  One ``groupBy(post_id)``, whose
+    group is the post's own comments (the page holds them all anyway).
     """
     from blogweave.operators import tree
-    lin = tree.comment_depths(comments, lineage=True)
-    rows = comments.join(lin, "comment_id").join(fetched, "post_id")
-    items = rows.select("post_id", F.struct("lineage", "depth", comment_open_html(F.col("fetched_at")).alias("open"))
-                        .alias("it"))
-    per_post = items.groupBy("post_id").agg(F.array_sort(F.collect_list("it")).alias("its"))
-
-    def one(x, i):
-        nxt = F.try_element_at(F.col("its"), i + 2)["depth"]
-        return F.concat(x["open"], F.repeat(F.lit(ITEM_CLOSE), x["depth"] - F.coalesce(nxt, F.lit(0)) + 1))
-
-    return per_post.select("post_id", F.array_join(F.transform("its", one), "").alias("comments_html"))
+    items = tree.preorder(comments.join(fetched, "post_id"), comment_open_html(F.col("fetched_at")))
+    return items.select("post_id", tree.serialize_preorder("items", lambda v: v, ITEM_CLOSE)
+                        .alias("comments_html"))
 
 
 def fetch_time() -> Column:

@@ -9,10 +9,11 @@ Flat model used by every analytic job: one row per comment with
 as raw JSON (VARIANT) in the last level and are walked by a small ``mapInPandas``
 stack (only those rows go to Python).
 
-*Nest* (flat → nested) is needed to write post documents.  Depths come
-from pointer jumping over the parent links (about log2(depth) rounds,
-each written to the shared scratch folder); the tree is then built
-bottom-up, one ``groupBy(parent)`` per level.
+*Nest* (flat → nested) is needed to write post documents.  Each comment's
+lineage (root → itself) comes from pointer jumping over the parent links
+(about log2(depth) rounds, each written to the shared scratch folder); a
+post's comments sorted by lineage are in pre-order, are written as JSON
+text with one ``groupBy(post_id)`` and decoded once with ``from_json``.
 """
 
 from __future__ import annotations
@@ -21,16 +22,13 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blogweave.functions.fields import iso, parse_iso
 from blogweave.schemas import TREE_DEPTH, comment_tree_type
-from blogweave.session import materialize, scratch_path
-
-# Levels folded between two writes of the intermediate result.
-FOLD_WRITE_EVERY = 4
+from blogweave.session import materialize
 
 NODE_FIELDS = ["banned", "time", "username", "link", "votes", "message_html"]
 
@@ -161,77 +159,43 @@ def comment_depths(comments: DataFrame, lineage: bool = False) -> DataFrame:
     return out.withColumnRenamed("seg", "lineage") if lineage else out.drop("seg")
 
 
-def with_depths(comments: DataFrame) -> tuple[DataFrame, int | None]:
-    """Comments with their depth, written once as a table partitioned by
-    depth in the shared scratch folder (each level of a fold reads only
-    its partition), and the greatest depth (observed during the write)."""
-    spark = comments.sparkSession
-    joined = comments.join(comment_depths(comments), "comment_id")
-    obs = Observation("levels")
-    path = scratch_path(spark, "comment-levels")
-    joined.observe(obs, F.max("depth").alias("top")).write.partitionBy("depth").parquet(path)
-    return spark.read.schema(joined.schema).parquet(path), obs.get.get("top")
+def preorder(comments: DataFrame, value: Column, name: str = "items") -> DataFrame:
+    """``(post_id, items)``: each post's ``struct(lineage, depth, value)``
+    in pre-order (siblings by comment id); one ``groupBy(post_id)``."""
+    lin = comment_depths(comments, lineage=True)
+    rows = comments.join(lin, "comment_id")
+    return (rows.select("post_id", F.struct("lineage", "depth", value.alias("v")).alias("it"))
+            .groupBy("post_id").agg(F.array_sort(F.collect_list("it")).alias(name)))
 
 
-def fold_up(nodes: DataFrame, top: int, node: Callable[[int, Column | None], Column],
-            kids: Callable[[int, Column], Column]) -> DataFrame:
-    """Bottom-up fold of the trees: ``(post_id, value)`` per post.
+def serialize_preorder(items: str, open_: Callable[[Column], Column], close: str,
+                       sep: str = "") -> Column:
+    """Text of nested trees from pre-order items: each opening, a separator
+    unless it follows its parent, and as many closings as the depth drops
+    to the next item (all remaining ones after the last)."""
+    arr = F.col(items)
 
-    For each level from the deepest up, ``node(d, replies)`` builds a
-    node's value from its columns and the folded value of its children
-    (``None`` on the deepest level; null for a leaf), and ``kids(d, arr)``
-    folds the children of one parent (ordered by ``comment_id``).  One
-    ``groupBy(parent)`` and one join per level, each over that level only.
-    """
-    children = None
-    for d in range(top, -1, -1):
-        lv = nodes.where(F.col("depth") == d)
-        if children is not None:
-            lv = lv.join(children, lv.comment_id == children._parent, "left")
-        value = node(d, F.col("_replies") if children is not None else None)
-        key = "parent_id" if d > 0 else "post_id"
-        # Siblings by comment id (a comparator: node values need not be orderable).
-        agg = lv.groupBy(F.col(key).alias("_parent")).agg(
-            F.array_sort(F.collect_list(F.struct(F.col("comment_id").alias("k"), value.alias("n"))),
-                         lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
-            .alias("_kids"))
-        children = agg.select("_parent", kids(d, F.transform("_kids", lambda x: x["n"])).alias("_replies"))
-        if d and (top - d) % FOLD_WRITE_EVERY == FOLD_WRITE_EVERY - 1:
-            # Written out every few levels: deep trees keep short plans.
-            children, _ = materialize(children, "tree-fold")
-    return children.select(F.col("_parent").alias("post_id"), F.col("_replies").alias("value"))
+    def one(x, i):
+        prev = F.try_element_at(arr, i)["depth"] if sep else None
+        nxt = F.try_element_at(arr, i + 2)["depth"]
+        lead = (F.when((i > 0) & (prev >= x["depth"]), F.lit(sep)).otherwise(F.lit(""))) if sep else F.lit("")
+        return F.concat(lead, open_(x["v"]), F.repeat(F.lit(close), x["depth"] - F.coalesce(nxt, F.lit(0)) + 1))
+
+    return F.array_join(F.transform(arr, one), "")
 
 
 def nest_comments(comments: DataFrame, depth: int = TREE_DEPTH) -> DataFrame:
     """Flat comments with parent links → ``(post_id, comments)`` nested arrays.
 
+    The trees are written as JSON text in pre-order (see :func:`preorder`)
+    and decoded once with ``from_json`` into the depth-limited type; levels
+    below ``depth`` stay raw JSON (``VARIANT``) in the last typed level.
     Siblings are ordered by ``comment_id``; times become ISO text as in the
-    stored documents.  Levels at or below ``depth`` cannot be typed and are
-    carried as raw JSON (``VARIANT``) in the last typed level's ``replies``.
+    stored documents.
     """
-    nodes, top = with_depths(comments)
-    if top is None:
-        return comments.select("post_id").where(F.lit(False)).withColumn(
-            "comments", F.array().cast(comment_tree_type(depth)))
-
-    def node(d: int, replies: Column | None) -> Column:
-        fields = [F.col("banned"), iso("time").alias("time"), F.col("username"), F.col("link"),
-                  F.col("votes").cast("int").alias("votes"), F.col("message_html")]
-        if d < depth:
-            rtype = comment_tree_type(depth - d - 1)
-            if isinstance(rtype, T.VariantType):
-                # Last typed level: deeper replies arrive as JSON text.
-                r = F.parse_json(F.coalesce(replies, F.lit("[]")) if replies is not None else F.lit("[]"))
-            else:
-                empty = F.array().cast(rtype)
-                r = F.coalesce(replies, empty) if replies is not None else empty
-            return F.struct(*fields, r.alias("replies")).cast(_node_type(d, depth))
-        # Below the typed schema: JSON text with the replies spliced in.
-        r = F.coalesce(replies, F.lit("[]")) if replies is not None else F.lit("[]")
-        return F.concat(F.regexp_replace(F.to_json(F.struct(*fields)), "}$", ""),
-                        F.lit(',"replies":'), r, F.lit("}"))
-
-    def kids(d: int, arr: Column) -> Column:
-        return F.concat(F.lit("["), F.array_join(arr, ","), F.lit("]")) if d >= depth else arr
-
-    return fold_up(nodes, top, node, kids).withColumnRenamed("value", "comments")
+    fields = F.struct(F.col("banned"), iso("time").alias("time"), F.col("username"), F.col("link"),
+                      F.col("votes").cast("int").alias("votes"), F.col("message_html"))
+    node_open = F.concat(F.regexp_replace(F.to_json(fields), "}$", ""), F.lit(',"replies":['))
+    items = preorder(comments, node_open)
+    text = F.concat(F.lit("["), serialize_preorder("items", lambda v: v, "]}", sep=","), F.lit("]"))
+    return items.select("post_id", F.from_json(text, comment_tree_type(depth)).alias("comments"))
