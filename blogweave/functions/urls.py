@@ -64,11 +64,34 @@ def hub_term(url) -> Column:
     return F.when(F.size(parts) >= 2, F.array_join(F.slice(parts, -2, 2), "_"))
 
 
+def remove_dot_segments(path) -> Column:
+    """RFC 3986 dot-segment removal of a path, as a fold over its segments
+    (``..`` pops, ``.`` is skipped; a trailing dot segment keeps the slash)."""
+    segs = F.split(_col(path), "/")
+    kept = F.aggregate(
+        F.slice(segs, 2, F.size(segs)), F.array().cast("array<string>"),
+        lambda acc, seg: F.when(seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(seg == ".", acc).otherwise(F.concat(acc, F.array(seg))))
+    trailing = F.element_at(segs, -1).isin(".", "..")
+    out = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    return F.when(_col(path).isNull() | (_col(path) == ""), _col(path)).when(
+        trailing & (F.size(kept) > 0), F.concat(out, F.lit("/"))).otherwise(out)
+
+
+def _normalise_path(url: Column) -> Column:
+    """Apply dot-segment removal to the path of an absolute URL when needed."""
+    m = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)([^?#]*)(.*)$"
+    head, path, tail = (F.regexp_extract(url, m, i) for i in (1, 2, 3))
+    return F.when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*[^?#]*/\.{1,2}(/|$|[?#])"),
+                  F.concat(head, remove_dot_segments(path), tail)).otherwise(url)
+
+
 def join_url(base, ref) -> Column:
-    """Resolve ``ref`` against ``base`` like urljoin for the usual forms.
+    """Resolve ``ref`` against ``base`` like urljoin.
 
     Absolute, scheme-relative, root-relative, query-only, fragment-only,
-    empty and plain relative references; dot segments are left as they are.
+    empty and plain relative references; dot segments of the merged path
+    are removed.
     """
     base, ref = _col(base), _col(ref)
     scheme = F.regexp_extract(base, SCHEME, 1)
@@ -82,10 +105,10 @@ def join_url(base, ref) -> Column:
             .when(ref == "", no_frag)
             .when(ref.rlike(SCHEME), ref)
             .when(ref.startswith("//"), F.concat(scheme, F.lit(":"), ref))
-            .when(ref.startswith("/"), F.concat(origin, ref))
+            .when(ref.startswith("/"), _normalise_path(F.concat(origin, ref)))
             .when(ref.startswith("?"), F.concat(no_query, ref))
             .when(ref.startswith("#"), F.concat(no_frag, ref))
-            .otherwise(F.concat(directory, ref)))
+            .otherwise(_normalise_path(F.concat(directory, ref))))
 
 
 def with_url_ids(df: DataFrame, sites: DataFrame, url_col: str = "url", html_col: str | None = None,

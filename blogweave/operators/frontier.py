@@ -100,11 +100,21 @@ def feed_seeds(spark: SparkSession, base_urls: list[str], feed_pages: list[str]
     return spark.createDataFrame(rows, "url string, kind string").withColumn("post_id", F.lit(None).cast("bigint"))
 
 
+def explicit_post_seeds(post_ids: DataFrame, base_url: str) -> DataFrame:
+    """Post pages of an explicit id list on one site: ``<base>/post/<id>/``."""
+    origin = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", base_url).group(1)
+    return post_ids.select(F.concat(F.lit(origin + "/post/"), F.col("post_id").cast("string"), F.lit("/")).alias("url"),
+                           F.lit("post").alias("kind"), F.col("post_id").cast("bigint").alias("post_id"))
+
+
 def frontier_seeds(spark: SparkSession, min_id: int, max_id: int, base_urls: list[str],
-                   feed_pages: list[str] = REFERENCE_FEED_PAGES, root: str | None = REFERENCE_FEED_ROOT) -> DataFrame:
-    """Union of the id-range seeds and the feed seeds."""
-    return post_range_seeds(spark, min_id, max_id, base_urls).unionByName(
+                   feed_pages: list[str] = REFERENCE_FEED_PAGES, root: str | None = REFERENCE_FEED_ROOT,
+                   post_ids: DataFrame | None = None) -> DataFrame:
+    """Union of the id-range seeds, the feed seeds and, optionally,
+    explicit post ids on the first site."""
+    out = post_range_seeds(spark, min_id, max_id, base_urls).unionByName(
         feed_seeds(spark, base_urls, feed_pages, root))
+    return out.unionByName(explicit_post_seeds(post_ids, base_urls[0])) if post_ids is not None else out
 
 
 def route_links(links: DataFrame, allowed_domains: list[str] = REFERENCE_ALLOWED_DOMAINS,

@@ -80,3 +80,18 @@ def test_seeds_inclusive_range_times_sites(spark):
     assert "http://habrahabr.ru/post/2" in urls and "http://geektimes.ru/post/1" in urls
     assert "http://megamozg.ru/top/" in urls and "http://tmfeed.ru/" in urls
     assert seeds.count() == 2 * 3 + 3 * 3 + 1
+
+
+def test_explicit_post_id_seeds(spark):
+    bases = [b for _, _, b in REFERENCE_SITES]
+    ids = spark.createDataFrame([(7,), (9,)], "post_id long")
+    seeds = frontier.frontier_seeds(spark, 1, 1, bases, post_ids=ids)
+    assert {"http://habrahabr.ru/post/7/", "http://habrahabr.ru/post/9/"} <= {r.url for r in seeds.collect()}
+
+
+def test_join_url_removes_dot_segments(spark):
+    from urllib.parse import urljoin
+    refs = ["../g", "./g", "g/./h", "g/../h", "..", "../../../g", "/./g", "/a/b/../c"]
+    df = spark.createDataFrame([("http://a/b/c/d;p?q", r) for r in refs], "b string, r string")
+    got = [r[0] for r in df.select(U.join_url("b", "r")).collect()]
+    assert got == [urljoin("http://a/b/c/d;p?q", r) for r in refs]
