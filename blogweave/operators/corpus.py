@@ -88,31 +88,48 @@ def corpus_lines(posts: DataFrame, terms: DataFrame) -> DataFrame:
             .select("post_id", F.concat_ws(" ", *parts).alias("line")))
 
 
-def post_participants(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Distinct participants per post (author ∪ commenters not banned).
-
-    Distinct pairs are formed by a shuffle on ``(post_id, user)``; the
-    sorted array holds one post's distinct users, the document field the
-    participant ranking reads.  Author ids lose surrounding slashes so an
-    author who comments counts once.
-    """
+def participant_pairs(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Distinct ``(post_id, user)``: the author and every commenter not
+    banned.  Author ids lose surrounding slashes so an author who comments
+    counts once.  The ``distinct`` shuffles on both columns, so a post with
+    a third of all comments still spreads over many tasks."""
     authors = posts.select("post_id", F.regexp_replace("author_user", "^/+|/+$", "").alias("user"))
     commenters = comments.where(~F.col("banned")).select("post_id", F.col("username").alias("user"))
-    pairs = authors.unionByName(commenters).where(F.col("user").isNotNull()).distinct()
+    return authors.unionByName(commenters).where(F.col("user").isNotNull()).distinct()
+
+
+def post_participants(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Distinct participants per post as the sorted array the post
+    documents store (one post's distinct users in its row)."""
+    pairs = participant_pairs(posts, comments)
     per_post = pairs.groupBy("post_id").agg(F.sort_array(F.collect_list("user")).alias("users_participated"))
     return (posts.select("post_id", "blog_id").join(per_post, "post_id", "left")
             .select("post_id", "blog_id",
                     F.coalesce("users_participated", F.array().cast("array<string>")).alias("users_participated")))
 
 
-def participant_activity(posts_with_users: DataFrame, sites: DataFrame) -> DataFrame:
+def unwind_participants(posts_with_users: DataFrame) -> DataFrame:
+    """``(username, blog_id)`` rows of stored documents: ``explode`` drops
+    null and empty arrays like an unwind stage."""
+    return posts_with_users.select(F.explode("users_participated").alias("username"), "blog_id")
+
+
+def pairs_with_blog(posts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(username, blog_id)`` per participation, straight from the pairs."""
+    return pairs.join(posts.select("post_id", "blog_id"), "post_id").select(F.col("user").alias("username"),
+                                                                             "blog_id")
+
+
+def participant_activity(participations: DataFrame, sites: DataFrame) -> DataFrame:
     """Posts per (participant, blog), descending, with two URLs each.
 
-    The favourites URL gets priority 1, the profile URL priority 0.  The
-    site lookup is a broadcast of the site dimension (one row per site).
+    ``participations`` is one ``(username, blog_id)`` row per post a user
+    took part in (from :func:`unwind_participants` or
+    :func:`pairs_with_blog`).  The favourites URL gets priority 1, the
+    profile URL priority 0.  The site lookup is a broadcast of the site
+    dimension (one row per site).
     """
-    counts = (posts_with_users.select("blog_id", F.explode("users_participated").alias("username"))
-              .groupBy("username", "blog_id").agg(F.count(F.lit(1)).alias("count")))
+    counts = participations.groupBy("username", "blog_id").agg(F.count(F.lit(1)).alias("count"))
     base = F.broadcast(sites.select("blog_id", F.regexp_replace("base_url", "/+$", "").alias("_origin")))
     with_base = counts.join(base, "blog_id")
     fav = with_base.select("username", "blog_id", "count",
@@ -124,7 +141,6 @@ def participant_activity(posts_with_users: DataFrame, sites: DataFrame) -> DataF
     return fav.unionByName(prof).orderBy(F.desc("count"), "blog_id", "username", F.desc("priority"))
 
 
-def participant_total(posts_with_users: DataFrame) -> DataFrame:
+def participant_total(participations: DataFrame) -> DataFrame:
     """Number of distinct (participant, blog) pairs."""
-    return (posts_with_users.select("blog_id", F.explode("users_participated").alias("username"))
-            .select("username", "blog_id").distinct().agg(F.count(F.lit(1)).alias("total")))
+    return participations.select("username", "blog_id").distinct().agg(F.count(F.lit(1)).alias("total"))

@@ -176,20 +176,21 @@ def corpus_lines(spark, sf_dir):
     return corpus.corpus_lines(posts, corpus.modality_terms(posts, comments_view(spark, sf_dir)))
 
 
-def _posts_with_users(spark, sf_dir):
-    return corpus.post_participants(posts_view(spark, sf_dir), comments_view(spark, sf_dir))
+def _participations(spark, sf_dir):
+    posts = posts_view(spark, sf_dir)
+    return corpus.pairs_with_blog(posts, corpus.participant_pairs(posts, comments_view(spark, sf_dir)))
 
 
 @job("J22_participant_activity")
 def participant_activity(spark, sf_dir):
     """(username, blog, count) descending, with favourites and profile URLs."""
-    return corpus.participant_activity(_posts_with_users(spark, sf_dir), sites_frame(spark))
+    return corpus.participant_activity(_participations(spark, sf_dir), sites_frame(spark))
 
 
 @job("J22_participant_total")
 def participant_total(spark, sf_dir):
     """Number of distinct (participant, blog) pairs."""
-    return corpus.participant_total(_posts_with_users(spark, sf_dir))
+    return corpus.participant_total(_participations(spark, sf_dir))
 
 
 # --------------------------------------------------------------- fields

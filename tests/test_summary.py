@@ -71,3 +71,20 @@ def test_skewed_post_with_many_comments(spark):
     got = {r.post_id: r for r in summary.comment_stats(hot).collect()}
     assert got[1].comments_parsed + got[1].comments_banned == 16000
     assert sum(r.comments_parsed + r.comments_banned for r in got.values()) == 20000
+
+
+def test_participants_unwind_equals_pairs(spark):
+    from blogweave.operators import corpus
+    from blogweave.sources.dims import sites_frame
+    posts = spark.createDataFrame([(1, "b0", "alice/"), (2, "b1", None), (3, "b0", "bob")],
+                                  "post_id long, blog_id string, author_user string")
+    comments = spark.createDataFrame([(1, False, "alice"), (1, False, "carol"), (1, True, None), (2, False, "carol"),
+                                      (3, False, None)], "post_id long, banned boolean, username string")
+    docs = corpus.post_participants(posts, comments)
+    got = {r.post_id: r.users_participated for r in docs.collect()}
+    assert got == {1: ["alice", "carol"], 2: ["carol"], 3: ["bob"]}
+    a = corpus.participant_activity(corpus.unwind_participants(docs), sites_frame(spark))
+    b = corpus.participant_activity(corpus.pairs_with_blog(posts, corpus.participant_pairs(posts, comments)),
+                                    sites_frame(spark))
+    assert a.collect() == b.collect()
+    assert [(r.username, r["count"], r.priority) for r in a.collect()][:2] == [("alice", 1, 1), ("alice", 1, 0)]
