@@ -59,7 +59,10 @@ def ship_package(spark: SparkSession) -> None:
     a local path, and added with ``addPyFile``; on a cluster with a remote
     checkpoint folder it is expected to be shipped with ``--py-files``.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: ship with the job submission instead
+        return
     if id(sc) in _SHIPPED:
         return
     _SHIPPED.add(id(sc))
@@ -81,11 +84,16 @@ def ship_package(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no context handle (remote session): the setting is all we have
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached without a cluster-provided folder (local tests).
         configured = tempfile.mkdtemp(prefix="blogweave-ckpt-")
