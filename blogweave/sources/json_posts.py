@@ -90,4 +90,11 @@ def normalise_posts(raw: DataFrame, default_blog_id: str | None = None) -> DataF
 
 
 def corrupt_documents(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """Dead letters: the raw text of documents that failed to parse, with
+    the file they came from, written to the shared scratch folder (Spark
+    does not query raw JSON for the corrupt-record column alone, so the
+    dead letters are saved once and read back)."""
+    from blogweave.session import materialize
+    out, _ = materialize(raw.where(F.col(CORRUPT).isNotNull()).select(
+        F.input_file_name().alias("file"), "_id", CORRUPT), "corrupt-documents")
+    return out

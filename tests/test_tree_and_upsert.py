@@ -111,3 +111,18 @@ def test_deep_tree_survives_json_documents(spark, tmp_path):
     flat = tree.flatten_comments(back.select("post_id", "comments"))
     assert sorted(r.link for r in flat.collect()) == sorted(f"#{i}" for i in range(12))
     assert flat.agg(F.max("depth")).first()[0] == 11
+
+
+def test_stream_restart_continues_from_checkpoint(spark, tmp_path):
+    t = lambda h: T0 + dt.timedelta(hours=h)
+    src, root, ckpt = str(tmp_path / "in"), str(tmp_path / "coll"), str(tmp_path / "ckpt")
+    first = spark.createDataFrame([("post", "a", t(1), 0, "a1"), ("post", "b", t(1), 0, "b1")], RECORDS)
+    first.coalesce(1).write.parquet(src, mode="append")
+    ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()
+    n1 = len(ustream.snapshots(spark, root))
+    ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()   # nothing new: no snapshot
+    assert len(ustream.snapshots(spark, root)) == n1
+    later = spark.createDataFrame([("post", "a", t(2), 0, "a2"), ("post", "c", t(0), 0, "c0")], RECORDS)
+    later.coalesce(1).write.parquet(src, mode="append")
+    ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()
+    assert rows(ustream.read_collection(spark, root), "_id", "body") == [("a", "a2"), ("b", "b1"), ("c", "c0")]
