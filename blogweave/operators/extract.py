@@ -64,6 +64,10 @@ RAW_POST = T.StructType([
     T.StructField("favs_text", _S),
     T.StructField("score_text", _S),
     T.StructField("author_hrefs", _AS),
+    T.StructField("author_name", _S),
+    T.StructField("author_href", _S),
+    T.StructField("rating_text", _S),
+    T.StructField("content_outer", _S),
     T.StructField("comments_count_text", _S),
     T.StructField("comments", T.ArrayType(RAW_COMMENT)),
 ])
@@ -128,6 +132,10 @@ def post_record(markup: str) -> dict:
     anchors = dom.find_all(dom.find_all(root, tag="div", cls="post-type") +
                            dom.find_all(root, tag="div", cls="author-info"), tag="a")
     comment_roots = dom.find_all(root, id="comments")
+    # Older markup: counters and author live in an info panel.
+    panel = dom.find_all(posts, tag="div", cls="infopanel")[:1]
+    old_author = dom.find_all(dom.find_all(panel, tag="div", cls="author"), tag="a")
+    contents = dom.find_all(posts, tag="div", cls="content")
     rec.update(
         found=True,
         id_attr=dom.first_attr(posts, "id"),
@@ -139,8 +147,15 @@ def post_record(markup: str) -> dict:
         content_html=dom.inner_html(dom.find_all(posts, tag="div", cls="content")),
         tags=dom.text_nodes(dom.find_all(dom.find_all(dom.find_all(posts, tag="ul", cls="tags"), tag="li"),
                                          tag="a")),
-        views_text=dom.first_text(dom.find_all(posts, tag="div", cls="views-count_post")),
-        favs_text=dom.first_text(dom.find_all(posts, tag="span", cls="js-favs_count")),
+        views_text=(dom.first_text(dom.find_all(posts, tag="div", cls="views-count_post"))
+                    or dom.first_text(dom.find_all(panel, tag="div", cls="pageviews"))),
+        favs_text=(dom.first_text(dom.find_all(posts, tag="span", cls="js-favs_count"))
+                   or dom.first_text(dom.find_all(panel, tag="div", cls="favs_count"))),
+        author_name=dom.first_text(old_author),
+        author_href=dom.first_attr(old_author, "href"),
+        rating_text=dom.first_text(dom.find_all(dom.find_all(panel, tag="div", cls="author"),
+                                                tag="span", cls="rating")),
+        content_outer=dom.outer_html(contents[0]) if contents else None,
         score_text=dom.first_text(dom.find_all(posts, tag="span", cls="js-score")),
         author_hrefs=sorted(set(dom.attrs(anchors, "href"))),
         comments_count_text=dom.first_text(dom.find_all(dom.find_all(comment_roots, tag="h2", cls="title"),
@@ -199,13 +214,19 @@ def posts_from_pages(raw: DataFrame, sites: DataFrame) -> DataFrame:
         _strip_slashes(F.array_max(F.transform(company_href, lambda h: F.substring(h, 10, 1 << 20)))).alias(
             "author_company"),
         FD.parse_int("comments_count_text").alias("comments_count"),
+        F.col("author_name").alias("author"),
+        F.col("author_href").alias("author_url"),
+        FD.parse_number("rating_text").alias("author_rating"),
+        F.col("content_outer").alias("content_outer_html"),
+        F.col("fetched_at").alias("updated_at"),
     )
     with_blog = U.with_url_ids(typed.withColumnRenamed("post_id", "_pid"), sites, "url")
     return (with_blog.where(F.col("_pid").isNotNull())
             .select(F.concat("blog_id", F.lit("/"), F.col("_pid").cast("string")).alias("_id"),
                     "blog_id", F.col("_pid").alias("post_id"), "page_id", "url", "title", "published", "flags",
                     "hub_ids", "company_blog", "content_html", "tags", "pageviews", "favs_count",
-                    "voting_score", "author_user", "author_company", "comments_count"))
+                    "voting_score", "author_user", "author_company", "comments_count",
+                    "author", "author_url", "author_rating", "content_outer_html", "updated_at"))
 
 
 def post_dead_letters(raw: DataFrame) -> DataFrame:

@@ -115,3 +115,21 @@ def test_favourite_edges(spark):
     assert rows(favourites.favourite_edges(df, sites)) == [
         ("bob", "geektimes/6"), ("bob", "habrahabr/5"), ("bob", "habrahabr/7")]
     assert rows(favourites.favourite_dead_letters(df, sites), "error") == [("unknown host",)]
+
+
+OLD_PAGE = """<html><head><title>Old</title></head><body><div class="post" id="post_115710">
+<div class="published">18 марта 2011 в 23:13</div><h1 class="title"><span class="post_title">Scrapy</span></h1>
+<div class="hubs"><a class="hub" href="http://habrahabr.ru/hub/python/">Python</a></div>
+<div class="content html_format"><p>x</p></div><ul class="tags"><li><a>scrapy</a></li></ul>
+<div class="infopanel"><div class="pageviews">21281</div><div class="favs_count">315</div>
+<div class="author"><a href="http://habrahabr.ru/users/bek/">bek</a><span class="rating">–3,8</span></div></div>
+</div><div id="comments"><h2 class="title"><span id="comments_count">49</span></h2></div></body></html>"""
+
+
+def test_older_markup_fallbacks(spark):
+    raw = _raw(spark, ("http://habrahabr.ru/post/115710/", OLD_PAGE))
+    p = extract.posts_from_pages(raw, sites_frame(spark, REFERENCE_SITES)).first()
+    assert (p.post_id, p.pageviews, p.favs_count, p.comments_count) == (115710, 21281, 315, 49)
+    assert (p.author, p.author_url, p.author_rating) == ("bek", "http://habrahabr.ru/users/bek/", -3.8)
+    assert p.content_html == "<p>x</p>" and p.content_outer_html == '<div class="content html_format"><p>x</p></div>'
+    assert p.published == dt.datetime(2011, 3, 18, 23, 13) and p.updated_at == NOW
