@@ -39,6 +39,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a large cluster: splits and shuffle partitions of about
+    ``partition_bytes`` each (so a task's data fits executor memory with
+    room for sorting), at least two waves of tasks, AQE coalescing and
+    skew splitting on.  Pass the result to ``SparkSession.builder.config``."""
+    shuffle_parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the jobs rely on to a session built elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
