@@ -309,6 +309,9 @@ def upsert_latest(spark, sf_dir):
     return ups.upsert(collection, rec.where(F.col("turn") >= 2))
 
 
+STREAM_BUCKETS = 4
+
+
 @job("J28_upsert_stream")
 def upsert_stream(spark, sf_dir):
     """The same records streamed file by file into versioned snapshots."""
@@ -316,9 +319,10 @@ def upsert_stream(spark, sf_dir):
     src = scratch_path(spark, "records-in")
     rec.repartitionByRange(4, "turn").write.parquet(src)
     root, ckpt = scratch_path(spark, "collection"), scratch_path(spark, "stream-ckpt")
-    q = ustream.upsert_stream(spark, src, rec.schema, root, ckpt)
+    # Buckets sized to the data: a bucket should hold a few hundred MB.
+    q = ustream.upsert_stream(spark, src, rec.schema, root, ckpt, buckets=STREAM_BUCKETS)
     q.awaitTermination()
-    return ustream.read_collection(spark, root)
+    return ustream.read_collection(spark, root, STREAM_BUCKETS)
 
 
 # ----------------------------------------------------------- extraction

@@ -1,11 +1,12 @@
 """Streaming upsert of records into a keyed collection.
 
-A file-source stream of records; each micro-batch is merged into the
-collection with the batch upsert, written as a new snapshot directory
-``v=<batch id>`` next to the previous ones (the snapshot being read is
-never overwritten).  A replayed micro-batch rewrites its own snapshot from
-the same inputs, and the merge is idempotent, so the result is exactly
-once.  Readers take the newest complete snapshot.
+A file-source stream of records; each micro-batch is merged into a
+:class:`~blogweave.operators.collection.KeyedCollection` as version
+``<batch id>``: only the hash buckets the batch's keys fall into are read
+and rewritten, next to their previous versions (nothing being read is
+overwritten).  A replayed micro-batch rewrites its own version from the
+same inputs and the merge is idempotent, so the result is exactly once.
+Readers take each bucket's newest complete version.
 """
 
 from __future__ import annotations
@@ -15,52 +16,37 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from blogweave.operators.upsert import KEYS, ORDER, upsert
+from blogweave.operators.collection import KeyedCollection
+from blogweave.operators.upsert import KEYS, ORDER
 
-SNAPSHOT_PREFIX = "v="
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def snapshots(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """Complete snapshots ``(batch id, path)`` under ``root``, oldest first."""
-    p, fs = _fs(spark, root)
-    if not fs.exists(p):
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete versions written under ``root`` (one per merged micro-batch)."""
+    coll = KeyedCollection(spark, root)
+    jvm, path, fs = coll._fs()
+    if not fs.exists(path):
         return []
     out = []
-    for st in fs.listStatus(p):
+    for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(SNAPSHOT_PREFIX):
-            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                out.append((int(name[len(SNAPSHOT_PREFIX):]), st.getPath().toString()))
+        if st.isDirectory() and name.startswith("v=") and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[2:]))
     return sorted(out)
 
 
-def current_snapshot(spark: SparkSession, root: str, before: int | None = None) -> str | None:
-    snaps = [s for s in snapshots(spark, root) if before is None or s[0] < before]
-    return snaps[-1][1] if snaps else None
-
-
-def read_collection(spark: SparkSession, root: str) -> DataFrame | None:
-    path = current_snapshot(spark, root)
-    return spark.read.parquet(path) if path else None
+def read_collection(spark: SparkSession, root: str, buckets: int = 64) -> DataFrame | None:
+    return KeyedCollection(spark, root, buckets).read()
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, collection_root: str,
                   checkpoint_dir: str, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER,
-                  max_files_per_trigger: int = 1, available_now: bool = True):
+                  buckets: int = 64, max_files_per_trigger: int = 1, available_now: bool = True):
     """Start the stream; with ``available_now`` it stops after the input."""
+    coll = KeyedCollection(spark, collection_root, buckets, keys, order)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = current_snapshot(spark, collection_root, before=batch_id)
-        old = spark.read.parquet(prev) if prev else None
-        out = f"{collection_root.rstrip('/')}/{SNAPSHOT_PREFIX}{batch_id:012d}"
-        upsert(old, batch, keys, order).write.mode("overwrite").parquet(out)
+        coll.merge(batch, batch_id)
 
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)

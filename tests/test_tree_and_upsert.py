@@ -86,7 +86,7 @@ def test_stream_equals_batch(spark, tmp_path):
     root, ckpt = str(tmp_path / "coll"), str(tmp_path / "ckpt")
     q = ustream.upsert_stream(spark, flat, recs.schema, root, ckpt)
     q.awaitTermination()
-    assert len(ustream.snapshots(spark, root)) >= 2               # several micro-batches
+    assert len(ustream.versions(spark, root)) >= 2               # several micro-batches
     got = rows(ustream.read_collection(spark, root), "_type", "_id", "body")
     assert got == rows(upsert.upsert(None, recs), "_type", "_id", "body")
 
@@ -119,10 +119,27 @@ def test_stream_restart_continues_from_checkpoint(spark, tmp_path):
     first = spark.createDataFrame([("post", "a", t(1), 0, "a1"), ("post", "b", t(1), 0, "b1")], RECORDS)
     first.coalesce(1).write.parquet(src, mode="append")
     ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()
-    n1 = len(ustream.snapshots(spark, root))
+    n1 = len(ustream.versions(spark, root))
     ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()   # nothing new: no snapshot
-    assert len(ustream.snapshots(spark, root)) == n1
+    assert len(ustream.versions(spark, root)) == n1
     later = spark.createDataFrame([("post", "a", t(2), 0, "a2"), ("post", "c", t(0), 0, "c0")], RECORDS)
     later.coalesce(1).write.parquet(src, mode="append")
     ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()
     assert rows(ustream.read_collection(spark, root), "_id", "body") == [("a", "a2"), ("b", "b1"), ("c", "c0")]
+
+
+def test_bucketed_collection_rewrites_only_touched_buckets(spark, tmp_path):
+    from blogweave.operators.collection import KeyedCollection
+    t = lambda h: T0 + dt.timedelta(hours=h)
+    coll = KeyedCollection(spark, str(tmp_path / "c"), buckets=16)
+    first = spark.createDataFrame([("post", str(i), t(0), 0, f"v0_{i}") for i in range(200)], RECORDS)
+    assert len(coll.merge(first, 1)) == 16
+    one = spark.createDataFrame([("post", "7", t(1), 0, "v1_7")], RECORDS)
+    touched = coll.merge(one, 2)
+    assert len(touched) == 1
+    cur = coll.current()
+    assert sum("v=000000000002" in p for p in cur.values()) == 1      # one bucket has the new version
+    got = {r._id: r.body for r in coll.read().collect()}
+    assert len(got) == 200 and got["7"] == "v1_7" and got["8"] == "v0_8"
+    coll.merge(one, 2)                                                 # replay of version 2: unchanged
+    assert {r._id: r.body for r in coll.read().collect()} == got
