@@ -91,7 +91,7 @@ def join_url(base, ref) -> Column:
 
     Absolute, scheme-relative, root-relative, query-only, fragment-only,
     empty and plain relative references; dot segments of the merged path
-    are removed.
+    are removed (RFC 3986: empty segments such as ``//`` are kept).
     """
     base, ref = _col(base), _col(ref)
     scheme = F.regexp_extract(base, SCHEME, 1)
