@@ -18,7 +18,6 @@ from blogweave.sources.adapters import EPOCH
 from blogweave.sources.dims import FIXTURE_DOMAIN
 
 BANNED_TEXT = "НЛО прилетело и опубликовало эту надпись здесь"
-RESTRICTED_SUFFIX = " / Доступ к странице ограничен"
 
 
 def esc(c) -> Column:

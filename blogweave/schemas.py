@@ -74,18 +74,6 @@ def post_document_schema(depth: int = TREE_DEPTH) -> T.StructType:
     ])
 
 
-POST_COLUMNS = [
-    "_id", "blog_id", "post_id", "url", "title", "published", "updated_at",
-    "flags", "hubs", "company_blog", "content_html", "tags", "pageviews",
-    "favs_count", "voting_score", "author", "author_url", "author_rating",
-    "author_company", "author_user", "comments_count",
-]
-
-FLAT_COMMENT_COLUMNS = [
-    "post_id", "comment_id", "parent_id", "banned", "time", "username",
-    "link", "votes", "message_html",
-]
-
 # Column order of the summary table; fixed by the published format.
 SUMMARY_COLUMNS = [
     "post_id",

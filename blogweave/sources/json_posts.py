@@ -39,12 +39,6 @@ def read_post_documents(spark: SparkSession, path: str, depth: int = TREE_DEPTH,
             .json(path))
 
 
-def parse_post_documents(lines: DataFrame, col: str = "value", depth: int = TREE_DEPTH) -> DataFrame:
-    """The same decoding for documents already held in a string column."""
-    return lines.select(F.from_json(col, post_document_schema(depth),
-                                    {"mode": "PERMISSIVE"}).alias("d")).select("d.*")
-
-
 def document_shape() -> F.Column:
     return (F.when(F.col("blog_id").isNotNull() | F.col("post_id").isNotNull(), F.lit("v3"))
             .when(F.col("_last_update").isNotNull(), F.lit("v1"))

@@ -88,3 +88,10 @@ def test_participants_unwind_equals_pairs(spark):
                                     sites_frame(spark))
     assert a.collect() == b.collect()
     assert [(r.username, r["count"], r.priority) for r in a.collect()][:2] == [("alice", 1, 1), ("alice", 1, 0)]
+
+
+def test_cluster_conf_sizes_partitions():
+    from blogweave.session import cluster_conf
+    c = cluster_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(2**20, 16)["spark.sql.shuffle.partitions"] == "32"
