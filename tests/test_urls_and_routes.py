@@ -95,3 +95,21 @@ def test_join_url_removes_dot_segments(spark):
     df = spark.createDataFrame([("http://a/b/c/d;p?q", r) for r in refs], "b string, r string")
     got = [r[0] for r in df.select(U.join_url("b", "r")).collect()]
     assert got == [urljoin("http://a/b/c/d;p?q", r) for r in refs]
+
+
+def test_outcomes_and_usable_pages(spark):
+    from blogweave.operators import pages
+    restricted = "<html><head><title>Хабр / Доступ к странице ограничен</title></head><body><div class='post'>x</div></body></html>"
+    ok = '<html><head><title>T</title></head><body><div class="post shortcuts_item" id="post_1">x</div></body></html>'
+    no_title = '<html><body><div class="post">x</div></body></html>'
+    empty = "<html><head><title>T</title></head><body><p>nothing</p></body></html>"
+    df = spark.createDataFrame([(1, "u1", restricted, 200), (2, "u2", ok, 200), (3, "u3", no_title, 200),
+                                (4, "u4", empty, 200), (5, "u5", "", 404), (6, "u6", ok, 500)],
+                               "page_id long, url string, html string, status int")
+    got = {r.page_id: (r.outcome, r.error) for r in frontier.extraction_outcomes(df).collect()}
+    assert got == {1: ("forbidden", None), 2: ("stored", None), 3: ("stored", None),
+                   4: ("exception", "no container element"), 5: ("404", None), 6: (None, None)}
+    usable = [r.page_id for r in pages.usable_pages(df.where("status = 200")).orderBy("page_id").collect()]
+    assert usable == [2, 3]
+    pending = frontier.pending_pages(spark, frontier.extraction_outcomes(df), 1, 8)
+    assert sorted(r.page_id for r in pending.collect()) == [4, 6, 7]
