@@ -20,7 +20,9 @@ POST_ID_LOOSE = r"/([^/]+/)*([0-9]+)(/|$)"
 
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 NETLOC = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
-CANONICAL = r'<link[^>]*rel="canonical"[^>]*href="([^"]*)"'
+# A <link> tag with rel=canonical (any attribute order), then its href.
+CANONICAL_TAG = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical["']?[^>]*>"""
+HREF_ATTR = r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 
 
 def _col(c) -> Column:
@@ -53,8 +55,13 @@ def netloc(url) -> Column:
     return _group(url, NETLOC)
 
 
+def canonical_href(html) -> Column:
+    tag = F.regexp_extract(_col(html), CANONICAL_TAG, 0)
+    return F.nullif(F.concat(F.regexp_extract(tag, HREF_ATTR, 1), F.regexp_extract(tag, HREF_ATTR, 2)), F.lit(""))
+
+
 def canonical_url(html, url) -> Column:
-    return F.coalesce(_group(html, CANONICAL), _col(url))
+    return F.coalesce(canonical_href(html), _col(url))
 
 
 def hub_term(url) -> Column:

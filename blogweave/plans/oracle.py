@@ -167,7 +167,10 @@ _SITES_VALUES = ", ".join(f"({q(h)}, {q(b)})" for h, b, _ in _fixture_sites())
 
 SQL["J09_url_ids"] = f"""
 WITH c AS (
-  SELECT page_id, coalesce({sql_group('html', _U.CANONICAL)}, url) AS canonical_url FROM pages
+  SELECT page_id, coalesce(nullif(
+      regexp_extract(regexp_extract(html, {q(_U.CANONICAL_TAG)}, 0), {q(_U.HREF_ATTR)}, 1)
+      || regexp_extract(regexp_extract(html, {q(_U.CANONICAL_TAG)}, 0), {q(_U.HREF_ATTR)}, 2), ''), url) AS canonical_url
+  FROM pages
 ), ids AS (
   SELECT page_id, canonical_url,
          {sql_group('canonical_url', _U.NETLOC)} AS host,

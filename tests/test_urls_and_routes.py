@@ -113,3 +113,12 @@ def test_outcomes_and_usable_pages(spark):
     assert usable == [2, 3]
     pending = frontier.pending_pages(spark, frontier.extraction_outcomes(df), 1, 8)
     assert sorted(r.page_id for r in pending.collect()) == [4, 6, 7]
+
+
+def test_canonical_link_any_attribute_order(spark):
+    df = spark.createDataFrame([
+        ('<head><link href="http://a/x/" rel="canonical"></head>', "u1"),
+        ("<head><LINK rel='canonical' href='http://a/y/'></head>", "u2"),
+        ('<head><link rel="stylesheet" href="s.css"></head>', "u3")], "html string, url string")
+    got = [r[0] for r in df.select(U.canonical_url("html", "url")).collect()]
+    assert got == ["http://a/x/", "http://a/y/", "u3"]
