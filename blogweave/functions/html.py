@@ -12,10 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-# Opening anchor tag (group 1) with a double-quoted href (group 2), then
-# its inner markup (group 3); one pattern keeps the three arrays aligned.
-ANCHOR = r'(?is)(<a\s[^>]*?href="([^"]*)"[^>]*>)(.*?)</a>'
-CLASS_ATTR = r'(?i)\sclass="([^"]*)"'
+# Opening anchor tag (group 1) with an href in double quotes, single quotes
+# or unquoted (groups 2-4, one of them set), then its inner markup (group 5);
+# one pattern keeps the arrays aligned.
+ANCHOR = r"""(?is)(<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>)(.*?)</a>"""
+CLASS_ATTR = r"""(?i)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 ANY_TAG = r"<[^>]*>"
 # Text nodes as an HTML soup parser sees them: raw text of script and
 # textarea, the content of comments and declarations, nothing of tags.
@@ -46,11 +47,15 @@ def visible_text(html, keep_comments: bool = True) -> Column:
 def anchors(html) -> Column:
     """``ARRAY<STRUCT<href, inner, tag>>`` of the anchors in document order."""
     h = _col(html)
-    return F.arrays_zip(
-        F.regexp_extract_all(h, F.lit(ANCHOR), 2).alias("href"),
-        F.regexp_extract_all(h, F.lit(ANCHOR), 3).alias("inner"),
+    z = F.arrays_zip(
+        F.regexp_extract_all(h, F.lit(ANCHOR), 2).alias("dq"),
+        F.regexp_extract_all(h, F.lit(ANCHOR), 3).alias("sq"),
+        F.regexp_extract_all(h, F.lit(ANCHOR), 4).alias("uq"),
+        F.regexp_extract_all(h, F.lit(ANCHOR), 5).alias("inner"),
         F.regexp_extract_all(h, F.lit(ANCHOR), 1).alias("tag"),
     )
+    return F.transform(z, lambda a: F.struct(F.concat(a["dq"], a["sq"], a["uq"]).alias("href"),
+                                             a["inner"].alias("inner"), a["tag"].alias("tag")))
 
 
 def block(html, tag: str, attr_pattern: str = "") -> Column:
@@ -60,7 +65,8 @@ def block(html, tag: str, attr_pattern: str = "") -> Column:
 
 
 def class_of(tag) -> Column:
-    return F.regexp_extract(_col(tag), CLASS_ATTR, 1)
+    t = _col(tag)
+    return F.concat(*[F.regexp_extract(t, CLASS_ATTR, i) for i in (1, 2, 3)])
 
 
 def has_class(classes, name: str) -> Column:
@@ -76,6 +82,7 @@ def unescape_basic(c) -> Column:
 
 
 def first_anchor_text(html, container_tag: str, container_class: str) -> Column:
-    """Text of the first anchor directly inside ``<tag class="cls">``."""
-    pattern = rf'(?is)<{container_tag}\b[^>]*class="{container_class}"[^>]*>\s*<a\b[^>]*>([^<]*)</a>'
+    """Text of the first anchor directly inside ``<tag class="… cls …">``."""
+    cls = rf"""class\s*=\s*["']?(?:[^"'>]*\s)?{container_class}(?:\s[^"'>]*)?["']?"""
+    pattern = rf"(?is)<{container_tag}\b[^>]*{cls}[^>]*>\s*<a\b[^>]*>([^<]*)</a>"
     return F.nullif(F.regexp_extract(_col(html), pattern, 1), F.lit(""))

@@ -137,17 +137,25 @@ def sql_anchor_rows(source: str, html_expr: str) -> str:
     """Rows (page_id, url, pos, href, inner, tag) of the anchors in html_expr."""
     a = q(_H.ANCHOR)
     return f"""(SELECT page_id, url,
-        unnest(generate_series(0, len(hrefs) - 1)) AS pos,
-        unnest(hrefs) AS href, unnest(inners) AS inner_html, unnest(tags) AS tag
+        unnest(generate_series(0, len(dq) - 1)) AS pos,
+        unnest([coalesce(dq[i], '') || coalesce(sq[i], '') || coalesce(uq[i], '')
+                FOR i IN range(1, len(dq) + 1)]) AS href,
+        unnest(inners) AS inner_html, unnest(tags) AS tag
       FROM (SELECT page_id, url,
-              regexp_extract_all({html_expr}, {a}, 2) AS hrefs,
-              regexp_extract_all({html_expr}, {a}, 3) AS inners,
+              regexp_extract_all({html_expr}, {a}, 2) AS dq,
+              regexp_extract_all({html_expr}, {a}, 3) AS sq,
+              regexp_extract_all({html_expr}, {a}, 4) AS uq,
+              regexp_extract_all({html_expr}, {a}, 5) AS inners,
               regexp_extract_all({html_expr}, {a}, 1) AS tags
             FROM {source}))"""
 
 
+def sql_class_of(tag: str) -> str:
+    return " || ".join(f"coalesce(regexp_extract({tag}, {q(_H.CLASS_ATTR)}, {i}), '')" for i in (1, 2, 3))
+
+
 def sql_link_kind(tag: str) -> str:
-    cls = f"regexp_extract({tag}, {q(_H.CLASS_ATTR)}, 1)"
+    cls = f"({sql_class_of(tag)})"
     from blogweave.operators.pages import LINK_KINDS
     whens = " ".join(f"WHEN {sql_has_class(cls, n)} THEN {q(k)}" for n, k in LINK_KINDS)
     return f"(CASE {whens} ELSE 'link' END)"
@@ -255,7 +263,7 @@ FROM {sql_anchor_rows('pages', _NAV)}
 UNION ALL
 SELECT page_id, 'post' AS kind, CAST(pos AS INTEGER) AS pos, href, {sql_join_url('url', 'href')} AS abs_url, 0 AS priority
 FROM {sql_anchor_rows('pages', 'html')}
-WHERE {sql_has_class(f"regexp_extract(tag, {q(_H.CLASS_ATTR)}, 1)", 'post_title')}"""
+WHERE {sql_has_class(f"({sql_class_of('tag')})", 'post_title')}"""
 
 
 # --------------------------------------------------------------- corpus

@@ -122,3 +122,12 @@ def test_canonical_link_any_attribute_order(spark):
         ('<head><link rel="stylesheet" href="s.css"></head>', "u3")], "html string, url string")
     got = [r[0] for r in df.select(U.canonical_url("html", "url")).collect()]
     assert got == ["http://a/x/", "http://a/y/", "u3"]
+
+
+def test_anchor_href_quoting(spark):
+    from blogweave.operators import pages
+    html = """<p><a href="/a">A</a> <a class='post_title' href='/b'>B</a> <a href=/c>C</a> <a name="x">no</a></p>"""
+    df = spark.createDataFrame([(1, "http://h.ru/p/", html)], "page_id long, url string, html string")
+    got = [(r.pos, r.kind, r.href, r.abs_url, r.anchor_text) for r in pages.extract_links(df).orderBy("pos").collect()]
+    assert got == [(0, "link", "/a", "http://h.ru/a", "A"), (1, "post", "/b", "http://h.ru/b", "B"),
+                   (2, "link", "/c", "http://h.ru/c", "C")]
