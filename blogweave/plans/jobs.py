@@ -391,3 +391,10 @@ def favourite_edges(spark, sf_dir):
     """Favourites pages rendered from the comments, parsed into (user, post) edges."""
     pages = render.favourites_pages(comments_view(spark, sf_dir), posts_view(spark, sf_dir))
     return favourites.favourite_edges(pages, sites_frame(spark))
+
+
+@job("J05_post_dead_letters")
+def post_dead_letters(spark, sf_dir):
+    """The driver's own pages through the post extraction: pages without a
+    post container (or with a bad id) come out as dead letters."""
+    return extract.post_dead_letters(extract.extract_post_pages(_pages(spark, sf_dir)))

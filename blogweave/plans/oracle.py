@@ -496,3 +496,8 @@ SQL["J23_favourite_edges"] = with_views("""
 SELECT DISTINCT c.username AS user, p.blog_id || '/' || CAST(p.post_id AS VARCHAR) AS post_key
 FROM v_comments c JOIN v_posts p USING (post_id)
 WHERE NOT c.banned AND c.username IS NOT NULL""", V_POSTS, V_COMMENTS)
+
+# Generic web pages carry no post container.
+SQL["J05_post_dead_letters"] = """
+SELECT page_id, url, 'no post container' AS error FROM pages
+WHERE NOT regexp_matches(html, '(?is)<[a-z0-9]+\\b[^>]*\\sclass\\s*=\\s*["'']?([^"''>]*\\s)?post(\\s[^"''>]*)?["'']?[^>]*>')"""
