@@ -80,12 +80,19 @@ def compare(spark, sf_dir, keys=None):
         try:
             rel = con.sql(sqls[name])
             d_names = rel.columns
+            d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
             d_rows = rel.fetchall()
         except Exception as exc:
             results[name] = f"SQL ERROR {type(exc).__name__}: {str(exc)[:300]}"
             print(name, results[name], flush=True)
             continue
         ok_cols = sorted(s_names) == sorted(d_names)
+        spark_to_duck = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+        type_diff = {c: (t, d_types.get(c)) for c, t in df.dtypes
+                     if spark_to_duck.get(t, t) != d_types.get(c)}
+        if type_diff:
+            print("  TYPES differ:", type_diff)
         a, b = rows_of(s_names, s_rows), rows_of(d_names, d_rows)
         ok_vals = a == b
         status = "MATCH" if ok_cols and ok_vals and len(a) == len(b) else "DIFF"
