@@ -131,3 +131,15 @@ def test_anchor_href_quoting(spark):
     got = [(r.pos, r.kind, r.href, r.abs_url, r.anchor_text) for r in pages.extract_links(df).orderBy("pos").collect()]
     assert got == [(0, "link", "/a", "http://h.ru/a", "A"), (1, "post", "/b", "http://h.ru/b", "B"),
                    (2, "link", "/c", "http://h.ru/c", "C")]
+
+
+def test_feed_links_on_feed_markup(spark):
+    from blogweave.operators import pages
+    html = ('<div class="posts"><div class="post"><h1 class="title"><a class="post_title" href="/post/1/">A</a></h1></div>'
+            '<div class="post"><h1 class="title"><a href="http://habrahabr.ru/post/2/" class="post_title">B</a></h1></div></div>'
+            '<div class="page-nav"><ul id="nav-pages"><li><a href="/all/page2/">2</a></li><li><a href="page3/">3</a></li></ul></div>'
+            '<a href="/users/x/">other</a>')
+    df = spark.createDataFrame([(1, "http://habrahabr.ru/all/", html)], "page_id long, url string, html string")
+    got = sorted((r.kind, r.abs_url) for r in pages.feed_links(df).collect())
+    assert got == [("page", "http://habrahabr.ru/all/page2/"), ("page", "http://habrahabr.ru/all/page3/"),
+                   ("post", "http://habrahabr.ru/post/1/"), ("post", "http://habrahabr.ru/post/2/")]
