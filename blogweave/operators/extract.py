@@ -219,14 +219,21 @@ def posts_from_pages(raw: DataFrame, sites: DataFrame) -> DataFrame:
         FD.parse_number("rating_text").alias("author_rating"),
         F.col("content_outer").alias("content_outer_html"),
         F.col("fetched_at").alias("updated_at"),
+        # The author and every commenter not banned, each once.
+        F.filter(F.transform("comments", lambda c: F.when(~c["banned"], c["username"])),
+                 lambda u: u.isNotNull()).alias("_commenters"),
     )
     with_blog = U.with_url_ids(typed.withColumnRenamed("post_id", "_pid"), sites, "url")
     return (with_blog.where(F.col("_pid").isNotNull())
-            .select(F.concat("blog_id", F.lit("/"), F.col("_pid").cast("string")).alias("_id"),
+            .withColumn("users_participated", F.array_sort(F.array_distinct(F.filter(
+                F.concat(F.array(F.col("author_user")), F.col("_commenters")), lambda u: u.isNotNull()))))
+            .select(F.lit("posts").alias("_type"),
+                    F.concat("blog_id", F.lit("/"), F.col("_pid").cast("string")).alias("_id"),
                     "blog_id", F.col("_pid").alias("post_id"), "page_id", "url", "title", "published", "flags",
                     "hub_ids", "company_blog", "content_html", "tags", "pageviews", "favs_count",
                     "voting_score", "author_user", "author_company", "comments_count",
-                    "author", "author_url", "author_rating", "content_outer_html", "updated_at"))
+                    "author", "author_url", "author_rating", "content_outer_html", "updated_at",
+                    "users_participated"))
 
 
 def post_dead_letters(raw: DataFrame) -> DataFrame:

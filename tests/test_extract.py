@@ -133,3 +133,28 @@ def test_older_markup_fallbacks(spark):
     assert (p.author, p.author_url, p.author_rating) == ("bek", "http://habrahabr.ru/users/bek/", -3.8)
     assert p.content_html == "<p>x</p>" and p.content_outer_html == '<div class="content html_format"><p>x</p></div>'
     assert p.published == dt.datetime(2011, 3, 18, 23, 13) and p.updated_at == NOW
+
+
+def test_pages_to_collection_to_ranking(spark, tmp_path):
+    """Rendered post pages → extraction → keyed collection → participant
+    ranking from the stored arrays equals the ranking from the tables."""
+    from pyspark.sql import functions as F
+
+    from blogweave.operators import corpus, render
+    from blogweave.operators.collection import KeyedCollection
+    from blogweave.sources.adapters import comments_view, posts_view
+    from blogweave.sources.dims import sites_frame
+    from conftest import SF001
+    posts, comments = posts_view(spark, SF001), comments_view(spark, SF001)
+    extracted = extract.posts_from_pages(extract.extract_post_pages(render.post_pages(posts, comments)),
+                                         sites_frame(spark))
+    records = extracted.select("_type", "_id", "updated_at", F.lit(0).cast("long").alias("seq"),
+                               "blog_id", "post_id", "users_participated")
+    coll = KeyedCollection(spark, str(tmp_path / "posts"), buckets=4)
+    coll.merge(records, 1)
+    stored = coll.read()
+    assert stored.count() == posts.count()
+    from_docs = corpus.participant_activity(corpus.unwind_participants(stored), sites_frame(spark))
+    from_tables = corpus.participant_activity(
+        corpus.pairs_with_blog(posts, corpus.participant_pairs(posts, comments)), sites_frame(spark))
+    assert from_docs.collect() == from_tables.collect()
