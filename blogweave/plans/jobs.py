@@ -11,9 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blogweave.operators import summary
-from blogweave.session import configure
-from blogweave.sources.adapters import comments_view, posts_view
+from blogweave.operators import corpus, exports, extract, favourites, frontier, normalise, render, summary, tree
+from blogweave.operators import pages as pg
+from blogweave.operators import upsert as ups
+from blogweave.session import configure, scratch_path
+from blogweave.sources import json_posts
+from blogweave.sources.adapters import EPOCH, comments_view, posts_view
+from blogweave.sources.dims import fixture_sites, sites_frame
+from blogweave.sources.tables import read_table
+from blogweave.streaming import upsert_stream as ustream
 
 Job = Callable[[SparkSession, str], DataFrame]
 JOBS: dict[str, Job] = {}
@@ -44,9 +50,6 @@ def comment_stats(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- pages
-from blogweave.operators import frontier, pages as pg  # noqa: E402
-from blogweave.sources.dims import fixture_sites, sites_frame  # noqa: E402
-from blogweave.sources.tables import read_table  # noqa: E402
 
 # Parameters for the driver's generic web pages (selector spec is data).
 FIXTURE_CONTAINER_TAG = "article"
@@ -133,7 +136,6 @@ def feed_links(spark, sf_dir):
 
 
 # --------------------------------------------------------------- corpus
-from blogweave.operators import corpus  # noqa: E402
 
 
 @job("J04_post_participants")
@@ -194,7 +196,6 @@ def participant_total(spark, sf_dir):
 
 
 # --------------------------------------------------------------- fields
-from blogweave.operators import normalise  # noqa: E402
 
 
 @job("J10_normalise_fields")
@@ -205,7 +206,6 @@ def normalise_fields(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- trees
-from blogweave.operators import tree  # noqa: E402
 
 
 def path_text(col: str = "path"):
@@ -222,9 +222,6 @@ def comment_tree(spark, sf_dir):
 
 
 # ------------------------------------------------------ documents, exports
-from blogweave.operators import exports  # noqa: E402
-from blogweave.session import scratch_path  # noqa: E402
-from blogweave.sources import json_posts  # noqa: E402
 
 
 def _posts_nested(spark, sf_dir):
@@ -288,9 +285,6 @@ def export_corpus(spark, sf_dir):
 
 
 # ---------------------------------------------------------- collections
-from blogweave.operators import upsert as ups  # noqa: E402
-from blogweave.streaming import upsert_stream as ustream  # noqa: E402
-from blogweave.sources.adapters import EPOCH  # noqa: E402
 
 
 def conversation_records(spark, sf_dir) -> DataFrame:
@@ -326,7 +320,6 @@ def upsert_stream(spark, sf_dir):
 
 
 # ----------------------------------------------------------- extraction
-from blogweave.operators import extract, favourites, render  # noqa: E402
 
 
 def _post_pages_raw(spark, sf_dir):
