@@ -75,3 +75,52 @@ def test_bag_items_match_python(spark, items):
     want = [w.replace(" ", "_").replace(":", "_").replace("|", "_").replace("\t", "_") + ("" if n == 1 else f":{n}")
             for w, n in items]
     assert got == want
+
+
+TS = st.datetimes(min_value=__import__("datetime").datetime(2000, 1, 1),
+                  max_value=__import__("datetime").datetime(2030, 12, 31))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(TS, st.integers(min_value=0, max_value=400)), min_size=1, max_size=40))
+def test_site_dates_round_trip(spark, items):
+    import datetime as dt
+    from blogweave.functions import fields as FD
+    rows = [(ts, ts + dt.timedelta(hours=h)) for ts, h in items]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, f timestamp_ntz")
+    text = FD.render_site_datetime(F.col("ts"), F.col("f"))
+    got = [r[0] for r in df.select(FD.parse_site_datetime(text, F.col("f"))).collect()]
+    assert got == [ts.replace(second=0, microsecond=0) for ts, _ in rows]
+
+
+FOREST = st.lists(st.lists(st.integers(min_value=0, max_value=50), min_size=0, max_size=25), min_size=1, max_size=6)
+
+
+@settings(max_examples=4, deadline=None)
+@given(FOREST)
+def test_nest_flatten_matches_python_preorder(spark, forest):
+    from blogweave.operators import tree
+    rows, expected, cid = [], set(), 0
+    for post, picks in enumerate(forest):
+        ids = []
+        for k, pick in enumerate(picks):        # node k's parent: an earlier node, or a root
+            parent = ids[pick % len(ids)] if ids and pick % 3 else None
+            rows.append((post, cid, parent, pick % 4 == 0, None, f"u{pick}", f"#{cid}", pick, "m"))
+            ids.append(cid)
+            cid += 1
+        children = {}
+        for r in rows:
+            if r[0] == post:
+                children.setdefault(r[2], []).append(r[1])
+        stack = [(c, [i]) for i, c in reversed(list(enumerate(sorted(children.get(None, [])))))]
+        while stack:
+            node, path = stack.pop()
+            expected.add((post, ".".join(map(str, path)), f"#{node}"))
+            for i, ch in reversed(list(enumerate(sorted(children.get(node, []))))):
+                stack.append((ch, path + [i]))
+    schema = ("post_id long, comment_id long, parent_id long, banned boolean, time timestamp_ntz, "
+              "username string, link string, votes int, message_html string")
+    df = spark.createDataFrame(rows, schema)
+    flat = tree.flatten_comments(tree.nest_comments(df, depth=3), depth=3)
+    got = {(r.post_id, ".".join(map(str, r.path)), r.link) for r in flat.collect()}
+    assert got == expected
