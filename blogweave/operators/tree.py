@@ -147,11 +147,13 @@ def comment_depths(comments: DataFrame, lineage: bool = False) -> DataFrame:
             pending.join(look, pending.anc == look.l_id)
             .select("comment_id", F.col("l_anc").alias("anc"), (F.col("dist") + F.col("l_dist")).alias("dist"),
                     F.concat("l_seg", "seg").alias("seg")),
-            "tree-round", newly=F.count_if(F.col("anc").isNull()))
+            "tree-round", newly=F.count_if(F.col("anc").isNull()), left=F.count_if(F.col("anc").isNotNull()))
         if not seen.get("newly"):
-            break       # nothing reachable is left (no pending, orphans, cycles)
+            break       # nothing reachable is left (orphans, cycles)
         pieces.append(step.where(F.col("anc").isNull()).select("comment_id", "dist", "seg"))
         pending = step.where(F.col("anc").isNotNull())
+        if not seen.get("left"):
+            break       # everything resolved
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)

@@ -27,10 +27,14 @@ _DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "blogweave") -> SparkSession:
+                  app_name: str = "blogweave", driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs everything in the driver JVM: size its heap
+            # (only effective when this call launches the JVM).
+            builder = builder.config("spark.driver.memory", driver_memory or "12g")
     for k, v in _DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
