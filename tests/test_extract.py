@@ -158,3 +158,21 @@ def test_pages_to_collection_to_ranking(spark, tmp_path):
     from_tables = corpus.participant_activity(
         corpus.pairs_with_blog(posts, corpus.participant_pairs(posts, comments)), sites_frame(spark))
     assert from_docs.collect() == from_tables.collect()
+
+
+def test_broken_nesting_in_comments(spark):
+    page = ('<html><head><link rel="canonical" href="http://habrahabr.ru/post/5/"></head><body>'
+            '<div class="post" id="post_5"><div class="content"><p>a<b>b<p>c</div></div>'
+            '<div id="comments">'
+            '<div class="comment_item"><div class="comment_body "><a class="username">x</a>'
+            '<div class="message"><p>open <b>bold</div></div>'
+            '<div class="reply_comments"><div class="comment_item"><div class="comment_body ">'
+            '<a class="username">y</a><div class="message">ok</div></div></div></div></div>'
+            '<div class="comment_item"><div class="comment_body "><a class="username">z</a></div></div>'
+            '</div></body></html>')
+    raw = _raw(spark, ("http://habrahabr.ru/post/5/", page))
+    p = extract.posts_from_pages(raw, sites_frame(spark, REFERENCE_SITES)).first()
+    assert p.post_id == 5 and p.content_html == "<p>a<b>b</b></p><p>c</p>"
+    got = rows(extract.comments_from_pages(raw).select(
+        F.array_join(F.transform("path", lambda x: x.cast("string")), "."), "username", "message_html"))
+    assert got == [("0", "x", "<p>open <b>bold</b></p>"), ("0.0", "y", "ok"), ("1", "z", None)]
