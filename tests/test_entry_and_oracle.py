@@ -41,3 +41,14 @@ def test_invariants(spark):
     a = sorted(tuple(r) for r in q["J27_upsert_latest"](spark, SF001).collect())
     b = sorted(tuple(r) for r in q["J28_upsert_stream"](spark, SF001).select(*q["J27_upsert_latest"](spark, SF001).columns).collect())
     assert a == b
+
+
+def test_plans_have_no_cartesian_joins_or_row_udfs(spark):
+    from plan_report import summarise
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    for name, fn in sorted(E.queries().items()):
+        plan = fn(spark, SF001)._jdf.queryExecution().explainString(mode)
+        s = summarise(plan)
+        assert s["bad_joins"] == 0, name
+        assert "BatchEvalPython" not in plan, name            # no row-at-a-time Python UDFs
+        assert s["python"] <= 1, name                         # at most the one extraction stage
