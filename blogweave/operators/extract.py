@@ -120,7 +120,7 @@ def _comments(container_nodes: list[dom.Node]) -> list[dict]:
     return out
 
 
-def post_record(markup: str) -> dict:
+def post_record(markup: str, with_content: bool = True) -> dict:
     root = dom.parse(markup)
     rec = {"found": False, "canonical": _canonical(root),
            "title_tag": dom.first_text(dom.find_all(dom.find_all(root, tag="head"), tag="title"))}
@@ -144,7 +144,7 @@ def post_record(markup: str) -> dict:
         flag_classes=dom.attrs(dom.find_all(h1, cls="flag"), "class"),
         hub_hrefs=[h.get("href") for h in hubs],
         hub_names=[dom.first_text([h]) for h in hubs],
-        content_html=dom.inner_html(dom.find_all(posts, tag="div", cls="content")),
+        content_html=dom.inner_html(contents) if with_content else None,
         tags=dom.text_nodes(dom.find_all(dom.find_all(dom.find_all(posts, tag="ul", cls="tags"), tag="li"),
                                          tag="a")),
         views_text=(dom.first_text(dom.find_all(posts, tag="div", cls="views-count_post"))
@@ -155,7 +155,8 @@ def post_record(markup: str) -> dict:
         author_href=dom.first_attr(old_author, "href"),
         rating_text=dom.first_text(dom.find_all(dom.find_all(panel, tag="div", cls="author"),
                                                 tag="span", cls="rating")),
-        content_outer=dom.outer_html(contents[0]) if contents else None,
+        # The older markup stored the content element itself.
+        content_outer=dom.outer_html(contents[0]) if (with_content and contents and panel) else None,
         score_text=dom.first_text(dom.find_all(posts, tag="span", cls="js-score")),
         author_hrefs=sorted(set(dom.attrs(anchors, "href"))),
         comments_count_text=dom.first_text(dom.find_all(dom.find_all(comment_roots, tag="h2", cls="title"),
@@ -165,22 +166,27 @@ def post_record(markup: str) -> dict:
     return rec
 
 
-def _post_batches(batches):
+def _post_batches(with_content: bool):
     names = [f.name for f in RAW_POST.fields]
-    for pdf in batches:
-        rows = []
-        for page_id, url, fetched, html in zip(pdf["page_id"], pdf["url"], pdf["fetched_at"], pdf["html"]):
-            rec = post_record(html)
-            rec.update(page_id=page_id, url=url, fetched_at=fetched)
-            rows.append([rec.get(n) for n in names])
-        yield pd.DataFrame(rows, columns=names)
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for page_id, url, fetched, html in zip(pdf["page_id"], pdf["url"], pdf["fetched_at"], pdf["html"]):
+                rec = post_record(html, with_content)
+                rec.update(page_id=page_id, url=url, fetched_at=fetched)
+                rows.append([rec.get(n) for n in names])
+            yield pd.DataFrame(rows, columns=names)
+    return run
 
 
-def extract_post_pages(pages: DataFrame) -> DataFrame:
-    """Raw post fields per page (``found`` false when there is no ``.post``)."""
+def extract_post_pages(pages: DataFrame, with_content: bool = True) -> DataFrame:
+    """Raw post fields per page (``found`` false when there is no ``.post``).
+    ``with_content=False`` leaves the content markup out (comment jobs)."""
     if "fetched_at" not in pages.columns:
         pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
-    return spread(pages.select("page_id", "url", "fetched_at", "html")).mapInPandas(_post_batches, RAW_POST)
+    return spread(pages.select("page_id", "url", "fetched_at", "html")).mapInPandas(
+        _post_batches(with_content), RAW_POST)
 
 
 def _strip_slashes(c):

@@ -322,9 +322,9 @@ def upsert_stream(spark, sf_dir):
 # ----------------------------------------------------------- extraction
 
 
-def _post_pages_raw(spark, sf_dir):
+def _post_pages_raw(spark, sf_dir, with_content: bool = True):
     pages = render.post_pages(posts_view(spark, sf_dir), comments_view(spark, sf_dir))
-    return extract.extract_post_pages(pages)
+    return extract.extract_post_pages(pages, with_content)
 
 
 @job("J05_extract_posts")
@@ -341,7 +341,7 @@ def extract_posts(spark, sf_dir):
 @job("J06_extract_comments")
 def extract_comments(spark, sf_dir):
     """Comment trees of the rendered post pages, parsed back into flat rows."""
-    c = extract.comments_from_pages(_post_pages_raw(spark, sf_dir))
+    c = extract.comments_from_pages(_post_pages_raw(spark, sf_dir, with_content=False))
     return c.select("post_id", path_text().alias("path"), "depth", "banned", "time", "username",
                     "link", "votes", "message_html")
 
