@@ -143,3 +143,23 @@ def test_bucketed_collection_rewrites_only_touched_buckets(spark, tmp_path):
     assert len(got) == 200 and got["7"] == "v1_7" and got["8"] == "v0_8"
     coll.merge(one, 2)                                                 # replay of version 2: unchanged
     assert {r._id: r.body for r in coll.read().collect()} == got
+
+
+def test_hot_post_tree(spark):
+    # Post 0 holds a third of all comments; its tree is wide and deep.
+    data, cid = [], 0
+    for post in range(60):
+        n = 1500 if post == 0 else 50
+        first = cid
+        for k in range(n):
+            parent = None if k == 0 else first + (k - 1) // 3
+            data.append((post, cid, parent, k % 11 == 0, T0, f"u{k % 97}", f"#{cid}", k, "m"))
+            cid += 1
+    c = spark.createDataFrame(data, COMMENTS)
+    depths = {r.comment_id: r.depth for r in tree.comment_depths(c).collect()}
+    def depth(k):                                                  # ternary tree: parent (k - 1) // 3
+        return 0 if k == 0 else 1 + depth((k - 1) // 3)
+    assert len(depths) == len(data) and all(depths[k] == depth(k) for k in range(1500))
+    flat = tree.flatten_comments(tree.nest_comments(c))
+    got = flat.groupBy("post_id").count().collect()
+    assert {r.post_id: r["count"] for r in got} == {p: (1500 if p == 0 else 50) for p in range(60)}
