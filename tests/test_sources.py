@@ -43,3 +43,24 @@ def test_documents_one_per_file_three_shapes(spark, tmp_path):
     from blogweave.operators import tree
     flat = tree.flatten_comments(json_posts.normalise_posts(raw, "habrahabr").select("post_id", "comments"))
     assert rows(flat, "post_id", "depth", "banned", "votes") == [(115710, 0, True, None), (115710, 1, False, -2)]
+
+
+def test_corpus_export_is_ordered_across_part_files(spark, tmp_path):
+    import glob
+
+    from conftest import SF001
+
+    from blogweave.operators import corpus, exports
+    from blogweave.sources.adapters import comments_view, posts_view
+    posts = posts_view(spark, SF001)
+    lines = corpus.corpus_lines(posts, corpus.modality_terms(posts, comments_view(spark, SF001)))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")        # keep several part files at this tiny scale
+    try:
+        path = exports.export_corpus(lines, str(tmp_path / "corpus"))
+    finally:
+        spark.conf.set(key, "true")
+    parts = sorted(glob.glob(path + "/part-*"))
+    assert len(parts) > 1
+    ids = [int(line.split(" ", 1)[0][1:]) for p in parts for line in open(p, encoding="utf-8") if line.strip()]
+    assert ids == sorted(ids) and len(ids) == posts.count()
