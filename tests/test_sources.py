@@ -64,3 +64,21 @@ def test_corpus_export_is_ordered_across_part_files(spark, tmp_path):
     assert len(parts) > 1
     ids = [int(line.split(" ", 1)[0][1:]) for p in parts for line in open(p, encoding="utf-8") if line.strip()]
     assert ids == sorted(ids) and len(ids) == posts.count()
+
+
+def test_documents_to_summary_csv(spark, tmp_path):
+    """The original's main flow on the public API: post documents (one JSON
+    per file) → unified posts + flat comments → summary → CSV."""
+    d = tmp_path / "posts"
+    d.mkdir()
+    (d / "115710").write_text(json.dumps(V1))
+    (d / "7").write_text(json.dumps(V2))
+    from blogweave.operators import exports, summary, tree
+    posts = json_posts.normalise_posts(json_posts.read_post_documents(spark, str(d), multi_line=True), "habrahabr")
+    comments = tree.flatten_comments(posts.select("post_id", "comments"))
+    out = exports.export_summary(summary.post_summary(posts, comments), str(tmp_path / "summary"))
+    got = {r.post_id: r for r in exports.read_summary(spark, out).collect()}
+    a = got[115710]
+    assert (a.comments_parsed, a.comments_banned, a.author_comments, a.hubs, a.hubs_count, a.tags) == (1, 1, 0, "Python", 1, 2)
+    assert a.first_comment_time == dt.datetime(2011, 3, 19, 10, 0) and a.favs_count is None
+    assert (got[7].comments_parsed, got[7].hubs, got[7].content_length) == (0, "Go,Acme", 1)
