@@ -8,7 +8,8 @@ as version ``v`` of those buckets; every other bucket keeps its current
 files.  The current collection is, per bucket, the newest complete version
 (a version counts once its ``_SUCCESS`` marker exists), so a merge that
 dies half way is invisible and a replay of the same version rewrites it
-from the same inputs: exactly once with an idempotent merge.
+from the same inputs: exactly once with an idempotent merge.  ``expire``
+removes versions no bucket reads any more (run it between merges).
 """
 
 from __future__ import annotations
@@ -88,3 +89,19 @@ class KeyedCollection:
         (merged.withColumn("b", bucket_of(self.keys, self.buckets))
          .repartition("b").write.mode("overwrite").partitionBy("b").parquet(out))
         return touched
+
+    def expire(self, keep: int = 2) -> list[int]:
+        """Delete versions no bucket reads from any more, except the newest
+        ``keep`` (kept for readers that listed the collection just before).
+        Returns the deleted versions."""
+        jvm, root, fs = self._fs()
+        if not fs.exists(root):
+            return []
+        live = {int(p.rstrip("/").split("/")[-2][len(VERSION):]) for p in self.current().values()}
+        versions = sorted(int(st.getPath().getName()[len(VERSION):]) for st in fs.listStatus(root)
+                          if st.isDirectory() and st.getPath().getName().startswith(VERSION))
+        newest = set(versions[-keep:]) if keep > 0 else set()
+        dead = [v for v in versions if v not in live and v not in newest]
+        for v in dead:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{VERSION}{v:012d}"), True)
+        return dead

@@ -163,3 +163,15 @@ def test_hot_post_tree(spark):
     flat = tree.flatten_comments(tree.nest_comments(c))
     got = flat.groupBy("post_id").count().collect()
     assert {r.post_id: r["count"] for r in got} == {p: (1500 if p == 0 else 50) for p in range(60)}
+
+
+def test_collection_expire_keeps_what_readers_need(spark, tmp_path):
+    from blogweave.operators.collection import KeyedCollection
+    t = lambda h: T0 + dt.timedelta(hours=h)
+    coll = KeyedCollection(spark, str(tmp_path / "c"), buckets=2)
+    coll.merge(spark.createDataFrame([("post", str(i), t(0), 0, "a") for i in range(20)], RECORDS), 1)
+    for v in (2, 3, 4):   # rewrite every bucket each time: versions 1-3 become unreferenced
+        coll.merge(spark.createDataFrame([("post", str(i), t(v), 0, f"v{v}") for i in range(20)], RECORDS), v)
+    before = {r._id: r.body for r in coll.read().collect()}
+    assert coll.expire(keep=2) == [1, 2]
+    assert {r._id: r.body for r in coll.read().collect()} == before == {str(i): "v4" for i in range(20)}
