@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
-from . import language_id, license_scan
+from . import bit_packing, cross_polytope, language_id, lexical_packing, license_scan, ngram_lm, warc
 from .store import table
 
 
@@ -15,6 +16,28 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    row = F.concat_ws("-", F.hex(F.xxhash64("_metadata.file_path")), "_metadata.row_index")      # a row's place in its file
+    return warc.archive_round_trip(pages.select("page_id", "url", "html", row.alias("row")), row=F.col("row"))
+
+
+def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.search_embeddings(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op6_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_packing.pack_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
@@ -27,6 +50,6 @@ def _query(f: Callable) -> Callable:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _query(f) for f in (op2_license_scan, op10_language_id)}
+    f.__name__: _query(f) for f in (op2_license_scan, op3_ngram_lm, op4_warc, op5_cross_polytope, op6_bit_packing, op7_lexical_packing, op10_language_id)}
 
-SQL: dict[str, str] = {"op2_license_scan": license_scan.scan_sql()}
+SQL: dict[str, str] = {"op2_license_scan": license_scan.scan_sql(), "op4_warc": warc.SQL}
