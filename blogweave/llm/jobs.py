@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import bit_packing, cross_polytope, language_id, lexical_packing, license_scan, ngram_lm, warc
+from . import (bit_packing, cotraining, cross_polytope, decontamination, language_id, lexical_packing, license_scan, ngram_lm,
+               order_minhash, warc)
 from .store import table
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -38,6 +43,14 @@ def op7_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
@@ -49,7 +62,8 @@ def _query(f: Callable) -> Callable:
     return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _query(f) for f in (op2_license_scan, op3_ngram_lm, op4_warc, op5_cross_polytope, op6_bit_packing, op7_lexical_packing, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in (
+    op1_order_minhash, op2_license_scan, op3_ngram_lm, op4_warc, op5_cross_polytope, op6_bit_packing, op7_lexical_packing,
+    op8_cotraining, op9_decontamination, op10_language_id)}
 
 SQL: dict[str, str] = {"op2_license_scan": license_scan.scan_sql(), "op4_warc": warc.SQL}

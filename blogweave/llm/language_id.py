@@ -224,9 +224,8 @@ def fit(labelled: DataFrame, label: str, text: str, row_key: Column, sample_per_
 
 
 def predict(df: DataFrame, text: str, model: dict) -> DataFrame:
-    """``df``'s other columns are kept by the caller's join or selection: the
-    result has ``df``'s columns but ``text``, then lang_pred and score (the
-    predicted language's share of the likelihood over all languages).
+    """``df``'s columns but ``text``, then lang_pred and score (the predicted
+    language's share of the likelihood over all languages).
 
     A text that is null, empty or without a letter is ``und`` with score 0,
     and so is every text if no language was learned.  Ties go to the first
@@ -279,3 +278,13 @@ def identify_languages(docs: DataFrame, **options) -> DataFrame:
     out = held_out(F.col("doc_id"), 5, 0)
     model = fit(docs.filter(~out).select("doc_id", "text", "lang"), "lang", "text", F.col("doc_id"), **options)
     return predict(docs.select("doc_id", out.alias("held_out"), "text"), "text", model)
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.5, **options) -> DataFrame:
+    """The rows whose language is found with that score at least, with all
+    their columns; where no language can be learned, nothing is left out."""
+    model = fit(docs.filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", "text", "lang"), "lang", "text", F.col("doc_id"), **options)
+    if not model["names"]:
+        return docs
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return predict(docs.select(row, "text"), "text", model).filter((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("row.*")
