@@ -113,19 +113,22 @@ class EliasFano:
             h = (part >> np.uint64(self.low_bits)).astype(np.int64)
             live = np.flatnonzero(h <= int(self.zeros[-1]) - 1)     # the bit vector ends after its last value's high part
             h = h[live]
-            at = np.zeros(len(live), np.int64)
+            low = np.zeros(len(live), np.int64)         # the values with this high part: places low to high
             later = h > 0
-            at[later] = self._select(h[later] - 1, False) + 1
-            i = at - h
+            low[later] = self._select(h[later] - 1, False) + 1 - h[later]
+            high = self._select(h, False) - h
+            end = high.copy()
             want = part[live] & ((_ONE << np.uint64(self.low_bits)) - _ONE)
-            while len(live):
-                ok = (self.high[at >> 6] >> (at & 63).astype(np.uint64) & _ONE).astype(bool) & (i < self.n)
-                live, at, i, want = live[ok], at[ok], i[ok], want[ok]
-                low = self._low_at(i)
-                same = low == want
-                out[a + live[same]] = i[same]
-                go = low < want
-                live, at, i, want = live[go], at[go] + 1, i[go] + 1, want[go]
+            open_ = np.flatnonzero(low < high)
+            while len(open_):
+                middle = (low[open_] + high[open_]) >> 1
+                right = self._low_at(middle) < want[open_]
+                low[open_[right]] = middle[right] + 1
+                high[open_[~right]] = middle[~right]
+                open_ = open_[low[open_] < high[open_]]
+            some = np.flatnonzero(low < end)
+            some = some[self._low_at(low[some]) == want[some]]
+            out[a + live[some]] = low[some]
         return out
 
 
@@ -143,7 +146,7 @@ def write_arrays(out, arrays: dict[str, np.ndarray]) -> None:
 
 
 def map_arrays(path: str) -> dict[str, np.ndarray]:
-    data = np.memmap(path, np.uint8, "r")
+    data = np.asarray(np.memmap(path, np.uint8, "r"))
     size = int(data[:8].view("<u8")[0])
     header = json.loads(bytes(data[8:8 + size]))
     return {name: data[8 + size + at:8 + size + at + n * np.dtype(kind).itemsize].view(kind)
