@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .encode import BYTE_BPE, Encoder, public_path, with_end
+from .encode import BYTE_BPE, Encoder, public_path, shared_dictionary, with_end
 from .store import folder, kept, open_file, write_file
 from .textblocks import sections, string_column
 
@@ -119,13 +119,14 @@ def write_packed(docs: DataFrame, path: str, end: int, key: str = "doc_id", text
     of ``key`` (ties by the text's hash, nulls first).  Returns one row per
     shard: shard, path, docs, ids, start (ids of all shards before it)."""
     tokenizer = tokenizer or public_path(BYTE_BPE)
+    dictionary = shared_dictionary(docs, text, tokenizer, words=False)
 
     def run(batches):
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encoder = Encoder(tokenizer, words=False)
-        bits = width(max(encoder.tokenizer.get_vocab_size(), end + 1))
+        encoder = Encoder(tokenizer, False, dictionary)
+        bits = width(max(encoder.vocabulary, end + 1))
 
         def parts():
             for batch in (b for source in ((first,), batches) for b in source):

@@ -1,31 +1,42 @@
-"""Token ids by the ``tokenizers`` library, each distinct chunk encoded once.
+"""Token ids by the ``tokenizers`` library, repeated chunks encoded once.
 
 Both public vocabularies split a text before they merge, and never across a
 space that is followed by something else than white space.  So a text is cut
 there, equal chunks of a block are found with Arrow's dictionary encoding, and
-only chunks not seen lately go to the tokenizer; the ids are those of the
-whole text.
+the ids put together are those of the whole text.
+
+A Spark job first counts all chunks and encodes those that several blocks
+have, the ``DICTIONARY`` most frequent at most, into files that tasks map into
+memory; a task encodes by itself what is not among them.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
 
-from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, sections, span_strings, spans
+from .elias_fano import array_bytes, arrays_of, map_arrays, write_arrays
+from .store import folder, kept, local_copy, write_file
+from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, sections, span_hashes, span_strings, spans, string_column
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
-#: Chunks remembered between blocks; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Bound of the shared dictionary, in chunks.
+DICTIONARY = 8_000_000
+#: Chunks that a mapper counts before it hands them on.
+GATHERED = 1_000_000
 
 #: A space before one of these may belong to a longer run of white space
 #: (the lead bytes are those of white space beyond ASCII).
 _MAY_BE_SPACE = np.zeros(256, bool)
 _MAY_BE_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_CHECK = np.uint64(0xC0FFEE1234567)
 
 
 def public_path(name: str) -> str:
@@ -33,68 +44,190 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=2)
+def tokenizer_of(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True                     # in a text, their strings are ordinary text
+    return tokenizer
+
+
+def chunks_of(block: Block, words: bool) -> tuple[pa.Array, np.ndarray]:
+    """A block's chunks in order, and the first one of each row."""
+    if words:
+        lower = Block(block.rows, ASCII_LOWER[block.data], block.offsets)
+        starts, ends, first = spans(lower, NOT_SPACE)
+        return span_strings(lower, starts, ends, NOT_SPACE), first
+    data = block.data
+    cut = np.zeros(len(data) + 1, bool)
+    if len(data) > 1:
+        cut[:-2] = (data[:-1] == 32) & ~_MAY_BE_SPACE[data[1:]]
+    cut[block.offsets] = True
+    edges = np.flatnonzero(cut)
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1,
+                                              [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    return column, np.searchsorted(edges, block.offsets)
+
+
+def _hashes(chunks: pa.Array) -> np.ndarray:
+    at, data = bytes_of(chunks)
+    return span_hashes(data, at[:-1], at[1:])
+
+
+def _encoded(path: str, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The chunks' ids one after the other, and each one's number of them."""
+    coded = [e.ids for e in tokenizer_of(path).encode_batch_fast(chunks.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+    return np.fromiter((i for ids in coded for i in ids), np.uint32, int(sizes.sum())), sizes
+
+
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sections of ``values``, one after the other."""
+    ends = sections(sizes)
+    return values[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
+
+
+def _counted(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    coded = pa.concat_arrays([c for c, _ in parts]).dictionary_encode()
+    counts = np.bincount(coded.indices.to_numpy(zero_copy_only=False), np.concatenate([n for _, n in parts]), len(coded.dictionary))
+    return coded.dictionary, counts.astype(np.int64)
+
+
+class Dictionary:
+    """Files of encoded chunks by range of their hashes; a chunk is known by
+    its hash of 64 bits and 32 more bits."""
+
+    def __init__(self, paths: tuple[str, ...]):
+        self.files = [map_arrays(local_copy(p)) if p else None for p in paths]
+        self.bits = (len(paths) - 1).bit_length()
+
+    def look_up(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the known chunks, and each chunk's start among them and its
+        number (-1: unknown)."""
+        h = _hashes(chunks)
+        order = np.argsort(h, kind="stable")
+        ordered = h[order]
+        check = ((ordered ^ _CHECK) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32) ^ np.diff(bytes_of(chunks)[0])[order].astype(np.uint32)
+        edges = [0, *np.searchsorted(ordered, [np.uint64(k << (64 - self.bits)) for k in range(1, len(self.files))]).tolist(), len(h)]
+        start, size, pool, filled = np.zeros(len(h), np.int64), np.full(len(h), -1, np.int64), [], 0
+        for file, a, b in zip(self.files, edges, edges[1:]):
+            if b > a and file is not None and len(file["hash"]):
+                at = np.minimum(np.searchsorted(file["hash"], ordered[a:b]), len(file["hash"]) - 1)
+                same = np.flatnonzero((file["hash"][at] == ordered[a:b]) & (file["check"][at] == check[a:b]))
+                at = at[same]
+                sizes = file["start"][at + 1] - file["start"][at]
+                pool.append(gather(file["ids"], file["start"][at], sizes))
+                spot = order[a + same]
+                start[spot], size[spot] = filled + sections(sizes)[:-1], sizes
+                filled += len(pool[-1])
+        return np.concatenate(pool) if pool else np.zeros(0, np.uint32), start, size
+
+
+@lru_cache(maxsize=2)
+def _mapped(paths: tuple[str, ...]) -> Dictionary:
+    return Dictionary(paths)
+
+
 class Encoder:
     """``words``: white space is dropped and case is folded by the vocabulary
     itself (``word_bpe_49k.json``), else it is byte-level with spaces kept."""
 
-    def __init__(self, path: str, words: bool):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True                # in a text, their strings are ordinary text
-        self.words = words
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.filled = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _learn(self, chunks: list[str]) -> None:
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        total, n = int(sizes.sum()), len(self.place)
-        while self.filled + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(chunks) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        self.ids[self.filled:self.filled + total] = np.fromiter((i for ids in coded for i in ids), np.uint32, total)
-        self.start[n:n + len(chunks)] = self.filled + sections(sizes)[:-1]
-        self.size[n:n + len(chunks)] = sizes
-        self.place.update(zip(chunks, range(n, n + len(chunks))))
-        self.filled += total
-
-    def _chunks(self, block: Block) -> tuple[pa.Array, np.ndarray]:
-        """The chunks in order, and the first chunk of each row."""
-        if self.words:
-            lower = Block(block.rows, ASCII_LOWER[block.data], block.offsets)
-            starts, ends, first = spans(lower, NOT_SPACE)
-            return span_strings(lower, starts, ends, NOT_SPACE).cast(pa.large_string()), first
-        data = block.data
-        cut = np.zeros(len(data) + 1, bool)
-        cut[:-2] = (data[:-1] == 32) & ~_MAY_BE_SPACE[data[1:]] if len(data) > 1 else False
-        cut[block.offsets] = True
-        edges = np.flatnonzero(cut)
-        column = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
-        return column, np.searchsorted(edges, block.offsets)
+    def __init__(self, path: str, words: bool, dictionary: tuple[str, ...] = ()):
+        self.path, self.words = path, words
+        self.known = _mapped(dictionary) if dictionary else None
+        self.vocabulary = tokenizer_of(path).get_vocab_size()
+
+    def _all(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.known is None:
+            ids, sizes = _encoded(self.path, chunks)
+            return ids, sections(sizes)[:-1], sizes
+        ids, start, size = self.known.look_up(chunks)
+        new = np.flatnonzero(size < 0)
+        if len(new):
+            more, sizes = _encoded(self.path, chunks.take(pa.array(new)))
+            start[new], size[new] = len(ids) + sections(sizes)[:-1], sizes
+            ids = np.concatenate([ids, more])
+        return ids, start, size
 
     def encode(self, column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """For blocks of rows: the rows, their ids one after the other, and each row's number of ids."""
         for block in blocks(column):
-            chunks, first = self._chunks(block)
+            chunks, first = chunks_of(block, self.words)
+            if not len(chunks):
+                yield block.rows, np.zeros(0, np.uint32), np.zeros(len(first) - 1, np.int64)
+                continue
             coded = chunks.dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            if len(self.place) + len(distinct) > REMEMBERED:
-                self._forget()
-            if new := [c for c in distinct if c not in self.place]:
-                self._learn(new)
-            at = np.fromiter((self.place[c] for c in distinct), np.int64, len(distinct))
-            use = at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
-            sizes = self.size[use]
-            ends = sections(sizes)
-            ids = self.ids[np.repeat(self.start[use] - ends[:-1], sizes) + np.arange(ends[-1])]
-            yield block.rows, ids, ends[first[1:]] - ends[first[:-1]]
+            ids, start, size = self._all(coded.dictionary)
+            use = coded.indices.to_numpy(zero_copy_only=False)
+            ends = sections(size[use])
+            yield block.rows, gather(ids, start[use], size[use]), ends[first[1:]] - ends[first[:-1]]
+
+
+def shared_dictionary(docs: DataFrame, text: str, path: str, words: bool, most: int = DICTIONARY) -> tuple[str, ...]:
+    """Files with the chunks that more than one block of ``docs`` has, the
+    most frequent ``most`` of them at most (by blocks); one row per file comes
+    to the driver."""
+    spark = docs.sparkSession
+    root = folder(spark, "chunks")
+    bits = (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    count = 1 << bits
+    schema = pa.schema([("shard", pa.int64()), ("data", pa.binary())])
+
+    def run(batches):
+        parts: list[tuple[pa.Array, np.ndarray]] = []
+
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+
+        def flush():
+            chunks, n = _counted(parts)
+            parts.clear()
+            shard = (_hashes(chunks) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(chunks), np.int64)
+            order = np.argsort(shard, kind="stable")
+            names, at = np.unique(shard[order], return_index=True)
+            data = []
+            for a, b in zip(at.tolist(), [*at.tolist()[1:], len(order)]):
+                offsets, raw = bytes_of(chunks.take(pa.array(order[a:b])))
+                data.append(squeeze(array_bytes({"data": raw, "sizes": np.diff(offsets).astype(np.uint32), "n": n[order[a:b]].astype(np.uint32)})))
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(data, pa.binary())], schema=schema)
+
+        for batch in batches:
+            for block in blocks(string_column(batch, text)):
+                chunks = chunks_of(block, words)[0]
+                if len(chunks):
+                    own = chunks.dictionary_encode().dictionary
+                    parts.append((own, np.ones(len(own), np.int64)))
+                if sum(len(n) for _, n in parts) > GATHERED:
+                    yield flush()
+        if parts:
+            yield flush()
+
+    def file(group: pa.Table) -> pa.Table:
+        shard, parts, expand = group.column("shard")[0].as_py(), [], zstandard.ZstdDecompressor().decompress
+        for x in group.column("data"):
+            a = arrays_of(expand(x.as_buffer()))
+            parts.append((pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(a["sizes"]), [
+                None, pa.py_buffer(sections(a["sizes"])), pa.py_buffer(a["data"])]), a["n"]))
+        chunks, n = _counted(parts)
+        rows = np.flatnonzero(n > 1)
+        rows = rows[np.argsort(-n[rows], kind="stable")[:max(1, most // count)]]
+        target = ""
+        if len(rows):
+            chunks = chunks.take(pa.array(rows))
+            h = _hashes(chunks)
+            order = np.argsort(h, kind="stable")
+            chunks, h = chunks.take(pa.array(order)), h[order]
+            lengths = np.diff(bytes_of(chunks)[0]).astype(np.uint32)
+            ids, sizes = _encoded(path, chunks)
+            target = f"{root}/{shard:06d}"
+            arrays = {"hash": h, "check": ((h ^ _CHECK) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32) ^ lengths,
+                      "start": sections(sizes), "ids": ids}
+            write_file(target, lambda out: write_arrays(out, arrays))
+        return pa.table({"shard": [shard], "path": [target]})
+
+    made = kept(docs.select(text).mapInArrow(run, "shard long, data binary").groupBy("shard").applyInArrow(file, "shard long, path string"), "chunk-files")
+    paths = {r.shard: r.path for r in made.collect()}
+    return tuple(paths.get(k, "") for k in range(count)) if any(paths.values()) else ()
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encode import WORD_BPE, Encoder, public_path, with_end
+from .encode import WORD_BPE, Encoder, public_path, shared_dictionary, with_end
 from .store import kept
 from .textblocks import map_batches, sections, string_column
 
@@ -43,9 +43,11 @@ def encoded(docs: DataFrame, key: str, text: str, tokenizer: str, end: int) -> D
     """kind, key, topic, n, ids: a "doc" row per document (ids as little-endian
     unsigned integers of two or four bytes), and a "df" row per task and 64 Ki
     vocabulary entries with the documents that have each of them."""
+    dictionary = shared_dictionary(docs, text, tokenizer, words=True)
+
     def run(batches):
-        encoder = Encoder(tokenizer, words=True)
-        size = max(encoder.tokenizer.get_vocab_size(), end + 1)
+        encoder = Encoder(tokenizer, True, dictionary)
+        size = max(encoder.vocabulary, end + 1)
         dtype = "<u2" if size <= 1 << 16 else "<u4"
         frequency, documents, tokens = np.zeros(size, np.int64), 0, 0
         for batch in batches:
