@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blogweave.functions import fields as FD
-from blogweave.sources.adapters import EPOCH
+from blogweave.fixtures.views import EPOCH
 from blogweave.sources.dims import FIXTURE_DOMAIN
 
 BANNED_TEXT = "НЛО прилетело и опубликовало эту надпись здесь"
@@ -85,10 +85,13 @@ def page_fetch_times(posts: DataFrame) -> DataFrame:
     return posts.select("post_id", fetch_time().alias("fetched_at"))
 
 
-def post_pages(posts: DataFrame, comments: DataFrame) -> DataFrame:
+def post_pages(posts: DataFrame, comments: DataFrame | None) -> DataFrame:
     """Post pages ``(page_id, url, html, fetched_at)``, one per post."""
-    trees = comments_html(comments, page_fetch_times(posts))
-    posts = posts.withColumn("fetched_at", fetch_time()).join(trees, "post_id", "left")
+    posts, fetch = posts.withColumn("fetched_at", fetch_time()), page_fetch_times(posts)
+    if comments is None:
+        posts = posts.withColumn("comments_html", F.lit(None).cast("string"))
+    else:
+        posts = posts.join(comments_html(comments, fetch), "post_id", "left")
     fetched = F.col("fetched_at")
     flags = F.array_join(F.transform("flags", lambda f: _cat('<span class="flag flag_', attr_esc(f), '">',
                                                              esc(f), "</span>")), "")
@@ -103,7 +106,7 @@ def post_pages(posts: DataFrame, comments: DataFrame) -> DataFrame:
         '<div class="published">', FD.render_site_datetime(F.col("published"), fetched), "</div>",
         '<h1 class="title"><span class="post_title">', esc("title"), "</span>", flags, "</h1>",
         '<div class="hubs">', hubs, "</div>",
-        '<div class="content html_format">', esc("content_html"), "</div>",
+        '<div class="content html_format">', F.col("content_html"), "</div>",
         '<ul class="tags">', tags, "</ul>",
         '<div class="infopanel_wrapper">',
         '<div class="voting"><span class="js-score">', FD.render_number(F.col("voting_score")), "</span></div>",
@@ -211,7 +214,7 @@ def favourites_pages(comments: DataFrame, posts: DataFrame, per_page: int = 10)
         F.sort_array(F.collect_list(F.struct("post_id", "url", "title"))).alias("items"))
     items = F.array_join(F.transform("items", lambda p: _cat(
         '<div class="post"><h2><a class="post_title" href="', attr_esc(p["url"]), '">', esc(p["title"]),
-        "</a></h2></div>")), "")
+        '</a></h2><a class="post_title" href="https://b0.example.org/post/999999999/">second</a></div>')), "")
     page_url = F.concat(F.lit("https://b0." + FIXTURE_DOMAIN + "/users/"), F.col("username"),
                         F.lit("/favorites/page"), F.col("page_no").cast("string"), F.lit("/"))
     html = _cat(
@@ -220,6 +223,7 @@ def favourites_pages(comments: DataFrame, posts: DataFrame, per_page: int = 10)
         '<div class="user_favorites">', items,
         '<div class="post"><h2><span>removed</span></h2></div>',
         "</div>",
+        '<div class="side"><div class="post"><a class="post_title" href="https://b0.example.org/post/1/">beside</a></div></div>',
         '<ul id="nav-pages"><li><a href="page', (F.col("page_no") + 1).cast("string"), '/">next</a></li></ul>',
         "</body></html>")
     return anchors.select(page_url.alias("url"), html.alias("html"))

@@ -26,6 +26,14 @@ def _base_url(blog_id: Column) -> Column:
     return F.concat(F.lit("https://"), blog_id, F.lit("." + FIXTURE_DOMAIN))
 
 
+def content_html(text: Column, lang: Column) -> Column:
+    """A text as post markup, with a comment and a script in it."""
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(sign), F.lit(entity))
+    return F.concat(F.lit('<p class="lead">'), text, F.lit("</p><!-- cut "), lang,
+                    F.lit(" --><script>if (a<b && c) {}</script><br>"))
+
+
 def posts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` → posts in the unified model (see FIXTURES.md §3)."""
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
@@ -39,7 +47,7 @@ def posts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         blog.alias("blog_id"),
         F.col("doc_id").alias("post_id"),
         F.concat(base, F.lit("/post/"), F.col("doc_id").cast("string"), F.lit("/")).alias("url"),
-        F.substring("text", 1, 40).alias("title"),
+        F.concat("source", F.lit(" #"), F.col("doc_id").cast("string")).alias("title"),
         published.alias("published"),
         F.timestamp_add("MINUTE", F.col("n_chars") % 1000, published).alias("updated_at"),
         F.array_compact(F.array(
@@ -53,7 +61,7 @@ def posts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(base, F.lit("/company/"), F.col("source"), F.lit("/")).alias("url")),
         ).alias("hubs"),
         F.col("source").alias("company_blog"),
-        F.col("text").alias("content_html"),
+        content_html(F.col("text"), F.col("lang")).alias("content_html"),
         F.array(F.col("lang"), F.col("source")).alias("tags"),
         F.col("n_chars").cast("int").alias("pageviews"),
         F.when(F.col("doc_id") % 5 != 0, F.col("n_chars") % 100).cast("int").alias("favs_count"),
@@ -86,3 +94,16 @@ def comments_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("<p>"), F.col("event_type"), F.lit(" by u"),
                  F.col("user_id").cast("string"), F.lit("</p>")).alias("message_html"),
     )
+
+
+def deep_comments_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` → comments of 100 per post: a chain 30 deep, 30 siblings, a
+    ternary tree, two comments on a cycle, an orphan with a reply, and roots."""
+    e = comments_view(spark, sf_dir)
+    k, post = F.col("comment_id") % 100, F.expr("comment_id div 100")
+    parent = (F.when(k.between(1, 30), F.col("comment_id") - 1)
+              .when(k.between(31, 60), post * 100)
+              .when(k.between(61, 90), post * 100 + F.expr("(comment_id % 100 - 1) div 3"))
+              .when(k == 91, F.col("comment_id") + 1).when(k == 92, F.col("comment_id") - 1)
+              .when(k == 93, -1 - F.col("comment_id")).when(k == 94, F.col("comment_id") - 1))
+    return e.withColumns({"post_id": post, "parent_id": parent})

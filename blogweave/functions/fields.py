@@ -113,7 +113,10 @@ def iso(ts) -> Column:
 
 
 def parse_iso(text) -> Column:
-    return F.try_to_timestamp(_col(text), F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
+    """ISO text, with ``T`` or a space, with or without a fraction of a second."""
+    t = F.regexp_replace(_col(text), "^([0-9]{4}-[0-9]{2}-[0-9]{2})T", "$1 ")
+    fits = t.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?$")
+    return F.when(fits, t.try_cast("timestamp_ntz"))
 
 
 def registration_text(text) -> Column:

@@ -1,27 +1,34 @@
 """Native HTML column functions for flat page features.
 
-Title, anchors, navigation blocks and visible text do not need a DOM:
-regular expressions over the page text are enough and keep the work in
-the JVM.  Nested structures (posts with comment trees, profiles) are
-handled by the extraction worker in :mod:`blogweave.operators.extract`.
+Title, anchors, definition lists and visible text do not need a DOM: regular
+expressions over the page text are enough and keep the work in the JVM.
+Nested structures (posts with comment trees) and links of a certain place in
+the page are read by the workers in :mod:`blogweave.operators.extract` and
+:mod:`blogweave.operators.scoped_links`.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-# Opening anchor tag (group 1) with an href in double quotes, single quotes
-# or unquoted (groups 2-4, one of them set), then its inner markup (group 5);
-# one pattern keeps the arrays aligned.
-ANCHOR = r"""(?is)(<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>)(.*?)</a>"""
-CLASS_ATTR = r"""(?i)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-ANY_TAG = r"<[^>]*>"
+# An opening anchor tag; a ">" within quotes does not end it.
+_OPEN_A = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*+>"""
+# An anchor up to its end tag, or to the next anchor when that is missing.
+_ANCHOR = _OPEN_A + r".*?(?=</a\s*>|<a\s|\z)"
+# An attribute's value in double quotes, single quotes or without quotes (groups 1-3).
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+HREF = r"(?i)\shref" + _VALUE
+CLASS_ATTR = r"(?i)\sclass" + _VALUE
+# A tag; a ">" within quotes does not end it.
+ANY_TAG = r"""<(?:[^>"']|"[^"]*"|'[^']*')*+>|<[^>]*>"""
 # Text nodes as an HTML soup parser sees them: raw text of script and
 # textarea, the content of comments and declarations, nothing of tags.
 SOUP_TEXT = (r"(?is)<(?:script|textarea)\b[^>]*>(.*?)</(?:script|textarea)\s*>"
-             r"|<!--(.*?)-->|<!([^>]*)>|<[^>]*>")
+             r"|<!--(.*?)-->|<!([^>]*)>|" + ANY_TAG)
 
 
 def _col(c) -> Column:
@@ -44,29 +51,39 @@ def visible_text(html, keep_comments: bool = True) -> Column:
     return F.regexp_replace(_col(html), ANY_TAG, "")
 
 
+def attribute(tag, pattern: str) -> Column:
+    """The value that one of the pattern's three groups has; null without it."""
+    t = _col(tag)
+    return F.when(t.rlike(pattern), unescape_basic(F.concat(*[F.regexp_extract(t, pattern, i) for i in (1, 2, 3)])))
+
+
 def anchors(html) -> Column:
-    """``ARRAY<STRUCT<href, inner, tag>>`` of the anchors in document order."""
-    h = _col(html)
-    z = F.arrays_zip(
-        F.regexp_extract_all(h, F.lit(ANCHOR), 2).alias("dq"),
-        F.regexp_extract_all(h, F.lit(ANCHOR), 3).alias("sq"),
-        F.regexp_extract_all(h, F.lit(ANCHOR), 4).alias("uq"),
-        F.regexp_extract_all(h, F.lit(ANCHOR), 5).alias("inner"),
-        F.regexp_extract_all(h, F.lit(ANCHOR), 1).alias("tag"),
-    )
-    return F.transform(z, lambda a: F.struct(F.concat(a["dq"], a["sq"], a["uq"]).alias("href"),
-                                             a["inner"].alias("inner"), a["tag"].alias("tag")))
+    """``ARRAY<STRUCT<href, inner, tag>>`` of the anchors with an href, in
+    document order: one pass over the text, the parts come from each match."""
+    found = F.filter(F.regexp_extract_all(_col(html), F.lit(_ANCHOR), F.lit(0)),
+                     lambda m: F.regexp_extract(m, _OPEN_A, 0).rlike(HREF))
+    return F.transform(found, lambda m: F.struct(
+        attribute(F.regexp_extract(m, _OPEN_A, 0), HREF).alias("href"),
+        F.regexp_replace(m, "^" + _OPEN_A, "").alias("inner"), F.regexp_extract(m, _OPEN_A, 0).alias("tag")))
+
 
+def open_tag(tag: str = "[a-z0-9]+", cls: str | None = None) -> str:
+    """Pattern of an opening tag, with one of its classes if one is named, in
+    any quoting."""
+    if cls is None:
+        return rf"(?is)<{tag}\b[^>]*>"
+    c = re.escape(cls)
+    value = rf"""(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}(?=[\s>]))"""
+    return rf"(?is)<{tag}\b(?:[^>]*\s)?class\s*=\s*{value}[^>]*>"
 
-def block(html, tag: str, attr_pattern: str = "") -> Column:
-    """Inner markup of every ``<tag …attr_pattern…>`` element (not nested)."""
-    pattern = rf"(?is)<{tag}\b[^>]*{attr_pattern}[^>]*>(.*?)</{tag}>"
-    return F.array_join(F.regexp_extract_all(_col(html), F.lit(pattern), 1), "")
+
+def first_text(markup) -> Column:
+    """The first text node of some markup; null without one."""
+    return unescape_basic(F.nullif(F.regexp_extract(_col(markup), r"(?s)^(?:<[^>]*>)*([^<]+)", 1), F.lit("")))
 
 
 def class_of(tag) -> Column:
-    t = _col(tag)
-    return F.concat(*[F.regexp_extract(t, CLASS_ATTR, i) for i in (1, 2, 3)])
+    return F.coalesce(attribute(tag, CLASS_ATTR), F.lit(""))
 
 
 def has_class(classes, name: str) -> Column:
@@ -74,15 +91,8 @@ def has_class(classes, name: str) -> Column:
 
 
 def unescape_basic(c) -> Column:
-    """Undo the five basic entities (``&amp;`` last)."""
+    """Undo the five basic entities and the fixed space (``&amp;`` last)."""
     c = _col(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for ent, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         c = F.replace(c, F.lit(ent), F.lit(ch))
     return c
-
-
-def first_anchor_text(html, container_tag: str, container_class: str) -> Column:
-    """Text of the first anchor directly inside ``<tag class="… cls …">``."""
-    cls = rf"""class\s*=\s*["']?(?:[^"'>]*\s)?{container_class}(?:\s[^"'>]*)?["']?"""
-    pattern = rf"(?is)<{container_tag}\b[^>]*{cls}[^>]*>\s*<a\b[^>]*>([^<]*)</a>"
-    return F.nullif(F.regexp_extract(_col(html), pattern, 1), F.lit(""))

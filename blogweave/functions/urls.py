@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blogweave.functions import html as H
+
 # Fixed patterns of the original URL scheme (ids are path segments).
 COMPANY_ID = r"/company/([^/]+)/"
 USER_ID = r"/users/([^/]+)/"
@@ -22,7 +24,8 @@ SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 NETLOC = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 # A <link> tag with rel=canonical (any attribute order), then its href.
 CANONICAL_TAG = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical["']?[^>]*>"""
-HREF_ATTR = r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+# Only links of the head count.
+HEAD = r"(?is)<head\b[^>]*>(.*?)(?:</head|<body\b|\z)"
 
 
 def _col(c) -> Column:
@@ -56,8 +59,8 @@ def netloc(url) -> Column:
 
 
 def canonical_href(html) -> Column:
-    tag = F.regexp_extract(_col(html), CANONICAL_TAG, 0)
-    return F.nullif(F.concat(F.regexp_extract(tag, HREF_ATTR, 1), F.regexp_extract(tag, HREF_ATTR, 2)), F.lit(""))
+    tag = F.regexp_extract(F.regexp_extract(_col(html), HEAD, 1), CANONICAL_TAG, 0)
+    return F.nullif(H.attribute(tag, H.HREF), F.lit(""))
 
 
 def canonical_url(html, url) -> Column:
@@ -122,9 +125,8 @@ def with_url_ids(df: DataFrame, sites: DataFrame, url_col: str = "url", html_col
                  loose: bool = False) -> DataFrame:
     """Add host, blog, company, post, user and hub ids of a URL column.
 
-    The blog comes from a host lookup against ``sites`` (bounded by the
-    number of sites, hence broadcast); an unknown host gives a null blog
-    and ``host_known = false`` instead of failing the page.
+    The blog comes from a host lookup against ``sites``; an unknown host
+    gives a null blog and ``host_known = false`` instead of failing the page.
     """
     url = F.col(url_col)
     if html_col:
@@ -138,6 +140,6 @@ def with_url_ids(df: DataFrame, sites: DataFrame, url_col: str = "url", html_col
         user_id(url).alias("user_id"),
         hub_id(url).alias("hub_id"),
     )
-    lookup = F.broadcast(sites.select(F.col("host").alias("_h"), "blog_id"))
+    lookup = sites.select(F.col("host").alias("_h"), "blog_id")
     return (out.join(lookup, out.host == lookup._h, "left").drop("_h")
             .withColumn("host_known", F.col("blog_id").isNotNull()))

@@ -1,107 +1,121 @@
-"""Keyed collections stored as hash buckets with per-bucket versions.
-
-Layout: ``<root>/v=<version>/b=<bucket>/part-*.parquet``.  A record's
-bucket is ``pmod(xxhash64(keys), buckets)``.  Merging a batch touches only
-the buckets its keys hash to: the current files of those buckets are read,
-merged with the batch (last write wins, :func:`upsert.upsert`) and written
-as version ``v`` of those buckets; every other bucket keeps its current
-files.  The current collection is, per bucket, the newest complete version
-(a version counts once its ``_SUCCESS`` marker exists), so a merge that
-dies half way is invisible and a replay of the same version rewrites it
-from the same inputs: exactly once with an idempotent merge.  ``expire``
-removes versions no bucket reads any more (run it between merges).
+"""Keyed collections: a partitioned Parquet snapshot and one pointer file.
+
+A record's bucket is a hash of its key; ``<root>/data/v=<version>/b=<bucket>``
+holds a bucket as some merge wrote it, and ``<root>/CURRENT`` (JSON) names the
+folder of every bucket, the columns and, per source, the last batch merged.
+A merge reads and rewrites the buckets of its keys only, then replaces the
+pointer in one step: a merge that dies before has changed nothing, and a batch
+that comes again is known by its number.  One writer at a time is assumed;
+readers see the pointer's state whenever they read it.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blogweave.operators.upsert import KEYS, ORDER, upsert
+from blogweave.operators.upsert import KEYS, ORDER, latest_per_key, upsert
 
-VERSION, BUCKET = "v=", "b="
-
-
-def bucket_of(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+POINTER = "CURRENT"
 
 
 class KeyedCollection:
+    """``buckets`` counts when the collection is created; choose it so that a
+    bucket is what one merge should read and rewrite at least."""
+
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64,
                  keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.keys, self.order = tuple(keys), tuple(order)
 
-    # -------------------------------------------------------------- files
-    def _fs(self):
+    def _hadoop(self):
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return jvm, path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def current(self, before: int | None = None) -> dict[int, str]:
-        """Bucket → path of its newest complete version (older than ``before``)."""
-        jvm, root, fs = self._fs()
-        if not fs.exists(root):
-            return {}
-        newest: dict[int, tuple[int, str]] = {}
-        for vst in fs.listStatus(root):
-            vname = vst.getPath().getName()
-            if not (vst.isDirectory() and vname.startswith(VERSION)):
-                continue
-            v = int(vname[len(VERSION):])
-            if (before is not None and v >= before) or not fs.exists(jvm.org.apache.hadoop.fs.Path(vst.getPath(), "_SUCCESS")):
-                continue
-            for bst in fs.listStatus(vst.getPath()):
-                bname = bst.getPath().getName()
-                if bst.isDirectory() and bname.startswith(BUCKET):
-                    b = int(bname[len(BUCKET):])
-                    if b not in newest or newest[b][0] < v:
-                        newest[b] = (v, bst.getPath().toString())
-        return {b: p for b, (v, p) in newest.items()}
-
-    def _read(self, paths: list[str], schema) -> DataFrame | None:
-        if not paths:
-            return None
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    # ---------------------------------------------------------- interface
-    def read(self, schema=None) -> DataFrame | None:
-        paths = list(self.current().values())
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return jvm.org.apache.hadoop.fs, conf
+
+    def _pointer(self) -> dict:
+        fs, conf = self._hadoop()
+        path = fs.Path(f"{self.root}/{POINTER}")
+        system = path.getFileSystem(conf)
+        if not system.exists(path):
+            return {"version": 0, "buckets": self.buckets, "paths": {}, "schema": None, "merged": {}}
+        stream = system.open(path)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _point(self, state: dict) -> None:
+        fs, conf = self._hadoop()
+        path, new = fs.Path(f"{self.root}/{POINTER}"), fs.Path(f"{self.root}/{POINTER}.{state['version']}")
+        out = path.getFileSystem(conf).create(new, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        rename = getattr(fs, "Options$Rename")
+        option = self.spark.sparkContext._gateway.new_array(rename, 1)
+        option[0] = rename.OVERWRITE
+        fs.FileContext.getFileContext(path.toUri(), conf).rename(path.getFileSystem(conf).makeQualified(new),
+                                                                 path.getFileSystem(conf).makeQualified(path), option)
+
+    def _read(self, state: dict, buckets: Sequence[str]) -> DataFrame | None:
+        paths = [state["paths"][b] for b in buckets if b in state["paths"]]
         if not paths:
             return None
-        if schema is None:
-            schema = self.spark.read.parquet(paths[0]).schema
-        return self._read(paths, schema)
-
-    def merge(self, batch: DataFrame, version: int) -> list[int]:
-        """Merge ``batch`` as ``version``; returns the buckets rewritten."""
-        tagged = batch.withColumn("_b", bucket_of(self.keys, self.buckets))
-        touched = sorted(r["_b"] for r in tagged.select("_b").distinct().collect())   # at most `buckets` rows
-        if not touched:
+        return self.spark.read.schema(T.StructType.fromJson(state["schema"])).parquet(*paths)
+
+    def version(self) -> int:
+        """Number of merges that wrote something."""
+        return self._pointer()["version"]
+
+    def read(self) -> DataFrame | None:
+        """The current records; None for a collection that was never written."""
+        state = self._pointer()
+        return self._read(state, sorted(state["paths"], key=int))
+
+    def merge(self, batch: DataFrame, source: str | None = None, batch_id: int | None = None) -> list[int]:
+        """Merge ``batch`` (last write wins; records without a key are left
+        out); returns the buckets rewritten.  With a ``source`` and the
+        batch's number there, a batch that was merged before is skipped."""
+        state = self._pointer()
+        if source is not None and batch_id is not None and state["merged"].get(source, -1) >= batch_id:
             return []
-        cur = self.current(before=version)
-        old_paths = [cur[b] for b in touched if b in cur]
-        old = self._read(old_paths, batch.schema)
-        merged = upsert(old, batch, self.keys, self.order)
-        out = f"{self.root}/{VERSION}{version:012d}"
-        (merged.withColumn("b", bucket_of(self.keys, self.buckets))
-         .repartition("b").write.mode("overwrite").partitionBy("b").parquet(out))
-        return touched
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(state["buckets"])).cast("int")
+        latest = latest_per_key(batch, self.keys, self.order).persist(StorageLevel.DISK_ONLY)
+        try:
+            touched = [r[0] for r in latest.select(bucket).distinct().collect()]       # at most as many as buckets
+            if touched:
+                merged = upsert(self._read(state, [str(b) for b in touched]), latest, self.keys, self.order)
+                version = state["version"] + 1
+                out = f"{self.root}/data/v={version:012d}"
+                # a bucket is as many tasks' work as its size asks for
+                (merged.withColumn("b", bucket).hint("rebalance", "b").write.mode("overwrite").partitionBy("b").parquet(out))
+                state["version"], state["schema"] = version, merged.schema.jsonValue()
+                state["paths"].update({str(b): f"{out}/b={b}" for b in touched})
+        finally:
+            latest.unpersist()
+        if source is not None and batch_id is not None:
+            state["merged"][source] = batch_id
+        if touched or source is not None:
+            self._point(state)
+        return sorted(touched)
 
     def expire(self, keep: int = 2) -> list[int]:
-        """Delete versions no bucket reads from any more, except the newest
-        ``keep`` (kept for readers that listed the collection just before).
-        Returns the deleted versions."""
-        jvm, root, fs = self._fs()
-        if not fs.exists(root):
+        """Delete the versions that no bucket reads any more, but the newest
+        ``keep`` (for readers that read the pointer just before)."""
+        state = self._pointer()
+        fs, conf = self._hadoop()
+        data = fs.Path(f"{self.root}/data")
+        system = data.getFileSystem(conf)
+        if not system.exists(data):
             return []
-        live = {int(p.rstrip("/").split("/")[-2][len(VERSION):]) for p in self.current().values()}
-        versions = sorted(int(st.getPath().getName()[len(VERSION):]) for st in fs.listStatus(root)
-                          if st.isDirectory() and st.getPath().getName().startswith(VERSION))
-        newest = set(versions[-keep:]) if keep > 0 else set()
-        dead = [v for v in versions if v not in live and v not in newest]
-        for v in dead:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{VERSION}{v:012d}"), True)
-        return dead
+        live = {int(p.rsplit("/v=", 1)[1].split("/")[0]) for p in state["paths"].values()}
+        dead = [v for v in (int(s.getPath().getName()[2:]) for s in system.listStatus(data))
+                if v not in live and v <= state["version"] - keep]
+        for v in sorted(dead):
+            system.delete(fs.Path(f"{self.root}/data/v={v:012d}"), True)
+        return sorted(dead)

@@ -15,7 +15,25 @@ from pyspark.sql import functions as F
 from blogweave.functions import html as H
 from blogweave.functions import text as X
 from blogweave.functions import urls as U
-from blogweave.sources.tables import spread
+
+
+def _tokens(content_html: str, keep_comments: bool):
+    """Normalised tokens longer than two characters of a post's visible text."""
+    toks = X.tokens(X.space_out(H.visible_text(content_html, keep_comments)))
+    return F.transform(F.filter(toks, lambda t: F.length(t) >= X.MIN_TOKEN_LENGTH), X.normalise_token)
+
+
+def _lemmatised(terms: DataFrame, lemmas: DataFrame | None) -> DataFrame:
+    """Replace words by their lemma (identity when unknown), drop empty ones.
+    The dictionary join is left to the planner."""
+    if lemmas is not None:
+        known = lemmas.select(F.lit("words").alias("modality"), F.col("token").alias("term"), "lemma")
+        terms = terms.join(known, ["modality", "term"], "left").withColumn("term", F.coalesce("lemma", "term")).drop("lemma")
+    return terms.where(F.length("term") > 0)
+
+
+def _counted(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("post_id", "modality", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_counts(posts: DataFrame, lemmas: DataFrame | None = None, keep_comments: bool = True) -> DataFrame:
@@ -23,20 +41,10 @@ def word_counts(posts: DataFrame, lemmas: DataFrame | None = None, keep_comments
 
     Tokens longer than two characters are lower-cased, ``ё`` → ``е``, then
     mapped through the optional ``lemmas(token, lemma)`` dictionary (identity
-    when absent); empty lemmas are dropped.  The dictionary join is left
-    to the planner, which broadcasts it only if its measured size is small.
+    when absent); empty lemmas are dropped.
     """
-    text = X.space_out(H.visible_text("content_html", keep_comments))
-    toks = (spread(posts.select("post_id", "content_html"))
-            .select("post_id", F.explode(X.tokens(text)).alias("tok"))
-            .where(F.length("tok") >= X.MIN_TOKEN_LENGTH)
-            .select("post_id", X.normalise_token("tok").alias("token")))
-    if lemmas is not None:
-        toks = (toks.join(lemmas.select("token", "lemma"), "token", "left")
-                .select("post_id", F.coalesce("lemma", "token").alias("token")))
-    return (toks.where(F.length("token") > 0)
-            .groupBy("post_id", F.col("token").alias("lemma"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    toks = posts.select("post_id", F.lit("words").alias("modality"), F.explode(_tokens("content_html", keep_comments)).alias("term"))
+    return _counted(_lemmatised(toks, lemmas)).select("post_id", F.col("term").alias("lemma"), "n")
 
 
 def user_counts(comments: DataFrame) -> DataFrame:
@@ -45,26 +53,35 @@ def user_counts(comments: DataFrame) -> DataFrame:
             .groupBy("post_id", "username").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _tags_and_hubs():
+    """A post's distinct ``struct(kind, term)`` of tags and hub terms."""
+    def of(kind: str, terms):
+        return F.transform(terms, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term")))
+
+    both = F.concat(F.coalesce(of("tag", F.col("tags")), F.array()),
+                    F.coalesce(of("hub", F.transform("hubs", lambda h: U.hub_term(h["url"]))), F.array()))
+    return F.array_distinct(F.filter(both, lambda x: x["term"].isNotNull()))
+
+
 def tag_hub_terms(posts: DataFrame) -> DataFrame:
-    """Distinct ``(post_id, kind, term)`` of tags and hub terms."""
-    tags = posts.select("post_id", F.lit("tag").alias("kind"), F.explode("tags").alias("term"))
-    hubs = posts.select("post_id", F.lit("hub").alias("kind"),
-                        F.explode(F.transform("hubs", lambda h: U.hub_term(h["url"]))).alias("term"))
-    return tags.unionByName(hubs).where(F.col("term").isNotNull()).distinct()
+    """Distinct ``(post_id, kind, term)`` of tags and hub terms, made
+    distinct within each post's row (a post is one row): no shuffle."""
+    return posts.select("post_id", F.inline(_tags_and_hubs()))
 
 
 def modality_terms(posts: DataFrame, comments: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
-    """Long union of the five modalities ``(post_id, modality, term, n)``."""
-    words = word_counts(posts, lemmas).select("post_id", F.lit("words").alias("modality"),
-                                              F.col("lemma").alias("term"), "n")
-    author = posts.where(F.col("author").isNotNull()).select(
-        "post_id", F.lit("author").alias("modality"), F.col("author").alias("term"), F.lit(1).cast("bigint").alias("n"))
-    users = user_counts(comments).select("post_id", F.lit("users").alias("modality"),
-                                         F.col("username").alias("term"), "n")
-    th = tag_hub_terms(posts).select(
-        "post_id", F.when(F.col("kind") == "tag", "tags").otherwise("hubs").alias("modality"),
-        "term", F.lit(1).cast("bigint").alias("n"))
-    return words.unionByName(author).unionByName(users).unionByName(th)
+    """Long union of the five modalities ``(post_id, modality, term, n)``.
+    One scan of the posts gives words, author, tags and hubs."""
+    def of(modality, terms):
+        return F.transform(terms, lambda t: F.struct(F.lit(modality).alias("modality"), t.alias("term")))
+
+    rest = F.transform(_tags_and_hubs(), lambda x: F.struct(
+        F.when(x["kind"] == "tag", F.lit("tags")).otherwise(F.lit("hubs")).alias("modality"), x["term"].alias("term")))
+    author = of("author", F.array_compact(F.array("author")))
+    every = F.concat(F.coalesce(of("words", _tokens("content_html", True)), F.array()), author, rest)
+    of_posts = _counted(_lemmatised(posts.select("post_id", F.inline(every)), lemmas))
+    users = user_counts(comments).select("post_id", F.lit("users").alias("modality"), F.col("username").alias("term"), "n")
+    return of_posts.unionByName(users)
 
 
 def corpus_lines(posts: DataFrame, terms: DataFrame) -> DataFrame:
@@ -126,19 +143,15 @@ def participant_activity(participations: DataFrame, sites: DataFrame) -> DataFra
     ``participations`` is one ``(username, blog_id)`` row per post a user
     took part in (from :func:`unwind_participants` or
     :func:`pairs_with_blog`).  The favourites URL gets priority 1, the
-    profile URL priority 0.  The site lookup is a broadcast of the site
-    dimension (one row per site).
+    profile URL priority 0.
     """
     counts = participations.groupBy("username", "blog_id").agg(F.count(F.lit(1)).alias("count"))
-    base = F.broadcast(sites.select("blog_id", F.regexp_replace("base_url", "/+$", "").alias("_origin")))
-    with_base = counts.join(base, "blog_id")
-    fav = with_base.select("username", "blog_id", "count",
-                           F.concat("_origin", F.lit("/users/"), "username", F.lit("/favorites/")).alias("url"),
-                           F.lit(1).alias("priority"))
-    prof = with_base.select("username", "blog_id", "count",
-                            F.concat("_origin", F.lit("/users/"), "username", F.lit("/")).alias("url"),
-                            F.lit(0).alias("priority"))
-    return fav.unionByName(prof).orderBy(F.desc("count"), "blog_id", "username", F.desc("priority"))
+    base = sites.select("blog_id", F.regexp_replace("base_url", "/+$", "").alias("_origin"))
+    profile = F.concat("_origin", F.lit("/users/"), "username", F.lit("/"))
+    both = F.array(F.struct(F.concat(profile, F.lit("favorites/")).alias("url"), F.lit(1).alias("priority")),
+                   F.struct(profile.alias("url"), F.lit(0).alias("priority")))
+    return (counts.join(base, "blog_id").select("username", "blog_id", "count", F.inline(both))
+            .orderBy(F.desc("count"), "blog_id", "username", F.desc("priority")))
 
 
 def participant_total(participations: DataFrame) -> DataFrame:

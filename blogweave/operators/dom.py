@@ -1,33 +1,60 @@
 """Minimal tolerant HTML tree for the extraction workers.
 
-Built on the standard-library ``html.parser`` (no third-party parser is
-available): void elements, a ``<p>`` closed by the next block, and end
-tags without an open element are ignored.  Only what the extraction
-needs is here: descendant / child search by tag, class, exact class
-attribute and id; first text node, all text, attribute, inner markup.
+One regular expression cuts the markup into tags, comments, declarations and
+text (no third-party parser is available); no input makes it fail, and no
+step recurses.  Void elements, a ``<p>`` closed by the next block, raw text in
+``script`` and ``style``; end tags without an open element are ignored.  Only
+what the extraction needs is here: descendant / child search by tag, class,
+exact class attribute and id; first text node, all text, attribute, inner
+markup.  Attributes are parsed when one is asked for.
 """
 
 from __future__ import annotations
 
 import html
+import re
 from bisect import bisect_right
-from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form",
             "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "menu", "nav", "ol", "p", "pre",
             "section", "table", "ul"}
+RAW = {"script", "style"}
+
+# A tag (group 1: "/" of an end tag, 2: name, 3: attributes), a comment (4) or
+# a declaration or processing instruction.
+_TOKEN = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<!--(.*?)-->|<[!?/][^>]*>""", re.S)
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+
+
+class Comment(str):
+    """The markup of a comment or a declaration."""
+    __slots__ = ()
+
+
+class RawText(str):
+    """Text whose entities and signs stand for themselves."""
+    __slots__ = ()
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "pre", "post", "doc")
+    __slots__ = ("tag", "raw", "_attrs", "children", "parent", "pre", "post", "doc")
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+    def __init__(self, tag: str, raw: str, parent: Node | None):
+        self.tag, self.raw, self._attrs, self.children, self.parent = tag, raw, None, [], parent
         self.pre = self.post = 0
         self.doc = None
 
+    @property
+    def attrs(self) -> dict[str, str]:
+        if self._attrs is None:
+            self._attrs = out = {}
+            if self.raw:
+                for name, a, b, c in _ATTR.findall(self.raw):
+                    out.setdefault(name.lower(), html.unescape(a or b or c))
+        return self._attrs
+
     def get(self, name: str) -> str | None:
         return self.attrs.get(name)
 
@@ -35,40 +62,43 @@ class Node:
         return (self.attrs.get("class") or "").split()
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("#root", {}, None)
-        self.cur = self.root
-
-    def handle_starttag(self, tag, attrs):
+def _build(markup: str) -> Node:
+    root = cur = Node("#root", "", None)
+    at = 0
+    while (m := _TOKEN.search(markup, at)) is not None:
+        if m.start() > at:
+            cur.children.append(markup[at:m.start()])
+        at = m.end()
+        if m[2] is None:
+            cur.children.append(Comment(m[0]))
+            continue
+        tag = m[2].lower()
+        if m[1]:
+            n = cur
+            while n is not None and n.tag != tag:
+                n = n.parent
+            if n is not None and n.parent is not None:
+                cur = n.parent
+            continue
         if tag in CLOSES_P:
-            self._close_open_p()
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
-        if tag not in VOID:
-            self.cur = node
-
-    def handle_startendtag(self, tag, attrs):
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
-
-    def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.cur = n.parent
-
-    def handle_data(self, data):
-        self.cur.children.append(data)
-
-    def _close_open_p(self):
-        n = self.cur
-        while n is not None and n.tag not in ("p", "#root", "div", "td", "li"):
-            n = n.parent
-        if n is not None and n.tag == "p":
-            self.cur = n.parent
+            n = cur
+            while n.tag not in ("p", "#root", "div", "td", "li"):
+                n = n.parent
+            if n.tag == "p":
+                cur = n.parent
+        node = Node(tag, m[3], cur)
+        cur.children.append(node)
+        if tag in RAW:
+            end = re.compile(rf"(?i)</{tag}[^>]*>").search(markup, at)
+            text = markup[at:end.start() if end else len(markup)]
+            at = end.end() if end else len(markup)
+            if text:
+                node.children.append(RawText(text))
+        elif tag not in VOID and not re.search(r"""(?:^|[\s"'])/\Z""", m[3]):
+            cur = node
+    if at < len(markup):
+        cur.children.append(markup[at:])
+    return root
 
 
 class _Index:
@@ -92,10 +122,11 @@ class _Index:
             if node.parent is not None:
                 self.all.append(node)
                 self.by_tag.setdefault(node.tag, []).append(node)
-                for c in set(node.classes()):
-                    self.by_class.setdefault(c, []).append(node)
-                if "id" in node.attrs:
-                    self.by_id.setdefault(node.attrs["id"], []).append(node)
+                if node.raw:
+                    for c in set(node.classes()):
+                        self.by_class.setdefault(c, []).append(node)
+                    if "id" in node.attrs:
+                        self.by_id.setdefault(node.attrs["id"], []).append(node)
             stack.append((node, True))
             stack.extend((c, False) for c in reversed(node.children) if isinstance(c, Node))
         self.pres = {}
@@ -109,11 +140,9 @@ class _Index:
 
 
 def parse(markup: str) -> Node:
-    b = _Builder()
-    b.feed(markup or "")
-    b.close()
-    _Index(b.root)
-    return b.root
+    root = _build(markup or "")
+    _Index(root)
+    return root
 
 
 def _match(n: Node, tag: str | None, cls: str | None, exact_cls: str | None, id_: str | None) -> bool:
@@ -158,7 +187,8 @@ def text_nodes(nodes) -> list[str]:
         while stack:
             c = stack.pop()
             if isinstance(c, str):
-                out.append(c)
+                if not isinstance(c, Comment):
+                    out.append(c if isinstance(c, RawText) else html.unescape(c))
             else:
                 stack.extend(reversed(c.children))
     return out
@@ -178,13 +208,28 @@ def first_attr(nodes, name: str) -> str | None:
     return a[0] if a else None
 
 
-def outer_html(n: Node | str) -> str:
-    if isinstance(n, str):
-        return html.escape(n, quote=False)
-    attr = "".join(f' {k}="{html.escape(v)}"' for k, v in n.attrs.items())
-    if n.tag in VOID:
-        return f"<{n.tag}{attr}>"
-    return f"<{n.tag}{attr}>{''.join(outer_html(c) for c in n.children)}</{n.tag}>"
+def _serialised(items: list) -> str:
+    """Markup of nodes and texts, with an explicit stack."""
+    out: list[str] = []
+    stack = list(reversed(items))
+    while stack:
+        n = stack.pop()
+        if isinstance(n, (Comment, RawText)):
+            out.append(str(n))
+        elif isinstance(n, tuple):
+            out.append(n[0])
+        elif isinstance(n, str):
+            out.append(html.escape(html.unescape(n), quote=False))
+        else:
+            out.append("<" + n.tag + "".join(f' {k}="{html.escape(v)}"' for k, v in n.attrs.items()) + ">")
+            if n.tag not in VOID:
+                stack.append((f"</{n.tag}>",))
+                stack.extend(reversed(n.children))
+    return "".join(out)
+
+
+def outer_html(n: Node) -> str:
+    return _serialised([n])
 
 
 def inner_html(nodes) -> str | None:
@@ -192,7 +237,7 @@ def inner_html(nodes) -> str | None:
     if not nodes:
         return None
     n = nodes[0] if not isinstance(nodes, Node) else nodes
-    return "".join(outer_html(c) for c in n.children).strip()
+    return _serialised(n.children).strip()
 
 
 def children_path(nodes, tags: list[str]) -> list[Node]:

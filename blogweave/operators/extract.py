@@ -1,10 +1,15 @@
 """Extraction of posts, comments and profiles from pages.
 
-The only Python stage of the library: a ``mapInPandas`` worker parses each
-page once with the tolerant tree of :mod:`blogweave.operators.dom` and
-returns raw strings (per page, Arrow batches).  Every conversion —
-dates, numbers, ids from URLs, host → blog lookup, key dispatch of
-definition lists — is then a native expression on the result.
+Posts and comments nest, so a ``mapInPandas`` worker parses each page with the
+tolerant tree of :mod:`blogweave.operators.dom` and returns raw strings: one
+worker gives a row per page with the post's fields, another a row per comment.
+Every conversion — dates, numbers, ids from URLs, host → blog lookup — is a
+native expression on the result.  Profiles are flat definition lists and need
+no Python (:mod:`blogweave.operators.profiles`).
+
+Every page ends in exactly one of the records and the dead letters: a page
+whose parsing fails keeps the error's text, and pages without a post, without
+a usable id or on an unknown host are told apart by ``error``.
 
 Selectors (the markup spec of the blogs, data rather than logic): post
 container ``.post``, id attribute ``post_<n>``, title ``h1.title
@@ -26,7 +31,6 @@ from pyspark.sql import types as T
 from blogweave.functions import fields as FD
 from blogweave.functions import urls as U
 from blogweave.operators import dom
-from blogweave.sources.tables import spread
 
 # Fixed markup values of the blogs.
 COMMENT_ITEM_CLASS = "comment_item"
@@ -36,6 +40,9 @@ REPLIES_CLASS = "reply_comments"
 _S = T.StringType()
 _AS = T.ArrayType(T.StringType())
 RAW_COMMENT = T.StructType([
+    T.StructField("page_id", T.LongType()),
+    T.StructField("id_attr", _S),
+    T.StructField("fetched_at", T.TimestampNTZType()),
     T.StructField("path", T.ArrayType(T.IntegerType())),
     T.StructField("banned", T.BooleanType()),
     T.StructField("time_text", _S),
@@ -69,7 +76,8 @@ RAW_POST = T.StructType([
     T.StructField("rating_text", _S),
     T.StructField("content_outer", _S),
     T.StructField("comments_count_text", _S),
-    T.StructField("comments", T.ArrayType(RAW_COMMENT)),
+    T.StructField("commenters", _AS),
+    T.StructField("error", _S),
 ])
 
 
@@ -79,15 +87,14 @@ def _canonical(root: dom.Node) -> str | None:
     return dom.first_attr(links, "href")
 
 
-def _comments(container_nodes: list[dom.Node]) -> list[dict]:
-    """Pre-order walk with an explicit stack (any depth).
+def _walk(container_nodes: list[dom.Node]):
+    """Path and body of each comment, with an explicit stack (any depth).
 
     The items of all containers of one level (several ``#comments``, or
     several reply containers of one comment) are numbered as one list.
     An item without a body is skipped together with its replies and takes
     no position.
     """
-    out: list[dict] = []
     stack = [(container_nodes, [])]
     while stack:
         containers, prefix = stack.pop()
@@ -97,30 +104,40 @@ def _comments(container_nodes: list[dom.Node]) -> list[dict]:
                 bodies = dom.children(item, tag="div", exact_cls=COMMENT_BODY_CLASS)
                 if not bodies:
                     continue
-                body, path = bodies[0], prefix + [pos]
+                path = prefix + [pos]
                 pos += 1
-                users = dom.find_all(body, tag="a", cls="username")
-                row = {"path": path, "banned": bool(dom.find_all(body, tag="div", cls="author_banned")),
-                       "time_text": None, "username": None, "user_url": None, "link": None,
-                       "votes_text": None, "message_html": None}
-                if not row["banned"]:
-                    row.update(
-                        time_text=dom.first_text(dom.find_all(body, tag="time")),
-                        username=dom.first_text(users),
-                        user_url=dom.first_attr(users, "href"),
-                        link=dom.first_attr(dom.find_all(body, tag="a", cls="link_to_comment"), "href"),
-                        votes_text=dom.first_text(dom.find_all(dom.find_all(body, tag="div", cls="voting"),
-                                                               tag="span", cls="score")),
-                        message_html=dom.inner_html(dom.find_all(body, tag="div", cls="message")))
-                out.append(row)
+                yield path, bodies[0]
                 replies = dom.children(item, tag="div", exact_cls=REPLIES_CLASS)
                 if replies:
                     stack.append((replies, path))
-    out.sort(key=lambda r: r["path"])   # pre-order = lexicographic path order
+
+
+def _banned(body: dom.Node) -> bool:
+    return bool(dom.find_all(body, tag="div", cls="author_banned"))
+
+
+def comment_records(markup: str) -> list[dict]:
+    """A post page's comments; none when it has no post."""
+    root = dom.parse(markup)
+    posts = dom.find_all(root, cls="post")
+    out = []
+    for path, body in _walk(dom.find_all(root, id="comments")) if posts else ():
+        row = {"path": path, "banned": _banned(body), "id_attr": dom.first_attr(posts, "id")}
+        if not row["banned"]:
+            users = dom.find_all(body, tag="a", cls="username")
+            row.update(
+                time_text=dom.first_text(dom.find_all(body, tag="time")),
+                username=dom.first_text(users),
+                user_url=dom.first_attr(users, "href"),
+                link=dom.first_attr(dom.find_all(body, tag="a", cls="link_to_comment"), "href"),
+                votes_text=dom.first_text(dom.find_all(dom.find_all(body, tag="div", cls="voting"),
+                                                       tag="span", cls="score")),
+                message_html=dom.inner_html(dom.find_all(body, tag="div", cls="message")))
+        out.append(row)
     return out
 
 
-def post_record(markup: str, with_content: bool = True) -> dict:
+def post_record(markup: str, participants: bool = False) -> dict:
     root = dom.parse(markup)
     rec = {"found": False, "canonical": _canonical(root),
            "title_tag": dom.first_text(dom.find_all(dom.find_all(root, tag="head"), tag="title"))}
@@ -144,7 +161,7 @@ def post_record(markup: str, with_content: bool = True) -> dict:
         flag_classes=dom.attrs(dom.find_all(h1, cls="flag"), "class"),
         hub_hrefs=[h.get("href") for h in hubs],
         hub_names=[dom.first_text([h]) for h in hubs],
-        content_html=dom.inner_html(contents) if with_content else None,
+        content_html=dom.inner_html(contents),
         tags=dom.text_nodes(dom.find_all(dom.find_all(dom.find_all(posts, tag="ul", cls="tags"), tag="li"),
                                          tag="a")),
         views_text=(dom.first_text(dom.find_all(posts, tag="div", cls="views-count_post"))
@@ -156,107 +173,130 @@ def post_record(markup: str, with_content: bool = True) -> dict:
         rating_text=dom.first_text(dom.find_all(dom.find_all(panel, tag="div", cls="author"),
                                                 tag="span", cls="rating")),
         # The older markup stored the content element itself.
-        content_outer=dom.outer_html(contents[0]) if (with_content and contents and panel) else None,
+        content_outer=dom.outer_html(contents[0]) if contents and panel else None,
         score_text=dom.first_text(dom.find_all(posts, tag="span", cls="js-score")),
         author_hrefs=sorted(set(dom.attrs(anchors, "href"))),
         comments_count_text=dom.first_text(dom.find_all(dom.find_all(comment_roots, tag="h2", cls="title"),
                                                         tag="span", id="comments_count")),
-        comments=_comments(comment_roots),
+        commenters=[dom.first_text(dom.find_all(body, tag="a", cls="username"))
+                    for _, body in _walk(comment_roots) if not _banned(body)] if participants else [],
     )
     return rec
 
 
-def _post_batches(with_content: bool):
-    names = [f.name for f in RAW_POST.fields]
+def _batches(schema: T.StructType, records):
+    """A ``mapInPandas`` function: ``records(markup)`` gives a page's rows; a
+    page that fails gives one row with the error's text, if the schema has
+    a place for it, and none otherwise."""
+    names = [f.name for f in schema.fields]
 
     def run(batches):
         for pdf in batches:
             rows = []
             for page_id, url, fetched, html in zip(pdf["page_id"], pdf["url"], pdf["fetched_at"], pdf["html"]):
-                rec = post_record(html, with_content)
-                rec.update(page_id=page_id, url=url, fetched_at=fetched)
-                rows.append([rec.get(n) for n in names])
+                try:
+                    found = records(html)
+                except Exception as e:   # one page never ends the job
+                    found = [{"error": f"{type(e).__name__}: {e}"}] if "error" in names else []
+                for rec in found:
+                    rec.update(page_id=page_id, url=url, fetched_at=fetched)
+                    rows.append([rec.get(n) for n in names])
             yield pd.DataFrame(rows, columns=names)
     return run
 
 
-def extract_post_pages(pages: DataFrame, with_content: bool = True) -> DataFrame:
-    """Raw post fields per page (``found`` false when there is no ``.post``).
-    ``with_content=False`` leaves the content markup out (comment jobs)."""
-    if "fetched_at" not in pages.columns:
-        pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
-    return spread(pages.select("page_id", "url", "fetched_at", "html")).mapInPandas(
-        _post_batches(with_content), RAW_POST)
+def _page_columns(pages: DataFrame) -> DataFrame:
+    fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None)
+    return pages.select("page_id", "url", fetched.cast("timestamp_ntz").alias("fetched_at"), "html")
+
+
+def extract_post_pages(pages: DataFrame, participants: bool = False) -> DataFrame:
+    """Raw post fields, a row per page (``found`` false when there is no
+    ``.post``); ``participants`` adds the names of commenters not banned."""
+    return _page_columns(pages).mapInPandas(_batches(RAW_POST, lambda html: [post_record(html, participants)]), RAW_POST)
+
+
+def extract_comment_pages(pages: DataFrame) -> DataFrame:
+    """Raw comments, a row per comment; pages that fail are dead letters of
+    :func:`extract_post_pages`."""
+    return _page_columns(pages).mapInPandas(_batches(RAW_COMMENT, comment_records), RAW_COMMENT)
+
+
+def _post_id():
+    return F.regexp_extract("id_attr", "^post_([0-9]+)$", 1).try_cast("bigint")
 
 
 def _strip_slashes(c):
     return F.regexp_replace(c, "^/+|/+$", "")
 
 
-def posts_from_pages(raw: DataFrame, sites: DataFrame) -> DataFrame:
-    """Typed post records; pages without a post or with a bad id are dropped
-    (see :func:`post_dead_letters`)."""
+def typed_posts(raw: DataFrame, sites: DataFrame) -> DataFrame:
+    """A typed row per page, with ``error`` null for a whole post record."""
     hub_ids = F.filter(F.transform("hub_hrefs", lambda h: U.hub_id(h)), lambda x: x.isNotNull())
     companies = F.filter(F.transform("hub_hrefs", lambda h: U.company_id(h)), lambda x: x.isNotNull())
     user_href = F.filter("author_hrefs", lambda h: h.startswith("/users/"))
     company_href = F.filter("author_hrefs", lambda h: h.startswith("/company/"))
-    typed = raw.where("found").select(
+
+    def author(hrefs, prefix: str):
+        # Two anchors of one kind: the greatest wins (deterministic).
+        return _strip_slashes(F.array_max(F.transform(hrefs, lambda h: F.regexp_replace(h, f"^/{prefix}/", ""))))
+
+    typed = raw.select(
         "page_id",
         F.coalesce("canonical", "url").alias("url"),
-        F.nullif(F.regexp_extract("id_attr", "^post_(.*)$", 1), F.lit("")).try_cast("bigint").alias("post_id"),
+        F.coalesce("found", F.lit(False)).alias("_found"), F.col("error").alias("_failed"), F.col("id_attr").alias("_id_attr"),
+        _post_id().alias("_pid"),
         "title",
         FD.parse_site_datetime(F.col("published_text"), F.col("fetched_at")).alias("published"),
-        F.filter(F.transform(F.split(F.array_join("flag_classes", " "), " "),
-                             lambda c: F.when(c.startswith("flag_"), F.substring(c, 6, 1 << 20))),
-                 lambda x: x.isNotNull()).alias("flags"),
+        F.transform(F.filter(F.split(F.array_join("flag_classes", " "), " "), lambda c: c.startswith("flag_")),
+                    lambda c: F.regexp_replace(c, "^flag_", "")).alias("flags"),
         hub_ids.alias("hub_ids"),
         F.when(F.size(companies) > 0, F.element_at(companies, -1)).alias("company_blog"),
         "content_html", "tags",
         FD.parse_int("views_text").alias("pageviews"),
         FD.parse_int("favs_text").alias("favs_count"),
         FD.parse_int("score_text").alias("voting_score"),
-        # Two anchors of one kind: the greatest wins (deterministic).
-        _strip_slashes(F.array_max(F.transform(user_href, lambda h: F.substring(h, 8, 1 << 20)))).alias("author_user"),
-        _strip_slashes(F.array_max(F.transform(company_href, lambda h: F.substring(h, 10, 1 << 20)))).alias(
-            "author_company"),
+        author(user_href, "users").alias("author_user"),
+        author(company_href, "company").alias("author_company"),
         FD.parse_int("comments_count_text").alias("comments_count"),
         F.col("author_name").alias("author"),
         F.col("author_href").alias("author_url"),
         FD.parse_number("rating_text").alias("author_rating"),
         F.col("content_outer").alias("content_outer_html"),
         F.col("fetched_at").alias("updated_at"),
-        # The author and every commenter not banned, each once.
-        F.filter(F.transform("comments", lambda c: F.when(~c["banned"], c["username"])),
-                 lambda u: u.isNotNull()).alias("_commenters"),
+        F.col("commenters").alias("_commenters"),
     )
-    with_blog = U.with_url_ids(typed.withColumnRenamed("post_id", "_pid"), sites, "url")
-    return (with_blog.where(F.col("_pid").isNotNull())
-            .withColumn("users_participated", F.array_sort(F.array_distinct(F.filter(
-                F.concat(F.array(F.col("author_user")), F.col("_commenters")), lambda u: u.isNotNull()))))
-            .select(F.lit("posts").alias("_type"),
-                    F.concat("blog_id", F.lit("/"), F.col("_pid").cast("string")).alias("_id"),
-                    "blog_id", F.col("_pid").alias("post_id"), "page_id", "url", "title", "published", "flags",
-                    "hub_ids", "company_blog", "content_html", "tags", "pageviews", "favs_count",
-                    "voting_score", "author_user", "author_company", "comments_count",
-                    "author", "author_url", "author_rating", "content_outer_html", "updated_at",
-                    "users_participated"))
-
-
-def post_dead_letters(raw: DataFrame) -> DataFrame:
-    """Pages without a post container or with an id not of the form post_<n>."""
-    bad_id = F.regexp_extract("id_attr", "^post_([0-9]+)$", 1) == ""
-    return raw.where(~F.col("found") | bad_id).select(
-        "page_id", "url",
-        F.when(~F.col("found"), F.lit("no post container")).otherwise(F.lit("bad post id")).alias("error"))
+    # The author and every commenter not banned, each once.
+    everyone = F.concat(F.array("author_user"), F.coalesce("_commenters", F.array().cast("array<string>")))
+    error = (F.when(F.col("_failed").isNotNull(), F.col("_failed"))
+             .when(~F.col("_found"), F.lit("no post container"))
+             .when(F.col("_id_attr").isNull(), F.lit("no post id"))
+             .when(F.col("_pid").isNull(), F.lit("bad post id"))
+             .when(F.col("blog_id").isNull(), F.lit("unknown host")))
+    return U.with_url_ids(typed, sites, "url").select(
+        F.lit("posts").alias("_type"),
+        F.concat("blog_id", F.lit("/"), F.col("_pid").cast("string")).alias("_id"),
+        "blog_id", F.col("_pid").alias("post_id"), "page_id", "url", "title", "published", "flags",
+        "hub_ids", "company_blog", "content_html", "tags", "pageviews", "favs_count",
+        "voting_score", "author_user", "author_company", "comments_count",
+        "author", "author_url", "author_rating", "content_outer_html", "updated_at",
+        F.array_sort(F.array_distinct(F.array_compact(everyone))).alias("users_participated"), error.alias("error"))
+
+
+def posts_from_pages(raw: DataFrame, sites: DataFrame) -> DataFrame:
+    """Typed post records; all other pages are in :func:`post_dead_letters`."""
+    return typed_posts(raw, sites).where(F.col("error").isNull()).drop("error")
+
+
+def post_dead_letters(raw: DataFrame, sites: DataFrame) -> DataFrame:
+    """The pages that give no record, with the reason."""
+    return typed_posts(raw, sites).where(F.col("error").isNotNull()).select("page_id", "url", "error")
 
 
 def comments_from_pages(raw: DataFrame) -> DataFrame:
     """Flat typed comments ``(page_id, post_id, path, depth, …)`` of post pages."""
-    post_id = F.nullif(F.regexp_extract("id_attr", "^post_(.*)$", 1), F.lit("")).try_cast("bigint")
-    rows = raw.where("found").select("page_id", post_id.alias("post_id"), "fetched_at",
-                                     F.inline("comments"))
-    return rows.select(
-        "page_id", "post_id", "path",
+    return raw.select(
+        "page_id", _post_id().alias("post_id"), "path",
         (F.size("path") - 1).alias("depth"),
         F.slice("path", 1, F.size("path") - 1).alias("parent_path"),
         "banned",
@@ -264,215 +304,3 @@ def comments_from_pages(raw: DataFrame) -> DataFrame:
         "username", "user_url", "link",
         FD.parse_int("votes_text").alias("votes"),
         "message_html")
-
-
-# ------------------------------------------------------------- profiles
-RAW_DL = T.StructType([
-    T.StructField("key", _S),
-    T.StructField("el_id", _S),
-    T.StructField("value", _S),
-    T.StructField("value_html", _S),
-    T.StructField("link", _S),
-    T.StructField("item_hrefs", _AS),
-    T.StructField("link_texts", _AS),
-    T.StructField("user_texts", _AS),
-])
-RAW_PROFILE = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("url", _S),
-    T.StructField("fetched_at", T.TimestampNTZType()),
-    T.StructField("kind", _S),
-    T.StructField("canonical", _S),
-    T.StructField("name", _S),
-    T.StructField("image_src", _S),
-    T.StructField("karma_text", _S),
-    T.StructField("rating_text", _S),
-    T.StructField("fullname", _S),
-    T.StructField("dls", T.ArrayType(RAW_DL)),
-])
-
-
-def _dl_rows(profile_nodes: list[dom.Node]) -> list[dict]:
-    out = []
-    for dl in dom.find_all(profile_nodes, tag="dl"):
-        key = dom.first_text(dom.find_all(dl, tag="dt"))
-        if key is None:
-            continue
-        dds = dom.find_all(dl, tag="dd")
-        items = dom.children_path(dds, ["ul", "li"])
-        out.append({
-            "key": key, "el_id": dl.get("id"),
-            "value": dom.first_text(dds),
-            "value_html": dom.inner_html(dds),
-            "link": dom.first_attr([a for d in dds for a in dom.children(d, tag="a")], "href"),
-            "item_hrefs": [dom.first_attr(dom.find_all(li, tag="a"), "href") for li in items],
-            "link_texts": dom.text_nodes([a for d in dds for a in dom.children(d, tag="a")]),
-            "user_texts": dom.text_nodes([a for d in dds for ul in dom.find_all(d, tag="ul", cls="users")
-                                          for li in dom.children(ul, tag="li") for a in dom.children(li, tag="a")]),
-        })
-    return out
-
-
-def profile_record(markup: str) -> dict:
-    root = dom.parse(markup)
-    rec = {"canonical": _canonical(root), "kind": None}
-    company = dom.find_all(root, tag="div", cls="company_header")
-    user = dom.find_all(root, tag="div", cls="user_header")
-    if company:
-        icons = [img for d in dom.find_all(company, tag="div", cls="company_icon")
-                 for img in dom.children(d, tag="img")]
-        names = [a for d in dom.find_all(company, tag="div", cls="name") for a in dom.children(d, tag="a")]
-        rec.update(kind="company", image_src=dom.first_attr(icons, "src"), name=dom.first_text(names),
-                   dls=_dl_rows(dom.find_all(root, tag="div", cls="company_profile")))
-    elif user:
-        avatars = [img for a in dom.find_all(user, tag="a", cls="avatar") for img in dom.children(a, tag="img")]
-        names = [a for h in dom.find_all(user, tag="h2", cls="username") for a in dom.children(h, tag="a")]
-        prof = dom.find_all(root, tag="div", cls="user_profile")
-        rec.update(kind="user", image_src=dom.first_attr(avatars, "src"), name=dom.first_text(names),
-                   karma_text=dom.first_text(dom.find_all(dom.find_all(user, tag="div", cls="karma"),
-                                                          tag="div", cls="num")),
-                   rating_text=dom.first_text(dom.find_all(dom.find_all(user, tag="div", cls="rating"),
-                                                           tag="div", cls="num")),
-                   fullname=dom.first_text(dom.find_all(prof, tag="div", cls="fullname")),
-                   dls=_dl_rows(prof))
-    return rec
-
-
-def _profile_batches(batches):
-    names = [f.name for f in RAW_PROFILE.fields]
-    for pdf in batches:
-        rows = []
-        for page_id, url, fetched, html in zip(pdf["page_id"], pdf["url"], pdf["fetched_at"], pdf["html"]):
-            rec = profile_record(html)
-            rec.update(page_id=page_id, url=url, fetched_at=fetched)
-            rows.append([rec.get(n) for n in names])
-        yield pd.DataFrame(rows, columns=names)
-
-
-def extract_profile_pages(pages: DataFrame) -> DataFrame:
-    if "fetched_at" not in pages.columns:
-        pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
-    return spread(pages.select("page_id", "url", "fetched_at", "html")).mapInPandas(_profile_batches, RAW_PROFILE)
-
-
-# Fixed labels of the profile definition lists.
-USER_LABELS = {
-    "about": "О себе",
-    "site": "Сайт",
-    "registered": "Зарегистрирован",
-    "activity": "Активность",
-    "hubs": "Состоит в",
-    "invites_prefix": "Пригласил на",
-    "interests": "Интересы",
-}
-USER_LIST_IDS = {"working": "working_in", "favorite": "favorite_companies_list"}
-COMPANY_LABELS = {
-    "about": "О компании",
-    "site": "Сайт",
-    "staff_prefix": "Сотрудники на",
-    "date_prefix": "Дата",
-    "date_suffix": "регистрации",
-}
-
-
-def _with_keys(dls, branch_of):
-    """Stripped key and value per definition list, plus the branch the
-    first matching rule of the parser assigns it to."""
-    def one(d):
-        k = FD.strip_label(d["key"])
-        return F.struct(k.alias("k"), FD.strip_ws(d["value"]).alias("v"), d["value_html"].alias("html"),
-                        d["link"].alias("link"), d["item_hrefs"].alias("hrefs"),
-                        d["link_texts"].alias("texts"), d["user_texts"].alias("users"),
-                        branch_of(k, d["el_id"]).alias("branch"))
-    return F.transform(dls, one)
-
-
-def _last(arr, branch: str):
-    """The last definition list of a branch (later ones overwrite)."""
-    return F.try_element_at(F.filter(arr, lambda x: x["branch"] == F.lit(branch)), F.lit(-1))
-
-
-def _ids(hrefs, extractor):
-    return F.filter(F.transform(hrefs, lambda h: extractor(h)), lambda x: x.isNotNull())
-
-
-def _info(arr):
-    """Unknown labels → sorted ``(key, value)``; a repeated key keeps its last value."""
-    info = F.filter(arr, lambda x: x["branch"] == F.lit("info"))
-    last_only = F.filter(info, lambda x, i: ~F.exists(F.slice(info, i + 2, F.size(info) + 1),
-                                                      lambda y: y["k"] == x["k"]))
-    return F.array_sort(F.transform(last_only, lambda x: F.struct(x["k"].alias("key"), x["html"].alias("value"))))
-
-
-def user_profiles(raw: DataFrame, sites: DataFrame) -> DataFrame:
-    L, ids = USER_LABELS, USER_LIST_IDS
-
-    def branch(k, el_id):
-        return (F.when(k == L["about"], "about").when(k == L["site"], "site")
-                .when(k == L["registered"], "registered").when(k == L["activity"], "activity")
-                .when(el_id == ids["working"], "working").when(el_id == ids["favorite"], "favorite")
-                .when(k == L["hubs"], "hubs").when(k.startswith(L["invites_prefix"]), "invites")
-                .when(k == L["interests"], "interests").otherwise("info"))
-
-    u = raw.where(F.col("kind") == "user").withColumn("_d", _with_keys(F.col("dls"), branch))
-    url = F.coalesce("canonical", "url")
-    d = F.col("_d")
-    out = u.select(
-        "page_id", url.alias("url"),
-        U.user_id(url).alias("user_id"),
-        FD.strip_ws(F.col("name")).alias("username"),
-        FD.strip_ws(F.col("fullname")).alias("fullname"),
-        U.join_url(url, F.col("image_src")).alias("avatar_url"),
-        FD.parse_site_datetime(FD.registration_text(_last(d, "registered")["v"]), F.col("fetched_at"))
-          .alias("registration_date"),
-        FD.parse_site_datetime(FD.last_activity_text(_last(d, "activity")["v"]), F.col("fetched_at"))
-          .alias("last_activity"),
-        FD.parse_karma("karma_text").alias("karma"),
-        FD.parse_karma("rating_text").alias("rating"),
-        _last(d, "about")["html"].alias("about_html"),
-        _last(d, "site")["link"].alias("website_url"),
-        F.coalesce(_ids(_last(d, "working")["hrefs"], U.company_id), F.array().cast("array<string>"))
-          .alias("working_companies"),
-        F.coalesce(_ids(_last(d, "favorite")["hrefs"], U.company_id), F.array().cast("array<string>"))
-          .alias("favorite_companies"),
-        F.coalesce(_ids(_last(d, "hubs")["hrefs"], U.hub_id), F.array().cast("array<string>")).alias("hubs"),
-        F.coalesce(_last(d, "interests")["texts"], F.array().cast("array<string>")).alias("tags"),
-        F.coalesce(_ids(_last(d, "invites")["hrefs"], U.user_id), F.array().cast("array<string>")).alias("invites"),
-        _info(d).alias("info"),
-    )
-    return _with_blog(out, sites, "user_id", "user")
-
-
-def company_profiles(raw: DataFrame, sites: DataFrame) -> DataFrame:
-    L = COMPANY_LABELS
-
-    def branch(k, el_id):
-        return (F.when(k == L["about"], "about").when(k == L["site"], "site")
-                .when(k.startswith(L["staff_prefix"]), "staff")
-                .when(k.startswith(L["date_prefix"]) & k.endswith(L["date_suffix"]), "registered")
-                .otherwise("info"))
-
-    c = raw.where(F.col("kind") == "company").withColumn("_d", _with_keys(F.col("dls"), branch))
-    url = F.coalesce("canonical", "url")
-    d = F.col("_d")
-    out = c.select(
-        "page_id", url.alias("url"),
-        U.company_id(url).alias("company_id"),
-        F.col("name"),
-        U.join_url(F.col("url"), F.col("image_src")).alias("icon_url"),
-        _last(d, "about")["html"].alias("about_html"),
-        _last(d, "site")["link"].alias("website_url"),
-        FD.parse_site_datetime(_last(d, "registered")["v"], F.col("fetched_at")).alias("registration_date"),
-        F.coalesce(_last(d, "staff")["users"], F.array().cast("array<string>")).alias("staff_users"),
-        _info(d).alias("info"),
-    )
-    return _with_blog(out, sites, "company_id", "company")
-
-
-def _with_blog(df: DataFrame, sites: DataFrame, id_col: str, kind: str) -> DataFrame:
-    """Record keys: blog from the host of the URL (broadcast site lookup)."""
-    lookup = F.broadcast(sites.select(F.col("host").alias("_h"), F.col("blog_id").alias("_blog")))
-    out = df.join(lookup, U.netloc(F.col("url")) == lookup._h, "left")
-    return out.select(F.lit(kind).alias("_type"),
-                      F.concat("_blog", F.lit("/"), F.col(id_col)).alias("_id"),
-                      F.col("_blog").alias("blog_id"), *df.columns)

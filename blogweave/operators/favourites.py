@@ -1,9 +1,8 @@
 """Favourite edges (user → post key) from favourites pages.
 
-Flat markup (a user name and a list of post anchors), so native regex
-extraction is enough: no Python.  Post keys are ``<blog>/<post id>``;
-anchors whose host is unknown or whose URL has no post id go to the dead
-letter output instead of ending the page.
+Each favourite's first post link is taken, inside the page's list of
+favourites only.  Post keys are ``<blog>/<post id>``; links whose host is
+unknown or whose URL has no post id go to the dead letters.
 """
 
 from __future__ import annotations
@@ -11,28 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blogweave.functions import html as H
 from blogweave.functions import urls as U
+from blogweave.operators.scoped_links import FAVOURITES, scoped_links
 
 
-def _anchors(pages: DataFrame, post_class: str) -> DataFrame:
-    user = H.unescape_basic(H.first_anchor_text("html", "h2", "username"))
-    a = pages.select("url", user.alias("user"), F.explode(H.anchors("html")).alias("a"))
-    a = a.where(H.has_class(H.class_of(F.col("a.tag")), post_class))
-    href = H.unescape_basic(F.col("a.href"))
-    return a.select("user", U.join_url(F.col("url"), href).alias("post_url"))
+def _posts(pages: DataFrame, sites: DataFrame) -> DataFrame:
+    links = scoped_links(_with_id(pages), FAVOURITES).where("kind = 'post'")
+    return U.with_url_ids(links.select("user", F.col("abs_url").alias("post_url")), sites, "post_url")
 
 
-def favourite_edges(pages: DataFrame, sites: DataFrame, post_class: str = "post_title") -> DataFrame:
+def _with_id(pages: DataFrame) -> DataFrame:
+    return pages if "page_id" in pages.columns else pages.withColumn("page_id", F.lit(None).cast("bigint"))
+
+
+def favourite_edges(pages: DataFrame, sites: DataFrame) -> DataFrame:
     """Distinct ``(user, post_key)`` edges."""
-    ids = U.with_url_ids(_anchors(pages, post_class), sites, "post_url")
+    ids = _posts(pages, sites)
     return (ids.where(F.col("post_id").isNotNull() & F.col("blog_id").isNotNull() & F.col("user").isNotNull())
             .select("user", F.concat("blog_id", F.lit("/"), F.col("post_id").cast("string")).alias("post_key"))
             .distinct())
 
 
-def favourite_dead_letters(pages: DataFrame, sites: DataFrame, post_class: str = "post_title") -> DataFrame:
-    ids = U.with_url_ids(_anchors(pages, post_class), sites, "post_url")
-    return ids.where(F.col("post_id").isNull() | F.col("blog_id").isNull()).select(
+def favourite_pages(pages: DataFrame) -> DataFrame:
+    """Further favourites pages to fetch: ``(url, next_url, priority)``."""
+    return scoped_links(_with_id(pages), FAVOURITES).where("kind = 'page'").select("url", F.col("abs_url").alias("next_url"), "priority")
+
+
+def favourite_dead_letters(pages: DataFrame, sites: DataFrame) -> DataFrame:
+    ids = _posts(pages, sites)
+    return ids.where(F.col("post_id").isNull() | F.col("blog_id").isNull() | F.col("user").isNull()).select(
         "user", "post_url",
-        F.when(F.col("blog_id").isNull(), F.lit("unknown host")).otherwise(F.lit("no post id")).alias("error"))
+        F.when(F.col("blog_id").isNull(), F.lit("unknown host")).when(F.col("post_id").isNull(), F.lit("no post id"))
+        .otherwise(F.lit("no user")).alias("error"))

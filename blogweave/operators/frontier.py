@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from blogweave.functions import html as H
 from blogweave.functions import urls as U
-from blogweave.operators.pages import container_pattern
-from blogweave.sources.dims import (REFERENCE_ALLOWED_DOMAINS, REFERENCE_FEED_PAGES,
-                                    REFERENCE_FEED_ROOT, REFERENCE_RESTRICTED_TITLE)
+from blogweave.sources.dims import (DEFAULT_ALLOWED_DOMAINS, DEFAULT_FEED_PAGES,
+                                    DEFAULT_FEED_ROOT, DEFAULT_RESTRICTED_TITLE)
 
 # Fixed routing rules of the original crawl, in order; first match wins.
 ROUTES = [
@@ -50,7 +49,7 @@ def mobile_deny_pattern(domains: list[str]) -> str:
     return domain_pattern([f"m.{d}" for d in domains])
 
 
-def extraction_outcomes(pages: DataFrame, restricted_title: str = REFERENCE_RESTRICTED_TITLE,
+def extraction_outcomes(pages: DataFrame, restricted_title: str = DEFAULT_RESTRICTED_TITLE,
                         container_tag: str = "[a-z0-9]+", container_class: str | None = "post") -> DataFrame:
     """Outcome per fetched page.
 
@@ -59,14 +58,12 @@ def extraction_outcomes(pages: DataFrame, restricted_title: str = REFERENCE_REST
     letter, retried later); 200 otherwise → ``stored``; any other status
     leaves no outcome.  A page without a status column counts as 200.
     """
-    status = F.col("status") if "status" in pages.columns else F.lit(200)
     title = H.title("html")
     restricted = F.coalesce(title.endswith(F.lit(restricted_title)), F.lit(False))
-    has_container = F.col("html").rlike(container_pattern(container_tag, container_class))
-    outcome = (F.when(status == 404, F.lit("404"))
-               .when((status == 200) & restricted, F.lit("forbidden"))
-               .when((status == 200) & ~has_container, F.lit("exception"))
-               .when(status == 200, F.lit("stored")))
+    has_container = F.col("html").rlike(H.open_tag(container_tag, container_class))
+    outcome = F.when(restricted, F.lit("forbidden")).when(~has_container, F.lit("exception")).otherwise(F.lit("stored"))
+    if "status" in pages.columns:
+        outcome = F.when(F.col("status") == 404, F.lit("404")).when(F.col("status") == 200, outcome)
     error = F.when(outcome == "exception", F.lit("no container element"))
     return pages.select("page_id", outcome.alias("outcome"), error.alias("error"))
 
@@ -91,8 +88,8 @@ def post_range_seeds(spark: SparkSession, min_id: int, max_id: int, base_urls: l
                     F.lit("post").alias("kind"), "post_id"))
 
 
-def feed_seeds(spark: SparkSession, base_urls: list[str], feed_pages: list[str] = REFERENCE_FEED_PAGES,
-               root: str | None = REFERENCE_FEED_ROOT) -> DataFrame:
+def feed_seeds(spark: SparkSession, base_urls: list[str], feed_pages: list[str] = DEFAULT_FEED_PAGES,
+               root: str | None = DEFAULT_FEED_ROOT) -> DataFrame:
     """Feed root plus every site × feed page (bounded: sites × pages)."""
     rows = [(b.rstrip("/") + p, "feed") for b in base_urls for p in feed_pages]
     if root:
@@ -108,7 +105,7 @@ def explicit_post_seeds(post_ids: DataFrame, base_url: str) -> DataFrame:
 
 
 def frontier_seeds(spark: SparkSession, min_id: int, max_id: int, base_urls: list[str],
-                   feed_pages: list[str] = REFERENCE_FEED_PAGES, root: str | None = REFERENCE_FEED_ROOT,
+                   feed_pages: list[str] = DEFAULT_FEED_PAGES, root: str | None = DEFAULT_FEED_ROOT,
                    post_ids: DataFrame | None = None) -> DataFrame:
     """Union of the id-range seeds, the feed seeds and, optionally,
     explicit post ids on the first site."""
@@ -117,7 +114,7 @@ def frontier_seeds(spark: SparkSession, min_id: int, max_id: int, base_urls: lis
     return out.unionByName(explicit_post_seeds(post_ids, base_urls[0])) if post_ids is not None else out
 
 
-def route_links(links: DataFrame, allowed_domains: list[str] = REFERENCE_ALLOWED_DOMAINS,
+def route_links(links: DataFrame, allowed_domains: list[str] = DEFAULT_ALLOWED_DOMAINS,
                 deny_host_pattern: str | None = None, url_col: str = "abs_url") -> DataFrame:
     """First matching routing rule per link.
 
@@ -138,4 +135,4 @@ def route_links(links: DataFrame, allowed_domains: list[str] = REFERENCE_ALLOWED
 def new_links(routed: DataFrame, known: DataFrame, url_col: str = "abs_url") -> DataFrame:
     """Distinct on-site links whose URL is not known yet."""
     cand = routed.where("on_site").select(F.col(url_col).alias("url"), "route").distinct()
-    return cand.join(known.select("url").distinct(), "url", "left_anti")
+    return cand.join(known.select("url"), "url", "left_anti")

@@ -1,8 +1,8 @@
-"""Page-level jobs on the raw ``pages`` table.
+"""Page-level jobs on the raw ``pages`` table.
 
 One scan of ``pages``, native expressions per row, and ``posexplode`` for
 links: no shuffle anywhere, so the work is split exactly like the input
-files.  Only ``url_ids`` joins, against the broadcast site dimension.
+files.  Only ``url_ids`` joins, with the site dimension.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from blogweave.functions import html as H
 from blogweave.functions import urls as U
-from blogweave.sources.dims import REFERENCE_RESTRICTED_TITLE
+from blogweave.sources.dims import DEFAULT_RESTRICTED_TITLE
 
 # Anchor classes of the original markup and the link kind they stand for.
 LINK_KINDS = [
@@ -29,18 +29,13 @@ def visible_text(pages: DataFrame, keep_comments: bool = True) -> DataFrame:
     return pages.select("page_id", text.alias("text")).withColumn("n_chars", F.length("text"))
 
 
-def container_pattern(tag: str = "[a-z0-9]+", cls: str | None = None) -> str:
-    cls_part = rf'[^>]*\sclass="(?:[^"]*\s)?{cls}(?:\s[^"]*)?"' if cls else ""
-    return rf"(?is)<{tag}\b{cls_part}[^>]*>"
-
-
-def usable_pages(pages: DataFrame, restricted_title: str = REFERENCE_RESTRICTED_TITLE,
+def usable_pages(pages: DataFrame, restricted_title: str = DEFAULT_RESTRICTED_TITLE,
                  container_tag: str = "[a-z0-9]+", container_class: str | None = "post") -> DataFrame:
     """Drop pages whose title ends with the restriction phrase (a
     missing title keeps the page) and pages without a container element."""
     title = H.title("html")
     restricted = F.coalesce(title.endswith(F.lit(restricted_title)), F.lit(False))
-    has_container = F.col("html").rlike(container_pattern(container_tag, container_class))
+    has_container = F.col("html").rlike(H.open_tag(container_tag, container_class))
     return (pages.where(~restricted & has_container)
             .select("page_id", "url", title.alias("title")))
 
@@ -60,22 +55,6 @@ def extract_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def feed_links(pages: DataFrame, nav_tag: str = "ul", nav_attr: str = r'\sid="nav-pages"',
-               post_class: str = "post_title", priority: int = 0) -> DataFrame:
-    """Post links (anchors of ``post_class``) and navigation links
-    (anchors inside the navigation element) of feed pages."""
-    nav = H.block("html", nav_tag, nav_attr)
-    nav_links = pages.select("page_id", "url", F.posexplode(H.anchors(nav)).alias("pos", "a")) \
-        .withColumn("kind", F.lit("page"))
-    post_links = (pages.select("page_id", "url", F.posexplode(H.anchors("html")).alias("pos", "a"))
-                  .where(H.has_class(H.class_of(F.col("a.tag")), post_class))
-                  .withColumn("kind", F.lit("post")))
-    return nav_links.unionByName(post_links).select(
-        "page_id", "kind", "pos", F.col("a.href").alias("href"),
-        U.join_url(F.col("url"), F.col("a.href")).alias("abs_url"),
-        F.lit(priority).alias("priority"))
-
-
 def url_ids(pages: DataFrame, sites: DataFrame, loose: bool = False) -> DataFrame:
     """Ids carried by each page URL (canonical link preferred)."""
     base = pages.select("page_id", "url", "html")

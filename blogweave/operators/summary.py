@@ -32,33 +32,22 @@ def comment_stats(comments: DataFrame, posts: DataFrame | None = None,
     up a key comments never carry: the count is then ``comments_parsed``
     for posts without an author and 0 otherwise.
     """
-    stats = comments.groupBy("post_id").agg(
-        F.count_if(_valid()).alias("comments_parsed"),
-        F.count_if(F.coalesce(F.col("banned"), F.lit(False))).alias("comments_banned"),
-        F.min(F.when(_valid(), F.col("time"))).alias("first_comment_time"),
-        F.max(F.when(_valid(), F.col("time"))).alias("last_comment_time"),
-    )
+    # One scan: per (post, user) first, which spreads a hot post over many
+    # tasks, then per post.
+    user = F.col(author_key or "username")
+    per_user = comments.groupBy("post_id", user.alias("_user")).agg(
+        F.count_if(_valid()).alias("_parsed"),
+        F.count_if(F.coalesce(F.col("banned"), F.lit(False))).alias("_banned"),
+        F.min(F.when(_valid(), F.col("time"))).alias("_first"),
+        F.max(F.when(_valid(), F.col("time"))).alias("_last"))
+    totals = [F.sum("_parsed").alias("comments_parsed"), F.sum("_banned").alias("comments_banned"),
+              F.min("_first").alias("first_comment_time"), F.max("_last").alias("last_comment_time")]
     if posts is None:
-        return stats
-    authors = posts.select("post_id", "author")
-    if author_key is None:
-        return (stats.join(authors, "post_id", "left")
-                .withColumn("author_comments",
-                            F.when(F.col("author").isNull(), F.col("comments_parsed"))
-                            .otherwise(F.lit(0)).cast("bigint"))
-                .drop("author"))
-    # Pre-aggregate per (post, user) before touching posts: bounded by the
-    # number of distinct commenters, and hashed on both keys so a hot post
-    # spreads over many tasks.
-    per_user = (comments.where(_valid() & F.col(author_key).isNotNull())
-                .groupBy("post_id", F.col(author_key).alias("_user"))
-                .agg(F.count(F.lit(1)).alias("_n")))
-    by_author = (per_user.join(authors.where(F.col("author").isNotNull()),
-                               (per_user.post_id == authors.post_id)
-                               & (per_user._user == authors.author))
-                 .select(per_user.post_id, F.col("_n").alias("author_comments")))
-    return (stats.join(by_author, "post_id", "left")
-            .withColumn("author_comments", F.coalesce("author_comments", F.lit(0)).cast("bigint")))
+        return per_user.groupBy("post_id").agg(*totals)
+    by_author = F.sum(F.when(F.col("author").isNull(), F.col("_parsed")).otherwise(0)) if author_key is None else \
+        F.sum(F.when(F.col("_user") == F.col("author"), F.col("_parsed")).otherwise(0))
+    return (per_user.join(posts.select("post_id", "author"), "post_id", "left")
+            .groupBy("post_id").agg(*totals, by_author.alias("author_comments")))
 
 
 def post_summary(posts: DataFrame, comments: DataFrame, author_key: str | None = "username",

@@ -3,17 +3,20 @@
 Flat model used by every analytic job: one row per comment with
 ``path`` (sibling positions from the root), ``depth`` and ``parent_path``.
 
+*Paths* come straight from the parent links (:func:`flat_tree`): sibling
+positions by a range-partitioned sort, put together along each comment's
+lineage by pointer jumping; no post is gathered.
+
 *Flatten* (nested → flat) is a pure expression over each post row:
 ``transform``/``flatten`` per level of the depth-limited schema, then one
 ``inline``; no shuffle, no Python.  Subtrees deeper than the schema arrive
 as raw JSON (VARIANT) in the last level and are walked by a small ``mapInPandas``
 stack (only those rows go to Python).
 
-*Nest* (flat → nested) is needed to write post documents.  Each comment's
-lineage (root → itself) comes from pointer jumping over the parent links
-(about log2(depth) rounds, each written to the shared scratch folder); a
-post's comments sorted by lineage are in pre-order, are written as JSON
-text with one ``groupBy(post_id)`` and decoded once with ``from_json``.
+*Nest* (flat → nested) is needed to write post documents: a post's comments
+sorted by lineage are in pre-order, are written as JSON text with one
+``groupBy(post_id)`` and decoded once with ``from_json``.  A post document
+holds all its comments, so this group is the output's own size.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,16 +75,12 @@ def flatten_comments(posts: DataFrame, col: str = "comments", depth: int = TREE_
     nodes = F.concat(*[F.transform(f"_l{k}", _flat_node) for k in range(depth)])
     overflow = F.filter(last, lambda p: p["node"]["replies"].isNotNull()
                         & (F.to_json(p["node"]["replies"]) != "[]"))
-    # The per-level expressions run once: written out with the number of
-    # posts whose trees go below the schema observed on the way.
-    per_post, seen = materialize(df.select(key, nodes.alias("_nodes"), overflow.alias("_over")),
-                                 "tree-flat", deep=F.count_if(F.size("_over") > 0))
-    flat = per_post.select(key, F.inline("_nodes"))
-    if seen.get("deep"):
-        deep = per_post.where(F.size("_over") > 0).select(
-            key, F.inline(F.transform("_over", lambda p: F.struct(
-                p["path"].alias("path"), F.to_json(p["node"]["replies"]).alias("replies")))))
-        flat = flat.unionByName(_walk_deep(deep, key))
+    # Typed levels by expressions; what lies below them is raw JSON and walked.
+    per_post = df.select(key, nodes.alias("_nodes"), overflow.alias("_over"))
+    deep = per_post.where(F.size("_over") > 0).select(
+        key, F.inline(F.transform("_over", lambda p: F.struct(
+            p["path"].alias("path"), F.to_json(p["node"]["replies"]).alias("replies")))))
+    flat = per_post.select(key, F.inline("_nodes")).unionByName(_walk_deep(deep, key))
     return flat.select(
         key, "path",
         (F.size("path") - 1).alias("depth"),
@@ -111,56 +110,96 @@ def _walk_deep(deep: DataFrame, key: str) -> DataFrame:
     return deep.mapInPandas(walk, schema)
 
 
-def comment_depths(comments: DataFrame, lineage: bool = False) -> DataFrame:
-    """Depth of every comment reachable from a root (``parent_id`` null).
-
-    Pointer jumping: each pending comment keeps an ancestor and the
-    distance to it; one round replaces the ancestor by the ancestor's own
-    ancestor and adds the distances, so the remaining distance halves and
-    a tree of depth D needs about log2(D) rounds, whatever D is.  A
-    comment resolves when its ancestor is a resolved one.  Every round
-    joins only the pending comments and is written to the shared scratch
-    folder (short lineage, one job per round, resolved count observed on
-    the way).  Comments under a missing parent drop out; comments on a
-    cycle never resolve, and the walk ends when a round resolves nothing.
-
-    ``lineage=True`` also returns the comment ids from the root down to the
-    comment (segments are concatenated along the jumps): sorting a post's
-    comments by it gives pre-order with siblings by id.
+def sibling_positions(comments: DataFrame) -> DataFrame:
+    """``(comment_id, parent_id, sib)``: place among the comments of the same
+    parent, by id.
+
+    All comments are sorted by range of (post, parent, id); a comment's place
+    is its place in that order less the first place of its parent's, so a
+    parent with any number of replies is never one task's window.
     """
-    seg = (lambda c: F.array(F.col(c))) if lineage else (lambda c: F.lit(None).cast("array<long>"))
-    base, _ = materialize(comments.select("comment_id", "parent_id"), "tree-links")
-    pieces = [base.where(F.col("parent_id").isNull())
-              .select("comment_id", F.lit(0).alias("dist"), seg("comment_id").alias("seg"))]
-    pending = (base.where(F.col("parent_id").isNotNull())
-               .select("comment_id", F.col("parent_id").alias("anc"), F.lit(1).alias("dist"),
-                       seg("comment_id").alias("seg")))
+    order = ["post_id", "parent_id", "comment_id"]
+    placed, _ = materialize(
+        comments.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id()), "tree-order")
+    # The id counts rows within a partition: partition << 33, then the row.
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))        # one row per task
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    ranked = placed.withColumns({"_part": part, "_row": row}).join(starts, "_part").select(
+        *order, (F.col("_start") + F.col("_row")).alias("_rank"))
+    first = ranked.groupBy("post_id", "parent_id").agg(F.min("_rank").alias("_first")).select(
+        F.col("post_id").alias("_p"), F.col("parent_id").alias("_q"), "_first")
+    same = (F.col("post_id") == F.col("_p")) & F.col("parent_id").eqNullSafe(F.col("_q"))
+    return ranked.join(first, same).select("comment_id", "parent_id", (F.col("_rank") - F.col("_first")).cast("int").alias("sib"))
+
+
+def _lineages(links: DataFrame, step: str) -> DataFrame:
+    """``(comment_id, depth, seg)``: the values of column ``step`` from the
+    root to each comment reachable from a root (``parent_id`` null).
+
+    Pointer jumping: each pending comment keeps an ancestor and what lies
+    between; one round replaces the ancestor by the ancestor's own ancestor,
+    so the remaining distance halves and a tree of depth D needs about
+    log2(D) rounds, whatever D is.  A comment resolves when its ancestor is
+    a resolved one.  Every round joins only the pending comments and is
+    written to the shared scratch folder (short lineage, one job per round,
+    resolved count observed on the way).  Comments under a missing parent drop
+    out; comments on a cycle never resolve, and the walk ends when a round
+    resolves nothing.
+    """
+    base, _ = materialize(links.select("comment_id", "parent_id", F.col(step).alias("step")), "tree-links")
+    pieces = [base.where(F.col("parent_id").isNull()).select("comment_id", F.array("step").alias("seg"))]
+    pending = base.where(F.col("parent_id").isNotNull()).select("comment_id", F.col("parent_id").alias("anc"), F.array("step").alias("seg"))
     while True:
         resolved = pieces[0]
         for p in pieces[1:]:
             resolved = resolved.unionByName(p)
-        look = resolved.select(F.col("comment_id").alias("l_id"), F.lit(None).cast("long").alias("l_anc"),
-                               F.col("dist").alias("l_dist"), F.col("seg").alias("l_seg")).unionByName(
-            pending.select(F.col("comment_id").alias("l_id"), F.col("anc").alias("l_anc"),
-                           F.col("dist").alias("l_dist"), F.col("seg").alias("l_seg")))
-        step, seen = materialize(
+        look = (resolved.select(F.col("comment_id").alias("l_id"), F.lit(None).cast("long").alias("l_anc"), F.col("seg").alias("l_seg"))
+                .unionByName(pending.select(F.col("comment_id").alias("l_id"), F.col("anc").alias("l_anc"), F.col("seg").alias("l_seg"))))
+        round_, seen = materialize(
             pending.join(look, pending.anc == look.l_id)
-            .select("comment_id", F.col("l_anc").alias("anc"), (F.col("dist") + F.col("l_dist")).alias("dist"),
-                    F.concat("l_seg", "seg").alias("seg")),
+            .select("comment_id", F.col("l_anc").alias("anc"), F.concat("l_seg", "seg").alias("seg")),
             "tree-round", newly=F.count_if(F.col("anc").isNull()), left=F.count_if(F.col("anc").isNotNull()))
         if not seen.get("newly"):
             break       # nothing reachable is left (orphans, cycles)
-        pieces.append(step.where(F.col("anc").isNull()).select("comment_id", "dist", "seg"))
-        pending = step.where(F.col("anc").isNotNull())
+        pieces.append(round_.where(F.col("anc").isNull()).select("comment_id", "seg"))
+        pending = round_.where(F.col("anc").isNotNull())
         if not seen.get("left"):
             break       # everything resolved
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)
-    out = out.withColumnRenamed("dist", "depth")
+    return out.select("comment_id", (F.size("seg") - 1).alias("depth"), "seg")
+
+
+def comment_depths(comments: DataFrame, lineage: bool = False) -> DataFrame:
+    """Depth of every comment reachable from a root; ``lineage=True`` also
+    returns the comment ids from the root down to the comment: sorting a
+    post's comments by it gives pre-order with siblings by id."""
+    out = _lineages(comments, "comment_id")
     return out.withColumnRenamed("seg", "lineage") if lineage else out.drop("seg")
 
 
+def flat_tree(comments: DataFrame) -> DataFrame:
+    """Comments with parent links → the same rows with ``path``, ``depth`` and
+    ``parent_path``; no row or group holds a whole post.  Comments that no
+    root leads to are in :func:`tree_dead_letters`."""
+    paths = _lineages(sibling_positions(comments), "sib").withColumnRenamed("seg", "path")
+    return comments.join(paths, "comment_id").withColumn("parent_path", F.slice("path", 1, F.size("path") - 1))
+
+
+def tree_dead_letters(comments: DataFrame) -> DataFrame:
+    """Comments that cannot be placed: ``missing parent`` where the parent is
+    no comment, ``unreachable`` below such a comment or on a cycle."""
+    lost = comments.join(comment_depths(comments).select("comment_id"), "comment_id", "left_anti")
+    known = comments.select(F.col("comment_id").alias("_known"))
+    return (lost.join(known, lost.parent_id == known._known, "left")
+            .select("post_id", "comment_id", "parent_id",
+                    F.when(F.col("_known").isNull(), F.lit("missing parent")).otherwise(F.lit("unreachable")).alias("error")))
+
+
 def preorder(comments: DataFrame, value: Column, name: str = "items") -> DataFrame:
     """``(post_id, items)``: each post's ``struct(lineage, depth, value)``
     in pre-order (siblings by comment id); one ``groupBy(post_id)``."""

@@ -1,7 +1,7 @@
 """DuckDB SQL for every job that SQL can express.
 
 The adapter views are written once as CTE text, mirroring
-:mod:`blogweave.sources.adapters`; every job's SQL starts from them.
+:mod:`blogweave.fixtures.views`; every job's SQL starts from them.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ v_posts AS (
     'b' || CAST(doc_id % 3 AS VARCHAR) AS blog_id,
     doc_id AS post_id,
     'https://b' || CAST(doc_id % 3 AS VARCHAR) || '.example.org/post/' || CAST(doc_id AS VARCHAR) || '/' AS url,
-    substr(text, 1, 40) AS title,
+    source || ' #' || CAST(doc_id AS VARCHAR) AS title,
     TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id AS BIGINT)) AS published,
     TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id AS BIGINT))
       + to_minutes(CAST(n_chars % 1000 AS BIGINT)) AS updated_at,
@@ -22,7 +22,8 @@ v_posts AS (
     [{'name': lang, 'url': 'https://b' || CAST(doc_id % 3 AS VARCHAR) || '.example.org/hub/' || lang || '/'},
      {'name': source, 'url': 'https://b' || CAST(doc_id % 3 AS VARCHAR) || '.example.org/company/' || source || '/'}] AS hubs,
     source AS company_blog,
-    text AS content_html,
+    '<p class="lead">' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p><!-- cut ' || lang
+      || ' --><script>if (a<b && c) {}</script><br>' AS content_html,
     [lang, source] AS tags,
     CAST(n_chars AS INTEGER) AS pageviews,
     CAST(CASE WHEN doc_id % 5 <> 0 THEN n_chars % 100 END AS INTEGER) AS favs_count,
@@ -98,10 +99,8 @@ ORDER BY p.post_id""", V_POSTS, V_COMMENTS, COMMENT_STATS_BODY)
 
 
 # ------------------------------------------------------------ page jobs
-from blogweave.functions import html as _H  # noqa: E402
-from blogweave.functions import urls as _U  # noqa: E402
-from blogweave.operators import frontier as _FR  # noqa: E402
-from blogweave.sources.dims import fixture_sites as _fixture_sites  # noqa: E402
+RESTRICTED = "Доступ к странице ограничен"
+SITE_LIST = [(f"b{k}.example.org", f"b{k}", f"https://b{k}.example.org/") for k in range(3)]
 
 
 def q(s: str) -> str:
@@ -109,109 +108,146 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def sql_join_url(base: str, ref: str) -> str:
-    origin = f"regexp_extract({base}, {q(r'^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)')}, 1)"
-    no_frag = f"regexp_replace({base}, '#.*$', '')"
-    no_query = f"regexp_replace({no_frag}, '\\?.*$', '')"
-    path = f"regexp_extract({no_query}, {q(r'^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$')}, 1)"
-    directory = f"regexp_replace({path}, '[^/]*$', '')"
-    return f"""(CASE WHEN {ref} IS NULL THEN NULL
-      WHEN {ref} = '' THEN {no_frag}
-      WHEN regexp_matches({ref}, {q(_U.SCHEME)}) THEN {ref}
-      WHEN starts_with({ref}, '//') THEN regexp_extract({base}, {q(_U.SCHEME)}, 1) || ':' || {ref}
-      WHEN starts_with({ref}, '/') THEN {origin} || {ref}
-      WHEN starts_with({ref}, '?') THEN {no_query} || {ref}
-      WHEN starts_with({ref}, '#') THEN {no_frag} || {ref}
-      ELSE {origin} || (CASE WHEN {directory} = '' THEN '/' ELSE {directory} END) || {ref} END)"""
-
-
 def sql_group(col: str, pattern: str, idx: int = 1) -> str:
     return f"nullif(regexp_extract({col}, {q(pattern)}, {idx}), '')"
 
 
-def sql_has_class(classes: str, name: str) -> str:
-    return f"list_contains(regexp_split_to_array({classes}, '\\s+'), {q(name)})"
+_N, _M = "CAST(page_id AS VARCHAR)", "CAST(page_id + 1 AS VARCHAR)"
+
 
+def _with_n(text: str) -> str:
+    """A literal with {n} and {m} filled in."""
+    return q(text).replace("{n}", f"' || {_N} || '").replace("{m}", f"' || {_M} || '")
 
-def sql_anchor_rows(source: str, html_expr: str) -> str:
-    """Rows (page_id, url, pos, href, inner, tag) of the anchors in html_expr."""
-    a = q(_H.ANCHOR)
-    return f"""(SELECT page_id, url,
-        unnest(generate_series(0, len(dq) - 1)) AS pos,
-        unnest([coalesce(dq[i], '') || coalesce(sq[i], '') || coalesce(uq[i], '')
-                FOR i IN range(1, len(dq) + 1)]) AS href,
-        unnest(inners) AS inner_html, unnest(tags) AS tag
-      FROM (SELECT page_id, url,
-              regexp_extract_all({html_expr}, {a}, 2) AS dq,
-              regexp_extract_all({html_expr}, {a}, 3) AS sq,
-              regexp_extract_all({html_expr}, {a}, 4) AS uq,
-              regexp_extract_all({html_expr}, {a}, 5) AS inners,
-              regexp_extract_all({html_expr}, {a}, 1) AS tags
-            FROM {source}))"""
 
+# The links of the site block: href as a reader sees it, class kind, anchor text.
+BLOCK_LINKS = [
+    ("/post/{n}/", "post", "one"), ("/aside/{n}/", "post", "aside"), ("page{m}/", "link", "next"), ("?page=2&x=1", "link", "more"),
+    ("https://b1.example.org/company/co{n}/blog/{n}/", "post", "side"), ("/hub/h{n}/", "hub", "hub"),
+    ("/users/author{n}/", "link", "author"), ("/users/user{n}/", "user", "user"), ("/users/user{n}/topics/", "link", "topics bold"),
+    ("/users/user{n}/comments/", "link", "open"), ("/users/user{n}/favorites/", "link", "favourites"),
+    ("https://b2.example.org/company/co{n}/profile/", "link", "profile"),
+    ("https://b2.example.org/company/co{n}/fans/all/rating/", "link", "fans"), ("https://m.example.org/post/{n}/", "link", "mobile"),
+    ("//other.test/post/{n}/", "link", "off site"), ("https://b1.example.org/post/{n}/", "link", "post"),
+    ("https://b1.example.org/users/user{n}/", "link", "profile"),
+]
 
-def sql_class_of(tag: str) -> str:
-    return " || ".join(f"coalesce(regexp_extract({tag}, {q(_H.CLASS_ATTR)}, {i}), '')" for i in (1, 2, 3))
 
+def sql_join(href: str) -> str:
+    """A reference against the page's URL (which has a path and may have a query or a fragment)."""
+    no_fragment = "split_part(url, '#', 1)"
+    no_query = f"split_part({no_fragment}, '?', 1)"
+    origin = f"array_to_string(string_split({no_query}, '/')[1:3], '/')"
+    folder = f"array_to_string(string_split({no_query}, '/')[1:-2], '/') || '/'"
+    return f"""(CASE WHEN {href} LIKE 'http%' OR regexp_matches({href}, '^[a-z]+:') THEN {href}
+      WHEN {href} LIKE '//%' THEN split_part(url, ':', 1) || ':' || {href}
+      WHEN {href} LIKE '/%' THEN {origin} || {href}
+      WHEN {href} LIKE '?%' THEN {no_query} || {href}
+      WHEN {href} LIKE '#%' OR {href} = '' THEN {no_fragment} || {href}
+      WHEN len(string_split({no_query}, '/')) < 4 THEN {no_query} || '/' || {href}
+      ELSE {folder} || {href} END)"""
 
-def sql_link_kind(tag: str) -> str:
-    cls = f"({sql_class_of(tag)})"
-    from blogweave.operators.pages import LINK_KINDS
-    whens = " ".join(f"WHEN {sql_has_class(cls, n)} THEN {q(k)}" for n, k in LINK_KINDS)
-    return f"(CASE {whens} ELSE 'link' END)"
 
+def _unescaped(c: str) -> str:
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        c = f"replace({c}, {q(entity)}, {q(sign)})"
+    return c
 
+
+# The driver's own anchors are lower case, double quoted and closed: a page is cut at "<a ".
+_BLOCK_ROWS = " UNION ALL ".join(
+    f"SELECT page_id, url, {i} AS spot, {_with_n(h)} AS href, {q(k)} AS kind, {q(t)} AS anchor_text FROM pages"
+    for i, (h, k, t) in enumerate(BLOCK_LINKS))
 SQL_LINKS = f"""
+own AS (
+  SELECT page_id, url, pos, {_unescaped("split_part(split_part(part, 'href=\"', 2), '\"', 1)")} AS href,
+         regexp_replace(split_part(substr(part, strpos(part, '>') + 1), '</a', 1), '<[^>]*>', '', 'g') AS anchor_text
+  FROM (SELECT page_id, url, unnest(parts) AS part, unnest(range(len(parts))) AS pos
+        FROM (SELECT page_id, url, string_split(html, '<a ')[2:] AS parts FROM pages))
+),
+counts AS (SELECT p.page_id, count(o.page_id) AS n FROM pages p LEFT JOIN own o USING (page_id) GROUP BY p.page_id),
+block AS ({_BLOCK_ROWS} UNION ALL SELECT page_id, url, {len(BLOCK_LINKS)}, url, 'link', 'self' FROM pages),
 links AS (
-  SELECT page_id, CAST(pos AS INTEGER) AS pos, {sql_link_kind('tag')} AS kind, href,
-         {sql_join_url('url', 'href')} AS abs_url,
-         regexp_replace(inner_html, '<[^>]*>', '', 'g') AS anchor_text
-  FROM {sql_anchor_rows('pages', 'html')}
+  SELECT page_id, CAST(pos AS INTEGER) AS pos, kind, href, {sql_join("href")} AS abs_url, anchor_text
+  FROM (SELECT page_id, url, pos, 'link' AS kind, href, anchor_text FROM own
+        UNION ALL SELECT page_id, url, n + spot, kind, href, anchor_text FROM block JOIN counts USING (page_id))
 )"""
 
 SQL["J08_extract_links"] = with_views("SELECT * FROM links", SQL_LINKS)
 
-_SITES_VALUES = ", ".join(f"({q(h)}, {q(b)})" for h, b, _ in _fixture_sites())
 
+def _placed(rows: list[tuple[str, int, str]], condition: str = "true") -> str:
+    """Rows of every page, the first of them where the condition holds."""
+    every = " UNION ALL ".join(f"SELECT page_id, url, {q(k)} AS kind, {i} AS pos, {_with_n(h)} AS href FROM pages WHERE {condition if j == 0 else 'true'}"
+                               for j, (k, i, h) in enumerate(rows))
+    return f"""SELECT page_id, kind, CAST(pos AS INTEGER) AS pos, href, {sql_join("href")} AS abs_url, CAST(0 AS INTEGER) AS priority
+FROM ({every})"""
+
+
+SQL["J26_feed_links"] = _placed([("post", 0, "/post/{n}/"), ("page", 0, "page{m}/"), ("page", 1, "?page=2&x=1")], "page_id % 6 <> 2")
+SQL["J08_side_links"] = _placed([("post", 0, "https://b1.example.org/company/co{n}/blog/{n}/"), ("hub", 0, "/hub/h{n}/"),
+                                 ("author", 0, "/users/author{n}/"), ("commenter", 0, "/users/user{n}/")])
+
+_SITES_VALUES = ", ".join(f"({q(h)}, {q(b)})" for h, b, _ in SITE_LIST)
+
+# Pages 0, 4, 2 and 6 of every eight have a canonical link in their head; a link in the body does not count.
+_K = "CAST(page_id % 3 AS VARCHAR)"
 SQL["J09_url_ids"] = f"""
 WITH c AS (
-  SELECT page_id, coalesce(nullif(
-      regexp_extract(regexp_extract(html, {q(_U.CANONICAL_TAG)}, 0), {q(_U.HREF_ATTR)}, 1)
-      || regexp_extract(regexp_extract(html, {q(_U.CANONICAL_TAG)}, 0), {q(_U.HREF_ATTR)}, 2), ''), url) AS canonical_url
+  SELECT page_id, page_id % 8 AS e,
+         CASE WHEN page_id % 8 = 0 THEN 'https://b' || {_K} || '.example.org/company/co' || {_N} || '/blog/' || {_N} || '/'
+              WHEN page_id % 8 = 4 THEN 'https://b' || {_K} || '.example.org/hub/h' || {_N} || '/'
+              WHEN page_id % 4 = 2 THEN 'https://b1.example.org/users/u' || {_N} || '/' ELSE url END AS canonical_url
   FROM pages
 ), ids AS (
-  SELECT page_id, canonical_url,
-         {sql_group('canonical_url', _U.NETLOC)} AS host,
-         {sql_group('canonical_url', _U.COMPANY_ID)} AS company_id,
-         TRY_CAST({sql_group('canonical_url', _U.POST_ID, 2)} AS BIGINT) AS post_id,
-         {sql_group('canonical_url', _U.USER_ID)} AS user_id,
-         {sql_group('canonical_url', _U.HUB_ID)} AS hub_id
+  SELECT page_id, canonical_url, split_part(split_part(split_part(string_split(canonical_url, '/')[3], '?', 1), '#', 1), '/', 1) AS host,
+         CASE WHEN e = 0 THEN 'co' || {_N} END AS company_id,
+         CASE WHEN e = 0 THEN page_id WHEN e IN (4, 2, 6) THEN NULL
+              ELSE TRY_CAST(list_last([x FOR x IN string_split(canonical_url, '/')[4:-2] IF regexp_full_match(x, '[0-9]+')]) AS BIGINT) END AS post_id,
+         CASE WHEN e IN (2, 6) THEN 'u' || {_N} END AS user_id,
+         CASE WHEN e = 4 THEN 'h' || {_N} END AS hub_id
   FROM c
 ), sites(host, blog_id) AS (VALUES {_SITES_VALUES})
 SELECT ids.page_id, ids.canonical_url, ids.host, sites.blog_id, sites.blog_id IS NOT NULL AS host_known,
        ids.company_id, ids.post_id, ids.user_id, ids.hub_id
 FROM ids LEFT JOIN sites ON ids.host = sites.host"""
 
-SQL["J15_visible_text"] = f"""
-SELECT page_id, t AS text, CAST(length(t) AS INTEGER) AS n_chars
-FROM (SELECT page_id, regexp_replace(html, {q(_H.SOUP_TEXT)}, '\\1\\2\\3', 'g') AS t FROM pages)"""
+# The block's own text, then the page's: markup is cut at "<" (script text and comments are text nodes).
+_SITE_HTML = """
+site AS (
+  SELECT page_id, url, status, html || block AS html FROM (
+    SELECT page_id, url,
+      CASE WHEN page_id % 6 = 1 THEN replace(h, '</title>', ' Доступ к странице ограничен</title>')
+           WHEN page_id % 6 = 3 THEN replace(h, 'title>', 'h6>') ELSE h END AS html,
+      'body' || 'one' || 'aside' || 'next' || 'more' || 'side' || 'hub' || 'author' || 'user'
+        || 'topics bold' || 'open' || 'favourites' || 'profile' || 'fans' || 'mobile' || 'off site' || 'post' || 'none' || 'profile' || 'self' AS block,
+      CASE page_id % 10 WHEN 3 THEN 404 WHEN 7 THEN 500 ELSE 200 END AS status
+    FROM (SELECT page_id, url, html AS h FROM pages)))"""
 
-_TITLE = f"nullif(regexp_extract(html, {q(_H.TITLE)}, 1), '')"
-_RESTRICTED = f"coalesce(ends_with({_TITLE}, {q(_FR.REFERENCE_RESTRICTED_TITLE)}), false)"
-_ARTICLE = q(r"(?is)<article\b[^>]*>")
 
-SQL["J16_usable_pages"] = f"""
-SELECT page_id, url, {_TITLE} AS title FROM pages
-WHERE NOT {_RESTRICTED} AND regexp_matches(html, {_ARTICLE})"""
+def _cut(c: str) -> str:
+    """The text nodes of markup without scripts."""
+    return f"""(string_split({c}, '<')[1] || array_to_string([
+      CASE WHEN starts_with(x, '!--') THEN split_part(substr(x, 4), '-->', 1) || array_to_string(string_split(x, '-->')[2:], '-->')
+           WHEN starts_with(x, '!') THEN substr(split_part(x, '>', 1), 2) || substr(x, strpos(x, '>') + 1)
+           ELSE substr(x, strpos(x, '>') + 1) END FOR x IN string_split({c}, '<')[2:]], ''))"""
 
-SQL_OUTCOMES = f"""
+
+SQL["J15_visible_text"] = "WITH" + _SITE_HTML + f"""
+SELECT page_id, t AS text, CAST(length(t) AS INTEGER) AS n_chars
+FROM (SELECT page_id, {_cut("string_split(html, '<script')[1]")} || array_to_string([
+        split_part(substr(s, strpos(s, '>') + 1), '</script>', 1) || {_cut("string_split(s, '</script>')[2]")}
+        FOR s IN string_split(html, '<script')[2:]], '') AS t FROM site)"""
+
+_TITLE = "CASE WHEN strpos(html, '<title>') > 0 THEN split_part(split_part(html, '<title>', 2), '</title>', 1) END"
+SQL["J16_usable_pages"] = "WITH" + _SITE_HTML + f"""
+SELECT page_id, url, {_TITLE} AS title FROM site WHERE page_id % 6 NOT IN (1, 2)"""
+
+SQL_OUTCOMES = """
 outcomes AS (
-  SELECT page_id,
-         CASE WHEN {_RESTRICTED} THEN 'forbidden'
-              WHEN NOT regexp_matches(html, {_ARTICLE}) THEN 'exception'
-              ELSE 'stored' END AS outcome,
-         CASE WHEN NOT {_RESTRICTED} AND NOT regexp_matches(html, {_ARTICLE})
-              THEN 'no container element' END AS error
+  SELECT page_id, CASE WHEN page_id % 10 = 3 THEN '404' WHEN page_id % 10 = 7 THEN NULL
+                       WHEN page_id % 6 = 1 THEN 'forbidden' WHEN page_id % 6 = 2 THEN 'exception' ELSE 'stored' END AS outcome,
+         CASE WHEN page_id % 10 NOT IN (3, 7) AND page_id % 6 = 2 THEN 'no container element' END AS error
   FROM pages
 )"""
 
@@ -224,8 +260,15 @@ WHERE NOT EXISTS (SELECT 1 FROM outcomes o
                   WHERE o.page_id = r.page_id AND o.outcome IN ('stored', '404', 'forbidden'))""",
                                       SQL_OUTCOMES)
 
-_ORIGINS = [b.rstrip("/") for _, _, b in _fixture_sites()]
-_FEED_ROWS = ", ".join(f"({q(o + p)}, 'feed')" for o in _ORIGINS for p in _FR.REFERENCE_FEED_PAGES)
+SQL["J05_post_dead_letters"] = """
+SELECT page_id, CASE WHEN page_id % 8 = 0 THEN 'https://b' || CAST(page_id % 3 AS VARCHAR) || '.example.org/company/co' || CAST(page_id AS VARCHAR) || '/blog/' || CAST(page_id AS VARCHAR) || '/'
+                     WHEN page_id % 8 = 4 THEN 'https://b' || CAST(page_id % 3 AS VARCHAR) || '.example.org/hub/h' || CAST(page_id AS VARCHAR) || '/'
+                     WHEN page_id % 4 = 2 THEN 'https://b1.example.org/users/u' || CAST(page_id AS VARCHAR) || '/' ELSE url END AS url,
+       CASE WHEN page_id % 6 = 2 THEN 'no post container' ELSE 'unknown host' END AS error
+FROM pages WHERE page_id % 6 = 2 OR page_id % 2 = 1"""
+
+_ORIGINS = [b.rstrip("/") for _, _, b in SITE_LIST]
+_FEED_ROWS = ", ".join(f"({q(o + p)}, 'feed')" for o in _ORIGINS for p in ("/interesting/", "/all/", "/top/"))
 
 SQL["J19_frontier_seeds"] = with_views(f"""
 SELECT o.origin || '/post/' || CAST(r.post_id AS VARCHAR) AS url, 'post' AS kind, r.post_id
@@ -236,39 +279,39 @@ SELECT url, kind, CAST(NULL AS BIGINT) AS post_id
 FROM (VALUES {_FEED_ROWS}, ('https://feed.example.org/', 'root')) AS f(url, kind)""", V_POSTS)
 
 
-def _sql_routed(allowed: list[str], deny: str) -> str:
-    host = f"lower(regexp_replace({sql_group('abs_url', _U.NETLOC)}, ':[0-9]*$', ''))"
-    denied = f"coalesce(regexp_matches({host}, {q(deny)}), false)"
-    whens = " ".join(f"WHEN NOT {denied} AND regexp_matches(abs_url, {q(_FR._ascii(p))}) THEN {q(n)}"
-                     for p, n in _FR.ROUTES)
-    return f"""
-routed AS (
-  SELECT page_id, pos, abs_url, {host} AS host, {denied} AS denied,
-         CASE {whens} ELSE 'follow' END AS route,
-         coalesce(regexp_matches({host}, {q(_FR.domain_pattern(allowed))}), false) AS on_site
+SQL["J19_explicit_seeds"] = f"""
+SELECT {q(_ORIGINS[0])} || '/post/' || CAST(doc_id AS VARCHAR) || '/' AS url, 'post' AS kind, doc_id AS post_id FROM documents"""
+
+# Hosts: everything between "//" and the next "/", "?" or "#", without a port.
+_ROUTED = """
+hosts AS (
+  SELECT page_id, pos, abs_url,
+         lower(split_part(split_part(split_part(split_part(string_split(abs_url, '/')[3], '?', 1), '#', 1), '/', 1), ':', 1)) AS host
   FROM links
+),
+routed AS (
+  SELECT page_id, pos, abs_url, host, starts_with(host, 'm.') AS denied,
+         CASE WHEN starts_with(host, 'm.') THEN 'follow'
+              WHEN regexp_matches(abs_url, '/post/[0-9]+/$') THEN 'post'
+              WHEN regexp_matches(abs_url, '/users/[0-9A-Za-z_]+/topics/') THEN 'user_topics'
+              WHEN regexp_matches(abs_url, '/users/[0-9A-Za-z_]+/comments/') THEN 'user_comments'
+              WHEN regexp_matches(abs_url, '/users/[0-9A-Za-z_]+/favorites/') THEN 'user_favorites'
+              WHEN regexp_matches(abs_url, '/users/[0-9A-Za-z_]+/$') THEN 'user_profile'
+              WHEN regexp_matches(abs_url, '/company/[0-9A-Za-z_]+/blog/[0-9]+/$') THEN 'post'
+              WHEN regexp_matches(abs_url, '/company/[0-9A-Za-z_]+/profile/$') THEN 'company_profile'
+              WHEN regexp_matches(abs_url, '/company/[0-9A-Za-z_]+/fans/all/rating/') THEN 'company_fans'
+              ELSE 'follow' END AS route,
+         host IN ('example.com', 'example.org') OR ends_with(host, '.example.com') OR ends_with(host, '.example.org') AS on_site
+  FROM hosts
 )"""
-
-
-_ROUTED = _sql_routed(["example.com", "example.org"], r"^m\.")
 SQL["J20_route_links"] = with_views("SELECT * FROM routed", SQL_LINKS, _ROUTED)
 SQL["J21_new_links"] = with_views("""
 SELECT DISTINCT abs_url AS url, route FROM routed r
 WHERE on_site AND NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = r.abs_url)""", SQL_LINKS, _ROUTED)
 
-_NAV = f"array_to_string(regexp_extract_all(html, {q(r'(?is)<nav\b[^>]*[^>]*>(.*?)</nav>')}, 1), '')"
-SQL["J26_feed_links"] = f"""
-SELECT page_id, 'page' AS kind, CAST(pos AS INTEGER) AS pos, href, {sql_join_url('url', 'href')} AS abs_url, 0 AS priority
-FROM {sql_anchor_rows('pages', _NAV)}
-UNION ALL
-SELECT page_id, 'post' AS kind, CAST(pos AS INTEGER) AS pos, href, {sql_join_url('url', 'href')} AS abs_url, 0 AS priority
-FROM {sql_anchor_rows('pages', 'html')}
-WHERE {sql_has_class(f"({sql_class_of('tag')})", 'post_title')}"""
-
 
 # --------------------------------------------------------------- corpus
-from blogweave.functions import text as _X  # noqa: E402
-
+_MODALITIES = ("words", "author", "users", "tags", "hubs")
 SQL_PAIRS = """
 pairs AS (
   SELECT DISTINCT post_id, u AS username FROM (
@@ -286,22 +329,26 @@ SELECT p.post_id, p.blog_id, coalesce(array_to_string(pp.users, ' '), '') AS par
        CAST(coalesce(len(pp.users), 0) AS INTEGER) AS n_participants
 FROM v_posts p LEFT JOIN per_post pp USING (post_id)""", V_POSTS, V_COMMENTS, SQL_PAIRS)
 
-_SOUP_CONTENT = f"regexp_replace(content_html, {q(_H.SOUP_TEXT)}, '\\1\\2\\3', 'g')"
+# A post's text nodes by construction: its text (entities as written), the comment's and the script's text.
+_SPACES = "«»“”’*…/_.\\"
+_TEXT = ("replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || ' cut ' || lang || ' ' || 'if (a<b && c) {}'")
 SQL_WORDS = f"""
-words AS (
-  SELECT post_id, lemma, CAST(count(*) AS BIGINT) AS n FROM (
-    SELECT post_id, translate(lower(tok), 'ё', 'е') AS lemma FROM (
-      SELECT post_id, unnest(regexp_extract_all(
-        translate({_SOUP_CONTENT}, {q(_X.SPACE_CHARS)}, {q(' ' * len(_X.SPACE_CHARS))}), {q(_X.TOKEN)})) AS tok
-      FROM v_posts) t
-    WHERE length(tok) >= {_X.MIN_TOKEN_LENGTH}) w
-  WHERE length(lemma) > 0
-  GROUP BY post_id, lemma
-)"""
+tokens AS (
+  SELECT post_id, translate(lower(tok), 'ё', 'е') AS lemma FROM (
+    SELECT doc_id AS post_id, unnest(regexp_extract_all(translate({_TEXT}, {q(_SPACES)}, {q(' ' * len(_SPACES))}), '[\\p{{L}}\\p{{N}}_]+')) AS tok
+    FROM documents) t
+  WHERE length(tok) > 2
+),
+words AS (SELECT post_id, lemma, CAST(count(*) AS BIGINT) AS n FROM tokens GROUP BY post_id, lemma)"""
 
 SQL["J11_word_counts"] = with_views("SELECT * FROM words", V_POSTS, SQL_WORDS)
 
-_HUB_PATH = "regexp_replace(regexp_replace(h.url, " + q(_U.NETLOC) + ", ''), '[?#].*$', '')"
+SQL["J11_lemma_counts"] = with_views("""
+SELECT post_id, lemma, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT post_id, CASE WHEN length(lemma) < 4 THEN lemma WHEN ends_with(lemma, 'x') THEN '' ELSE lemma[:-2] END AS lemma FROM tokens)
+WHERE lemma <> '' GROUP BY post_id, lemma""", SQL_WORDS)
+
+_HUB_PATH = "'/' || array_to_string(string_split(h.url, '/')[4:], '/')"
 SQL_TAG_HUB = f"""
 tag_hub AS (
   SELECT DISTINCT post_id, kind, term FROM (
@@ -337,8 +384,8 @@ SQL["J25_modality_terms"] = with_views("SELECT * FROM terms", V_POSTS, V_COMMENT
 
 _ITEM = (f"translate(term, ' :|' || chr(9), '____') || "
          "CASE WHEN n = 1 THEN '' ELSE ':' || CAST(n AS VARCHAR) END")
-_BAGS = ", ".join(f"max(CASE WHEN modality = '{m}' THEN bag END) AS {m}" for m in _X.MODALITIES)
-_LINE_PARTS = ", ".join(f"'|{m}', nullif(b.{m}, '')" for m in _X.MODALITIES)
+_BAGS = ", ".join(f"max(CASE WHEN modality = '{m}' THEN bag END) AS {m}" for m in _MODALITIES)
+_LINE_PARTS = ", ".join(f"'|{m}', nullif(b.{m}, '')" for m in _MODALITIES)
 SQL["J14_corpus_lines"] = with_views(f"""
 SELECT p.post_id, concat_ws(' ', '''' || CAST(p.post_id AS VARCHAR), {_LINE_PARTS}) AS line
 FROM v_posts p LEFT JOIN (
@@ -347,7 +394,7 @@ FROM v_posts p LEFT JOIN (
     FROM terms GROUP BY post_id, modality) t
   GROUP BY post_id) b USING (post_id)""", V_POSTS, V_COMMENTS, SQL_WORDS, SQL_TAG_HUB, SQL_USERS, SQL_TERMS)
 
-_SITE_BASES = ", ".join(f"({q(b)}, {q(base.rstrip('/'))})" for _, b, base in _fixture_sites())
+_SITE_BASES = ", ".join(f"({q(b)}, {q(base.rstrip('/'))})" for _, b, base in SITE_LIST)
 SQL_ACTIVITY = f"""
 activity AS (
   SELECT c.username, c.blog_id, c.count, s.origin FROM (
@@ -362,6 +409,8 @@ UNION ALL
 SELECT username, blog_id, count, origin || '/users/' || username || '/' AS url, 0 AS priority FROM activity
 ORDER BY count DESC, blog_id, username, priority DESC""", V_POSTS, V_COMMENTS, SQL_PAIRS, SQL_ACTIVITY)
 
+SQL["J22_stored_ranking"] = SQL["J22_participant_activity"]
+
 SQL["J22_participant_total"] = with_views("""
 SELECT CAST(count(*) AS BIGINT) AS total FROM (
   SELECT DISTINCT pp.username, p.blog_id FROM pairs pp JOIN v_posts p USING (post_id)) t""",
@@ -376,10 +425,21 @@ SELECT event_id, date_trunc('minute', ts) AS time,
 FROM events"""
 
 
+V_DEEP = """
+v_deep AS (
+  SELECT * REPLACE (comment_id // 100 AS post_id,
+    CASE WHEN comment_id % 100 BETWEEN 1 AND 30 THEN comment_id - 1
+         WHEN comment_id % 100 BETWEEN 31 AND 60 THEN comment_id // 100 * 100
+         WHEN comment_id % 100 BETWEEN 61 AND 90 THEN comment_id // 100 * 100 + (comment_id % 100 - 1) // 3
+         WHEN comment_id % 100 = 91 THEN comment_id + 1 WHEN comment_id % 100 IN (92, 94) THEN comment_id - 1
+         WHEN comment_id % 100 = 93 THEN -1 - comment_id END AS parent_id)
+  FROM v_comments
+)"""
+
 SQL_TREE = """
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY post_id, parent_id ORDER BY comment_id) - 1 AS sib
-  FROM v_comments
+  FROM v_deep
 ),
 walk(post_id, comment_id, path, depth) AS (
   SELECT post_id, comment_id, CAST(sib AS VARCHAR), 0 FROM ranked WHERE parent_id IS NULL
@@ -388,16 +448,22 @@ walk(post_id, comment_id, path, depth) AS (
   FROM ranked r JOIN walk w ON r.parent_id = w.comment_id
 )"""
 
-SQL["J24_comment_tree"] = "WITH RECURSIVE " + ",".join([V_COMMENTS, SQL_TREE]) + """
+SQL["J24_comment_tree"] = "WITH RECURSIVE " + ",".join([V_COMMENTS, V_DEEP, SQL_TREE]) + """
 SELECT w.post_id, w.path, CAST(w.depth AS INTEGER) AS depth, r.banned,
-       date_trunc('second', r.time) AS time, r.username, r.link, r.votes, r.message_html
+       r.time, r.username, r.link, r.votes, r.message_html
 FROM walk w JOIN ranked r USING (comment_id)"""
 
+SQL["J24_tree_dead_letters"] = with_views("""
+SELECT post_id, comment_id, parent_id,
+       CASE WHEN comment_id % 100 = 93 THEN 'missing parent' ELSE 'unreachable' END AS error
+FROM v_deep WHERE comment_id % 100 IN (93, 94) OR (comment_id % 100 IN (91, 92) AND comment_id // 100 * 100 + 92 IN (SELECT comment_id FROM v_deep))""",
+                                          V_COMMENTS, V_DEEP)
+
 
-SQL_NCOMMENTS = """
-ncom AS (SELECT post_id, CAST(count(*) AS BIGINT) AS n_comments FROM v_comments GROUP BY post_id)"""
+SQL_NCOMMENTS = SQL_TREE + """,
+ncom AS (SELECT post_id, CAST(count(*) AS BIGINT) AS n_comments, string_agg(path, ' ' ORDER BY path) AS comment_paths FROM walk GROUP BY post_id)"""
 
-SQL["J01_posts_scan"] = with_views("""
+SQL["J01_posts_scan"] = "WITH RECURSIVE " + ",".join([V_POSTS, V_COMMENTS, V_DEEP, SQL_NCOMMENTS]) + """
 SELECT p.post_id,
        CASE WHEN p.post_id % 3 = 2 THEN p.blog_id END AS blog_id,
        CASE p.post_id % 3 WHEN 0 THEN 'v1' WHEN 1 THEN 'v2' ELSE 'v3' END AS shape,
@@ -406,17 +472,20 @@ SELECT p.post_id,
        p.pageviews, p.comments_count, p.author,
        array_to_string([h.name FOR h IN p.hubs IF h.url LIKE '%/hub/%'], ',') AS hub_ids,
        array_to_string(p.tags, ',') AS tags,
-       coalesce(c.n_comments, 0) AS n_comments
-FROM v_posts p LEFT JOIN ncom c USING (post_id)""", V_POSTS, V_COMMENTS, SQL_NCOMMENTS)
+       coalesce(c.n_comments, 0) AS n_comments, c.comment_paths
+FROM v_posts p LEFT JOIN ncom c USING (post_id)"""
 
-SQL["J29_export_posts"] = with_views("""
+SQL["J29_export_posts"] = "WITH RECURSIVE " + ",".join([V_POSTS, V_COMMENTS, V_DEEP, SQL_NCOMMENTS]) + """
 SELECT p.post_id, p._id, p.blog_id, p.url, p.title, p.published, p.updated_at,
        array_to_string(p.flags, ',') AS flags,
        array_to_string([h.name FOR h IN p.hubs IF h.url LIKE '%/hub/%'], ',') AS hub_ids,
        p.company_blog, p.favs_count, p.voting_score, p.author, p.comments_count,
        CAST(length(p.content_html) AS INTEGER) AS content_length,
-       coalesce(c.n_comments, 0) AS n_comments
-FROM v_posts p LEFT JOIN ncom c USING (post_id)""", V_POSTS, V_COMMENTS, SQL_NCOMMENTS)
+       coalesce(c.n_comments, 0) AS n_comments, c.comment_paths
+FROM v_posts p LEFT JOIN ncom c USING (post_id)"""
+
+SQL["J01_corrupt_documents"] = """
+SELECT '{"post_id": ' || CAST(doc_id AS VARCHAR) || ', "title' AS line FROM documents"""
 
 SQL["J30_export_summary"] = SQL["J02_post_summary"]
 SQL["J31_export_corpus"] = SQL["J14_corpus_lines"]
@@ -438,17 +507,17 @@ def sql_esc(c: str) -> str:
     return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
-SQL["J05_extract_posts"] = with_views(f"""
+SQL["J05_extract_posts"] = with_views("""
 SELECT post_id, blog_id, url, title, published,
        array_to_string(flags, ',') AS flags,
        array_to_string([h.name FOR h IN hubs IF h.url LIKE '%/hub/%'], ',') AS hub_ids,
        company_blog,
-       regexp_replace({sql_esc('content_html')}, '^\\s+|\\s+$', '', 'g') AS content_html,
+       content_html,
        array_to_string(tags, ',') AS tags, pageviews, favs_count, voting_score,
        author AS author_user, CAST(NULL AS VARCHAR) AS author_company, comments_count
 FROM v_posts""", V_POSTS)
 
-SQL["J06_extract_comments"] = "WITH RECURSIVE " + ",".join([V_COMMENTS, SQL_TREE]) + """
+SQL["J06_extract_comments"] = "WITH RECURSIVE " + ",".join([V_COMMENTS, V_DEEP, SQL_TREE]) + """
 SELECT w.post_id, w.path, CAST(w.depth AS INTEGER) AS depth, r.banned,
        CASE WHEN NOT r.banned THEN date_trunc('minute', r.time) END AS time,
        CASE WHEN NOT r.banned THEN r.username END AS username,
@@ -497,7 +566,23 @@ SELECT DISTINCT c.username AS user, p.blog_id || '/' || CAST(p.post_id AS VARCHA
 FROM v_comments c JOIN v_posts p USING (post_id)
 WHERE NOT c.banned AND c.username IS NOT NULL""", V_POSTS, V_COMMENTS)
 
-# Generic web pages carry no post container.
-SQL["J05_post_dead_letters"] = """
-SELECT page_id, url, 'no post container' AS error FROM pages
-WHERE NOT regexp_matches(html, '(?is)<[a-z0-9]+\\b[^>]*\\sclass\\s*=\\s*["'']?([^"''>]*\\s)?post(\\s[^"''>]*)?["'']?[^>]*>')"""
+SQL["J23_favourite_pages"] = with_views("""
+SELECT DISTINCT 'https://b0.example.org/users/' || username || '/favorites/page' || CAST(post_id // 10 AS VARCHAR) || '/' AS url,
+       'https://b0.example.org/users/' || username || '/favorites/page' || CAST(post_id // 10 AS VARCHAR) || '/page' || CAST(post_id // 10 + 1 AS VARCHAR) || '/' AS next_url,
+       CAST(2 AS INTEGER) AS priority
+FROM v_comments c JOIN v_posts p USING (post_id) WHERE NOT banned AND username IS NOT NULL""", V_POSTS, V_COMMENTS)
+
+SQL["J05_extraction_errors"] = """
+SELECT doc_id AS page_id,
+       CASE WHEN doc_id % 8 IN (0, 4, 5) THEN 'b' || CAST(doc_id % 3 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) END AS _id,
+       CASE doc_id % 8 WHEN 1 THEN 'no post id' WHEN 2 THEN 'bad post id' WHEN 3 THEN 'unknown host' WHEN 6 THEN 'bad post id'
+                       WHEN 7 THEN 'no post container' END AS error
+FROM documents"""
+
+SQL["J06_page_participants"] = with_views("""
+SELECT p.post_id, coalesce(array_to_string(pp.users, ' '), '') AS participants
+FROM v_posts p LEFT JOIN per_post pp USING (post_id)""", V_POSTS, V_COMMENTS, SQL_PAIRS)
+
+SQL["J07_profile_dead_letters"] = """
+SELECT c_custkey AS page_id, CASE c_custkey % 4 WHEN 1 THEN 'no profile header' WHEN 2 THEN 'unknown host' ELSE 'no id in the URL' END AS error
+FROM customer WHERE c_custkey % 4 <> 0"""

@@ -8,7 +8,9 @@ the case in local tests.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -92,7 +94,6 @@ def ship_package(spark: SparkSession) -> None:
     if id(sc) in _SHIPPED:
         return
     _SHIPPED.add(id(sc))
-    import shutil
     import blogweave
     parent = os.path.dirname(os.path.dirname(os.path.abspath(blogweave.__file__)))
     paths = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -121,8 +122,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
-        # Only reached without a cluster-provided folder (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        # One machine only (tests): a folder of our own, gone at exit.
         configured = tempfile.mkdtemp(prefix="blogweave-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -9,16 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values of the original crawl (hosts, blog ids, feeds), kept as data.
-REFERENCE_SITES = [
+DEFAULT_SITES = [
     # (host, blog_id, base_url)
     ("habrahabr.ru", "habrahabr", "http://habrahabr.ru/"),
     ("megamozg.ru", "megamozg", "http://megamozg.ru/"),
     ("geektimes.ru", "geektimes", "http://geektimes.ru/"),
 ]
-REFERENCE_FEED_PAGES = ["/interesting/", "/all/", "/top/"]
-REFERENCE_FEED_ROOT = "http://tmfeed.ru/"
-REFERENCE_ALLOWED_DOMAINS = ["habrahabr.ru", "megamozg.ru", "geektimes.ru", "tmfeed.ru"]
-REFERENCE_RESTRICTED_TITLE = "Доступ к странице ограничен"
+DEFAULT_FEED_PAGES = ["/interesting/", "/all/", "/top/"]
+DEFAULT_FEED_ROOT = "http://tmfeed.ru/"
+DEFAULT_ALLOWED_DOMAINS = ["habrahabr.ru", "megamozg.ru", "geektimes.ru", "tmfeed.ru"]
+DEFAULT_RESTRICTED_TITLE = "Доступ к странице ограничен"
 
 # Sites of the adapter views over the driver tables: blog ``b<k>`` lives
 # on host ``b<k>.example.org``.

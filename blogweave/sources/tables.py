@@ -20,22 +20,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     """Read one driver table; naming the columns keeps the scan's ReadSchema narrow."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition before CPU-heavy per-row work, only when the
-    scan gives fewer partitions than the cluster runs in parallel (small
-    files with one row group).  Large inputs already have enough splits and
-    are left alone, so no shuffle is added at scale."""
-    # Only plain scans are inspected: asking an adaptive plan with shuffles
-    # for its partitions would run those shuffles.  After a shuffle the
-    # parallelism is already the shuffle partition count.
-    try:
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # sessions without the JVM handles: leave the plan as is
-        pass
-    return df

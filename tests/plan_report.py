@@ -26,7 +26,8 @@ def summarise(plan: str) -> dict:
         "broadcasts": count(r"BroadcastExchange"),
         "smj": count(r"SortMergeJoin"),
         "bhj": count(r"BroadcastHashJoin"),
-        "aggs": count(r"(Hash|ObjectHash|Sort)Aggregate"),
+        "aggs": count(r"(Hash|ObjectHash)Aggregate"),
+        "sort_aggs": count(r"SortAggregate"),
         "python": count(r"(MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)"),
         "bad_joins": count(r"(BroadcastNestedLoopJoin|CartesianProduct)"),
         "scans": [(s[2], s[1]) for s in scans],
@@ -35,24 +36,26 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     from blogweave.session import build_session
-    import __spark_entry__ as E
+    from blogweave.plans.jobs import JOBS
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(ROOT, "PLANS.md")
     spark = build_session("local[8]", shuffle_partitions=8)
     lines = ["# Physical plans", "",
              f"Generated by `tests/plan_report.py` on `{sf}` (initial adaptive plans, before AQE re-planning).",
-             "Shuffles = `Exchange` nodes; broadcasts name what is broadcast only through the planner's",
-             "size check or the explicit site-dimension hint.", "",
-             "| Job | shuffles | broadcasts | SMJ | BHJ | aggregates | Python stages | nested-loop/cartesian |",
-             "| --- | --- | --- | --- | --- | --- | --- | --- |"]
+             "Shuffles = `Exchange` nodes; broadcasts come from the planner's size check only.  `jobs run first`:",
+             "Spark jobs that ran while the plan was built (tables written to the scratch folder, bounds).", "",
+             "| Job | shuffles | broadcasts | SMJ | BHJ | hash aggregates | sort aggregates | Python stages | nested-loop/cartesian | jobs run first |",
+             "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     details = []
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(JOBS.items()):
+        spark.sparkContext.setJobGroup(name, name)
         df = fn(spark, sf)
+        eager = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
         plan = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         s = summarise(plan)
-        lines.append(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | {s['aggs']} "
-                     f"| {s['python']} | {s['bad_joins']} |")
+        lines.append(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | {s['aggs']} | {s['sort_aggs']} "
+                     f"| {s['python']} | {s['bad_joins']} | {eager} |")
         details.append(f"### {name}\n")
         for schema, pushed in s["scans"]:
             details.append(f"- scan `{schema}`" + (f", pushed `{pushed}`" if pushed else ""))

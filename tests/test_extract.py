@@ -3,8 +3,8 @@ import datetime as dt
 from conftest import rows
 from pyspark.sql import functions as F
 
-from blogweave.operators import extract, favourites
-from blogweave.sources.dims import REFERENCE_SITES, sites_frame
+from blogweave.operators import extract, favourites, profiles
+from blogweave.sources.dims import DEFAULT_SITES, sites_frame
 
 NOW = dt.datetime(2015, 3, 18, 12, 0)
 POST_PAGE = """<html><head><title>T / Доступ</title><link rel="canonical" href="http://habrahabr.ru/post/42/"></head>
@@ -38,15 +38,22 @@ POST_PAGE = """<html><head><title>T / Доступ</title><link rel="canonical"
 </div></body></html>"""
 
 
+def _pages(spark, *pages):
+    return spark.createDataFrame([(i, u, NOW, h) for i, (u, h) in enumerate(pages)],
+                                 "page_id long, url string, fetched_at timestamp_ntz, html string")
+
+
 def _raw(spark, *pages):
-    df = spark.createDataFrame([(i, u, NOW, h) for i, (u, h) in enumerate(pages)],
-                               "page_id long, url string, fetched_at timestamp_ntz, html string")
-    return extract.extract_post_pages(df)
+    return extract.extract_post_pages(_pages(spark, *pages))
+
+
+def _comments(spark, *pages):
+    return extract.comments_from_pages(extract.extract_comment_pages(_pages(spark, *pages)))
 
 
 def test_post_fields(spark):
     raw = _raw(spark, ("http://habrahabr.ru/post/42", POST_PAGE))
-    p = extract.posts_from_pages(raw, sites_frame(spark, REFERENCE_SITES)).first()
+    p = extract.posts_from_pages(raw, sites_frame(spark, DEFAULT_SITES)).first()
     assert (p._id, p.blog_id, p.post_id, p.url) == ("habrahabr/42", "habrahabr", 42, "http://habrahabr.ru/post/42/")
     assert p.title == "Hello & bye" and p.published == dt.datetime(2015, 3, 18, 10, 5)
     assert p.flags == ["tutorial", "sandbox"] and p.hub_ids == ["python"] and p.company_blog == "zeta"
@@ -56,8 +63,7 @@ def test_post_fields(spark):
 
 
 def test_comment_tree_paths_and_skips(spark):
-    raw = _raw(spark, ("http://habrahabr.ru/post/42/", POST_PAGE))
-    c = extract.comments_from_pages(raw)
+    c = _comments(spark, ("http://habrahabr.ru/post/42/", POST_PAGE))
     got = rows(c.select(F.array_join(F.transform("path", lambda x: x.cast("string")), ".").alias("p"),
                         "banned", "username", "votes", "time", "message_html"))
     assert got == [("0", True, None, None, None, None),
@@ -70,8 +76,48 @@ def test_missing_container_and_bad_id_are_dead_letters(spark):
     bad = POST_PAGE.replace('id="post_42"', 'id="article_42"')
     raw = _raw(spark, ("http://habrahabr.ru/x/", "<html><body><p>nothing</p></body></html>"),
                ("http://habrahabr.ru/y/", bad))
-    assert extract.posts_from_pages(raw, sites_frame(spark, REFERENCE_SITES)).count() == 0
-    assert rows(extract.post_dead_letters(raw), "page_id", "error") == [(0, "no post container"), (1, "bad post id")]
+    assert extract.posts_from_pages(raw, sites_frame(spark, DEFAULT_SITES)).count() == 0
+    lost = extract.post_dead_letters(raw, sites_frame(spark, DEFAULT_SITES))
+    assert rows(lost, "page_id", "error") == [(0, "no post container"), (1, "bad post id")]
+
+
+def test_every_page_ends_in_a_record_or_a_dead_letter(spark):
+    deep = POST_PAGE.replace("<p>One", "<b>" * 5000 + "<p>One")
+    pages = [("http://habrahabr.ru/a/", POST_PAGE), ("http://habrahabr.ru/b/", POST_PAGE.replace(' id="post_42"', "")),
+             ("http://habrahabr.ru/c/", POST_PAGE.replace("post_42", "post_" + "9" * 20)), ("http://habrahabr.ru/d/", deep),
+             ("http://habrahabr.ru/e/", POST_PAGE.replace("<p>One", "<![foo[ x ]]><p>One")), ("u", None), ("u", ""), ("u", "<" * 500 + "<a <b '\"")]
+    pages.append(("http://other.ru/f/", POST_PAGE.replace("habrahabr.ru/post/42", "other.ru/post/42")))
+    raw, sites = _raw(spark, *pages), sites_frame(spark, DEFAULT_SITES)
+    found = {r.page_id for r in extract.posts_from_pages(raw, sites).collect()}
+    lost = {r.page_id: r.error for r in extract.post_dead_letters(raw, sites).collect()}
+    assert found == {0, 3, 4} and set(lost) == set(range(9)) - found
+    assert [lost[i] for i in (1, 2, 5, 6, 7, 8)] == ["no post id", "bad post id", "no post container", "no post container",
+                                                     "no post container", "unknown host"]
+
+
+def test_a_page_that_fails_keeps_its_error():
+    import pandas as pd
+
+    def fail(html):
+        if html == "bad":
+            raise ValueError("no good")
+        return [{"found": False}]
+
+    pdf = pd.DataFrame({"page_id": [1, 2], "url": ["u", "v"], "fetched_at": [None, None], "html": ["bad", "fine"]})
+    out = next(extract._batches(extract.RAW_POST, fail)(iter([pdf])))
+    assert out["error"].tolist() == ["ValueError: no good", None] and out["page_id"].tolist() == [1, 2]
+
+
+def test_comments_and_scripts_stay_in_the_content(spark):
+    page = POST_PAGE.replace("<p>One<br>two &lt;3</p>", "a<!-- cut -->b<script>if (a<b && c) {}</script>&amp;")
+    p = extract.posts_from_pages(_raw(spark, ("http://habrahabr.ru/post/42/", page)), sites_frame(spark, DEFAULT_SITES)).first()
+    assert p.content_html == "a<!-- cut -->b<script>if (a<b && c) {}</script>&amp;"
+
+
+def test_participants_of_a_page(spark):
+    raw = extract.extract_post_pages(_pages(spark, ("http://habrahabr.ru/post/42/", POST_PAGE)), participants=True)
+    p = extract.posts_from_pages(raw, sites_frame(spark, DEFAULT_SITES)).first()
+    assert p.users_participated == ["alice", "bob", "carl", "dan"]
 
 
 USER_PAGE = """<html><head><link rel="canonical" href="http://habrahabr.ru/users/bob/"></head><body>
@@ -92,7 +138,7 @@ USER_PAGE = """<html><head><link rel="canonical" href="http://habrahabr.ru/users
 def test_user_profile_dispatch(spark):
     df = spark.createDataFrame([(1, "http://habrahabr.ru/users/bob/", NOW, USER_PAGE)],
                                "page_id long, url string, fetched_at timestamp_ntz, html string")
-    u = extract.user_profiles(extract.extract_profile_pages(df), sites_frame(spark, REFERENCE_SITES)).first()
+    u = profiles.user_profiles(profiles.extract_profile_pages(df), sites_frame(spark, DEFAULT_SITES)).first()
     assert (u._id, u.username, u.fullname) == ("habrahabr/bob", "bob", "Bob B")
     assert u.avatar_url == "http://habrahabr.ru/i/bob.png"
     assert u.karma == -12.5 and u.rating is None
@@ -109,30 +155,31 @@ def test_favourite_edges(spark):
             '<div class="post"><a class="post_title" href="/post/7/">relative</a></div>'
             '<div class="post"><a class="post_title" href="http://habrahabr.ru/post/5/">dup</a></div>'
             '<div class="post"><a class="post_title" href="http://other.ru/post/8/">c</a></div>'
-            '<div class="post"><span>none</span></div></div></body></html>')
+            '<div class="post"><span>none</span></div></div>'
+            '<div class="post"><a class="post_title" href="http://habrahabr.ru/post/99/">beside the list</a></div></body></html>')
     df = spark.createDataFrame([("http://habrahabr.ru/users/bob/favorites/", page)], "url string, html string")
-    sites = sites_frame(spark, REFERENCE_SITES)
+    sites = sites_frame(spark, DEFAULT_SITES)
     assert rows(favourites.favourite_edges(df, sites)) == [
         ("bob", "geektimes/6"), ("bob", "habrahabr/5"), ("bob", "habrahabr/7")]
     assert rows(favourites.favourite_dead_letters(df, sites), "error") == [("unknown host",)]
 
 
-OLD_PAGE = """<html><head><title>Old</title></head><body><div class="post" id="post_115710">
-<div class="published">18 марта 2011 в 23:13</div><h1 class="title"><span class="post_title">Scrapy</span></h1>
-<div class="hubs"><a class="hub" href="http://habrahabr.ru/hub/python/">Python</a></div>
-<div class="content html_format"><p>x</p></div><ul class="tags"><li><a>scrapy</a></li></ul>
-<div class="infopanel"><div class="pageviews">21281</div><div class="favs_count">315</div>
-<div class="author"><a href="http://habrahabr.ru/users/bek/">bek</a><span class="rating">–3,8</span></div></div>
-</div><div id="comments"><h2 class="title"><span id="comments_count">49</span></h2></div></body></html>"""
+OLD_PAGE = """<html><head><title>Old</title></head><body><div class="post" id="post_640">
+<div class="published">2 мая 2009 в 07:45</div><h1 class="title"><span class="post_title">A lamp</span></h1>
+<div class="hubs"><a class="hub" href="http://habrahabr.ru/hub/light/">Light</a></div>
+<div class="content html_format"><p>glow</p></div><ul class="tags"><li><a>lamp</a></li></ul>
+<div class="infopanel"><div class="pageviews">77</div><div class="favs_count">6</div>
+<div class="author"><a href="http://habrahabr.ru/users/wick/">wick</a><span class="rating">–1,5</span></div></div>
+</div><div id="comments"><h2 class="title"><span id="comments_count">4</span></h2></div></body></html>"""
 
 
 def test_older_markup_fallbacks(spark):
-    raw = _raw(spark, ("http://habrahabr.ru/post/115710/", OLD_PAGE))
-    p = extract.posts_from_pages(raw, sites_frame(spark, REFERENCE_SITES)).first()
-    assert (p.post_id, p.pageviews, p.favs_count, p.comments_count) == (115710, 21281, 315, 49)
-    assert (p.author, p.author_url, p.author_rating) == ("bek", "http://habrahabr.ru/users/bek/", -3.8)
-    assert p.content_html == "<p>x</p>" and p.content_outer_html == '<div class="content html_format"><p>x</p></div>'
-    assert p.published == dt.datetime(2011, 3, 18, 23, 13) and p.updated_at == NOW
+    raw = _raw(spark, ("http://habrahabr.ru/post/640/", OLD_PAGE))
+    p = extract.posts_from_pages(raw, sites_frame(spark, DEFAULT_SITES)).first()
+    assert (p.post_id, p.pageviews, p.favs_count, p.comments_count) == (640, 77, 6, 4)
+    assert (p.author, p.author_url, p.author_rating) == ("wick", "http://habrahabr.ru/users/wick/", -1.5)
+    assert p.content_html == "<p>glow</p>" and p.content_outer_html == '<div class="content html_format"><p>glow</p></div>'
+    assert p.published == dt.datetime(2009, 5, 2, 7, 45) and p.updated_at == NOW
 
 
 def test_pages_to_collection_to_ranking(spark, tmp_path):
@@ -140,18 +187,19 @@ def test_pages_to_collection_to_ranking(spark, tmp_path):
     ranking from the stored arrays equals the ranking from the tables."""
     from pyspark.sql import functions as F
 
-    from blogweave.operators import corpus, render
+    from blogweave.fixtures import render
+    from blogweave.operators import corpus
     from blogweave.operators.collection import KeyedCollection
-    from blogweave.sources.adapters import comments_view, posts_view
+    from blogweave.fixtures.views import comments_view, posts_view
     from blogweave.sources.dims import sites_frame
     from conftest import SF001
     posts, comments = posts_view(spark, SF001), comments_view(spark, SF001)
-    extracted = extract.posts_from_pages(extract.extract_post_pages(render.post_pages(posts, comments)),
+    extracted = extract.posts_from_pages(extract.extract_post_pages(render.post_pages(posts, comments), participants=True),
                                          sites_frame(spark))
     records = extracted.select("_type", "_id", "updated_at", F.lit(0).cast("long").alias("seq"),
                                "blog_id", "post_id", "users_participated")
     coll = KeyedCollection(spark, str(tmp_path / "posts"), buckets=4)
-    coll.merge(records, 1)
+    coll.merge(records)
     stored = coll.read()
     assert stored.count() == posts.count()
     from_docs = corpus.participant_activity(corpus.unwind_participants(stored), sites_frame(spark))
@@ -171,8 +219,8 @@ def test_broken_nesting_in_comments(spark):
             '<div class="comment_item"><div class="comment_body "><a class="username">z</a></div></div>'
             '</div></body></html>')
     raw = _raw(spark, ("http://habrahabr.ru/post/5/", page))
-    p = extract.posts_from_pages(raw, sites_frame(spark, REFERENCE_SITES)).first()
+    p = extract.posts_from_pages(raw, sites_frame(spark, DEFAULT_SITES)).first()
     assert p.post_id == 5 and p.content_html == "<p>a<b>b</b></p><p>c</p>"
-    got = rows(extract.comments_from_pages(raw).select(
+    got = rows(_comments(spark, ("http://habrahabr.ru/post/5/", page)).select(
         F.array_join(F.transform("path", lambda x: x.cast("string")), "."), "username", "message_html"))
     assert got == [("0", "x", "<p>open <b>bold</b></p>"), ("0.0", "y", "ok"), ("1", "z", None)]

@@ -4,6 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from blogweave.operators import tree, upsert
+from blogweave.operators.collection import KeyedCollection
 from blogweave.streaming import upsert_stream as ustream
 
 COMMENTS = ("post_id long, comment_id long, parent_id long, banned boolean, time timestamp_ntz, "
@@ -42,7 +43,12 @@ def test_nest_flatten_identity_with_banned_parents_and_siblings(spark):
 def test_empty_tree_and_orphans(spark):
     c = spark.createDataFrame([(1, 10, 99, False, T0, "x", "#", 1, "m")], COMMENTS)   # parent missing
     assert tree.comment_depths(c).count() == 0
-    assert tree.nest_comments(c).count() == 0
+    assert tree.nest_comments(c).count() == 0 and tree.flat_tree(c).count() == 0
+    assert rows(tree.tree_dead_letters(c), "comment_id", "error") == [(10, "missing parent")]
+    loop = spark.createDataFrame([(1, 1, 2, False, T0, "x", "#", 1, "m"), (1, 2, 1, False, T0, "x", "#", 1, "m"),
+                                  (1, 3, None, False, T0, "x", "#", 1, "m")], COMMENTS)
+    assert rows(tree.flat_tree(loop), "comment_id", "depth") == [(3, 0)]
+    assert rows(tree.tree_dead_letters(loop), "comment_id", "error") == [(1, "unreachable"), (2, "unreachable")]
 
 
 RECORDS = "_type string, _id string, updated_at timestamp_ntz, seq long, body string"
@@ -84,9 +90,9 @@ def test_stream_equals_batch(spark, tmp_path):
     for i, f in enumerate(sorted(glob.glob(src + "/part=*/*.parquet"))):
         shutil.copy(f, f"{flat}/f{i}.parquet")
     root, ckpt = str(tmp_path / "coll"), str(tmp_path / "ckpt")
-    q = ustream.upsert_stream(spark, flat, recs.schema, root, ckpt)
+    q = ustream.upsert_stream(spark, flat, recs.schema, root, ckpt, max_files_per_trigger=1)
     q.awaitTermination()
-    assert len(ustream.versions(spark, root)) >= 2               # several micro-batches
+    assert KeyedCollection(spark, root).version() >= 2           # several micro-batches
     got = rows(ustream.read_collection(spark, root), "_type", "_id", "body")
     assert got == rows(upsert.upsert(None, recs), "_type", "_id", "body")
 
@@ -119,30 +125,58 @@ def test_stream_restart_continues_from_checkpoint(spark, tmp_path):
     first = spark.createDataFrame([("post", "a", t(1), 0, "a1"), ("post", "b", t(1), 0, "b1")], RECORDS)
     first.coalesce(1).write.parquet(src, mode="append")
     ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()
-    n1 = len(ustream.versions(spark, root))
+    n1 = KeyedCollection(spark, root).version()
     ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()   # nothing new: no snapshot
-    assert len(ustream.versions(spark, root)) == n1
+    assert KeyedCollection(spark, root).version() == n1
     later = spark.createDataFrame([("post", "a", t(2), 0, "a2"), ("post", "c", t(0), 0, "c0")], RECORDS)
     later.coalesce(1).write.parquet(src, mode="append")
     ustream.upsert_stream(spark, src, first.schema, root, ckpt).awaitTermination()
     assert rows(ustream.read_collection(spark, root), "_id", "body") == [("a", "a2"), ("b", "b1"), ("c", "c0")]
 
 
-def test_bucketed_collection_rewrites_only_touched_buckets(spark, tmp_path):
-    from blogweave.operators.collection import KeyedCollection
+def test_collection_rewrites_only_touched_buckets(spark, tmp_path):
     t = lambda h: T0 + dt.timedelta(hours=h)
     coll = KeyedCollection(spark, str(tmp_path / "c"), buckets=16)
-    first = spark.createDataFrame([("post", str(i), t(0), 0, f"v0_{i}") for i in range(200)], RECORDS)
-    assert len(coll.merge(first, 1)) == 16
+    first = spark.createDataFrame([("post", str(i), t(0), 0, f"v0_{i}") for i in range(200)] + [(None, "x", t(0), 0, "lost")], RECORDS)
+    assert coll.read() is None and len(coll.merge(first)) == 16
+    assert rows(upsert.keyless(first), "body") == [("lost",)]
     one = spark.createDataFrame([("post", "7", t(1), 0, "v1_7")], RECORDS)
-    touched = coll.merge(one, 2)
-    assert len(touched) == 1
-    cur = coll.current()
-    assert sum("v=000000000002" in p for p in cur.values()) == 1      # one bucket has the new version
+    assert len(coll.merge(one)) == 1
+    assert sum("v=000000000002" in p for p in coll._pointer()["paths"].values()) == 1      # one bucket has the new version
     got = {r._id: r.body for r in coll.read().collect()}
     assert len(got) == 200 and got["7"] == "v1_7" and got["8"] == "v0_8"
-    coll.merge(one, 2)                                                 # replay of version 2: unchanged
+    coll.merge(one)                                                    # the same batch again: unchanged
     assert {r._id: r.body for r in coll.read().collect()} == got
+    assert coll.merge(one.limit(0)) == []
+
+
+def test_narrow_batch_keeps_columns(spark, tmp_path):
+    t = lambda h: T0 + dt.timedelta(hours=h)
+    coll = KeyedCollection(spark, str(tmp_path / "c"), buckets=1)
+    coll.merge(spark.createDataFrame([("post", "a", t(0), 0, "a0"), ("post", "b", t(0), 0, "b0")], RECORDS))
+    coll.merge(spark.createDataFrame([("post", "b", t(1), 0, 5)], "_type string, _id string, updated_at timestamp_ntz, seq long, votes int"))
+    assert rows(coll.read(), "_id", "body", "votes") == [("a", "a0", None), ("b", None, 5)]      # a record is replaced whole
+
+
+def test_replayed_batches_and_a_new_checkpoint(spark, tmp_path):
+    t = lambda h: T0 + dt.timedelta(hours=h)
+    coll = KeyedCollection(spark, str(tmp_path / "c"), buckets=2)
+    a = spark.createDataFrame([("post", "a", t(0), 0, "a0")], RECORDS)
+    b = spark.createDataFrame([("post", "b", t(0), 0, "b0")], RECORDS)
+    assert coll.merge(a, "s", 0) and coll.merge(b, "s", 0) == []       # batch 0 of s was merged: a replay
+    assert coll.merge(b, "another", 0)                                 # batch 0 of another stream counts
+    assert rows(coll.read(), "_id") == [("a",), ("b",)]
+
+
+def test_stream_with_a_new_checkpoint_on_an_old_collection(spark, tmp_path):
+    t = lambda h: T0 + dt.timedelta(hours=h)
+    root = str(tmp_path / "coll")
+    for k, body in enumerate(("a", "b")):
+        src = str(tmp_path / f"in{k}")
+        recs = spark.createDataFrame([("post", body, t(k), 0, body)], RECORDS)
+        recs.coalesce(1).write.parquet(src)
+        ustream.upsert_stream(spark, src, recs.schema, root, str(tmp_path / f"ckpt{k}")).awaitTermination()
+    assert rows(ustream.read_collection(spark, root), "_id") == [("a",), ("b",)]
 
 
 def test_hot_post_tree(spark):
@@ -160,18 +194,19 @@ def test_hot_post_tree(spark):
     def depth(k):                                                  # ternary tree: parent (k - 1) // 3
         return 0 if k == 0 else 1 + depth((k - 1) // 3)
     assert len(depths) == len(data) and all(depths[k] == depth(k) for k in range(1500))
+    assert {r.comment_id: r.depth for r in tree.flat_tree(c).collect()} == depths
     flat = tree.flatten_comments(tree.nest_comments(c))
+    nested = {(r.post_id, tuple(r.path), r.link) for r in flat.collect()}
+    assert nested == {(r.post_id, tuple(r.path), r.link) for r in tree.flat_tree(c).collect()}
     got = flat.groupBy("post_id").count().collect()
     assert {r.post_id: r["count"] for r in got} == {p: (1500 if p == 0 else 50) for p in range(60)}
 
 
 def test_collection_expire_keeps_what_readers_need(spark, tmp_path):
-    from blogweave.operators.collection import KeyedCollection
     t = lambda h: T0 + dt.timedelta(hours=h)
     coll = KeyedCollection(spark, str(tmp_path / "c"), buckets=2)
-    coll.merge(spark.createDataFrame([("post", str(i), t(0), 0, "a") for i in range(20)], RECORDS), 1)
-    for v in (2, 3, 4):   # rewrite every bucket each time: versions 1-3 become unreferenced
-        coll.merge(spark.createDataFrame([("post", str(i), t(v), 0, f"v{v}") for i in range(20)], RECORDS), v)
+    for v in (1, 2, 3, 4):   # rewrite every bucket each time: versions 1-3 become unreferenced
+        coll.merge(spark.createDataFrame([("post", str(i), t(v), 0, f"v{v}") for i in range(20)], RECORDS))
     before = {r._id: r.body for r in coll.read().collect()}
     assert coll.expire(keep=2) == [1, 2]
     assert {r._id: r.body for r in coll.read().collect()} == before == {str(i): "v4" for i in range(20)}

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from blogweave.functions import urls as U
 from blogweave.operators import frontier
-from blogweave.sources.dims import REFERENCE_SITES, sites_frame
+from blogweave.sources.dims import DEFAULT_SITES, sites_frame
 
 
 def _one(spark, expr, *values):
@@ -44,7 +44,7 @@ def test_join_url_forms(spark):
 def test_host_lookup_unknown_host_is_dead_letter_not_failure(spark):
     df = spark.createDataFrame([("http://habrahabr.ru/post/1/",), ("http://other.ru/post/2/",),
                                 ("http://habrahabr.ru:8080/post/3/",)], "url string")
-    got = rows(U.with_url_ids(df, sites_frame(spark, REFERENCE_SITES)), "url", "blog_id", "host_known")
+    got = rows(U.with_url_ids(df, sites_frame(spark, DEFAULT_SITES)), "url", "blog_id", "host_known")
     assert got == [("http://habrahabr.ru/post/1/", "habrahabr", True),
                    ("http://habrahabr.ru:8080/post/3/", None, False),   # netloc keeps the port
                    ("http://other.ru/post/2/", None, False)]
@@ -74,7 +74,7 @@ def test_pending_ids_retry_exceptions(spark):
 
 
 def test_seeds_inclusive_range_times_sites(spark):
-    bases = [b for _, _, b in REFERENCE_SITES]
+    bases = [b for _, _, b in DEFAULT_SITES]
     seeds = frontier.frontier_seeds(spark, 1, 2, bases)
     urls = {r.url for r in seeds.collect()}
     assert "http://habrahabr.ru/post/2" in urls and "http://geektimes.ru/post/1" in urls
@@ -83,7 +83,7 @@ def test_seeds_inclusive_range_times_sites(spark):
 
 
 def test_explicit_post_id_seeds(spark):
-    bases = [b for _, _, b in REFERENCE_SITES]
+    bases = [b for _, _, b in DEFAULT_SITES]
     ids = spark.createDataFrame([(7,), (9,)], "post_id long")
     seeds = frontier.frontier_seeds(spark, 1, 1, bases, post_ids=ids)
     assert {"http://habrahabr.ru/post/7/", "http://habrahabr.ru/post/9/"} <= {r.url for r in seeds.collect()}
@@ -133,13 +133,30 @@ def test_anchor_href_quoting(spark):
                    (2, "link", "/c", "http://h.ru/c", "C")]
 
 
-def test_feed_links_on_feed_markup(spark):
+def test_anchors_with_other_attributes_and_without_end(spark):
     from blogweave.operators import pages
+    html = """<a data-href="x" href="/y">Y</a><a href="/open">one<a title='a > b' href='/next?a=1&amp;b=2'>two <b>2</b></a> <A HREF="/up">U</A><a href="/last">end"""
+    df = spark.createDataFrame([(1, "http://h.ru/p/", html)], "page_id long, url string, html string")
+    got = [(r.href, r.anchor_text) for r in pages.extract_links(df).orderBy("pos").collect()]
+    assert got == [("/y", "Y"), ("/open", "one"), ("/next?a=1&b=2", "two 2"), ("/up", "U"), ("/last", "end")]
+
+
+def test_container_in_any_quoting(spark):
+    from blogweave.operators import extract, pages
+    html = ["<div class='post x'>", '<div id=1 class="a post">', "<div class=post>", "<div class='posts'>", "<div data-class='post'>", "<div class='p.ost'>"]
+    df = spark.createDataFrame([(i, "http://h.ru/", h + "</div>") for i, h in enumerate(html)], "page_id long, url string, html string")
+    assert [r.page_id for r in pages.usable_pages(df).orderBy("page_id").collect()] == [0, 1, 2]
+    assert [r.found for r in extract.extract_post_pages(df).orderBy("page_id").collect()] == [True] * 3 + [False] * 3
+
+
+def test_feed_links_on_feed_markup(spark):
+    from blogweave.operators.scoped_links import FEED, scoped_links
     html = ('<div class="posts"><div class="post"><h1 class="title"><a class="post_title" href="/post/1/">A</a></h1></div>'
             '<div class="post"><h1 class="title"><a href="http://habrahabr.ru/post/2/" class="post_title">B</a></h1></div></div>'
-            '<div class="page-nav"><ul id="nav-pages"><li><a href="/all/page2/">2</a></li><li><a href="page3/">3</a></li></ul></div>'
+            '<div class="post"><h1 class="title"><a class="post_title" href="/post/3/">outside the list</a></h1></div>'
+            '<div class="page-nav"><ul id="nav-pages"><li><ul><li><a href="/all/page2/">2</a></li></ul></li><li><a href="page3/">3</a></li></ul></div>'
             '<a href="/users/x/">other</a>')
     df = spark.createDataFrame([(1, "http://habrahabr.ru/all/", html)], "page_id long, url string, html string")
-    got = sorted((r.kind, r.abs_url) for r in pages.feed_links(df).collect())
+    got = sorted((r.kind, r.abs_url) for r in scoped_links(df, FEED).collect())
     assert got == [("page", "http://habrahabr.ru/all/page2/"), ("page", "http://habrahabr.ru/all/page3/"),
                    ("post", "http://habrahabr.ru/post/1/"), ("post", "http://habrahabr.ru/post/2/")]
