@@ -11,21 +11,33 @@ from .store import kept
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); the root is the
     component's smallest node.  Each round hangs neighbours on smaller nodes
-    and is written to the shared folder; it ends when a round changes nothing.
+    and is written to the shared folder; it ends when stars are left.
     Neighbours are never gathered: a hub is only aggregated and joined."""
     now = kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "components")
-    seen = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
-        small = (joined.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        linked = large.join(least, "a")
+        small = (linked.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         now = kept(small, "components")
-        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == seen:
+        # stars: no root hangs on another node, and no node on two roots
+        hanging = now.select(F.col("b").alias("a")).join(now.select("a"), "a", "left_semi").limit(1).count()
+        if not hanging and not now.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        seen = state
+
+
+def joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) after further edges (a, b); ``roots`` is (of, root)."""
+    def root_of(df: DataFrame, column: str) -> DataFrame:
+        return (df.join(roots.select(F.col("of").alias(column), F.col("root").alias("_root")), column, "left")
+                .withColumn(column, F.coalesce("_root", column)).drop("_root"))
+
+    merged = components(root_of(root_of(edges, "a"), "b"))
+    old = roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    old = old.select(F.col("of").alias("node"), F.coalesce("top", "root").alias("root"))
+    new = merged.join(roots.select(F.col("of").alias("node")), "node", "left_anti")
+    return old.unionByName(new)

@@ -11,8 +11,8 @@ same value of the document, and the other way round.  That finds questions
 whose numbers, names or units were exchanged, and leaves out chance matches
 whose values contradict each other.
 
-The benchmark's windows reach the tasks as a bitmap of ``1 << BITMAP`` bits,
-whatever their number; windows that hit it are joined exactly.
+The benchmark's windows reach the tasks as a bitmap of a fixed size, whatever
+their number; windows that hit it are joined exactly.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmaps import bitmap_of, passes
 from .license_scan import WordIndex, _hash_words
 from .store import kept
 from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, span_hashes, spans, string_column, windows
 
-WINDOW, LITERALS, BITMAP = 8, 5, 24
+WINDOW, LITERALS = 8, 5
 
 # Words that are numbers, and words that are units when a number stands before them.
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -118,8 +119,7 @@ def template_windows(df: DataFrame, key: str, text: str, sizes: tuple[int, ...],
                 if bitmap is None:
                     fits = (length[c.row[start]] >= size) if size == sizes[0] else (length[c.row[start]] == size)
                 else:
-                    bit = hashes >> np.uint64(64 - BITMAP)
-                    fits = (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                    fits = passes(bitmap, hashes)
                 for i, h in zip(start[fits].tolist(), hashes[fits].view(np.int64).tolist()):
                     r = int(c.row[i])
                     out.append((ids[block.rows.start + r], i - int(c.first[r]), size, h, c.slots(i, size)))
@@ -129,22 +129,6 @@ def template_windows(df: DataFrame, key: str, text: str, sizes: tuple[int, ...],
     return df.select(F.col(key).cast("long").alias("id"), text).mapInArrow(map_batches(_WINDOWS, work), _WINDOWS_SQL)
 
 
-def bitmap_of(items: DataFrame) -> np.ndarray:
-    """One bit for each value of the first ``BITMAP`` bits of a hash: at most
-    2 MB, whatever the size of the benchmark."""
-    schema = pa.schema([("byte", pa.int32()), ("bits", pa.int32())])
-
-    def work(batch):
-        bit = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP)
-        yield [(bit >> np.uint64(3)).astype(np.int32), (1 << (bit & np.uint64(7)).astype(np.int64)).astype(np.int32)]
-
-    got = (items.select("hash").mapInArrow(map_batches(schema, work), "byte int, bits int")
-           .groupBy("byte").agg(F.bit_or("bits").alias("bits")).toPandas())
-    out = np.zeros(1 << (BITMAP - 3), np.uint8)
-    out[got["byte"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.uint8)
-    return out
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
                item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document and item that leaks into it: key, item, n_windows
@@ -159,7 +143,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     sizes = tuple(sorted((r[0] for r in items.select("size").distinct().collect()), reverse=True))     # at most ``window`` sizes
     if not sizes:
         return docs.sparkSession.createDataFrame([], f"`{key}` long, `{item}` long, n_windows long, first_token long, exact boolean")
-    hits = template_windows(docs, key, text, sizes, bitmap_of(items)).filter("id IS NOT NULL").distinct()
+    hits = template_windows(docs, key, text, sizes, bitmap_of(items, "hash")).filter("id IS NOT NULL").distinct()
     matched = (hits.alias("d").join(items.alias("b"), (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size")))
                .select(F.col("d.id").alias("doc"), F.col("b.id").alias("item"), F.col("d.at").alias("at"),
                        (F.col("d.at") - F.col("b.at")).alias("distance"),

@@ -10,9 +10,12 @@ Each of ``tables`` sketches takes the ``LEAST`` k-mers with the smallest hashes,
 k-mers labelled by their occurrence in the document, and keeps them in text
 order; equal sketches make candidates.  Documents of equal sequences are one
 class from the start.  In a bucket, every class is a candidate with a few
-leaders, so that a bucket's pairs grow with its size only; after each round the
-buckets that still hold several groups get new leaders among those, until a
-round finds no new link.  Candidates are verified by a banded alignment.
+leaders, so that a bucket's pairs grow with its size only.  Leaders are the
+classes that meet most others over all tables: what many were copied from is
+nearer to each copy than the copies are to each other, and meets most of them.
+Then the groups that a bucket still holds are, each by one member, candidates
+with ``MORE_LEADERS`` of them, until a round finds no new link.  Candidates
+are verified by a banded alignment.
 """
 
 from __future__ import annotations
@@ -21,15 +24,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
+from .bitmaps import bitmap_of, passes
+from .components import components, joined
 from .store import kept
 from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, mix, sections, span_hashes, spans, string_column, windows
 
 K, LEAST, TABLES, SIMILARITY = 5, 3, 16, 0.8
-LEADERS = 3
+LEADERS, MORE_LEADERS = 3, 32
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,7 +105,7 @@ def _nodes(values: np.ndarray, at: np.ndarray) -> list[bytes]:
     out = np.zeros((len(counts), 2), "<u8")
     full = np.flatnonzero(counts)
     for j, seed in enumerate((0x1234567, 0x89ABCDEF)):
-        own = mix(values ^ mix(place + np.uint64(seed) * _GOLDEN))
+        own = mix(values ^ mix(place + mix(np.array([seed], np.uint64))))
         if len(full):
             out[full, j] = np.add.reduceat(own, at[full])
         out[:, j] ^= counts.astype(np.uint64)
@@ -170,19 +174,32 @@ def sketch_table(docs: DataFrame, key: str, text: str, tables: int) -> DataFrame
         map_batches(schema, work), "id long, node binary, n long, keys array<long>")
 
 
-def sequences(docs: DataFrame, text: str) -> DataFrame:
-    """node, grams: k-mers as unsigned integers of four bytes."""
+def sequences(docs: DataFrame, text: str, wanted: np.ndarray) -> DataFrame:
+    """node, grams (k-mers as unsigned integers of four bytes) of the rows
+    whose node passes the bitmap; copies may repeat."""
     schema = pa.schema([("node", pa.binary()), ("grams", pa.binary())])
 
     def work(batch):
         for block in blocks(string_column(batch, text)):
             values, at = kmers(block)
-            raw = (values >> np.uint64(32)).astype("<u4").tobytes()
-            yield [pa.array(_nodes(values, at), pa.binary()), pa.array([raw[4 * i:4 * j] for i, j in zip(at[:-1], at[1:])], pa.binary())]
+            nodes = _nodes(values, at)
+            rows = np.flatnonzero(passes(wanted, np.frombuffer(b"".join(nodes), "<u8")[::2]))
+            if len(rows):
+                short = (values >> np.uint64(32)).astype("<u4")
+                yield [pa.array([nodes[r] for r in rows], pa.binary()), pa.array([short[at[r]:at[r + 1]].tobytes() for r in rows], pa.binary())]
 
     return docs.select(text).mapInArrow(map_batches(schema, work), "node binary, grams binary")
 
 
+def node_hashes(nodes: DataFrame) -> DataFrame:
+    schema = pa.schema([("hash", pa.int64())])
+
+    def work(batch):
+        yield [np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8")[::2].copy()]
+
+    return nodes.select("node").mapInArrow(map_batches(schema, work), "hash long")
+
+
 def verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are similar enough, with their similarity."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
@@ -201,17 +218,15 @@ def verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame
     return both.mapInArrow(map_batches(schema, work), "a binary, b binary, similarity double")
 
 
-def _candidates(members: DataFrame, seed: int, similarity: float) -> DataFrame:
-    """Each member (t, key, node, n) of a bucket with the bucket's leaders,
-    where their lengths allow the similarity."""
-    def leader(i: int):
-        return F.min(F.struct(F.xxhash64("node", F.lit(seed * 100 + i)).alias("h"), "node", "n"))
-
-    leaders = (members.groupBy("t", "key").agg(F.count("*").alias("size"), *[leader(i).alias(f"l{i}") for i in range(LEADERS)])
-               .filter("size > 1").select("t", "key", F.array(*[f"l{i}" for i in range(LEADERS)]).alias("leaders")))
-    pair = members.join(leaders, ["t", "key"]).select("node", "n", F.explode("leaders").alias("l")).filter("node != l.node")
-    fits = F.least("n", "l.n") >= F.lit(similarity - 1e-9) * F.greatest("n", "l.n")
-    return pair.filter(fits).select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct()
+def _candidates(members: DataFrame, leaders: int, similarity: float) -> DataFrame:
+    """Each member (t, key, node, n, met) of a bucket with the bucket's
+    leaders, where their lengths allow the similarity."""
+    most = Window.partitionBy("t", "key").orderBy(F.col("met").desc(), "node")
+    led = (members.withColumn("r", F.row_number().over(most)).filter(F.col("r") <= leaders)
+           .select("t", "key", F.col("node").alias("leader"), F.col("n").alias("m")))
+    fits = F.least("n", "m") >= F.lit(similarity - 1e-9) * F.greatest("n", "m")
+    return (members.join(led, ["t", "key"]).filter((F.col("node") != F.col("leader")) & fits)
+            .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
@@ -230,37 +245,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     classes = kept(sketched.filter("id IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.first("keys").alias("keys")),
                    "omh-classes")
     members = (classes.filter("n > 0").select("node", "n", F.posexplode("keys").alias("t", "key")))
-    shared = members.groupBy("t", "key").agg(F.count("*").alias("size")).filter("size > 1").select("t", "key")
-    members = kept(members.join(shared, ["t", "key"], "left_semi"), "omh-members")
-
-    texts = None
-    edges = tried = roots = None
-    seed = 0
+    shared = members.groupBy("t", "key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = kept(members.join(shared, ["t", "key"]), "omh-buckets")
+    met = members.groupBy("node").agg(F.sum("size").alias("met"))
+    members = kept(members.drop("size").join(met, "node"), "omh-members")
+    # every class that shares a bucket may be asked for, in this round or a later one
+    wanted = bitmap_of(node_hashes(met.select("node")), "hash")
+    texts = kept(sequences(docs, text, wanted).dropDuplicates(["node"]), "omh-texts")
+
+    roots = tried = None
     while True:
         if roots is None:
-            asked = members
+            pairs = _candidates(members, LEADERS, similarity)
         else:   # a bucket's groups, each by one member
-            label = members.join(roots, members.node == roots.of, "left").select("t", "key", "node", "n", F.coalesce("root", "node").alias("root"))
-            chosen = label.groupBy("t", "key", "root").agg(F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), "node", "n")).alias("c"))
-            asked = chosen.select("t", "key", "c.node", "c.n")
-        pairs = _candidates(asked, seed, similarity)
-        if tried is not None:
+            own = members.join(roots, members.node == roots.of, "left").select("t", "key", "node", "n", "met", F.coalesce("root", "node").alias("root"))
+            most = Window.partitionBy("t", "key", "root").orderBy(F.col("met").desc(), "node")
+            chosen = own.withColumn("r", F.row_number().over(most)).filter(F.col("r") == 1).select("t", "key", "node", "n", "met")
+            several = chosen.groupBy("t", "key").agg(F.count("*").alias("size")).filter("size > 1").select("t", "key")
+            pairs = _candidates(kept(chosen.join(several, ["t", "key"], "left_semi"), "omh-groups"), MORE_LEADERS, similarity)
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = kept(pairs, "omh-pairs")
-        if texts is None:
-            # every class that shares a bucket may be asked for, in this round or a later one
-            needed = members.select("node").distinct().join(classes.select("node", "rep"), "node")
-            texts = kept(sequences(docs.select(F.col(key).cast("long").alias("rep"), text)
-                                   .join(needed.select("rep"), "rep", "left_semi").select(text), text).dropDuplicates(["node"]), "omh-texts")
         new = kept(verified(pairs, texts, similarity), "omh-links")
-        found = new.limit(1).count()
-        if found:
-            edges = new.select("a", "b") if edges is None else edges.unionByName(new.select("a", "b"))
-            roots = kept(components(edges), "omh-components").select(F.col("node").alias("of"), "root")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        seed += 1
-        if not found:
+        if not new.limit(1).count():
             break
+        if roots is None:
+            roots = components(new.select("a", "b"))
+        else:
+            roots = joined(roots, new.select("a", "b"))
+        roots = kept(roots.select(F.col("node").alias("of"), "root"), "omh-components")
+        tried = pairs if tried is None else tried.unionByName(pairs)
     grouped = classes.select("node", "rep")
     if roots is None:
         named = grouped.select("node", F.col("rep").alias("copy_of"), F.col("rep").alias("class_id"))
