@@ -88,6 +88,17 @@ def flatten_comments(posts: DataFrame, col: str = "comments", depth: int = TREE_
         "banned", parse_iso("time").alias("time"), "username", "link", "votes", "message_html")
 
 
+_NODE_TYPES = [("banned", bool), ("time", str), ("username", str), ("link", str), ("votes", int), ("message_html", str)]
+
+
+def _typed(value, kind: type):
+    """The value if it has the field's type (a number beyond 32 bits has not),
+    else null, as in the typed levels."""
+    if type(value) is not kind or kind is int and not -2**31 <= value < 2**31:
+        return None
+    return value
+
+
 def _walk_deep(deep: DataFrame, key: str) -> DataFrame:
     """Subtrees below the schema depth: explicit-stack walk of the JSON text."""
     schema = FLAT_SCHEMA if key == "post_id" else T.StructType(
@@ -102,8 +113,7 @@ def _walk_deep(deep: DataFrame, key: str) -> DataFrame:
                     base, items = stack.pop()
                     for i, node in enumerate(items or []):
                         path = base + [i]
-                        out.append((k, path, node.get("banned"), node.get("time"), node.get("username"),
-                                    node.get("link"), node.get("votes"), node.get("message_html")))
+                        out.append((k, path, *(_typed(node.get(f), t) for f, t in _NODE_TYPES)))
                         stack.append((path, node.get("replies")))
             yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
