@@ -39,7 +39,7 @@ def main() -> None:
     from blogweave.plans.jobs import JOBS
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(ROOT, "PLANS.md")
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[4]", shuffle_partitions=8)
     lines = ["# Physical plans", "",
              f"Generated by `tests/plan_report.py` on `{sf}` (initial adaptive plans, before AQE re-planning).",
              "Shuffles = `Exchange` nodes; broadcasts come from the planner's size check only.  `jobs run first`:",
