@@ -7,6 +7,8 @@ import struct
 
 import numpy as np
 
+from .store import mapped
+
 _ONE = np.uint64(1)
 
 #: Place of the r-th set bit of a byte.
@@ -146,7 +148,7 @@ def write_arrays(out, arrays: dict[str, np.ndarray]) -> None:
 
 
 def map_arrays(path: str) -> dict[str, np.ndarray]:
-    data = np.asarray(np.memmap(path, np.uint8, "r"))
+    data = mapped(path)
     size = int(data[:8].view("<u8")[0])
     header = json.loads(bytes(data[8:8 + size]))
     return {name: data[8 + size + at:8 + size + at + n * np.dtype(kind).itemsize].view(kind)

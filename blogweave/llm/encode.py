@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from .elias_fano import array_bytes, arrays_of, map_arrays, write_arrays
-from .store import folder, kept, local_copy, write_file
+from .store import folder, kept, write_file
 from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, sections, span_hashes, span_strings, spans, string_column
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -99,7 +99,7 @@ class Dictionary:
     its hash of 64 bits and 32 more bits."""
 
     def __init__(self, paths: tuple[str, ...]):
-        self.files = [map_arrays(local_copy(p)) if p else None for p in paths]
+        self.files = [map_arrays(p) if p else None for p in paths]
         self.bits = (len(paths) - 1).bit_length()
 
     def look_up(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

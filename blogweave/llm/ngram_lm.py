@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .elias_fano import EliasFano, array_bytes, arrays_of, map_arrays, write_arrays
 from .language_id import held_out
-from .store import folder, kept, local_copy, write_file
+from .store import folder, kept, write_file
 from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, map_batches, sections, span_hashes, spans, string_column
 
 MU = 200.0
@@ -128,7 +128,7 @@ class Vocabulary:
 
     def __init__(self, paths: tuple[str, ...], bits: int, sizes: tuple[int, ...]):
         self.bits, self.first = bits, sections(np.array(sizes, np.int64))
-        self.files = [map_arrays(local_copy(p)) if n else None for p, n in zip(paths, sizes)]
+        self.files = [map_arrays(p) if n else None for p, n in zip(paths, sizes)]
         self.hashes = [EliasFano.of(f, "hash") if f else None for f in self.files]
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
@@ -163,7 +163,7 @@ def _vocabulary(paths: tuple[str, ...], bits: int, sizes: tuple[int, ...]) -> Vo
 
 @lru_cache(maxsize=4096)
 def _trie_file(path: str) -> tuple:
-    f = map_arrays(local_copy(path))
+    f = map_arrays(path)
     return EliasFano.of(f, "contexts"), EliasFano.of(f, "pointers"), EliasFano.of(f, "successors"), f["codes"]
 
 
@@ -243,7 +243,7 @@ def fit(training: DataFrame, text: str = "text", mu: float = MU, shard_tokens: i
 
     def with_places(batch):
         for shard, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            arrays = dict(map_arrays(local_copy(path)))
+            arrays = dict(map_arrays(path))
             arrays["before"] = tokens_before[shard] + sections(arrays["count"])[:-1]
             write_file(path + ".placed", lambda out: write_arrays(out, arrays))
             yield [pa.array([shard], pa.int64())]

@@ -6,12 +6,20 @@ import posixpath
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
+from ..session import configure, scratch_path
 from ..sources.tables import table_path
 
 
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches of a size that Python workers hold with ease."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return configure(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
@@ -50,23 +58,14 @@ def open_file(path: str):
     return fs.open_input_file(at)
 
 
-def local_copy(path: str) -> str:
-    """A path for memory mapping: the file itself on a mounted folder, else a
-    read-only copy in the worker's own temporary folder."""
+def mapped(path: str) -> np.ndarray:
+    """A file's bytes: mapped into memory where the shared folder is mounted,
+    else read from its store."""
     fs, at = _fs(path)
     if type(fs).__name__ == "LocalFileSystem":
-        return at
-    import hashlib
-    import os
-    import tempfile
-    to = os.path.join(tempfile.gettempdir(), "blogweave-" + hashlib.sha1(path.encode()).hexdigest())
-    if not os.path.exists(to):
-        part = f"{to}.{uuid.uuid4().hex}"
-        with fs.open_input_stream(at) as src, open(part, "wb") as out:
-            while chunk := src.read(8 << 20):
-                out.write(chunk)
-        os.replace(part, to)
-    return to
+        return np.asarray(np.memmap(at, np.uint8, "r"))
+    with fs.open_input_file(at) as file:
+        return np.frombuffer(file.read(), np.uint8)
 
 
 def folder(spark: SparkSession, name: str) -> str:
