@@ -25,7 +25,7 @@ from .textblocks import ALNUM, ASCII_LOWER, NOT_SPACE, Block, blocks, map_batche
 
 #: Hashed words and signs (content view), and cells of the metadata view.
 CONTENT_BITS, META_SIZE = 18, 4096
-LABELLED, UNLABELLED = 16_000, 16_000     # bounds of the samples that are learned from
+LABELLED, UNLABELLED = 16_000, 8_000      # bounds of the samples that are learned from
 ROUNDS, SHARE = 3, 0.05                   # of co-training; share of the unlabelled sample a view hands on a round
 LEAST_DOCUMENTS = 5                       # a word must be in so many documents of the sample to have a weight
 CALIBRATION_FOLD = 5                      # one in so many labelled documents is kept for calibration
@@ -254,6 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled
     numbers = np.frombuffer(b"".join(sample["meta"]), "<f4").reshape(len(sample), -1).astype(float)
     views = Views([bytes(c) for c in sample["content"]], numbers, np.stack([np.asarray(c) for c in sample["category"]]))
     y = sample["good"].to_numpy()
+    del sample, numbers
     mine = np.flatnonzero(y >= 0)
     held = mine[np.arange(len(mine)) % CALIBRATION_FOLD == 0] if len(mine) >= 20 * CALIBRATION_FOLD else mine
     start = np.setdiff1d(mine, held) if len(held) < len(mine) else mine
@@ -285,14 +286,21 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled
             "edges": views.edges, "lines": lines, "both": _line(calibrated, target)}
 
 
-def score(docs: DataFrame, model: dict, carry: Column | None = None) -> DataFrame:
-    """doc_id, content_score, meta_score, score of every row, and the column ``carry``."""
-    numbers = "content_score double, meta_score double, score double"
-    df = docs.select(*_columns(docs), *([carry.alias("carried")] if carry is not None else []))
-    extra = [f for f in df.schema.fields if f.name == "carried"]
+def score(docs: DataFrame, model: dict, keep_columns: bool = False) -> DataFrame:
+    """doc_id (or all columns of ``docs``, as c0, c1, …), then content_score,
+    meta_score and score of every row."""
+    roles = {c: (docs.columns.index(c) if c in docs.columns else None) for c in _COLUMNS}
+    if keep_columns:
+        df = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    else:
+        df = docs.select(*_columns(docs))
+        roles = {c: i for i, c in enumerate(_COLUMNS)}
+    given = df.schema.fields if keep_columns else df.schema.fields[:1]
 
     def run(batches):
-        for batch in batches:
+        for whole in batches:
+            batch = pa.RecordBatch.from_arrays([whole.column(i) if i is not None else pa.nulls(whole.num_rows) for i in roles.values()],
+                                               names=list(roles))
             for block in blocks(string_column(batch, "text")):
                 cells, at = content_features(block)
                 views = Views([], np.concatenate([layout(block), _declared(batch, block)], axis=1).astype(np.float32).astype(float),
@@ -301,13 +309,12 @@ def score(docs: DataFrame, model: dict, carry: Column | None = None) -> DataFram
                         "meta": views.meta.dot(model["weights"]["meta"]) + model["bias"]["meta"]}
                 one, two = (odds[v] * line[0] + line[1] for v, line in zip(("content", "meta"), model["lines"]))
                 w = model["both"]
-                rows = [batch.column(0), *batch.columns[len(_COLUMNS):]]
                 yield pa.RecordBatch.from_arrays(
-                    [c[block.rows.start:block.rows.stop] for c in rows]
+                    [c[block.rows.start:block.rows.stop] for c in whole.columns[:len(given)]]
                     + [pa.array(_sigmoid(x)) for x in (one, two, one * w[0] + two * w[1] + w[2])],
-                    names=["doc_id", *[f.name for f in extra], "content_score", "meta_score", "score"])
+                    names=[*[f.name for f in given], "content_score", "meta_score", "score"])
 
-    kinds = ", ".join(["doc_id long", *[f"carried {f.dataType.simpleString()}" for f in extra], numbers])
+    kinds = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in given], "content_score double, meta_score double, score double"])
     return df.mapInArrow(run, kinds)
 
 
@@ -332,5 +339,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **opti
     model = fit(docs, labels, **options)
     if model is None:
         return docs
-    kept_rows = score(docs, model, F.struct(*[F.col(f"`{c}`") for c in docs.columns])).filter(F.col("score") >= threshold)
-    return kept_rows.select("carried.*")
+    scored = score(docs, model, keep_columns=True).filter(F.col("score") >= threshold)
+    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

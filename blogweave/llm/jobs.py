@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
 from . import (bit_packing, cotraining, cross_polytope, decontamination, language_id, lexical_packing, license_scan, ngram_lm,
                order_minhash, warc)
-from .store import table
+from .store import bounded, table
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _query(f: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return f(configure(spark), sf_dir)
+        return f(bounded(spark), sf_dir)
     run.__doc__, run.__name__ = f.__doc__, f.__name__
     return run
 

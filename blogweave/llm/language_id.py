@@ -27,6 +27,8 @@ from .store import kept
 from .textblocks import Block, blocks, bytes_of, map_batches, sections, span_strings, spans, string_column
 
 STRETCH = 32
+#: A lattice is many times its words' size: smaller blocks than elsewhere.
+BLOCK_BYTES = 2 << 20
 #: Keeps products over a stretch near 1: the usual probability of a byte.
 PER_BYTE = 0.1
 
@@ -96,7 +98,7 @@ class Lattice:
         self.node = start + np.arange(len(word))                # lattice node of a stretch's start
         self.nodes = len(spaced) + len(word)
         left = (size[np.repeat(np.arange(len(word)), size)]
-                - (place := np.arange(len(spaced)) - np.repeat(start, size))).astype(np.int64)
+                - (place := (np.arange(len(spaced)) - np.repeat(start, size)).astype(np.int8))).astype(np.int8)
         part = np.repeat(np.arange(len(word)), size)
         live, state, length = np.arange(len(spaced)), np.zeros(len(spaced), np.int32), 0
         found: list[tuple] = []
@@ -105,14 +107,14 @@ class Lattice:
             length += 1
             hit = np.flatnonzero(piece_at[state] >= 0)
             at = live[hit]
-            found.append((place[at], at + part[at], np.full(len(at), length), piece_at[state[hit]]))
+            found.append((place[at], (at + part[at]).astype(np.int32), np.full(len(at), length, np.int32), piece_at[state[hit]]))
             go = (state > 0) & (left[live] > length)
             live, state = live[go], state[go]
         if found:
             where, self.source, span, self.piece = (np.concatenate(x) for x in zip(*found))
         else:
-            where = self.source = span = self.piece = np.zeros(0, np.int64)
-        order = np.argsort(where.astype(np.int8), kind="stable")
+            where = self.source = span = self.piece = np.zeros(0, np.int32)
+        order = np.argsort(where, kind="stable")
         self.source, self.piece = self.source[order], self.piece[order]
         self.target = self.source + span[order]
         self.steps = np.searchsorted(where[order], np.arange(STRETCH + 1))
@@ -160,7 +162,7 @@ def word_counts(df: DataFrame, label: str, text: str) -> DataFrame:
         texts = pc.utf8_lower(string_column(batch, text))
         labels = batch.column(batch.schema.get_field_index(label)).cast(pa.string()).dictionary_encode()
         code = labels.indices.to_numpy(zero_copy_only=False)
-        for block in blocks(texts):
+        for block in blocks(texts, BLOCK_BYTES):
             words, index, first = _words(block)
             key = np.repeat(code[block.rows], np.diff(first)).astype(np.int64) * max(1, len(words)) + index
             pair, n = np.unique(key, return_counts=True)
@@ -223,9 +225,9 @@ def fit(labelled: DataFrame, label: str, text: str, row_key: Column, sample_per_
     return {"names": names, "probability": probability, "path": path}
 
 
-def predict(df: DataFrame, text: str, model: dict) -> DataFrame:
-    """``df``'s columns but ``text``, then lang_pred and score (the predicted
-    language's share of the likelihood over all languages).
+def predict(df: DataFrame, text: str, model: dict, keep_text: bool = False) -> DataFrame:
+    """``df``'s other columns (and ``text``, if it is kept), then lang_pred and
+    score (the predicted language's share of the likelihood over all languages).
 
     A text that is null, empty or without a letter is ``und`` with score 0,
     and so is every text if no language was learned.  Ties go to the first
@@ -235,14 +237,15 @@ def predict(df: DataFrame, text: str, model: dict) -> DataFrame:
     weight = scaled(model["probability"], path) if names else None
     others = [f for f in df.schema.fields if f.name != text]
     carried = df.select(*[F.col(f"`{f.name}`") for f in others], text)
-    spark_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + ["lang_pred string", "score double"])
+    given = carried.schema.fields if keep_text else others
+    spark_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in given] + ["lang_pred string", "score double"])
 
     def run(batches):
         for batch in batches:
             texts = string_column(batch, text)
             lower = pc.utf8_lower(texts)
             pred, score = np.full(batch.num_rows, "und", dtype=object), np.zeros(batch.num_rows)
-            for block in blocks(lower) if names else ():
+            for block in blocks(lower, BLOCK_BYTES) if names else ():
                 words, index, first = _words(block)
                 if not len(index):
                     continue
@@ -260,8 +263,8 @@ def predict(df: DataFrame, text: str, model: dict) -> DataFrame:
                 rows = np.arange(block.rows.start, block.rows.stop)[known]
                 pred[rows], score[rows] = np.asarray(names, dtype=object)[best[known]], share[known]
             yield pa.RecordBatch.from_arrays(
-                batch.columns[:-1] + [pa.array(pred, pa.string()), pa.array(score)],
-                names=[f.name for f in others] + ["lang_pred", "score"])
+                batch.columns[:len(given)] + [pa.array(pred, pa.string()), pa.array(score)],
+                names=[f.name for f in given] + ["lang_pred", "score"])
 
     return carried.mapInArrow(run, spark_schema)
 
@@ -286,5 +289,7 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5, **options) -> Dat
     model = fit(docs.filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", "text", "lang"), "lang", "text", F.col("doc_id"), **options)
     if not model["names"]:
         return docs
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return predict(docs.select(row, "text"), "text", model).filter((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("row.*")
+    named = [(f"c{i}", c) for i, c in enumerate(docs.columns)]          # apart from the names that are added
+    found = predict(docs.select(*[F.col(f"`{c}`").alias(n) for n, c in named]), dict((c, n) for n, c in named)["text"], model, keep_text=True)
+    return (found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
+            .select(*[F.col(n).alias(c) for n, c in named]))

@@ -10,32 +10,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from blogweave.llm import cotraining, decontamination, language_id, lexical_packing, order_minhash
-from blogweave.llm.store import kept, table
-from blogweave.session import configure
+from blogweave.llm.store import bounded, kept, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier takes for good ones."""
-    return cotraining.keep_good(docs, table(configure(spark), sf_dir, "labels"))
+    return cotraining.keep_good(docs, table(bounded(spark), sf_dir, "labels"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found."""
+    bounded(spark)
     return language_id.keep_identified(docs)
 
 
 def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    bounded(spark)
     return order_minhash.keep_one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a question of the benchmark."""
-    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.keep_clean(docs, table(bounded(spark), sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
+    bounded(spark)
     return lexical_packing.pack_documents(docs)
 
 
@@ -47,7 +49,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(bounded(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
