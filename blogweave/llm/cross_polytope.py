@@ -144,6 +144,8 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
     spark = vectors.sparkSession
     empty = "query_id long, rank int, vec_id long, score double"
     rows = valid(vectors, key, vector).withColumn("h", F.xxhash64("v"))
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"       # vectors travel as they came
+    kind, width = ("<f4", 4) if single else ("<f8", 8)
     classes = kept(rows.groupBy("h", "v").agg(F.min("id").alias("cid"), F.max(is_query(F.col("id")).cast("int")).alias("asks"),
                                               F.count("*").alias("members")), "ann-classes")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
@@ -161,9 +163,9 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
         def run(batches):
             for b in batches:
                 flat = b.column(1)
-                width = np.frombuffer(flat.flatten().cast(pa.float64()).to_numpy().tobytes(), np.uint8)
+                data = flat.flatten().to_numpy(zero_copy_only=False).astype(kind).tobytes()
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.FixedSizeBinaryArray.from_buffers(
-                    pa.binary(8 * dims), len(flat), [None, pa.py_buffer(width)]).cast(pa.binary())], names=["cid", "asks", "raw"])
+                    pa.binary(width * dims), len(flat), [None, pa.py_buffer(data)]).cast(pa.binary())], names=["cid", "asks", "raw"])
         return df.select("cid", "v", "asks").mapInArrow(run, "cid long, asks int, raw binary")
 
     base = packed(classes)
@@ -171,19 +173,19 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
     drawn = ask.orderBy(F.xxhash64("cid"), "cid").limit(sample).collect()      # bounded: ``sample`` vectors
     if not drawn:
         return spark.createDataFrame([], empty)
-    few = np.stack([np.frombuffer(r.raw, "<f8") for r in drawn])
+    few = np.stack([np.frombuffer(r.raw, kind).astype(float) for r in drawn])
     few_ids = np.array([r.cid for r in drawn])
 
     def exact(batches):
         for b in batches:
-            ids, scores = best_of(few, _matrix(b.column(2), "<f8"), b.column(0).to_numpy(), more)
+            ids, scores = best_of(few, _matrix(b.column(2), kind), b.column(0).to_numpy(), more)
             yield from _best_table(few_ids, ids, scores).to_batches()
 
     truth = _merged(base.mapInArrow(exact, _BEST), more).join(base.select(F.col("cid").alias("id"), "raw"), "id")
     truth = truth.select("qid", "id", "raw").collect()                          # bounded: ``sample`` times n + 1
     place = {int(q): i for i, q in enumerate(few_ids)}
     order = hashes.probes(few, MOST_PROBES)
-    near = hashes.buckets(np.stack([np.frombuffer(r.raw, "<f8") for r in truth]))
+    near = hashes.buckets(np.stack([np.frombuffer(r.raw, kind).astype(float) for r in truth]))
     needed = []
     for r, own in zip(truth, near):
         if r.qid != r.id:
@@ -193,12 +195,12 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
 
     def bucketed(batches):
         for b in batches:
-            own = hashes.buckets(_matrix(b.column(2), "<f8"))
+            own = hashes.buckets(_matrix(b.column(2), kind))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(list(own), pa.list_(pa.int64()))], names=["id", "raw", "codes"])
 
     def probing(batches):
         for b in batches:
-            own = hashes.probes(_matrix(b.column(1), "<f8"), probes).reshape(b.num_rows, -1)
+            own = hashes.probes(_matrix(b.column(1), kind), probes).reshape(b.num_rows, -1)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(own), pa.list_(pa.int64()))], names=["id", "raw", "codes"])
 
     schema = "id long, raw binary, codes array<long>"
@@ -228,7 +230,7 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
         a, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(a) or not len(q):
             return _best_table([], [], [])
-        found, scores = best_of(_matrix(raw.take(pa.array(q)), "<f8"), _matrix(raw.take(pa.array(a)), "<f8"), ids[a], more)
+        found, scores = best_of(_matrix(raw.take(pa.array(q)), kind), _matrix(raw.take(pa.array(a)), kind), ids[a], more)
         return _best_table(ids[q], found, scores)
 
     parts = (dealt(own, "bs", "qs", 0).unionByName(dealt(theirs, "qs", "bs", 1))
