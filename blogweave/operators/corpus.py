@@ -17,10 +17,12 @@ from blogweave.functions import text as X
 from blogweave.functions import urls as U
 
 
-def _tokens(content_html: str, keep_comments: bool):
-    """Normalised tokens longer than two characters of a post's visible text."""
-    toks = X.tokens(X.space_out(H.visible_text(content_html, keep_comments)))
-    return F.transform(F.filter(toks, lambda t: F.length(t) >= X.MIN_TOKEN_LENGTH), X.normalise_token)
+def _tokens(posts: DataFrame, keep_comments: bool) -> DataFrame:
+    """``(post_id, modality, term)``: normalised tokens longer than two
+    characters of each post's visible text, one row each."""
+    text = X.space_out(H.visible_text("content_html", keep_comments))
+    return (posts.select("post_id", F.explode(X.tokens(text)).alias("tok")).where(F.length("tok") >= X.MIN_TOKEN_LENGTH)
+            .select("post_id", F.lit("words").alias("modality"), X.normalise_token("tok").alias("term")))
 
 
 def _lemmatised(terms: DataFrame, lemmas: DataFrame | None) -> DataFrame:
@@ -43,8 +45,7 @@ def word_counts(posts: DataFrame, lemmas: DataFrame | None = None, keep_comments
     mapped through the optional ``lemmas(token, lemma)`` dictionary (identity
     when absent); empty lemmas are dropped.
     """
-    toks = posts.select("post_id", F.lit("words").alias("modality"), F.explode(_tokens("content_html", keep_comments)).alias("term"))
-    return _counted(_lemmatised(toks, lemmas)).select("post_id", F.col("term").alias("lemma"), "n")
+    return _counted(_lemmatised(_tokens(posts, keep_comments), lemmas)).select("post_id", F.col("term").alias("lemma"), "n")
 
 
 def user_counts(comments: DataFrame) -> DataFrame:
@@ -71,17 +72,15 @@ def tag_hub_terms(posts: DataFrame) -> DataFrame:
 
 def modality_terms(posts: DataFrame, comments: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
     """Long union of the five modalities ``(post_id, modality, term, n)``.
-    One scan of the posts gives words, author, tags and hubs."""
-    def of(modality, terms):
-        return F.transform(terms, lambda t: F.struct(F.lit(modality).alias("modality"), t.alias("term")))
-
+    One scan of the texts gives the words, one of the narrow columns author,
+    tags and hubs, which are distinct within a post's row and need no shuffle."""
     rest = F.transform(_tags_and_hubs(), lambda x: F.struct(
         F.when(x["kind"] == "tag", F.lit("tags")).otherwise(F.lit("hubs")).alias("modality"), x["term"].alias("term")))
-    author = of("author", F.array_compact(F.array("author")))
-    every = F.concat(F.coalesce(of("words", _tokens("content_html", True)), F.array()), author, rest)
-    of_posts = _counted(_lemmatised(posts.select("post_id", F.inline(every)), lemmas))
+    author = F.transform(F.array_compact(F.array("author")), lambda t: F.struct(F.lit("author").alias("modality"), t.alias("term")))
+    words = _counted(_lemmatised(_tokens(posts, True), lemmas))
+    narrow = posts.select("post_id", F.inline(F.concat(author, rest))).withColumn("n", F.lit(1).cast("bigint"))
     users = user_counts(comments).select("post_id", F.lit("users").alias("modality"), F.col("username").alias("term"), "n")
-    return of_posts.unionByName(users)
+    return words.unionByName(narrow).unionByName(users)
 
 
 def corpus_lines(posts: DataFrame, terms: DataFrame) -> DataFrame:

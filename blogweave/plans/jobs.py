@@ -397,6 +397,11 @@ def extract_posts(spark, sf_dir):
     return _post_columns(extract.posts_from_pages(raw, sites_frame(spark)))
 
 
+def _stored(pages: DataFrame) -> DataFrame:
+    """Rendered pages, written and read like fetched ones, as several files."""
+    return materialize(pages.repartition(pages.sparkSession.sparkContext.defaultParallelism), "pages")[0]
+
+
 def _faulty_pages(spark, sf_dir) -> DataFrame:
     """Post pages of which most have something wrong, by post id."""
     pages = render.post_pages(posts_view(spark, sf_dir), None)
@@ -418,11 +423,8 @@ def _faulty_pages(spark, sf_dir) -> DataFrame:
 @job("J05_extraction_errors")
 def extraction_errors(spark, sf_dir):
     """Every page, whole or faulty, with its post or its error."""
-    raw = extract.extract_post_pages(_faulty_pages(spark, sf_dir))
-    sites = sites_frame(spark)
-    found = extract.posts_from_pages(raw, sites).select("page_id", "_id", F.lit(None).cast("string").alias("error"))
-    lost = extract.post_dead_letters(raw, sites).select("page_id", F.lit(None).cast("string").alias("_id"), "error")
-    return found.unionByName(lost)
+    typed = extract.typed_posts(extract.extract_post_pages(_stored(_faulty_pages(spark, sf_dir))), sites_frame(spark))
+    return typed.select("page_id", F.when(F.col("error").isNull(), F.col("_id")).alias("_id"), "error")
 
 
 @job("J06_extract_comments")
@@ -449,11 +451,6 @@ def _info_text(col):
     return F.array_join(F.transform(col, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
 
 
-def _stored(pages: DataFrame) -> DataFrame:
-    """Rendered pages, written and read like fetched ones."""
-    return materialize(pages, "pages")[0]
-
-
 def _user_pages(spark, sf_dir):
     return render.user_pages(read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
 
