@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import SF01
+from llm.conftest import SF01
 from pyspark.sql import functions as F
 
 from blogweave.llm import cross_polytope

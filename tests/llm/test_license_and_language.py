@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF01
+from llm.conftest import SF01
 
 from blogweave.llm import jobs, language_id, license_scan
 from oracle_compare import duck_connection, rows_of

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from blogweave.llm import order_minhash
 from blogweave.llm.components import components
-from conftest import ODD_TEXTS
+from llm.conftest import ODD_TEXTS
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

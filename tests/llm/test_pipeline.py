@@ -2,9 +2,9 @@
 
 import corpus_pipeline
 import pytest
-from test_near_duplicates import brute as duplicate_classes
-from test_quality_and_leaks import brute as leaks
-from test_token_files import check_packing
+from llm.test_near_duplicates import brute as duplicate_classes
+from llm.test_quality_and_leaks import brute as leaks
+from llm.test_token_files import check_packing
 
 import __spark_entry__
 from blogweave.llm import cotraining, language_id

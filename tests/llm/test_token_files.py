@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import crc_of
+from llm.conftest import crc_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
