@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import kept
-from .textblocks import ALNUM, ASCII_LOWER, NOT_SPACE, Block, blocks, map_batches, mix, sections, span_hashes, spans, string_column
+from .textblocks import ALNUM, ASCII_LOWER, NOT_SPACE, Block, blocks, mix, sections, span_hashes, spans, string_column
 
 #: Hashed words and signs (content view), and cells of the metadata view.
 CONTENT_BITS, META_SIZE = 18, 4096
