@@ -14,8 +14,11 @@ leaders, so that a bucket's pairs grow with its size only.  Leaders are the
 classes that meet most others over all tables: what many were copied from is
 nearer to each copy than the copies are to each other, and meets most of them.
 Then the groups that a bucket still holds are, each by one member, candidates
-with ``MORE_LEADERS`` of them, until a round finds no new link.  Candidates
-are verified by a banded alignment.
+with ``MORE_LEADERS`` of them, until a round finds no new link.  What leaders
+leave open is settled without a cap: the members of buckets that still hold
+more than ``MORE_LEADERS`` groups are joined, across groups, by their rarest
+k-mers, as many of them as any two similar sequences must share one of.
+Candidates are verified by a banded alignment.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, mix, sec
 
 K, LEAST, TABLES, SIMILARITY = 5, 3, 16, 0.8
 LEADERS, MORE_LEADERS = 3, 32
+CELL_BITS = 20           # k-mers are counted by so many bits: 1 M counts, whatever the number of texts
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -229,6 +233,80 @@ def _candidates(members: DataFrame, leaders: int, similarity: float) -> DataFram
             .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
 
 
+def rarity(grams: DataFrame) -> np.ndarray:
+    """How many k-mers of these sequences are in each cell of k-mers."""
+    def work(batches):
+        counts = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for g in batch.column(0).to_pylist():
+                np.add.at(counts, np.frombuffer(g, "<u4") >> np.uint32(32 - CELL_BITS), 1)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["cell", "n"])
+
+    got = grams.select("grams").mapInArrow(work, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(1 << CELL_BITS, np.int64)
+    out[got["cell"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.int64)
+    return out
+
+
+def prefix(grams: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest k-mers, labelled by their occurrence, in an order that is the
+    same for all sequences; as many as a similar one must share one of."""
+    ordered = np.sort(grams)
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    start = np.maximum.accumulate(np.where(new, np.arange(len(ordered)), 0))
+    token = ordered.astype(np.uint64) << np.uint64(32) | (np.arange(len(ordered)) - start).astype(np.uint64)
+    order = np.lexsort((token, counts[ordered >> np.uint32(32 - CELL_BITS)]))
+    return token[order[:len(grams) - math.ceil(similarity * len(grams) - 1e-9) + 1]]
+
+
+def pairs_across(apart: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of sequences (node, root, grams) of different roots
+    that can be similar; only what cannot be is left out.
+
+    Two sequences of m <= n k-mers with an overlap of ``need`` or more have
+    their first common k-mer, in any one order, at a place that leaves ``need``
+    k-mers in both: among the n - s n + 1 first of the longer one, and, as need
+    is at least 2 s m / (1 + s), among still fewer of the shorter one.
+    """
+    counts = rarity(apart)
+    schema = pa.schema([("node", pa.binary()), ("root", pa.binary()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+
+    def work(batch):
+        grams = [np.frombuffer(g, "<u4") for g in batch.column(2).to_pylist()]
+        yield [batch.column(0), batch.column(1), pa.array([len(g) for g in grams], pa.int64()),
+               pa.array([prefix(g, counts, similarity).view(np.int64) for g in grams], pa.list_(pa.int64()))]
+
+    share = similarity / (1 + similarity)
+    rows = apart.select("node", "root", "grams").mapInArrow(map_batches(schema, work), "node binary, root binary, n long, tokens array<long>")
+    rows = rows.select("node", "root", "n", F.posexplode("tokens").alias("at", "token"))
+    # a k-mer of one group only joins nothing
+    several = rows.groupBy("token").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other").select("token")
+    rows = kept(rows.join(several, "token").select("token", "root", "node", "n", (F.col("n") - F.col("at")).alias("rest")), "omh-prefixes")
+    short = rows.filter(F.col("rest") >= F.ceil(2 * share * F.col("n") - 1e-9))
+
+    def sides(df: DataFrame, side: str) -> DataFrame:
+        return df.select("token", *[F.col(c).alias(c + side) for c in df.columns if c != "token"])
+
+    def of_groups(df: DataFrame) -> DataFrame:
+        return df.groupBy("token", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+
+    # Groups first: the members of one group are never paired with each other.
+    groups = (sides(of_groups(short), "1").join(sides(of_groups(rows), "2"), "token")
+              .filter((F.col("root1") != F.col("root2")) & (F.col("least1") <= F.col("most2")) & (F.col("most1") >= similarity * F.col("least2") - 1e-9)
+                      & (F.least("rest1", "rest2") >= F.ceil(share * (F.col("least1") + F.col("least2")) - 1e-9)))
+              .select("token", "root1", "root2"))
+    met = (sides(short, "1").join(kept(groups, "omh-group-pairs"), ["token", "root1"]).join(sides(rows, "2"), ["token", "root2"])
+           .filter((F.col("n1") <= F.col("n2")) & (F.col("n1") >= similarity * F.col("n2") - 1e-9)
+                   & (F.least("rest1", "rest2") >= F.ceil(share * (F.col("n1") + F.col("n2")) - 1e-9))))
+    return met.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+
+
+def _linked(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    edges = links.select("a", "b")
+    return kept((components(edges) if roots is None else joined(roots, edges)).select(F.col("node").alias("of"), "root"), "omh-components")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                     tables: int = TABLES) -> DataFrame:
     """One row per row of ``docs``: key, class_id (the smallest key among all
@@ -266,14 +344,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = kept(pairs, "omh-pairs")
         new = kept(verified(pairs, texts, similarity), "omh-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
         if not new.limit(1).count():
             break
-        if roots is None:
-            roots = components(new.select("a", "b"))
-        else:
-            roots = joined(roots, new.select("a", "b"))
-        roots = kept(roots.select(F.col("node").alias("of"), "root"), "omh-components")
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        roots = _linked(roots, new)
+    # What leaders leave open: members of different groups in the same bucket.
+    own = members.select("t", "key", "node")
+    own = (own.withColumn("root", F.col("node")) if roots is None else
+           own.join(roots, own.node == roots.of, "left").select("t", "key", "node", F.coalesce("root", "node").alias("root")))
+    several = own.groupBy("t", "key").agg(F.count_distinct("root").alias("groups")).filter(F.col("groups") > MORE_LEADERS).select("t", "key")
+    apart = kept(own.join(several, ["t", "key"], "left_semi").select("node", "root").distinct(), "omh-apart")
+    if apart.limit(1).count():
+        pairs = pairs_across(kept(apart.join(texts, "node"), "omh-apart-texts"), similarity)
+        new = kept(verified(kept(pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs"), texts, similarity), "omh-links")
+        if new.limit(1).count():
+            roots = _linked(roots, new)
     grouped = classes.select("node", "rep")
     if roots is None:
         named = grouped.select("node", F.col("rep").alias("copy_of"), F.col("rep").alias("class_id"))

@@ -120,6 +120,19 @@ def test_a_large_group_and_a_shared_passage(spark):
     assert got(order_minhash.near_duplicates(docs)) == brute(list(enumerate(rows)))
 
 
+def test_near_copies_behind_a_shared_passage(spark):
+    """Strangers share 300 of 360 shingles (0.71), and each has a near copy: no leader of their bucket meets both."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    passage, rows = [word() for _ in range(304)], []
+    for _ in range(150):
+        own = [word() for _ in range(60)]
+        rows += [" ".join(passage + own), " ".join(passage + own[:30] + [word() for _ in range(30)])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert all(similar(*map(shingles, rows[i:i + 2])) for i in range(0, 300, 2)) and not similar(shingles(rows[0]), shingles(rows[3]))
+    assert got(order_minhash.near_duplicates(docs)) == sorted(((i, i - i % 2, i) for i in range(300)), key=repr)
+
+
 def test_order_matters(spark):
     """The same sentences in another order are no near-duplicate."""
     rng = random.Random(5)
