@@ -15,9 +15,9 @@ classes that meet most others over all tables: what many were copied from is
 nearer to each copy than the copies are to each other, and meets most of them.
 Then the groups that a bucket still holds are, each by one member, candidates
 with ``MORE_LEADERS`` of them, until a round finds no new link.  What leaders
-leave open is settled without a cap: the members of buckets that still hold
-more than ``MORE_LEADERS`` groups are joined, across groups, by their rarest
-k-mers, as many of them as any two similar sequences must share one of.
+leave open is settled without a cap: all members of buckets that still hold
+several groups are joined, across groups, by their rarest k-mers, as many of
+them as any two similar sequences must share one of.
 Candidates are verified by a banded alignment.
 """
 
@@ -349,10 +349,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
             break
         roots = _linked(roots, new)
     # What leaders leave open: members of different groups in the same bucket.
+    # A bucket of LEADERS + 1 has had all its pairs in the first round.
     own = members.select("t", "key", "node")
     own = (own.withColumn("root", F.col("node")) if roots is None else
            own.join(roots, own.node == roots.of, "left").select("t", "key", "node", F.coalesce("root", "node").alias("root")))
-    several = own.groupBy("t", "key").agg(F.count_distinct("root").alias("groups")).filter(F.col("groups") > MORE_LEADERS).select("t", "key")
+    several = (own.groupBy("t", "key").agg(F.count("*").alias("size"), F.min("root").alias("one"), F.max("root").alias("other"))
+               .filter((F.col("size") > LEADERS + 1) & (F.col("one") != F.col("other"))).select("t", "key"))
     apart = kept(own.join(several, ["t", "key"], "left_semi").select("node", "root").distinct(), "omh-apart")
     if apart.limit(1).count():
         pairs = pairs_across(kept(apart.join(texts, "node"), "omh-apart-texts"), similarity)

@@ -133,6 +133,27 @@ def test_near_copies_behind_a_shared_passage(spark):
     assert got(order_minhash.near_duplicates(docs)) == sorted(((i, i - i % 2, i) for i in range(300)), key=repr)
 
 
+def test_groups_linked_by_members_only(spark):
+    """Two hubs with near copies are unlike (0.72), but one member of each drifts until those two are alike."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    rows = []
+    for _ in range(12):
+        one = [word() for _ in range(200)]
+        two = one[:80] + [word() for _ in range(28)] + one[108:]
+        near, far = one[:80] + two[80:89] + one[89:], one[:80] + two[80:99] + one[99:]
+        assert similar(*(shingles(" ".join(t)) for t in (near, far)))
+        group = [one, two, near, far]
+        for hub in (one, two):
+            for _ in range(15):
+                t = list(hub)
+                t[rng.randrange(80)] = word()
+                group.append(t)
+        rows += [" ".join(t) for t in group]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()} == {i: i - i % 34 for i in range(len(rows))}
+
+
 def test_order_matters(spark):
     """The same sentences in another order are no near-duplicate."""
     rng = random.Random(5)
