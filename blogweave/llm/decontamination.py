@@ -11,6 +11,11 @@ same value of the document, and the other way round.  That finds questions
 whose numbers, names or units were exchanged, and leaves out chance matches
 whose values contradict each other.
 
+Windows of fewer literals (one at least) count where no other window matches
+at that distance: if all their tokens are the same, values too, or, for an item
+that has no other windows and ``WHOLE`` literals, if all of them match and the
+slots agree.
+
 The benchmark's windows reach the tasks as a bitmap of a fixed size, whatever
 their number; windows that hit it are joined exactly.
 """
@@ -19,15 +24,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitmaps import bitmap_of, passes
 from .license_scan import WordIndex, _hash_words
 from .store import kept
-from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, span_hashes, spans, string_column, windows
+from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, mix, span_hashes, spans, string_column, windows
 
-WINDOW, LITERALS = 8, 5
+WINDOW, LITERALS, WHOLE = 8, 5, 3
+# Kinds of windows: enough literals; fewer, by all values; fewer, by template.
+ENOUGH, SAME, TEMPLATE = 0, 1, 2
 
 # Words that are numbers, and words that are units when a number stands before them.
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -79,15 +86,20 @@ class Canonical:
             at, back, begin = at[go], back[go] - 1, begin[go]
         self.slot = number * 1 + name * 2 + unit * 3
         self.code = np.where(number, NUM, np.where(name, NAME, np.where(unit, UNIT, word)))
+        self.value = mix(word + self.slot.astype(np.uint64))
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the windows with enough literals."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, hashes and kinds of the windows that have literals."""
         hashes = windows(self.code, size)
         start = np.arange(len(hashes))
         literal = np.zeros(len(self.slot) + 1, np.int64)
         np.cumsum(self.slot == 0, out=literal[1:])
-        ok = (start + size <= self.first[self.row[:len(hashes)] + 1]) & (literal[start + size] - literal[start] >= min(LITERALS, size))
-        return start[ok], hashes[ok]
+        inside, literals = start + size <= self.first[self.row[:len(hashes)] + 1], literal[start + size] - literal[start]
+        ok = inside & (literals >= min(LITERALS, size))
+        few = inside & ~ok & (literals > 0)
+        return (np.concatenate([start[ok], start[few], start[few]]),
+                np.concatenate([hashes[ok], windows(self.value, size)[few], hashes[few]]),
+                np.repeat(np.array([ENOUGH, SAME, TEMPLATE]), [ok.sum(), few.sum(), few.sum()]))
 
     def slots(self, start: int, size: int) -> list[str]:
         """The window's slot values, each with its place and type."""
@@ -99,13 +111,15 @@ def _indexes() -> tuple[WordIndex, WordIndex]:
     return WordIndex(_hash_words(NUMBER_WORDS)), WordIndex(_hash_words(UNITS))
 
 
-_WINDOWS = pa.schema([("id", pa.int64()), ("at", pa.int64()), ("size", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string()))])
-_WINDOWS_SQL = "id long, at long, size int, hash long, slots array<string>"
+_WINDOWS = pa.schema([("id", pa.int64()), ("at", pa.int64()), ("size", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())),
+                     ("kind", pa.int32()), ("need", pa.int32())])
+_WINDOWS_SQL = "id long, at long, size int, hash long, slots array<string>, kind int, need int"
 
 
 def template_windows(df: DataFrame, key: str, text: str, sizes: tuple[int, ...], bitmap: np.ndarray | None) -> DataFrame:
     """Windows of these sizes; only those that hit the bitmap, if one is given.
-    Without one, a text shorter than the first size gives one window of all its tokens."""
+    Without one, a text shorter than the first size gives one window of all its tokens,
+    and ``need`` is the number of windows of kind ``TEMPLATE`` that the text has."""
     numbers, units = _indexes()
 
     def work(batch):
@@ -115,14 +129,19 @@ def template_windows(df: DataFrame, key: str, text: str, sizes: tuple[int, ...],
             length = np.diff(c.first)
             out: list[tuple] = []
             for size in range(1, sizes[0] + 1) if bitmap is None else sizes:
-                start, hashes = c.windows(size)
+                start, hashes, kind = c.windows(size)
+                need = np.zeros(len(length), np.int64)
                 if bitmap is None:
                     fits = (length[c.row[start]] >= size) if size == sizes[0] else (length[c.row[start]] == size)
+                    whole = np.bincount(c.row[c.slot == 0], minlength=len(length)) >= WHOLE
+                    whole[c.row[start[fits & (kind == ENOUGH)]]] = False
+                    fits &= (kind != TEMPLATE) | whole[c.row[start]]
+                    need = np.bincount(c.row[start[fits & (kind == TEMPLATE)]], minlength=len(length))
                 else:
                     fits = passes(bitmap, hashes)
-                for i, h in zip(start[fits].tolist(), hashes[fits].view(np.int64).tolist()):
+                for i, h, k in zip(start[fits].tolist(), hashes[fits].view(np.int64).tolist(), kind[fits].tolist()):
                     r = int(c.row[i])
-                    out.append((ids[block.rows.start + r], i - int(c.first[r]), size, h, c.slots(i, size)))
+                    out.append((ids[block.rows.start + r], i - int(c.first[r]), size, h, c.slots(i, size), k, int(need[r])))
             if out:
                 yield [pa.array(x, f.type) for x, f in zip(zip(*out), _WINDOWS)]
 
@@ -144,20 +163,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     if not sizes:
         return docs.sparkSession.createDataFrame([], f"`{key}` long, `{item}` long, n_windows long, first_token long, exact boolean")
     hits = template_windows(docs, key, text, sizes, bitmap_of(items, "hash")).filter("id IS NOT NULL").distinct()
-    matched = (hits.alias("d").join(items.alias("b"), (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size")))
+    matched = (hits.alias("d").join(items.alias("b"), (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size"))
+                                           & (F.col("d.kind") == F.col("b.kind")))
                .select(F.col("d.id").alias("doc"), F.col("b.id").alias("item"), F.col("d.at").alias("at"),
-                       (F.col("d.at") - F.col("b.at")).alias("distance"),
+                       (F.col("d.at") - F.col("b.at")).alias("distance"), "b.kind", "b.need",
                        # a slot's value in the item and in the document: same place, same type
                        F.zip_with("b.slots", "d.slots", lambda x, y: F.struct(
                            F.regexp_replace(x, "^[0-9]+:", "").alias("theirs"), F.regexp_replace(y, "^[0-9]+:", "").alias("ours"))).alias("pairs")))
     # a document's matches with an item at one distance are at most as many as the item has windows
+    def of_kind(kind: int, column: str) -> Column:
+        return F.collect_set(F.when(F.col("kind") == kind, F.col(column)))
+
+    def one_to_one(pairs: str) -> Column:
+        return ((F.size(F.array_distinct(F.transform(pairs, lambda p: p["theirs"]))) == F.size(pairs))
+                & (F.size(F.array_distinct(F.transform(pairs, lambda p: p["ours"]))) == F.size(pairs)))
+
+    def unchanged(pairs: str) -> Column:
+        return F.forall(pairs, lambda p: p["theirs"] == p["ours"])
+
     lined = (matched.groupBy("doc", "item", "distance")
-             .agg(F.collect_set("at").alias("places"), F.max((F.size("pairs") == 0)).alias("plain"),
-                  F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["theirs"]))) == F.size("pairs"))
-                  & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["ours"]))) == F.size("pairs")))
-    exact = F.forall("pairs", lambda p: p["theirs"] == p["ours"])
-    leaks = lined.filter(F.col("plain") | one_to_one).select("doc", "item", F.size("places").alias("n"), F.array_min("places").alias("first"), exact.alias("exact"))
+             .agg(of_kind(ENOUGH, "at").alias("places"), F.max((F.col("kind") == ENOUGH) & (F.size("pairs") == 0)).alias("plain"),
+                  F.array_distinct(F.flatten(of_kind(ENOUGH, "pairs"))).alias("pairs"), of_kind(SAME, "at").alias("same"),
+                  of_kind(TEMPLATE, "at").alias("whole"), F.array_distinct(F.flatten(of_kind(TEMPLATE, "pairs"))).alias("exchanged"),
+                  F.max("need").alias("need")))
+    enough = F.size("places") > 0
+    whole = (F.size("whole") > 0) & (F.size("whole") >= F.col("need")) & one_to_one("exchanged")
+    found = F.when(enough, F.col("plain") | one_to_one("pairs")).otherwise(whole | (F.size("same") > 0))
+    places = F.when(enough, F.col("places")).when(whole, F.col("whole")).otherwise(F.col("same"))
+    exact = F.when(enough, unchanged("pairs")).when(whole, unchanged("exchanged")).otherwise(True)
+    leaks = lined.filter(found).select("doc", "item", F.size(places).alias("n"), F.array_min(places).alias("first"), exact.alias("exact"))
     return (leaks.groupBy("doc", "item").agg(F.sum("n").cast("long").alias("n_windows"), F.min("first").alias("first_token"), F.max("exact").alias("exact"))
             .withColumnsRenamed({"doc": key, "item": item}))
 

@@ -133,3 +133,16 @@ def test_short_items_and_odd_documents(spark, odd_documents, no_documents):
     assert left.columns == odd_documents.columns and left.filter("doc_id IS NULL").count() == 1
     assert got(decontamination.find_leaks(odd_documents, bench.limit(0))) == []
     assert got(decontamination.find_leaks(no_documents, bench)) == []
+
+
+def test_items_of_few_literals(spark):
+    """Questions of numbers and names mostly: as they are, with other values, with values that contradict each other, in part."""
+    items = ["What is 17 plus 25?", "How much is 3 times 4?", "Who wrote Pride and Prejudice in 1813?", "Is Paris north of Rome?",
+             "Was Johann Wolfgang Goethe born in Frankfurt on 28 August 1749?"]
+    other = ["What is 8 plus 9?", "How much is 5 times 6?", "Who wrote War and Peace in 1869?", "Is Oslo north of Bern?",
+             "Was Jane Mary Austen born in Steventon on 16 December 1775?"]
+    texts = [f"We asked this. {t} Nobody knew." for t in items + other] + ["What is 5 plus 5?", "It says Goethe born in Frankfurt on 28 August 1749", "17 plus 25"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.exact for r in decontamination.find_leaks(docs, bench).collect()}
+    assert found == {**{(i, i): True for i in range(5)}, **{(5 + i, i): False for i in range(5)}, (11, 4): True}
