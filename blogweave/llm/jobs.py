@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bit_packing, cotraining, cross_polytope, decontamination, language_id, lexical_packing, license_scan, ngram_lm,
-               order_minhash, warc)
+from . import (best_fit_packing, bit_packing, cotraining, cross_polytope, decontamination, importance_resampling, language_id,
+               lexical_packing, license_scan, ngram_lm, order_minhash, prefix_trie, warc)
 from .store import bounded, table
 
 
@@ -54,6 +54,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.digest(best_fit_packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def _query(f: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f(bounded(spark), sf_dir)
@@ -63,6 +75,7 @@ def _query(f: Callable) -> Callable:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in (
     op1_order_minhash, op2_license_scan, op3_ngram_lm, op4_warc, op5_cross_polytope, op6_bit_packing, op7_lexical_packing,
-    op8_cotraining, op9_decontamination, op10_language_id)}
+    op8_cotraining, op9_decontamination, op10_language_id, op11_importance_resampling, op12_sum_of_squares_packing, op13_prefix_trie)}
 
-SQL: dict[str, str] = {"op2_license_scan": license_scan.scan_sql(), "op4_warc": warc.SQL}
+SQL: dict[str, str] = {"op2_license_scan": license_scan.scan_sql(), "op4_warc": warc.SQL,
+                       "op11_importance_resampling": importance_resampling.resample_sql(), "op13_prefix_trie": prefix_trie.SQL}
