@@ -116,7 +116,7 @@ def places(pieces: DataFrame, window: int, group_rows: int = GROUP_ROWS) -> Data
         if last:
             break
         still = got.filter("open").count()
-        stuck, count, turn = 2 * still > count, still, turn + 1     # sizes that fill no bin: one more round for what is left
+        stuck, count, turn = 4 * still > 3 * count, still, turn + 1     # sizes that hardly fill bins: one more round for what is left
         left = got.filter("open").select("row", "n")
     out = done[0]
     for more in done[1:]:

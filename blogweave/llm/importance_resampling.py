@@ -40,10 +40,12 @@ def features(text: Column, longest: int = 1) -> Column:
     words = F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase), F.lit(WORD), F.lit(0))
     if longest == 1:
         return words
-    def runs(n: int) -> Column:
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-    return F.concat(words, *[runs(n) for n in range(2, longest + 1)])
+
+    def runs(w: Column, n: int) -> Column:
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
+    # bound to a variable, so that the text is split once and not once per run
+    return F.transform(F.array(words), lambda w: F.concat(w, *[runs(w, n) for n in range(2, longest + 1)]))[0]
 
 
 def bucketed(df: DataFrame, text: str, longest: int, buckets: int, *more: Column) -> DataFrame:

@@ -77,10 +77,10 @@ def check(docs, window=4096, **options):
     return got, len(bins), sum(len(x) // window for x in ids) + fewest(sizes, window)
 
 
-@pytest.mark.parametrize("group_rows", [8192, 150])
-def test_documents(documents, group_rows):
+@pytest.mark.parametrize("group_rows, more", [(8192, 1.0), (150, 1.02)])      # groups of 150 pieces end with more gaps
+def test_documents(documents, group_rows, more):
     got, n, good = check(documents, group_rows=group_rows)
-    assert n <= good * 1.01 + 1
+    assert n <= good * more + 1
 
 
 def test_odd_documents(odd_documents, no_documents):

@@ -71,7 +71,7 @@ def test_ties_and_repeated_ids(spark):
     keys = [5, 3, 3, 3, None, None, 9, -2**63, 2**63 - 1, 4]
     docs = spark.createDataFrame([(k, "same words here", 1) for k in keys], "doc_id long, text string, score int")
     target = spark.createDataFrame([], "text string")
-    for percent in range(0, 101, 10):
+    for percent in (20, 50, 80):
         got = rows_of(R.resample(docs, target, percent, 1))
         assert got == brute([(k, "same words here") for k in keys], [], percent, 1)
 
@@ -84,8 +84,8 @@ def test_cutoff_counts_every_tie(spark):
 
 def test_bisection(spark):
     rows = spark.createDataFrame([(v,) for v in (-5, -5, 0, 3, 3, 3, 8, 100_000)], "v long")
-    for need, want in ((1, 100_000), (2, 8), (3, 3), (5, 3), (6, 0), (7, -5), (8, -5)):
-        for levels in (1, 3):
+    for need, want in ((1, 100_000), (3, 3), (6, 0), (8, -5)):
+        for levels in (2, 5):
             assert R.reached_by(rows, F.col("v"), need, -5, 100_000, levels) == want
 
 
