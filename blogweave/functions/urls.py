@@ -23,7 +23,7 @@ POST_ID_LOOSE = r"/([^/]+/)*([0-9]+)(/|$)"
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 NETLOC = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 # A <link> tag with rel=canonical (any attribute order), then its href.
-CANONICAL_TAG = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical["']?[^>]*>"""
+CANONICAL_TAG = r"""(?i)<link\b[^<>]*\brel\s*=\s*["']?canonical["']?[^<>]*>"""
 # Only links of the head count.
 HEAD = r"(?is)<head\b[^>]*>(.*?)(?:</head|<body\b|\z)"
 

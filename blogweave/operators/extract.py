@@ -1,15 +1,15 @@
-"""Extraction of posts, comments and profiles from pages.
+"""Extraction of posts and comments from pages.
 
-Posts and comments nest, so a ``mapInPandas`` worker parses each page with the
-tolerant tree of :mod:`blogweave.operators.dom` and returns raw strings: one
-worker gives a row per page with the post's fields, another a row per comment.
-Every conversion — dates, numbers, ids from URLs, host → blog lookup — is a
-native expression on the result.  Profiles are flat definition lists and need
-no Python (:mod:`blogweave.operators.profiles`).
+Everything is a native expression over the page's tokens and elements
+(:mod:`blogweave.functions.markup`): no Python worker, no shuffle, one pass per
+page.  A comment's place follows from the depth of its element; its fields are
+read from its own body only, in a row of its own.  Every conversion — dates,
+numbers, ids from URLs, host → blog lookup — is a native expression on the
+result.
 
-Every page ends in exactly one of the records and the dead letters: a page
-whose parsing fails keeps the error's text, and pages without a post, without
-a usable id or on an unknown host are told apart by ``error``.
+Every page ends in exactly one of the records and the dead letters: pages
+without a post, without a usable id or on an unknown host are told apart by
+``error``.  Markup is kept as written.
 
 Selectors (the markup spec of the blogs, data rather than logic): post
 container ``.post``, id attribute ``post_<n>``, title ``h1.title
@@ -23,186 +23,165 @@ and reply containers match their exact class strings.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from blogweave.functions import fields as FD
+from blogweave.functions import html as H
+from blogweave.functions import markup as M
 from blogweave.functions import urls as U
-from blogweave.operators import dom
 
 # Fixed markup values of the blogs.
 COMMENT_ITEM_CLASS = "comment_item"
 COMMENT_BODY_CLASS = "comment_body "       # with the trailing space
 REPLIES_CLASS = "reply_comments"
 
-_S = T.StringType()
-_AS = T.ArrayType(T.StringType())
-RAW_COMMENT = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("id_attr", _S),
-    T.StructField("fetched_at", T.TimestampNTZType()),
-    T.StructField("path", T.ArrayType(T.IntegerType())),
-    T.StructField("banned", T.BooleanType()),
-    T.StructField("time_text", _S),
-    T.StructField("username", _S),
-    T.StructField("user_url", _S),
-    T.StructField("link", _S),
-    T.StructField("votes_text", _S),
-    T.StructField("message_html", _S),
-])
-RAW_POST = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("url", _S),
-    T.StructField("fetched_at", T.TimestampNTZType()),
-    T.StructField("found", T.BooleanType()),
-    T.StructField("canonical", _S),
-    T.StructField("title_tag", _S),
-    T.StructField("id_attr", _S),
-    T.StructField("title", _S),
-    T.StructField("published_text", _S),
-    T.StructField("flag_classes", _AS),
-    T.StructField("hub_hrefs", _AS),
-    T.StructField("hub_names", _AS),
-    T.StructField("content_html", _S),
-    T.StructField("tags", _AS),
-    T.StructField("views_text", _S),
-    T.StructField("favs_text", _S),
-    T.StructField("score_text", _S),
-    T.StructField("author_hrefs", _AS),
-    T.StructField("author_name", _S),
-    T.StructField("author_href", _S),
-    T.StructField("rating_text", _S),
-    T.StructField("content_outer", _S),
-    T.StructField("comments_count_text", _S),
-    T.StructField("commenters", _AS),
-    T.StructField("error", _S),
-])
-
-
-def _canonical(root: dom.Node) -> str | None:
-    heads = dom.find_all(root, tag="head")
-    links = [n for h in heads for n in dom.children(h, tag="link") if n.get("rel") == "canonical"]
-    return dom.first_attr(links, "href")
-
-
-def _walk(container_nodes: list[dom.Node]):
-    """Path and body of each comment, with an explicit stack (any depth).
-
-    The items of all containers of one level (several ``#comments``, or
-    several reply containers of one comment) are numbered as one list.
-    An item without a body is skipped together with its replies and takes
-    no position.
-    """
-    stack = [(container_nodes, [])]
-    while stack:
-        containers, prefix = stack.pop()
-        pos = 0
-        for container in containers:
-            for item in dom.children(container, tag="div", exact_cls=COMMENT_ITEM_CLASS):
-                bodies = dom.children(item, tag="div", exact_cls=COMMENT_BODY_CLASS)
-                if not bodies:
-                    continue
-                path = prefix + [pos]
-                pos += 1
-                yield path, bodies[0]
-                replies = dom.children(item, tag="div", exact_cls=REPLIES_CLASS)
-                if replies:
-                    stack.append((replies, path))
-
-
-def _banned(body: dom.Node) -> bool:
-    return bool(dom.find_all(body, tag="div", cls="author_banned"))
-
-
-def comment_records(markup: str) -> list[dict]:
-    """A post page's comments; none when it has no post."""
-    root = dom.parse(markup)
-    posts = dom.find_all(root, cls="post")
-    out = []
-    for path, body in _walk(dom.find_all(root, id="comments")) if posts else ():
-        row = {"path": path, "banned": _banned(body), "id_attr": dom.first_attr(posts, "id")}
-        if not row["banned"]:
-            users = dom.find_all(body, tag="a", cls="username")
-            row.update(
-                time_text=dom.first_text(dom.find_all(body, tag="time")),
-                username=dom.first_text(users),
-                user_url=dom.first_attr(users, "href"),
-                link=dom.first_attr(dom.find_all(body, tag="a", cls="link_to_comment"), "href"),
-                votes_text=dom.first_text(dom.find_all(dom.find_all(body, tag="div", cls="voting"),
-                                                       tag="span", cls="score")),
-                message_html=dom.inner_html(dom.find_all(body, tag="div", cls="message")))
-        out.append(row)
-    return out
-
-
-def post_record(markup: str, participants: bool = False) -> dict:
-    root = dom.parse(markup)
-    rec = {"found": False, "canonical": _canonical(root),
-           "title_tag": dom.first_text(dom.find_all(dom.find_all(root, tag="head"), tag="title"))}
-    posts = dom.find_all(root, cls="post")
-    if not posts:
-        return rec
-    h1 = dom.find_all(posts, tag="h1", cls="title")
-    hubs = dom.find_all(dom.find_all(posts, cls="hubs"), tag="a", cls="hub")
-    anchors = dom.find_all(dom.find_all(root, tag="div", cls="post-type") +
-                           dom.find_all(root, tag="div", cls="author-info"), tag="a")
-    comment_roots = dom.find_all(root, id="comments")
-    # Older markup: counters and author live in an info panel.
-    panel = dom.find_all(posts, tag="div", cls="infopanel")[:1]
-    old_author = dom.find_all(dom.find_all(panel, tag="div", cls="author"), tag="a")
-    contents = dom.find_all(posts, tag="div", cls="content")
-    rec.update(
-        found=True,
-        id_attr=dom.first_attr(posts, "id"),
-        title=dom.first_text(dom.find_all(h1, tag="span", cls="post_title")),
-        published_text=dom.first_text(dom.find_all(posts, tag="div", cls="published")),
-        flag_classes=dom.attrs(dom.find_all(h1, cls="flag"), "class"),
-        hub_hrefs=[h.get("href") for h in hubs],
-        hub_names=[dom.first_text([h]) for h in hubs],
-        content_html=dom.inner_html(contents),
-        tags=dom.text_nodes(dom.find_all(dom.find_all(dom.find_all(posts, tag="ul", cls="tags"), tag="li"),
-                                         tag="a")),
-        views_text=(dom.first_text(dom.find_all(posts, tag="div", cls="views-count_post"))
-                    or dom.first_text(dom.find_all(panel, tag="div", cls="pageviews"))),
-        favs_text=(dom.first_text(dom.find_all(posts, tag="span", cls="js-favs_count"))
-                   or dom.first_text(dom.find_all(panel, tag="div", cls="favs_count"))),
-        author_name=dom.first_text(old_author),
-        author_href=dom.first_attr(old_author, "href"),
-        rating_text=dom.first_text(dom.find_all(dom.find_all(panel, tag="div", cls="author"),
-                                                tag="span", cls="rating")),
-        # The older markup stored the content element itself.
-        content_outer=dom.outer_html(contents[0]) if contents and panel else None,
-        score_text=dom.first_text(dom.find_all(posts, tag="span", cls="js-score")),
-        author_hrefs=sorted(set(dom.attrs(anchors, "href"))),
-        comments_count_text=dom.first_text(dom.find_all(dom.find_all(comment_roots, tag="h2", cls="title"),
-                                                        tag="span", id="comments_count")),
-        commenters=[dom.first_text(dom.find_all(body, tag="a", cls="username"))
-                    for _, body in _walk(comment_roots) if not _banned(body)] if participants else [],
-    )
-    return rec
-
-
-def _batches(schema: T.StructType, records):
-    """A ``mapInPandas`` function: ``records(markup)`` gives a page's rows; a
-    page that fails gives one row with the error's text, if the schema has
-    a place for it, and none otherwise."""
-    names = [f.name for f in schema.fields]
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for page_id, url, fetched, html in zip(pdf["page_id"], pdf["url"], pdf["fetched_at"], pdf["html"]):
-                try:
-                    found = records(html)
-                except Exception as e:   # one page never ends the job
-                    found = [{"error": f"{type(e).__name__}: {e}"}] if "error" in names else []
-                for rec in found:
-                    rec.update(page_id=page_id, url=url, fetched_at=fetched)
-                    rows.append([rec.get(n) for n in names])
-            yield pd.DataFrame(rows, columns=names)
-    return run
+
+def _paths(items: Column) -> Column:
+    """``ARRAY<STRUCT<k, anc, path>>`` of items (i, rel) in document order: an
+    item's parent is the last one before it that is a level up, its number that
+    among its parent's items, and paths are put together by pointer doubling."""
+    def level(x: Column) -> Column:
+        return ((x["rel"] - 1) / 2).cast("int")
+
+    def of(v: Column) -> Column:
+        pairs = F.array_sort(F.concat(
+            F.transform(v, lambda x, k: F.struct(level(x).alias("lvl"), x["i"].alias("i"), F.lit(1).alias("role"), (k + 1).alias("k"))),
+            F.transform(v, lambda x, k: F.struct((level(x) + 1).alias("lvl"), x["i"].alias("i"), F.lit(0).alias("role"), (k + 1).alias("k")))))
+
+        def linked(m: Column, last: Column) -> Column:
+            def child(x: Column, k: Column) -> Column:
+                above = F.get(m, F.get(last, k) - 1)
+                return F.struct(F.when(above["lvl"] == x["lvl"], above["k"]).otherwise(F.lit(0)).alias("parent"), x["i"].alias("i"),
+                                x["k"].alias("k"), x["role"].alias("role"))
+            return F.array_sort(F.filter(F.transform(m, child), lambda x: x["role"] == 1))
+
+        def numbered(c: Column, first: Column) -> Column:
+            return F.array_sort(F.transform(c, lambda x, k: F.struct(x["k"].alias("k"), x["parent"].alias("anc"),
+                                                                     F.array(k - F.get(first, k)).alias("path"))))
+
+        def doubled(acc: Column, _: Column) -> Column:
+            def one(x: Column) -> Column:
+                up = F.get(acc, x["anc"] - 1)
+                return F.when(x["anc"] == 0, x).otherwise(F.struct(x["k"].alias("k"), up["anc"].alias("anc"), F.concat(up["path"], x["path"]).alias("path")))
+            return F.transform(acc, one)
+
+        children = M.let(pairs, lambda m: M.let(M.running_max(F.transform(m, lambda x, k: F.when(x["role"] == 0, k + 1).otherwise(F.lit(0)))),
+                                                lambda last: linked(m, last)))
+        nodes = M.let(children, lambda c: M.let(M.running_max(F.transform(c, lambda x, k: F.when(
+            (k > 0) & (F.get(c, k - 1)["parent"] != x["parent"]), k).otherwise(F.lit(0)))), lambda first: numbered(c, first)))
+        deepest = F.coalesce(F.array_max(F.transform(v, level)), F.lit(0))
+        return M.let(deepest, lambda d: F.aggregate(M.powers(lambda p: p <= d), nodes, doubled))
+    return of(items)
+
+
+def comment_bodies(of: Column, found: Column) -> Column:
+    """``ARRAY<STRUCT<path, body>>``: each comment's place and the tokens of its body.
+
+    Within ``#comments``, items are at odd depths of ``div`` and their bodies and
+    reply containers at even ones.  What stands within another ``div``, or in an
+    item without a body, is no comment and takes no place; the items of all
+    containers of one level (several ``#comments``, or several reply
+    containers of one comment) are numbered as one list."""
+    def span(x: Column) -> Column:
+        return F.struct(x["i"].alias("i"), x["end"].alias("end"))
+
+    def placed(divs: Column, root: Column) -> Column:
+        def one(x: Column, k: Column) -> Column:
+            r = F.get(divs, F.get(root, k) - 1)
+            return F.struct(x["i"].alias("i"), x["end"].alias("end"), (x["level"] - r["level"]).alias("rel"), x["cls"].alias("cls"),
+                            F.coalesce(r["end"] > x["i"], F.lit(False)).alias("ok"))
+        return F.filter(F.transform(divs, one), lambda x: x["ok"] & (x["rel"] > 0))
+
+    def comments(p: Column) -> Column:
+        odd = lambda x: x["rel"] % 2 == 1       # noqa: E731
+        items = F.filter(p, lambda x: odd(x) & (x["cls"] == COMMENT_ITEM_CLASS))
+        bodies = F.filter(p, lambda x: ~odd(x) & (x["cls"] == COMMENT_BODY_CLASS))
+        other = F.filter(p, lambda x: F.when(odd(x), x["cls"] != COMMENT_ITEM_CLASS).otherwise(x["cls"] != REPLIES_CLASS))
+        return M.let(items, lambda it: M.let(bodies, lambda b: with_bodies(it, b, other)))
+
+    def with_bodies(it: Column, b: Column, other: Column) -> Column:
+        merged = F.array_sort(F.concat(
+            F.transform(it, lambda x, k: F.struct((x["rel"] + 1).alias("lvl"), x["i"].alias("i"), F.lit(0).alias("role"), x["end"].alias("end"), k.alias("k"))),
+            F.transform(b, lambda x, k: F.struct(x["rel"].alias("lvl"), x["i"].alias("i"), F.lit(1).alias("role"), x["end"].alias("end"), k.alias("k")))))
+
+        def owned(m: Column) -> Column:
+            def one(x: Column, k: Column) -> Column:
+                y = F.get(m, k + 1)
+                own = (y["role"] == 1) & (y["lvl"] == x["lvl"]) & (y["i"] < x["end"])
+                return F.struct(x["i"].alias("i"), x["end"].alias("end"), (x["lvl"] - 1).alias("rel"), x["role"].alias("role"),
+                                F.when(own, y["i"]).alias("body_i"), F.when(own, y["end"]).alias("body_end"))
+            return F.filter(F.transform(m, one), lambda x: x["role"] == 0)
+
+        def valid(w: Column) -> Column:
+            dead = F.concat(F.transform(other, span), F.transform(F.filter(w, lambda x: x["body_i"].isNull()), span))
+            return M.inside(dead, F.filter(w, lambda x: x["body_i"].isNotNull()), outside=True)
+
+        def rows(v: Column) -> Column:
+            def one(n: Column) -> Column:
+                x = F.get(v, n["k"] - 1)
+                return F.struct(n["path"].alias("path"), F.slice(of, x["body_i"] + 1, F.greatest(x["body_end"] - x["body_i"] - 1, F.lit(0))).alias("body"))
+            return F.transform(_paths(v), one)
+        return M.let(M.let(merged, owned), lambda w: M.let(valid(w), rows))
+
+    roots = lambda d: M.running_max(F.transform(d, lambda x, k: F.when(F.coalesce(x["id"] == "comments", F.lit(False)), k + 1).otherwise(F.lit(0))))
+    return M.let(F.filter(found, lambda x: x["name"] == "div"), lambda d: M.let(roots(d), lambda r: M.let(placed(d, r), comments)))
+
+
+def comment_fields(o: Column, e: Column) -> Column:
+    """The raw fields of a comment from its body's tokens and elements; those of a banned one are null."""
+    banned = F.size(M.pick(e, "div", "author_banned")) > 0
+    users = M.pick(e, "a", "username")
+    message = F.get(M.pick(e, "div", "message"), F.lit(0))
+    values = {"time_text": M.first_text(o, M.pick(e, "time")), "username": M.first_text(o, users),
+              "user_url": M.first_attribute(users, H.HREF), "link": M.first_attribute(M.pick(e, "a", "link_to_comment"), H.HREF),
+              "votes_text": M.first_text(o, M.path(e, ("div", "voting", None), ("span", "score", None))),
+              "message_html": F.when(message.isNotNull(), M.inner_html(o, message))}
+    return F.struct(banned.alias("banned"), *[F.when(~banned, v).alias(k) for k, v in values.items()])
+
+
+def _commenter(c: Column) -> Column:
+    """The name of a comment's author; null for a banned one."""
+    def name(o: Column, e: Column) -> Column:
+        return F.when(F.size(M.pick(e, "div", "author_banned")) == 0, M.first_text(o, M.pick(e, "a", "username")))
+    return M.let(M.elements(c["body"], ("div", "a")), lambda e: name(c["body"], e))
+
+
+def post_fields() -> Column:
+    """A page's raw post fields (``found`` false when there is no ``.post``) from the columns of ``_parsed``."""
+    def fields(o: Column, e: Column, posts: Column, p: Column) -> Column:
+        def text(tag: str | None, cls: str, within: Column = p) -> Column:
+            return M.first_text(o, M.pick(within, tag, cls))
+
+        h1, panel = M.pick(p, "h1", "title"), F.slice(M.pick(p, "div", "infopanel"), 1, 1)
+        hubs = M.path(p, (None, "hubs", None), ("a", "hub", None))
+        in_panel = M.inside(panel, p)                    # older markup: counters and author live in an info panel
+        old_author = M.path(in_panel, ("div", "author", None), ("a", None, None))
+        content = F.get(M.pick(p, "div", "content"), F.lit(0))
+        anchors = M.inside(F.concat(M.pick(e, "div", "post-type"), M.pick(e, "div", "author-info")), M.pick(e, "a"))
+        counter = M.path(e, (None, None, "comments"), ("h2", "title", None), ("span", None, "comments_count"))
+        return F.struct(
+            (F.size(posts) > 0).alias("found"),
+            F.get(F.filter(F.transform(posts, lambda x: x["id"]), lambda x: x.isNotNull()), F.lit(0)).alias("id_attr"),
+            M.first_text(o, M.inside(h1, M.pick(p, "span", "post_title"))).alias("title"),
+            text("div", "published").alias("published_text"),
+            F.transform(M.inside(h1, M.pick(p, None, "flag")), lambda x: x["cls"]).alias("flag_classes"),
+            F.transform(hubs, lambda x: H.attribute(x["tag"], H.HREF)).alias("hub_hrefs"),
+            F.when(content.isNotNull(), M.inner_html(o, content)).alias("content_html"),
+            M.all_texts(o, M.path(p, ("ul", "tags", None), ("li", None, None), ("a", None, None))).alias("tags"),
+            F.coalesce(text("div", "views-count_post"), text("div", "pageviews", in_panel)).alias("views_text"),
+            F.coalesce(text("span", "js-favs_count"), text("div", "favs_count", in_panel)).alias("favs_text"),
+            text("span", "js-score").alias("score_text"),
+            F.array_sort(F.array_distinct(M.attributes(anchors, H.HREF))).alias("author_hrefs"),
+            M.first_text(o, old_author).alias("author_name"),
+            M.first_attribute(old_author, H.HREF).alias("author_href"),
+            M.first_text(o, M.path(in_panel, ("div", "author", None), ("span", "rating", None))).alias("rating_text"),
+            # the older markup stored the content element itself
+            F.when(content.isNotNull() & (F.size(panel) > 0), M.outer_html(o, content)).alias("content_outer"),
+            M.first_text(o, counter).alias("comments_count_text"))
+
+    return M.let(F.col("_tokens"), lambda o: M.let(F.col("_elements"), lambda e: M.let(F.col("_posts"), lambda posts: M.let(
+        F.col("_within"), lambda p: fields(o, e, posts, p)))))
 
 
 def _page_columns(pages: DataFrame) -> DataFrame:
@@ -210,16 +189,39 @@ def _page_columns(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", fetched.cast("timestamp_ntz").alias("fetched_at"), "html")
 
 
+def _parsed(pages: DataFrame, *columns) -> DataFrame:
+    """The pages with ``_tokens``, ``_elements``, ``_posts`` (the post containers)
+    and ``_within`` (the elements in them)."""
+    page = _page_columns(pages)
+    page = M.staged(page.select("page_id", "url", "fetched_at", "html", *columns), "_tokens", M.tokens(F.col("html"))).drop("html")
+    page = M.staged(page, "_elements", M.elements(F.col("_tokens")))
+    page = M.staged(page, "_posts", M.pick(F.col("_elements"), None, "post"))
+    return M.staged(page, "_within", M.inside(F.col("_posts"), F.col("_elements")))
+
+
+def _bodies(page: DataFrame) -> DataFrame:
+    return M.staged(page, "_comments", M.let(F.col("_tokens"), lambda o: M.let(F.col("_elements"), lambda e: comment_bodies(o, e))))
+
+
 def extract_post_pages(pages: DataFrame, participants: bool = False) -> DataFrame:
     """Raw post fields, a row per page (``found`` false when there is no
     ``.post``); ``participants`` adds the names of commenters not banned."""
-    return _page_columns(pages).mapInPandas(_batches(RAW_POST, lambda html: [post_record(html, participants)]), RAW_POST)
+    page = _parsed(pages, U.canonical_href("html").alias("canonical"))
+    if participants:
+        page = M.staged(_bodies(page), "commenters", F.transform("_comments", _commenter))
+    else:
+        page = page.withColumn("commenters", F.array().cast("array<string>"))
+    return M.staged(page, "_post", post_fields()).select("page_id", "url", "fetched_at", "canonical", "commenters", "_post.*")
 
 
 def extract_comment_pages(pages: DataFrame) -> DataFrame:
-    """Raw comments, a row per comment; pages that fail are dead letters of
-    :func:`extract_post_pages`."""
-    return _page_columns(pages).mapInPandas(_batches(RAW_COMMENT, comment_records), RAW_COMMENT)
+    """Raw comments, a row per comment; a page without a post has none."""
+    page = _bodies(_parsed(pages).where(F.size("_posts") > 0))
+    id_attr = F.get(F.filter(F.transform("_posts", lambda x: x["id"]), lambda x: x.isNotNull()), F.lit(0))
+    rows = page.select("page_id", "fetched_at", id_attr.alias("id_attr"), F.inline("_comments").alias("path", "body"))
+    rows = M.staged(rows, "_elements", M.elements(F.col("body")))
+    rows = M.staged(rows, "_f", M.let(F.col("body"), lambda o: M.let(F.col("_elements"), lambda e: comment_fields(o, e))))
+    return rows.select("page_id", "id_attr", "fetched_at", "path", "_f.*")
 
 
 def _post_id():
@@ -244,7 +246,7 @@ def typed_posts(raw: DataFrame, sites: DataFrame) -> DataFrame:
     typed = raw.select(
         "page_id",
         F.coalesce("canonical", "url").alias("url"),
-        F.coalesce("found", F.lit(False)).alias("_found"), F.col("error").alias("_failed"), F.col("id_attr").alias("_id_attr"),
+        F.coalesce("found", F.lit(False)).alias("_found"), F.col("id_attr").alias("_id_attr"),
         _post_id().alias("_pid"),
         "title",
         FD.parse_site_datetime(F.col("published_text"), F.col("fetched_at")).alias("published"),
@@ -268,8 +270,7 @@ def typed_posts(raw: DataFrame, sites: DataFrame) -> DataFrame:
     )
     # The author and every commenter not banned, each once.
     everyone = F.concat(F.array("author_user"), F.coalesce("_commenters", F.array().cast("array<string>")))
-    error = (F.when(F.col("_failed").isNotNull(), F.col("_failed"))
-             .when(~F.col("_found"), F.lit("no post container"))
+    error = (F.when(~F.col("_found"), F.lit("no post container"))
              .when(F.col("_id_attr").isNull(), F.lit("no post id"))
              .when(F.col("_pid").isNull(), F.lit("bad post id"))
              .when(F.col("blog_id").isNull(), F.lit("unknown host")))

@@ -1,21 +1,19 @@
 """Links by their place in the page (J26 and side blocks, J23 favourites).
 
-A place is a chain of descendant steps, which needs the page's tree: a
-``mapInPandas`` worker returns one row per link, all conversions are native.
-A page that fails gives a row of kind ``error`` with the error's text.
+A place is a chain of descendant steps over the page's elements
+(:mod:`blogweave.functions.markup`); everything is a native expression.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from blogweave.functions import html as H
+from blogweave.functions import markup as M
 from blogweave.functions import urls as U
-from blogweave.operators import dom
-from blogweave.operators.extract import _batches, _page_columns
 
 
 class Place(NamedTuple):
@@ -38,36 +36,45 @@ SIDE = (Place("post", (("div", "post_item", None), ("a", "post_name", None))),
 FAVOURITES = (Place("post", (("div", "user_favorites", None), ("div", "post", None), ("a", "post_title", None)), first_of=2),
               Place("page", (("ul", None, "nav-pages"), ("a", None, None)), priority=2))
 
-_ROW = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
-                     T.StructField("kind", T.StringType()), T.StructField("pos", T.IntegerType()),
-                     T.StructField("href", T.StringType()), T.StructField("priority", T.IntegerType()),
-                     T.StructField("user", T.StringType()), T.StructField("error", T.StringType())])
 
 
-def _find(nodes, steps) -> list[dom.Node]:
-    for tag, cls, id_ in steps:
-        nodes = dom.find_all(nodes, tag=tag, cls=cls, id=id_)
-    return nodes
-
-
-def _links(markup: str, places: tuple[Place, ...]) -> list[dict]:
-    root = dom.parse(markup)
-    names = [a for h in dom.find_all(root, tag="h2", cls="username") for a in dom.children(h, tag="a")]
-    user = dom.first_text(names)
+def _links(of: Column, found: Column, places: tuple[Place, ...]) -> Column:
+    """``ARRAY<STRUCT<kind, pos, href, priority>>`` of a page's links."""
     out = []
     for place in places:
         if place.first_of is None:
-            found = [n.get("href") for n in _find([root], place.steps)]
+            nodes = M.path(found, *place.steps)
         else:
-            found = [dom.first_attr(_find([box], place.steps[place.first_of:]), "href") for box in _find([root], place.steps[:place.first_of])]
-        hrefs = [h for h in found if h is not None]
-        out += [{"kind": place.kind, "pos": i, "href": h, "priority": place.priority, "user": user} for i, h in enumerate(hrefs)]
-    return out
+            boxes = M.path(found, *place.steps[:place.first_of])
+            inner = boxes
+            for step in place.steps[place.first_of:]:
+                inner = M.inside(inner, M.pick(found, *step))
+            nodes = M.first_inside(boxes, F.filter(inner, lambda e: H.attribute(e["tag"], H.HREF).isNotNull()))
+        out.append(_rows(place, M.attributes(nodes, H.HREF)))
+    return F.concat(*out)
+
+
+def _rows(place: Place, hrefs: Column) -> Column:
+    return F.transform(hrefs, lambda h, k: F.struct(F.lit(place.kind).alias("kind"), k.alias("pos"), h.alias("href"),
+                                                    F.lit(place.priority).alias("priority")))
 
 
 def scoped_links(pages: DataFrame, places: tuple[Place, ...]) -> DataFrame:
     """``(page_id, url, kind, pos, href, abs_url, priority, user, error)``;
-    ``user`` is the name a profile page is about."""
-    rows = _page_columns(pages).mapInPandas(_batches(_ROW, lambda html: _links(html, places)), _ROW)
-    return rows.select("page_id", "url", F.when(F.col("error").isNotNull(), F.lit("error")).otherwise(F.col("kind")).alias("kind"),
-                       "pos", "href", U.join_url("url", "href").alias("abs_url"), "priority", "user", "error")
+    ``user`` is the name a profile page is about.  A page without html gives
+    one row of kind ``error``."""
+    names = tuple(sorted({tag for p in places for tag, _, _ in p.steps if tag} | {"h2"}))
+
+    def of(o: Column, e: Column) -> Column:
+        user = M.first_text(o, M.path(e, ("h2", "username", None), ("a", None, None)))
+        return F.struct(user.alias("user"), _links(o, e, places).alias("links"))
+
+    none = F.array(F.struct(F.lit("error").alias("kind"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("href"),
+                            F.lit(None).cast("int").alias("priority")))
+    page = M.staged(pages.select("page_id", "url", "html", F.col("html").isNull().alias("_none")), "_tokens", M.tokens(F.col("html"))).drop("html")
+    page = M.staged(page, "_elements", M.elements(F.col("_tokens"), names))
+    page = M.staged(page, "_page", M.let(F.col("_tokens"), lambda o: M.let(F.col("_elements"), lambda e: of(o, e))))
+    rows = page.select("page_id", "url", F.col("_page.user").alias("user"), "_none",
+                       F.inline(F.when(F.col("_none"), none).otherwise(F.col("_page.links"))))
+    return rows.select("page_id", "url", "kind", "pos", "href", U.join_url("url", "href").alias("abs_url"), "priority", "user",
+                       F.when(F.col("_none"), F.lit("no html")).alias("error"))
