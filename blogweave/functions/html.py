@@ -79,7 +79,7 @@ def open_tag(tag: str = "[a-z0-9]+", cls: str | None = None) -> str:
 
 def first_text(markup) -> Column:
     """The first text node of some markup; null without one."""
-    return unescape_basic(F.nullif(F.regexp_extract(_col(markup), r"(?s)^(?:<[^>]*>)*([^<]+)", 1), F.lit("")))
+    return unescape_basic(F.nullif(F.regexp_extract(_col(markup), r"(?s)^(?:<[^>]*+>)*+([^<]+)", 1), F.lit("")))
 
 
 def class_of(tag) -> Column:
@@ -92,7 +92,7 @@ def has_class(classes, name: str) -> Column:
 
 def unescape_basic(c) -> Column:
     """Undo the five basic entities and the fixed space (``&amp;`` last)."""
-    c = _col(c)
+    whole = c = _col(c)
     for ent, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    return F.when(F.contains(whole, F.lit("&")), c).otherwise(whole)

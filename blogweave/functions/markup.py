@@ -29,20 +29,18 @@ TOKEN = (r"(?is)<!--.*?(?:-->|\z)"
          r"|(?:[^<]++|<(?![a-z/!?]))++|<")
 _IS_TEXT = r"^(?:[^<]|<(?![A-Za-z/!?]))"
 _NAME = r"^</?([A-Za-z][^\s/>]*)"
-_SELF_CLOSED = r"""[\s"']/>$|^<[A-Za-z][^\s/>]*/>$"""
-ID_ATTR = r"(?i)\sid" + H._VALUE
+_SELF_CLOSED = r"""^<[A-Za-z][^\s/>]*/>$|[\s"']/>$"""
 
 # Elements without content.
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 _RAW = ("script", "style")
 
-#: Greater than any depth: keeps the names' running minima apart.
-_APART = 1 << 32
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    """``body(value)`` with ``value`` evaluated once: the end of a fold over
+    nothing, which copies neither (``transform`` copies what it returns)."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda a, _: a, body)
 
 
 def staged(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -75,64 +73,53 @@ def tokens(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
 
 
-def _null_if_absent(tag: Column, word: str, pattern: str) -> Column:
-    return F.when(F.contains(F.lower(tag), F.lit(word)), H.attribute(tag, pattern))
+def attribute_of(tag: Column, name: str) -> Column:
+    """An attribute's value, empty without one: quoted, or up to the next space."""
+    value = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*(["']?)(.*?)\1(?=[\s/>])""", 2)
+    return F.when(F.contains(tag, F.lit("=")), H.unescape_basic(value)).otherwise(F.lit(""))
 
 
 def elements(of: Column, names: tuple[str, ...] | None = None) -> Column:
     """The elements of a token array, in document order:
     ``ARRAY<STRUCT<i, end, name, level, tag, cls, id>>``.  ``i`` and ``end``
     are the numbers (from 1) of the open tag and of the end tag, or one more
-    than there are tokens; ``level`` counts open elements of the same name."""
-    zero = F.lit(0).cast("long")
-
+    than there are tokens; levels of one name differ as their depths do."""
     def tag_of(t: Column, k: Column) -> Column:
-        name = F.when(F.startswith(t, F.lit("<")), F.lower(F.regexp_extract(t, _NAME, 1))).otherwise(F.lit(""))
-        return F.struct(name.alias("name"), (k + 1).alias("i"), F.when(F.startswith(t, F.lit("</")), F.lit(-1)).otherwise(F.lit(1)).cast("long").alias("sign"),
-                        t.alias("tag"))
+        name = F.regexp_extract(t, _NAME, 1)
+        name = F.when(~F.startswith(t, F.lit("<")), F.lit("")).when(t.rlike("^</?[a-z0-9]*+[A-Z]"), F.lower(name)).otherwise(name)
+        closes = F.startswith(t, F.lit("</"))
+        sign = F.when(closes, F.lit(-1)).when(F.endswith(t, F.lit("/>")) & t.rlike(_SELF_CLOSED), F.lit(0)).otherwise(F.lit(1))
+        return F.struct(name.alias("name"), (k + 1).alias("i"), sign.alias("sign"))
 
     def wanted(x: Column) -> Column:
-        known = x["name"].isin(*names) if names else (x["name"] != "") & ~x["name"].isin(*VOID, *_RAW)
-        return known & ~((x["sign"] == 1) & x["tag"].rlike(_SELF_CLOSED))
-
-    def spans(t: Column, first: Column, total: Column, depth: Column, least: Column, n: Column) -> Column:
-        def level(x: Column, k: Column) -> Column:
-            d, at_start = F.get(depth, k), F.get(first, k) == k
-            floor = F.least(F.get(least, k), zero)
-            before = F.when(at_start, zero).otherwise(F.least(F.get(least, k - 1), zero))
-            return F.when(x["sign"] == 1, d - floor).when(d >= before, d - floor + 1)
-
-        marked = F.filter(F.transform(t, lambda x, k: F.struct(x["name"].alias("name"), level(x, k).alias("level"), x["i"].alias("i"),
-                                                               x["sign"].alias("sign"), x["tag"].alias("tag"))), lambda x: x["level"].isNotNull())
-
-        def span(s: Column) -> Column:
-            def one(x: Column, k: Column) -> Column:
-                y = F.get(s, k + 1)
-                closed = (y["name"] == x["name"]) & (y["level"] == x["level"]) & (y["sign"] == -1)
-                return F.struct(x["i"].alias("i"), F.when(closed, y["i"]).otherwise(n + 1).alias("end"), x["name"].alias("name"),
-                                x["level"].alias("level"), x["tag"].alias("tag"), x["sign"].alias("sign"))
-            return F.filter(F.transform(s, one), lambda x: x["sign"] == 1)
-
-        return F.transform(F.array_sort(let(F.array_sort(marked), span)), lambda x: F.struct(
-            x["i"].alias("i"), x["end"].alias("end"), x["name"].alias("name"), x["level"].alias("level"), x["tag"].alias("tag"),
-            F.coalesce(_null_if_absent(x["tag"], "class", H.CLASS_ATTR), F.lit("")).alias("cls"), _null_if_absent(x["tag"], "id", ID_ATTR).alias("id")))
-
-    def matched(t: Column, n: Column) -> Column:
-        def new_name(x: Column, k: Column) -> Column:
-            return F.when((k > 0) & (F.get(t, k - 1)["name"] != x["name"]), k).otherwise(F.lit(0))
-
-        def with_depth(first: Column, total: Column) -> Column:
-            own = F.transform(total, lambda s, k: s - F.when(F.get(first, k) == 0, zero).otherwise(F.get(total, F.get(first, k) - 1)))
-            return let(own, lambda depth: let(
-                F.transform(scan(F.transform(depth, lambda d, k: d - F.get(first, k) * F.lit(_APART)), lambda a, b: F.least(a, b)),
-                            lambda m, k: m + F.get(first, k) * F.lit(_APART)),
-                lambda least: spans(t, first, total, depth, least, n)))
-
-        return let(running_max(F.transform(t, new_name)),
-                   lambda first: let(scan(F.transform(t, lambda x: x["sign"]), lambda a, b: a + b), lambda total: with_depth(first, total)))
-
-    return let(of, lambda o: let(F.array_sort(F.filter(F.transform(o, tag_of), wanted)),
-                                 lambda t: let(F.size(o), lambda n: matched(t, n))))
+        return (x["name"].isin(*names) if names else (x["name"] != "") & ~x["name"].isin(*VOID, *_RAW)) & (x["sign"] != 0)
+
+    # a close has the depth of the open tag it ends; what a name's depth starts from does not matter
+    def marked(t: Column, total: Column) -> Column:
+        return F.transform(t, lambda x, k: F.struct(
+            x["name"].alias("name"), (F.get(total, k) + F.when(x["sign"] < 0, F.lit(1)).otherwise(F.lit(0))).alias("level"),
+            x["i"].alias("i"), x["sign"].alias("sign")))
+
+    def spans(s: Column, n: Column) -> Column:
+        def one(x: Column, k: Column) -> Column:
+            y = F.get(s, k + 1)
+            closed = (y["level"] == x["level"]) & (y["sign"] < 0) & (y["name"] == x["name"])
+            return F.when(x["sign"] > 0, F.struct(x["i"].alias("i"), F.when(closed, y["i"]).otherwise(n + 1).alias("end"),
+                                                  x["name"].alias("name"), x["level"].alias("level")))
+        return F.sort_array(F.filter(F.transform(s, one), lambda x: x.isNotNull()))
+
+    def attributed(o: Column, found: Column) -> Column:
+        def one(x: Column) -> Column:
+            tag = F.get(o, x["i"] - 1)
+            return F.struct(x["i"].alias("i"), x["end"].alias("end"), x["name"].alias("name"), x["level"].alias("level"), tag.alias("tag"),
+                            attribute_of(tag, "class").alias("cls"), F.nullif(attribute_of(tag, "id"), F.lit("")).alias("id"))
+        return F.transform(found, one)
+
+    def of_tokens(o: Column) -> Column:
+        tags = F.sort_array(F.filter(F.transform(o, tag_of), wanted))
+        ordered = let(tags, lambda t: let(scan(F.transform(t, lambda x: x["sign"]), lambda a, b: a + b), lambda total: F.sort_array(marked(t, total))))
+        return let(F.size(o), lambda n: attributed(o, let(ordered, lambda s: spans(s, n))))
+    return let(of, of_tokens)
 
 
 def has_class(e: Column, name: str) -> Column:
@@ -157,7 +144,7 @@ def inside(outer: Column, inner: Column, outside: bool = False) -> Column:
     """Those of ``inner`` that lie within one of ``outer`` (or within none)."""
     def both(o: Column, n: Column) -> Column:
         # an element that is in both comes first as an inner one: it does not hold itself
-        merged = F.array_sort(F.concat(
+        merged = F.sort_array(F.concat(
             F.transform(n, lambda x, k: F.struct(x["i"].alias("i"), F.lit(0).alias("role"), F.lit(0).alias("end"), k.alias("k"))),
             F.transform(o, lambda x: F.struct(x["i"].alias("i"), F.lit(1).alias("role"), x["end"].alias("end"), F.lit(0).alias("k")))))
 
@@ -180,7 +167,7 @@ def path(found: Column, *steps: tuple[str | None, str | None, str | None]) -> Co
 def first_inside(boxes: Column, inner: Column) -> Column:
     """The first of ``inner`` within each of ``boxes`` that has one, by box."""
     def nearest(b: Column, n: Column) -> Column:
-        merged = F.reverse(F.array_sort(F.concat(
+        merged = F.reverse(F.sort_array(F.concat(
             F.transform(n, lambda x, k: F.struct(x["i"].alias("i"), F.lit(0).alias("role"), F.lit(0).alias("end"), k.alias("k"))),
             F.transform(b, lambda x: F.struct(x["i"].alias("i"), F.lit(1).alias("role"), x["end"].alias("end"), F.lit(0).alias("k"))))))
 
@@ -194,9 +181,15 @@ def first_inside(boxes: Column, inner: Column) -> Column:
     return let(boxes, lambda b: let(inner, lambda n: nearest(b, n)))
 
 
+def part(of: Column, first: Column, last: Column) -> Column:
+    """The tokens with numbers ``first`` to ``last``; the others are not touched."""
+    return F.when(first <= last, F.transform(F.sequence(first, F.greatest(first, last)), lambda j: F.get(of, j - 1))).otherwise(
+        F.array().cast("array<string>"))
+
+
 def between(of: Column, e: Column) -> Column:
     """The tokens within an element."""
-    return F.slice(of, e["i"] + 1, F.greatest(e["end"] - e["i"] - 1, F.lit(0)))
+    return part(of, e["i"] + 1, e["end"] - 1)
 
 
 def texts(of: Column, e: Column) -> Column:
@@ -228,4 +221,4 @@ def inner_html(of: Column, e: Column) -> Column:
 
 
 def outer_html(of: Column, e: Column) -> Column:
-    return F.array_join(F.slice(of, e["i"], e["end"] - e["i"] + 1), "")
+    return F.array_join(part(of, e["i"], F.least(e["end"], F.size(of))), "")

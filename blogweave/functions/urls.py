@@ -16,9 +16,9 @@ from blogweave.functions import html as H
 COMPANY_ID = r"/company/([^/]+)/"
 USER_ID = r"/users/([^/]+)/"
 HUB_ID = r"/hub/([^/]+)/"
-# Greedy prefix: the last all-digit segment that is followed by '/'.
-POST_ID = r"/([^/]+/)*([0-9]+)/"
-POST_ID_LOOSE = r"/([^/]+/)*([0-9]+)(/|$)"
+# An all-digit segment that is followed by '/' (loose: or ends the URL).
+POST_SEGMENT = r"(?<=/)[0-9]++(?=/)"
+POST_SEGMENT_LOOSE = r"(?<=/)[0-9]++(?=/|$)"
 
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 NETLOC = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
@@ -49,8 +49,16 @@ def hub_id(url) -> Column:
 
 
 def post_id(url, loose: bool = False) -> Column:
-    """Numeric post id; ``loose`` also accepts a last segment without '/'."""
-    return _group(url, POST_ID_LOOSE if loose else POST_ID, 2).try_cast("bigint")
+    """Numeric post id: the last all-digit segment of the first run of non-empty
+    segments that has one; ``loose`` also accepts a last segment without '/'.
+    A URL of any length is read without recursion."""
+    runs = F.split(_col(url), "//")
+    last = F.size(runs) - 1
+    whole = F.transform(runs, lambda r, k: F.concat(F.when(k > 0, F.lit("/")).otherwise(F.lit("")), r,
+                                                    F.when(k < last, F.lit("/")).otherwise(F.lit(""))))
+    found = F.transform(whole, lambda r: F.try_element_at(
+        F.regexp_extract_all(r, F.lit(POST_SEGMENT_LOOSE if loose else POST_SEGMENT), F.lit(0)), F.lit(-1)))
+    return F.get(F.filter(found, lambda x: x.isNotNull()), F.lit(0)).try_cast("bigint")
 
 
 def netloc(url) -> Column:

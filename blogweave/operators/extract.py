@@ -45,7 +45,7 @@ def _paths(items: Column) -> Column:
         return ((x["rel"] - 1) / 2).cast("int")
 
     def of(v: Column) -> Column:
-        pairs = F.array_sort(F.concat(
+        pairs = F.sort_array(F.concat(
             F.transform(v, lambda x, k: F.struct(level(x).alias("lvl"), x["i"].alias("i"), F.lit(1).alias("role"), (k + 1).alias("k"))),
             F.transform(v, lambda x, k: F.struct((level(x) + 1).alias("lvl"), x["i"].alias("i"), F.lit(0).alias("role"), (k + 1).alias("k")))))
 
@@ -54,10 +54,10 @@ def _paths(items: Column) -> Column:
                 above = F.get(m, F.get(last, k) - 1)
                 return F.struct(F.when(above["lvl"] == x["lvl"], above["k"]).otherwise(F.lit(0)).alias("parent"), x["i"].alias("i"),
                                 x["k"].alias("k"), x["role"].alias("role"))
-            return F.array_sort(F.filter(F.transform(m, child), lambda x: x["role"] == 1))
+            return F.sort_array(F.filter(F.transform(m, child), lambda x: x["role"] == 1))
 
         def numbered(c: Column, first: Column) -> Column:
-            return F.array_sort(F.transform(c, lambda x, k: F.struct(x["k"].alias("k"), x["parent"].alias("anc"),
+            return F.sort_array(F.transform(c, lambda x, k: F.struct(x["k"].alias("k"), x["parent"].alias("anc"),
                                                                      F.array(k - F.get(first, k)).alias("path"))))
 
         def doubled(acc: Column, _: Column) -> Column:
@@ -101,7 +101,7 @@ def comment_bodies(of: Column, found: Column) -> Column:
         return M.let(items, lambda it: M.let(bodies, lambda b: with_bodies(it, b, other)))
 
     def with_bodies(it: Column, b: Column, other: Column) -> Column:
-        merged = F.array_sort(F.concat(
+        merged = F.sort_array(F.concat(
             F.transform(it, lambda x, k: F.struct((x["rel"] + 1).alias("lvl"), x["i"].alias("i"), F.lit(0).alias("role"), x["end"].alias("end"), k.alias("k"))),
             F.transform(b, lambda x, k: F.struct(x["rel"].alias("lvl"), x["i"].alias("i"), F.lit(1).alias("role"), x["end"].alias("end"), k.alias("k")))))
 
@@ -120,7 +120,7 @@ def comment_bodies(of: Column, found: Column) -> Column:
         def rows(v: Column) -> Column:
             def one(n: Column) -> Column:
                 x = F.get(v, n["k"] - 1)
-                return F.struct(n["path"].alias("path"), F.slice(of, x["body_i"] + 1, F.greatest(x["body_end"] - x["body_i"] - 1, F.lit(0))).alias("body"))
+                return F.struct(n["path"].alias("path"), M.part(of, x["body_i"] + 1, x["body_end"] - 1).alias("body"))
             return F.transform(_paths(v), one)
         return M.let(M.let(merged, owned), lambda w: M.let(valid(w), rows))
 
@@ -172,7 +172,7 @@ def post_fields() -> Column:
             F.coalesce(text("div", "views-count_post"), text("div", "pageviews", in_panel)).alias("views_text"),
             F.coalesce(text("span", "js-favs_count"), text("div", "favs_count", in_panel)).alias("favs_text"),
             text("span", "js-score").alias("score_text"),
-            F.array_sort(F.array_distinct(M.attributes(anchors, H.HREF))).alias("author_hrefs"),
+            F.sort_array(F.array_distinct(M.attributes(anchors, H.HREF))).alias("author_hrefs"),
             M.first_text(o, old_author).alias("author_name"),
             M.first_attribute(old_author, H.HREF).alias("author_href"),
             M.first_text(o, M.path(in_panel, ("div", "author", None), ("span", "rating", None))).alias("rating_text"),
@@ -216,10 +216,13 @@ def extract_post_pages(pages: DataFrame, participants: bool = False) -> DataFram
 
 def extract_comment_pages(pages: DataFrame) -> DataFrame:
     """Raw comments, a row per comment; a page without a post has none."""
-    page = _bodies(_parsed(pages).where(F.size("_posts") > 0))
-    id_attr = F.get(F.filter(F.transform("_posts", lambda x: x["id"]), lambda x: x.isNotNull()), F.lit(0))
-    rows = page.select("page_id", "fetched_at", id_attr.alias("id_attr"), F.inline("_comments").alias("path", "body"))
-    rows = M.staged(rows, "_elements", M.elements(F.col("body")))
+    page = M.staged(_page_columns(pages), "_tokens", M.tokens(F.col("html"))).drop("html")
+    # only the first post container's id is asked for, so the posts' spans are not needed
+    page = M.staged(page, "_posts", F.filter("_tokens", lambda t: t.rlike(H.open_tag("[a-z][^\\s<>]*", "post")))).where(F.size("_posts") > 0)
+    page = _bodies(M.staged(page, "_elements", M.elements(F.col("_tokens"), ("div",))))
+    ids = F.filter(F.transform("_posts", lambda t: M.attribute_of(t, "id")), lambda x: x != "")
+    rows = page.select("page_id", "fetched_at", F.get(ids, F.lit(0)).alias("id_attr"), F.inline("_comments").alias("path", "body"))
+    rows = M.staged(rows, "_elements", M.elements(F.col("body"), ("div", "a", "span", "time")))
     rows = M.staged(rows, "_f", M.let(F.col("body"), lambda o: M.let(F.col("_elements"), lambda e: comment_fields(o, e))))
     return rows.select("page_id", "id_attr", "fetched_at", "path", "_f.*")
 

@@ -37,8 +37,11 @@ def favourite_pages(pages: DataFrame) -> DataFrame:
 
 
 def favourite_dead_letters(pages: DataFrame, sites: DataFrame) -> DataFrame:
+    """Links that give no edge, and pages that could not be read (their URL as ``post_url``)."""
     ids = _posts(pages, sites)
-    return ids.where(F.col("post_id").isNull() | F.col("blog_id").isNull() | F.col("user").isNull()).select(
+    lost = ids.where(F.col("post_id").isNull() | F.col("blog_id").isNull() | F.col("user").isNull()).select(
         "user", "post_url",
         F.when(F.col("blog_id").isNull(), F.lit("unknown host")).when(F.col("post_id").isNull(), F.lit("no post id"))
         .otherwise(F.lit("no user")).alias("error"))
+    unread = pages.where(F.col("html").isNull()).select(F.lit(None).cast("string").alias("user"), F.col("url").alias("post_url"), F.lit("no html").alias("error"))
+    return lost.unionByName(unread)

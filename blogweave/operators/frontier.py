@@ -41,7 +41,7 @@ def _ascii(pattern: str) -> str:
 def domain_pattern(domains: list[str]) -> str:
     """Host equal to, or a subdomain of, one of ``domains``."""
     alts = "|".join(re.escape(d) for d in domains)
-    return rf"^([^.]+\.)*({alts})$"
+    return rf"(?s)^(?!\.)(?!.*\.\.)(?:.*\.)?(?:{alts})$"
 
 
 def mobile_deny_pattern(domains: list[str]) -> str:
@@ -54,17 +54,17 @@ def extraction_outcomes(pages: DataFrame, restricted_title: str = DEFAULT_RESTRI
     """Outcome per fetched page.
 
     404 → ``404``; 200 with the restriction title → ``forbidden``; 200
-    without the container → ``exception`` with the error text (a dead
+    without html or without the container → ``exception`` with the error text (a dead
     letter, retried later); 200 otherwise → ``stored``; any other status
     leaves no outcome.  A page without a status column counts as 200.
     """
     title = H.title("html")
     restricted = F.coalesce(title.endswith(F.lit(restricted_title)), F.lit(False))
-    has_container = F.col("html").rlike(H.open_tag(container_tag, container_class))
+    has_container = F.coalesce(F.col("html").rlike(H.open_tag(container_tag, container_class)), F.lit(False))
     outcome = F.when(restricted, F.lit("forbidden")).when(~has_container, F.lit("exception")).otherwise(F.lit("stored"))
     if "status" in pages.columns:
         outcome = F.when(F.col("status") == 404, F.lit("404")).when(F.col("status") == 200, outcome)
-    error = F.when(outcome == "exception", F.lit("no container element"))
+    error = F.when(outcome == "exception", F.when(F.col("html").isNull(), F.lit("no html")).otherwise(F.lit("no container element")))
     return pages.select("page_id", outcome.alias("outcome"), error.alias("error"))
 
 

@@ -366,12 +366,12 @@ def upsert_latest(spark, sf_dir):
 
 @job("J28_upsert_stream")
 def upsert_stream(spark, sf_dir):
-    """The same records streamed file by file into versioned snapshots."""
+    """The same records streamed file by file, a micro-batch each, into versioned snapshots."""
     rec = conversation_records(spark, sf_dir)
     src = scratch_path(spark, "records-in")
-    rec.repartitionByRange("turn").write.parquet(src)
+    rec.repartitionByRange(4, "turn").write.parquet(src)
     root, ckpt = scratch_path(spark, "collection"), scratch_path(spark, "stream-ckpt")
-    ustream.upsert_stream(spark, src, rec.schema, root, ckpt).awaitTermination()
+    ustream.upsert_stream(spark, src, rec.schema, root, ckpt, buckets=8, max_files_per_trigger=1).awaitTermination()
     return ustream.read_collection(spark, root)
 
 
