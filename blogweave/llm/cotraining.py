@@ -4,11 +4,13 @@ A document is good if it is labelled of quality and not toxic.  Two logistic
 models look at different things: the content view at which words and signs a
 text has (hashed), the metadata view at the page's source, language, length
 and layout (shares of kinds of characters, line lengths, repetition), in
-bins.  Both start from a bounded sample of labelled documents; over some rounds
-each labels the documents of a bounded unlabelled sample that it is most sure
-of, for the other one to learn from.  Both are calibrated on labelled
-documents kept out of the fits, their calibrated log odds combined there, and
-every document is scored.
+bins.  Both start from a bounded sample of labelled documents.  Over some rounds
+both score every unlabelled document on the executors, from features written
+once, and the different texts that a view is most sure of are handed to the
+other one to learn from.  Both are calibrated on labelled documents kept out of
+the fits, their calibrated log odds combined there, and every document is
+scored.  The driver holds the labelled sample, what was handed over, and the
+weights.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import kept
-from .textblocks import ALNUM, ASCII_LOWER, NOT_SPACE, Block, blocks, mix, sections, span_hashes, spans, string_column
+from .textblocks import ALNUM, ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, mix, sections, span_hashes, spans, string_column
 
 #: Hashed words and signs (content view), and cells of the metadata view.
 CONTENT_BITS, META_SIZE = 18, 4096
-LABELLED, UNLABELLED = 16_000, 8_000      # bounds of the samples that are learned from
-ROUNDS, SHARE = 3, 0.05                   # of co-training; share of the unlabelled sample a view hands on a round
+LABELLED = 16_000                         # bound of the labelled documents that are learned from
+ROUNDS, HANDED = 3, 400                   # of co-training; documents that a view hands on a round, of all unlabelled ones
+SHARE = 0.05                              # and at most this share of them
 LEAST_DOCUMENTS = 5                       # a word must be in so many documents of the sample to have a weight
 CALIBRATION_FOLD = 5                      # one in so many labelled documents is kept for calibration
 
@@ -139,6 +142,9 @@ class Sparse(NamedTuple):
         ends = sections(sizes)
         return Sparse(self.cells[np.repeat(self.at[rows] - ends[:-1], sizes) + np.arange(ends[-1])], ends)
 
+    def joined(self, other: "Sparse") -> "Sparse":
+        return Sparse(np.concatenate([self.cells, other.cells]), np.concatenate([self.at, other.at[1:] + self.at[-1]]))
+
     def dot(self, weight: np.ndarray) -> np.ndarray:
         total = np.zeros(len(self.cells) + 1)
         np.cumsum(weight[self.cells], out=total[1:])
@@ -162,11 +168,16 @@ class Logistic:
         self.weight[:] = 0.0
         # only cells of ``least`` rows or more are learned: the fit works on those
         names = np.flatnonzero(np.bincount(x.cells, minlength=size) >= least)
-        place = np.full(size, -1, np.int64)
-        place[names] = np.arange(len(names))
-        useful = place[x.cells] >= 0
-        total = np.concatenate([[0], np.cumsum(useful)])
-        x = Sparse(place[x.cells[useful]], total[x.at])
+        place = np.full(size, -1, np.int32)
+        place[names] = np.arange(len(names), dtype=np.int32)
+        cells, sizes = [], []
+        for i in range(0, len(x.at) - 1, 1024):              # by rows, so that nothing is as long as the sample but its cells
+            at = x.at[i:i + 1025]
+            part = place[x.cells[at[0]:at[-1]]]
+            total = np.concatenate([[0], np.cumsum(part >= 0)])
+            cells.append(part[part >= 0])
+            sizes.append(np.diff(total[at - at[0]]))
+        x = Sparse(np.concatenate(cells) if cells else np.zeros(0, np.int32), sections(np.concatenate(sizes) if sizes else np.zeros(0, np.int64)))
         share = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
         self.bias = float(np.log(share / (1 - share)))
         weight, squares, order = np.zeros(len(names)), np.full(len(names), 1e-4), np.random.default_rng(7)
@@ -204,16 +215,29 @@ def _line(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Views:
-    """Features of a sample, with the metadata view's bins."""
+    """Features of documents as both models see them; the metadata view's bins
+    are those of the first sample."""
 
-    def __init__(self, content: list[bytes], meta: np.ndarray, category: np.ndarray, edges: np.ndarray | None = None):
-        cells = [np.frombuffer(c, "<i4") for c in content]
-        self.content = Sparse(np.concatenate(cells) if cells else np.zeros(0, np.int32), sections(np.array([len(c) for c in cells], np.int64)))
+    def __init__(self, content: Sparse, meta: np.ndarray, category: np.ndarray, edges: np.ndarray | None = None):
+        self.content = content
         self.edges = np.quantile(meta, np.linspace(0, 1, 33)[1:-1], axis=0).T if edges is None else edges
         bins = np.stack([np.searchsorted(e, m) + 32 * j for j, (e, m) in enumerate(zip(self.edges, meta.T))], axis=1)
-        both = np.concatenate([bins, category], axis=1)
+        both = np.concatenate([bins, category], axis=1).astype(np.int32)
         self.meta = Sparse(both.reshape(-1), np.arange(len(both) + 1) * both.shape[1])
 
+    @classmethod
+    def of(cls, table: pa.Table | pa.RecordBatch, edges: np.ndarray | None = None) -> "Views":
+        """From the columns of ``feature_rows``, without a copy per document."""
+        def binary(name: str, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+            column = table.column(name)
+            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+            at, data = bytes_of(column.cast(pa.large_binary()))
+            return np.frombuffer(data, dtype), at // 4
+        cells, at = binary("content", "<i4")
+        numbers, _ = binary("meta", "<f4")
+        category = np.array(table.column("category").to_pylist(), np.int32).reshape(table.num_rows, 2)
+        return cls(Sparse(cells, at), numbers.reshape(table.num_rows, -1).astype(float), category, edges)
+
 
 def _draw(key: Column, salt: int, share: float) -> Column:
     """A share of rows by the hash of their key; a null key is drawn like any."""
@@ -227,58 +251,88 @@ def _columns(docs: DataFrame) -> list[Column]:
     return [(F.col(f"`{c}`") if c in docs.columns else F.lit(None)).cast(t).alias(c) for c, t in _COLUMNS.items()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED, rounds: int = ROUNDS,
+def _odds(features: DataFrame, weights: dict, bias: dict, edges: np.ndarray) -> DataFrame:
+    """row, doc_id, text (a hash of the features) and both views' log odds of every document."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            views = Views.of(batch, edges)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id", "same")]
+                + [pa.array(x.dot(weights[v]) + bias[v]) for v, x in (("content", views.content), ("meta", views.meta))],
+                names=["row", "doc_id", "same", "content_odds", "meta_odds"])
+
+    return (features.select("row", "doc_id", F.xxhash64("content").alias("same"), "content", "meta", "category")
+            .mapInArrow(run, "row long, doc_id long, same long, content_odds double, meta_odds double"))
+
+
+def surest(odds: DataFrame, view: str, ups: int, downs: int) -> dict[int, int]:
+    """The rows that a view is most sure to be good (1) or not (0), as many as asked for, ties by row."""
+    up = odds.orderBy(F.col(f"{view}_odds").desc(), "row").limit(ups).collect()
+    down = odds.orderBy(F.col(f"{view}_odds"), "row").limit(downs).collect()
+    return {r.row: 0 for r in down} | {r.row: 1 for r in up}
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, handed: int = HANDED, rounds: int = ROUNDS,
         share: float = SHARE) -> dict | None:
     """Both views and their combination; None without labelled documents.
 
-    Learns from about ``labelled`` labelled and ``unlabelled`` other documents
-    at most, drawn by hashes of doc_id, whose features come to the driver.  A
-    document with several labels is good if all agree on it; a quality that
-    is null counts as no label unless the document is toxic.
+    Learns from about ``labelled`` labelled documents at most, drawn by hashes
+    of doc_id, and from those of **all** unlabelled documents that the views are
+    most sure of: ``handed`` a view and round (at most ``share`` of them), of
+    documents with equal words the first.  A document with several labels is
+    good if all agree on it; a quality that is null counts as no label unless
+    the document is toxic.
     """
     docs = docs.select(*_columns(docs))
     good = F.when(F.coalesce("toxic", F.lit(0)) == 1, 0).when(F.col("quality").isNotNull(), (F.col("quality") == 1).cast("int"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), good.alias("good")).filter("doc_id IS NOT NULL AND good IS NOT NULL")
-    known = known.groupBy("doc_id").agg(F.min("good").alias("good"))
-    n_labels, n_docs = known.count(), docs.count()
-    if not n_labels or not n_docs:
+    known = kept(known.groupBy("doc_id").agg(F.min("good").alias("good")), "cotraining-labels")
+    n_labels = known.count()
+    if not n_labels:
         return None
-    key = F.col("doc_id")
-    first = _draw(key, 1, min(1.0, labelled / n_labels))
-    second = _draw(key, 2, min(1.0, unlabelled / n_docs))
-    few = docs.filter(first).join(known.filter(first), "doc_id").dropDuplicates(["doc_id"])
-    rest = docs.filter(second & key.isNotNull()).join(known, "doc_id", "left_anti").withColumn("good", F.lit(-1)).dropDuplicates(["doc_id"])
-    sample = kept(feature_rows(few.unionByName(rest, allowMissingColumns=True)), "cotraining-sample").orderBy("doc_id").toPandas()
-    if not (sample["good"] >= 0).any():
+    features = kept(feature_rows(docs).withColumn("row", F.monotonically_increasing_id()), "cotraining-features")
+    first = _draw(F.col("doc_id"), 1, min(1.0, labelled / n_labels))
+    few = features.filter(first).join(known.filter(first), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    if not few.num_rows:
         return None
-    numbers = np.frombuffer(b"".join(sample["meta"]), "<f4").reshape(len(sample), -1).astype(float)
-    views = Views([bytes(c) for c in sample["content"]], numbers, np.stack([np.asarray(c) for c in sample["category"]]))
-    y = sample["good"].to_numpy()
-    del sample, numbers
-    mine = np.flatnonzero(y >= 0)
-    held = mine[np.arange(len(mine)) % CALIBRATION_FOLD == 0] if len(mine) >= 20 * CALIBRATION_FOLD else mine
+    views = Views.of(few)
+    y = few.column("good").to_numpy().astype(int)
+    del few
+    mine = np.arange(len(y))
+    held = mine[mine % CALIBRATION_FOLD == 0] if len(mine) >= 20 * CALIBRATION_FOLD else mine
     start = np.setdiff1d(mine, held) if len(held) < len(mine) else mine
-    pool = np.flatnonzero(y < 0)
-    data = {"content": (views.content, 1 << CONTENT_BITS, LEAST_DOCUMENTS), "meta": (views.meta, META_SIZE, 1)}
-    learned = {v: dict(zip(start.tolist(), y[start].tolist())) for v in data}
+    sizes = {"content": (1 << CONTENT_BITS, LEAST_DOCUMENTS), "meta": (META_SIZE, 1)}
+    learned: dict[str, dict[int, int]] = {v: {} for v in sizes}            # pseudo-labels by row
     models: dict[str, Logistic] = {}
+    extra: Views | None = None
+    place: dict[int, int] = {}
     for round_ in range(rounds + 1):
-        for v, (x, size, least) in data.items():
-            rows = np.array(sorted(learned[v]))
-            models[v] = Logistic(size).fit(x.take(rows), np.array([learned[v][r] for r in rows.tolist()], float), min(least, max(1, len(rows) // 20)))
-        if round_ == rounds or not len(pool):
+        for v, (size, least) in sizes.items():
+            rows = sorted(learned[v])
+            x = getattr(views, v).take(start)
+            if rows:
+                x = x.joined(getattr(extra, v).take(np.array([place[r] for r in rows])))
+            target = np.concatenate([y[start], [learned[v][r] for r in rows]]).astype(float)
+            models[v] = Logistic(size).fit(x, target, min(least, max(1, len(target) // 20)))
+        if round_ == rounds:
             break
-        rate = y[start].mean()
+        weights, bias = {v: m.weight.astype(np.float32) for v, m in models.items()}, {v: m.bias for v, m in models.items()}
+        odds = _odds(features, weights, bias, views.edges).join(known.select("doc_id"), "doc_id", "left_anti").filter("doc_id IS NOT NULL")
+        odds = kept(odds.groupBy("same").agg(F.min_by(F.struct("row", "content_odds", "meta_odds"), "row").alias("r")).select("r.*"), "cotraining-odds")
+        many, rate = min(handed, int(share * odds.count())), y[start].mean()
+        ups, downs = int(round(many * rate)), int(round(many * (1 - rate)))
         for v, other in (("content", "meta"), ("meta", "content")):
-            odds = models[v].odds(data[v][0].take(pool))
-            many = int(share * len(pool))
-            ups, downs = int(round(many * rate)), int(round(many * (1 - rate)))
-            order = np.argsort(odds, kind="stable")
-            for r in pool[order[len(order) - ups:]].tolist():
-                learned[other].setdefault(r, 1)
-            for r in pool[order[:downs]].tolist():
-                learned[other].setdefault(r, 0)
-    odds = np.stack([models[v].odds(data[v][0].take(held)) for v in ("content", "meta")], axis=1)
+            for row, label in surest(odds, v, ups, downs).items():
+                learned[other].setdefault(row, label)
+        wanted = sorted({r for rows in learned.values() for r in rows})
+        if not wanted:
+            break
+        # at most 4 * handed rows a round
+        chosen = features.join(F.broadcast(features.sparkSession.createDataFrame([(r,) for r in wanted], "row long")), "row").toArrow()
+        extra, place = Views.of(chosen, views.edges), {r: i for i, r in enumerate(chosen.column("row").to_pylist())}
+    odds = np.stack([models[v].odds(getattr(views, v).take(held)) for v in sizes], axis=1)
     target = y[held].astype(float)
     lines = [_line(odds[:, [j]], target) for j in range(2)]
     calibrated = np.stack([odds[:, j] * lines[j][0] + lines[j][1] for j in range(2)], axis=1)
@@ -303,9 +357,9 @@ def score(docs: DataFrame, model: dict, keep_columns: bool = False) -> DataFrame
                                                names=list(roles))
             for block in blocks(string_column(batch, "text")):
                 cells, at = content_features(block)
-                views = Views([], np.concatenate([layout(block), _declared(batch, block)], axis=1).astype(np.float32).astype(float),
+                views = Views(Sparse(cells, at), np.concatenate([layout(block), _declared(batch, block)], axis=1).astype(np.float32).astype(float),
                               _categories(batch, block), model["edges"])
-                odds = {"content": Sparse(cells, at).dot(model["weights"]["content"]) + model["bias"]["content"],
+                odds = {"content": views.content.dot(model["weights"]["content"]) + model["bias"]["content"],
                         "meta": views.meta.dot(model["weights"]["meta"]) + model["bias"]["meta"]}
                 one, two = (odds[v] * line[0] + line[1] for v, line in zip(("content", "meta"), model["lines"]))
                 w = model["both"]

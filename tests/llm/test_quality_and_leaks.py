@@ -146,3 +146,25 @@ def test_items_of_few_literals(spark):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     found = {(r.doc_id, r.item_id): r.exact for r in decontamination.find_leaks(docs, bench).collect()}
     assert found == {**{(i, i): True for i in range(5)}, **{(5 + i, i): False for i in range(5)}, (11, 4): True}
+
+
+def test_the_surest_of_all_rows_are_handed_over(spark):
+    """By plain sorting, ties to the smaller row."""
+    rng = np.random.default_rng(5)
+    rows = [(i, float(rng.integers(-20, 20)), float(rng.normal())) for i in range(3000)]
+    odds = spark.createDataFrame(rows, "row long, content_odds double, meta_odds double").repartition(7)
+    for j, view in ((1, "content"), (2, "meta")):
+        up, down = sorted(rows, key=lambda r: (-r[j], r[0]))[:30], sorted(rows, key=lambda r: (r[j], r[0]))[:70]
+        assert cotraining.surest(odds, view, 30, 70) == {r[0]: 0 for r in down} | {r[0]: 1 for r in up}
+
+
+def test_every_unlabelled_document_is_scored_each_round(spark, monkeypatch):
+    """Copies count once; labelled documents and null ids are not handed over."""
+    seen = []
+    real = cotraining.surest
+    monkeypatch.setattr(cotraining, "surest", lambda odds, *a: seen.append(sorted(r.row for r in odds.collect())) or real(odds, *a))
+    rows = [(i, f"{'fine' if i % 2 else 'bad'} word{i}", "en", "s", 1) for i in range(200)] + [(500, "fine word1", "en", "s", 1), (None, "no id", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(0, 40)], "doc_id long, quality int, toxic int")
+    cotraining.fit(docs, labels)
+    assert len(seen) == 2 * cotraining.ROUNDS and {len(s) for s in seen} == {161}
