@@ -62,3 +62,20 @@ def site_pages(pages: DataFrame) -> DataFrame:
             .when(n % 6 == 3, F.replace(html, F.lit("title>"), F.lit("h6>"))).otherwise(html))
     status = F.when(n % 10 == 3, 404).when(n % 10 == 7, 500).otherwise(200)
     return pages.select("page_id", "url", F.concat(html, _block(n, F.col("url"))).alias("html"), status.alias("status"))
+
+
+# Ways to write one address; the SQL side knows that they are the same by construction.
+VARIANTS = ("https://b1.example.org/~u{n}/p%D0%BE/?a=1&b={n}", "https://b1.example.org/%7Eu{n}/p%d0%be/?a=1&b={n}#comments",
+            "HTTPS://B1.Example.ORG:443/~%75{n}/p%D0%BE/?b={n}&a=1", "https://b1.example.org/~u{n}/p%D0%BE/?b={n}&&a=%31#")
+
+
+def link_variants(pages: DataFrame) -> DataFrame:
+    """``(page_id, abs_url)``: every page links to one address in four ways, and to another one (a different query)."""
+    n = F.col("page_id").cast("string")
+    urls = [F.replace(F.lit(v), F.lit("{n}"), n) for v in (*VARIANTS, "https://b1.example.org/~u{n}/p%D0%BE/?a=1&a=1&b={n}")]
+    return pages.select("page_id", F.explode(F.array(*urls)).alias("abs_url"))
+
+
+def known_variants(pages: DataFrame) -> DataFrame:
+    """``(url,)``: every third page's address is known, in its third way to write it."""
+    return pages.where("page_id % 3 = 0").select(F.replace(F.lit(VARIANTS[2]), F.lit("{n}"), F.col("page_id").cast("string")).alias("url"))

@@ -129,6 +129,42 @@ def join_url(base, ref) -> Column:
             .otherwise(_normalise_path(F.concat(directory, ref))))
 
 
+# A percent escape, text without one, or a lone sign.
+_ESCAPES = r"%[0-9A-Fa-f]{2}|[^%]++|%"
+_ABSOLUTE = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+
+
+def _normal_escapes(c: Column) -> Column:
+    """Escapes of letters, digits and ``-._~`` undone, the others in upper case."""
+    def one(t: Column) -> Column:
+        code = F.conv(F.substring(t, 2, 2), 16, 10).cast("int")
+        char = F.char(code)
+        return F.when(~t.rlike("^%[0-9A-Fa-f]{2}$"), t).when((code < 128) & char.rlike("^[A-Za-z0-9._~-]$"), char).otherwise(F.upper(t))
+    return F.when(F.contains(c, F.lit("%")), F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_ESCAPES), F.lit(0)), one), "")).otherwise(c)
+
+
+def identity(url) -> Column:
+    """The canonical form by which a crawl knows a URL: without fragment,
+    scheme and host in lower case, no default port, an empty path as ``/``,
+    query parameters in order of name and value (repeated ones stay),
+    percent escapes normalised.  URLs that are not absolute only lose their fragment."""
+    u = _col(url)
+    scheme, host, path, query = (F.regexp_extract(u, _ABSOLUTE, i) for i in (1, 2, 3, 4))
+    scheme, host = F.lower(scheme), F.lower(host)
+    port = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
+    pairs = F.transform(F.filter(F.split(F.substring(query, 2, 1 << 30), "&"), lambda p: p != ""), _normal_escapes)
+    ordered = F.transform(F.sort_array(F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1).alias("name"), p.alias("pair")))),
+                          lambda x: x["pair"])
+    whole = F.concat(scheme, F.lit("://"), F.regexp_replace(port, ":$", ""), F.when(path == "", F.lit("/")).otherwise(_normal_escapes(path)),
+                     F.when(F.size(ordered) > 0, F.concat(F.lit("?"), F.array_join(ordered, "&"))).otherwise(F.lit("")))
+    return F.when(u.rlike(_ABSOLUTE), whole).otherwise(F.regexp_replace(u, "(?s)#.*$", ""))
+
+
+def identity_key(url) -> Column:
+    """128 bits of the canonical form."""
+    return F.md5(identity(url))
+
+
 def with_url_ids(df: DataFrame, sites: DataFrame, url_col: str = "url", html_col: str | None = None,
                  loose: bool = False) -> DataFrame:
     """Add host, blog, company, post, user and hub ids of a URL column.

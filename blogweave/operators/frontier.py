@@ -133,6 +133,19 @@ def route_links(links: DataFrame, allowed_domains: list[str] = DEFAULT_ALLOWED_D
 
 
 def new_links(routed: DataFrame, known: DataFrame, url_col: str = "abs_url") -> DataFrame:
-    """Distinct on-site links whose URL is not known yet."""
-    cand = routed.where("on_site").select(F.col(url_col).alias("url"), "route").distinct()
-    return cand.join(known.select("url"), "url", "left_anti")
+    """On-site links to fetch, one per URL identity, that are not known yet:
+    ``(url, route)``, of equal identities the smallest URL.  Only 128-bit
+    keys, one URL each, are shuffled, summed up before."""
+    seen = known.select(U.identity_key("url").alias("_key")).distinct()
+    found = (routed.where("on_site").select(U.identity_key(url_col).alias("_key"), F.col(url_col).alias("url"), "route")
+             .groupBy("_key").agg(F.min("url").alias("url"), F.min_by("route", "url").alias("route")))
+    return found.join(seen, "_key", "left_anti").select("url", "route")
+
+
+def link_identities(links: DataFrame, known: DataFrame, url_col: str = "abs_url") -> DataFrame:
+    """Canonical forms not known yet: ``(identity, url, n_links)`` with the
+    smallest URL and the number of links of that identity."""
+    seen = known.select(U.identity_key("url").alias("_key")).distinct()
+    found = (links.select(F.col(url_col).alias("url")).where("url IS NOT NULL").withColumn("_key", U.identity_key("url"))
+             .groupBy("_key").agg(F.min("url").alias("url"), F.count("*").alias("n_links")))
+    return found.join(seen, "_key", "left_anti").select(U.identity("url").alias("identity"), "url", "n_links")

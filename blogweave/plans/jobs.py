@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blogweave.fixtures import render
-from blogweave.fixtures.site_pages import site_pages
+from blogweave.fixtures.site_pages import known_variants, link_variants, site_pages
 from blogweave.fixtures.views import EPOCH, comments_view, deep_comments_view, posts_view
 from blogweave.operators import corpus, exports, extract, favourites, frontier, normalise, profiles, scoped_links, summary, tree
 from blogweave.operators import pages as pg
@@ -128,6 +128,13 @@ def new_links(spark, sf_dir):
     return frontier.new_links(_routed(spark, sf_dir), _pages(spark, sf_dir, "url"))
 
 
+@job("J21_link_identities")
+def link_identities(spark, sf_dir):
+    """Addresses written in several ways, each counted once, less the known ones."""
+    pages = read_table(spark, sf_dir, "pages", "page_id")
+    return frontier.link_identities(link_variants(pages), known_variants(pages))
+
+
 def _placed(spark, sf_dir, places):
     links = scoped_links.scoped_links(_pages(spark, sf_dir), places)
     return links.select("page_id", "kind", "pos", "href", "abs_url", "priority")

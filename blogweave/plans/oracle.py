@@ -586,3 +586,12 @@ FROM v_posts p LEFT JOIN per_post pp USING (post_id)""", V_POSTS, V_COMMENTS, SQ
 SQL["J07_profile_dead_letters"] = """
 SELECT c_custkey AS page_id, CASE c_custkey % 4 WHEN 1 THEN 'no profile header' WHEN 2 THEN 'unknown host' ELSE 'no id in the URL' END AS error
 FROM customer WHERE c_custkey % 4 <> 0"""
+
+SQL["J21_link_identities"] = """
+SELECT 'https://b1.example.org/~u' || page_id || '/p%D0%BE/?a=1&b=' || page_id AS identity,
+       'HTTPS://B1.Example.ORG:443/~%75' || page_id || '/p%D0%BE/?b=' || page_id || '&a=1' AS url, CAST(4 AS BIGINT) AS n_links
+FROM pages WHERE page_id % 3 <> 0
+UNION ALL
+SELECT 'https://b1.example.org/~u' || page_id || '/p%D0%BE/?a=1&a=1&b=' || page_id,
+       'https://b1.example.org/~u' || page_id || '/p%D0%BE/?a=1&a=1&b=' || page_id, CAST(1 AS BIGINT)
+FROM pages"""

@@ -160,3 +160,16 @@ def test_feed_links_on_feed_markup(spark):
     got = sorted((r.kind, r.abs_url) for r in scoped_links(df, FEED).collect())
     assert got == [("page", "http://habrahabr.ru/all/page2/"), ("page", "http://habrahabr.ru/all/page3/"),
                    ("post", "http://habrahabr.ru/post/1/"), ("post", "http://habrahabr.ru/post/2/")]
+
+
+def test_url_identity(spark):
+    same = {"http://h.ru/": ["http://h.ru", "HTTP://H.RU:80/", "http://h.ru/#top", "http://h.ru/?", "http://h.ru:"],
+            "https://h.ru/post/1/?a=1&b=2": ["https://h.ru:443/post/1/?b=2&a=1", "https://h.ru/post/1/?a=1&b=2#comments", "https://h.ru/post/%31/?&a=1&&b=2"],
+            "https://h.ru/%D0%BE~x?q=%2F": ["https://h.ru/%d0%be%7Ex?q=%2f"],
+            "http://h.ru:443/a?b=&b=1&b%20=0": ["http://h.ru:443/a?b%20=0&b=1&b="],
+            "http://h.ru/%": ["http://h.ru/%#x"], "mailto:a@b": ["mailto:a@b#x"], "/rel?b=1&a=2": ["/rel?b=1&a=2#f"]}
+    for canonical, urls in same.items():
+        assert _one(spark, U.identity, canonical, *urls) == [canonical] * (1 + len(urls))
+    others = ["http://h.ru/post/1", "http://h.ru/post/1/", "http://h.ru/post/1/?a=1", "http://h.ru/post/1/?a=1&a=1", "https://h.ru/post/1/", "http://h.ru/Post/1/"]
+    assert len(set(_one(spark, U.identity_key, *others))) == len(others)
+    assert _one(spark, U.identity, None) == [None]
