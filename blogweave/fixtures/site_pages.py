@@ -79,3 +79,11 @@ def link_variants(pages: DataFrame) -> DataFrame:
 def known_variants(pages: DataFrame) -> DataFrame:
     """``(url,)``: every third page's address is known, in its third way to write it."""
     return pages.where("page_id % 3 = 0").select(F.replace(F.lit(VARIANTS[2]), F.lit("{n}"), F.col("page_id").cast("string")).alias("url"))
+
+
+def page_graph(pages: DataFrame) -> DataFrame:
+    """``(src, dst)``: links between the given pages, with cycles, a hub and pages that nothing leads to."""
+    n = F.col("page_id")
+    to = F.explode(F.array(2 * n + 1, 3 * n + 7, F.expr("page_id div 2"), F.lit(0).cast("long"))).alias("to")
+    aims = pages.select(n.alias("to"), F.col("url").alias("dst"))
+    return pages.select(F.col("url").alias("src"), n, to).where("page_id % 5 <> 4").join(aims, "to").select("src", "dst")

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blogweave.fixtures import render
-from blogweave.fixtures.site_pages import known_variants, link_variants, site_pages
+from blogweave.fixtures.site_pages import known_variants, link_variants, page_graph, site_pages
 from blogweave.fixtures.views import EPOCH, comments_view, deep_comments_view, posts_view
-from blogweave.operators import corpus, exports, extract, favourites, frontier, normalise, profiles, scoped_links, summary, tree
+from blogweave.operators import corpus, exports, extract, favourites, frontier, normalise, profiles, reach, scoped_links, summary, tree
 from blogweave.operators import pages as pg
 from blogweave.operators import upsert as ups
 from blogweave.operators.collection import KeyedCollection
@@ -135,6 +135,13 @@ def link_identities(spark, sf_dir):
     return frontier.link_identities(link_variants(pages), known_variants(pages))
 
 
+@job("J21_reachable_pages")
+def reachable_pages(spark, sf_dir):
+    """Depth and first referrer of every page that the stored links lead to from the seeds."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url")
+    return reach.reachable(page_graph(pages), pages.where("page_id % 40 = 3").select("url"))
+
+
 def _placed(spark, sf_dir, places):
     links = scoped_links.scoped_links(_pages(spark, sf_dir), places)
     return links.select("page_id", "kind", "pos", "href", "abs_url", "priority")

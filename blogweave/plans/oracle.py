@@ -595,3 +595,19 @@ UNION ALL
 SELECT 'https://b1.example.org/~u' || page_id || '/p%D0%BE/?a=1&a=1&b=' || page_id,
        'https://b1.example.org/~u' || page_id || '/p%D0%BE/?a=1&a=1&b=' || page_id, CAST(1 AS BIGINT)
 FROM pages"""
+
+SQL["J21_reachable_pages"] = """
+WITH RECURSIVE p AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS url FROM pages),
+edges AS (
+  SELECT a.page_id AS src, b.page_id AS dst
+  FROM (SELECT page_id, unnest([2 * page_id + 1, 3 * page_id + 7, page_id // 2, 0]) AS aim FROM p WHERE page_id % 5 <> 4) a JOIN p b ON b.page_id = a.aim),
+steps AS (
+  SELECT page_id, 0 AS depth FROM p WHERE page_id % 40 = 3
+  UNION
+  SELECT e.dst, s.depth + 1 FROM steps s JOIN edges e ON e.src = s.page_id WHERE s.depth < 60),
+nearest AS (SELECT page_id, min(depth) AS depth FROM steps GROUP BY page_id)
+SELECT p.url, CAST(n.depth AS INTEGER) AS depth, min(q.url) AS referrer
+FROM nearest n JOIN p USING (page_id)
+LEFT JOIN (SELECT e.dst, m.depth, r.url FROM edges e JOIN nearest m ON m.page_id = e.src JOIN p r ON r.page_id = e.src) q
+  ON q.dst = n.page_id AND q.depth = n.depth - 1
+GROUP BY p.url, n.depth"""
