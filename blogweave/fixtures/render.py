@@ -41,6 +41,11 @@ def _cat(*parts) -> Column:
 
 ITEM_CLOSE = "</div></div>"
 
+# A reply container of its own with an item without a body (the class lacks its
+# trailing space): it and its reply are no comments and take no place.
+BODILESS = ('<div class="reply_comments"><div class="comment_item"><div class="comment_body">gone</div><div class="reply_comments">'
+            '<div class="comment_item"><div class="comment_body "><a class="username" href="/users/lost/">lost</a></div></div></div></div></div>')
+
 
 def comment_open_html(fetched_at: Column) -> Column:
     """Opening markup of one comment (columns of the flat comment row),
@@ -57,7 +62,7 @@ def comment_open_html(fetched_at: Column) -> Column:
         "</div>",
         _opt(F.col("message_html").isNotNull(), '<div class="message html_format">', F.col("message_html"), "</div>"))
     body = F.when(F.col("banned"), F.lit(f'<div class="author_banned">{BANNED_TEXT}</div>')).otherwise(live)
-    return _cat('<div class="comment_item">', '<div class="comment_body ">', body, "</div>",
+    return _cat('<div class="comment_item">', '<div class="comment_body ">', body, "</div>", _opt(F.col("comment_id") % 7 == 3, BODILESS),
                 '<div class="reply_comments">')
 
 
