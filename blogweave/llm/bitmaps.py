@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .textblocks import map_batches
 
 BITS = 24
+SECTION = 1 << 16
 
 
 def bitmap_of(df: DataFrame, column: str) -> np.ndarray:
@@ -24,10 +25,27 @@ def bitmap_of(df: DataFrame, column: str) -> np.ndarray:
         bit = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BITS)
         yield [(bit >> np.uint64(3)).astype(np.int32), (1 << (bit & np.uint64(7)).astype(np.int64)).astype(np.int32)]
 
-    got = (df.select(column).mapInArrow(map_batches(schema, work), "byte int, bits int")
-           .groupBy("byte").agg(F.bit_or("bits").alias("bits")).toPandas())
-    out = np.zeros(1 << (BITS - 3), np.uint8)
-    out[got["byte"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.uint8)
+    bits = (df.select(column).mapInArrow(map_batches(schema, work), "byte int, bits int")
+            .groupBy("byte").agg(F.bit_or("bits").alias("bits")))
+    return dense(bits, "byte", "bits", 1 << (BITS - 3), "<u1")
+
+
+def dense(df: DataFrame, index: str, value: str, length: int, kind: str) -> np.ndarray:
+    """An array of ``length`` numbers of numpy type ``kind``: ``value`` at each
+    ``index``, else 0.  Tasks put sections of it together, so that the driver
+    gets the array's bytes and no row per number."""
+    def section(group: pa.Table) -> pa.Table:
+        at = group.column(0).to_numpy().astype(np.int64)
+        part = at[0] // SECTION
+        out = np.zeros(min(SECTION, length - part * SECTION), kind)
+        out[at - part * SECTION] = group.column(1).to_numpy()
+        return pa.table({"part": pa.array([part], pa.int64()), "data": pa.array([out.tobytes()], pa.binary())})
+
+    out = np.zeros(length, kind)
+    for r in (df.select(index, value).groupBy(F.floor(F.col(index) / SECTION).alias("part"))
+              .applyInArrow(section, "part long, data binary").collect()):
+        some = np.frombuffer(r.data, kind)
+        out[r.part * SECTION:r.part * SECTION + len(some)] = some
     return out
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bitmaps import bitmap_of, passes
+from .bitmaps import bitmap_of, dense, passes
 from .components import components, joined
 from .store import kept
 from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, mix, sections, span_hashes, spans, string_column, windows
@@ -243,10 +243,8 @@ def rarity(grams: DataFrame) -> np.ndarray:
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["cell", "n"])
 
-    got = grams.select("grams").mapInArrow(work, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << CELL_BITS, np.int64)
-    out[got["cell"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.int64)
-    return out
+    seen = grams.select("grams").mapInArrow(work, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return dense(seen, "cell", "n", 1 << CELL_BITS, "<i8")
 
 
 def prefix(grams: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
