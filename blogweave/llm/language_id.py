@@ -8,8 +8,9 @@ is the product over its words.  The pieces' probabilities are fitted by
 expectation maximisation, with expected counts from the forward and backward
 passes over the words of a bounded sample of labelled documents.
 
-Words are runs of lower-cased letters (and of anything beyond ASCII); a run
-is segmented in stretches of at most ``STRETCH`` bytes, all of which count.
+Words are runs of lower-cased letters (and of anything beyond ASCII), of any
+length: every ``SPAN`` bytes of a word the sums are scaled to 1 at that place,
+and the scales' logarithms add up.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 from .store import kept
 from .textblocks import Block, blocks, bytes_of, map_batches, sections, span_strings, spans, string_column
 
-STRETCH = 32
+#: Bytes between two scalings; at least the length of any piece.
+SPAN = 32
 #: A lattice is many times its words' size: smaller blocks than elsewhere.
-BLOCK_BYTES = 2 << 20
-#: Keeps products over a stretch near 1: the usual probability of a byte.
+BLOCK_BYTES, FIT_BYTES = 2 << 20, 1 << 20
+#: Keeps products over ``SPAN`` bytes near 1: the usual probability of a byte.
 PER_BYTE = 0.1
 
 LETTER = np.zeros(256, bool)
@@ -41,23 +43,40 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-@lru_cache(maxsize=2)
-def _trie(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Successors of each node by byte (0: none), the piece that ends at each
-    node (-1: none), and the pieces' lengths.  Pieces that lower-casing
-    changes cannot occur and are left out; a word's start is a space."""
+def _pieces(path: str) -> list[tuple[int, bytes]]:
+    """The pieces that can occur in a word, as (id, bytes).  Pieces that
+    lower-casing changes cannot, and are left out with those of over ``SPAN``
+    bytes; a word's start is a space."""
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    nodes: list[dict[int, int]] = [{}]
-    ends: dict[int, int] = {}
-    lengths = np.zeros(model.get_piece_size(), np.int64)
+    out = []
     for i in range(model.get_piece_size()):
         if model.is_control(i) or model.is_unknown(i):
             continue
         name = model.id_to_piece(i)
         piece = bytes([int(name[1:-1], 16)]) if model.is_byte(i) else name.replace("▁", " ").encode()
-        if not model.is_byte(i) and name.lower() != name or len(piece) > STRETCH:
-            continue
+        if model.is_byte(i) or name.lower() == name and len(piece) <= SPAN:
+            out.append((i, piece))
+    return out
+
+
+@lru_cache(maxsize=2)
+def _lengths(path: str) -> np.ndarray:
+    """Each piece's bytes (0: cannot occur); all that the driver needs of the vocabulary."""
+    import sentencepiece
+    out = np.zeros(sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size(), np.int64)
+    for i, piece in _pieces(path):
+        out[i] = len(piece)
+    return out
+
+
+@lru_cache(maxsize=2)
+def _trie(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Successors of each node by byte (0: none), and the piece that ends at
+    each node (-1: none)."""
+    nodes: list[dict[int, int]] = [{}]
+    ends: dict[int, int] = {}
+    for i, piece in _pieces(path):
         at = 0
         for b in piece:
             if b not in nodes[at]:
@@ -65,7 +84,6 @@ def _trie(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 nodes.append({})
             at = nodes[at][b]
         ends.setdefault(at, i)
-        lengths[i] = len(piece)
     follow = np.zeros((len(nodes), 256), np.int32)
     for n, by in enumerate(nodes):
         for b, to in by.items():
@@ -73,15 +91,20 @@ def _trie(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     piece_at = np.full(len(nodes), -1, np.int32)
     for n, i in ends.items():
         piece_at[n] = i
-    return follow, piece_at, lengths
+    return follow, piece_at
 
 
 class Lattice:
     """All pieces within each of some words (a binary array), ordered by the
-    place in the stretch where they start."""
+    place in the word where they start.
+
+    A word has a node before each of its bytes and one at its end.  Sums of
+    segmentations up to a node are kept over the product of the word's scales
+    so far (``norm``: one per word, ``SPAN`` bytes and language; the first is 1).
+    """
 
     def __init__(self, words: pa.Array, path: str):
-        follow, piece_at, _ = _trie(path)
+        follow, piece_at = _trie(path)
         offsets, data = bytes_of(words)
         n = len(words)
         spaced = np.full(len(data) + n, 32, np.uint8)          # a space before each word
@@ -89,17 +112,13 @@ class Lattice:
         first = offsets[:-1] + np.arange(n)
         body[first] = False
         spaced[body] = data
-        lengths = np.diff(offsets) + 1
-        parts = -(-lengths // STRETCH)
-        word = np.repeat(np.arange(n), parts)
-        start = first[word] + (np.arange(len(word)) - sections(parts)[:-1][word]) * STRETCH
-        size = np.minimum(STRETCH, first[word] + lengths[word] - start)
-        self.parts, self.word, self.size = parts, word, size
-        self.node = start + np.arange(len(word))                # lattice node of a stretch's start
-        self.nodes = len(spaced) + len(word)
-        left = (size[np.repeat(np.arange(len(word)), size)]
-                - (place := (np.arange(len(spaced)) - np.repeat(start, size)).astype(np.int8))).astype(np.int8)
-        part = np.repeat(np.arange(len(word)), size)
+        self.size = np.diff(offsets) + 1
+        self.node = first + np.arange(n)                        # lattice node of a word's start
+        self.nodes = len(spaced) + n
+        longest = int(self.size.max()) if n else 0
+        place = (np.arange(len(spaced)) - np.repeat(first, self.size)).astype(np.int16 if longest < 1 << 15 else np.int64)
+        word = np.repeat(np.arange(n, dtype=np.int32), self.size)
+        left = np.minimum(self.size[word] - place, SPAN + 1).astype(np.int8)
         live, state, length = np.arange(len(spaced)), np.zeros(len(spaced), np.int32), 0
         found: list[tuple] = []
         while len(live):
@@ -107,7 +126,7 @@ class Lattice:
             length += 1
             hit = np.flatnonzero(piece_at[state] >= 0)
             at = live[hit]
-            found.append((place[at], (at + part[at]).astype(np.int32), np.full(len(at), length, np.int32), piece_at[state[hit]]))
+            found.append((place[at], (at + word[at]).astype(np.int32), np.full(len(at), length, np.int32), piece_at[state[hit]]))
             go = (state > 0) & (left[live] > length)
             live, state = live[go], state[go]
         if found:
@@ -115,36 +134,54 @@ class Lattice:
         else:
             where = self.source = span = self.piece = np.zeros(0, np.int32)
         order = np.argsort(where, kind="stable")
-        self.source, self.piece = self.source[order], self.piece[order]
+        self.source, self.piece, where = self.source[order], self.piece[order], where[order]
         self.target = self.source + span[order]
-        self.steps = np.searchsorted(where[order], np.arange(STRETCH + 1))
-
-    def forward(self, weight: np.ndarray) -> np.ndarray:
-        """Summed weight of all segmentations up to each node."""
-        a = np.zeros((self.nodes, weight.shape[1]))
+        self.steps = np.searchsorted(where, np.arange(longest + 1))
+        self.spans = sections(self.size // SPAN + 1)            # first scale of each word
+        # arcs into the next SPAN bytes are taken over the scale found there
+        self.crossing = np.flatnonzero(where % SPAN + span[order] >= SPAN)
+        at = self.source[self.crossing]
+        self.scale = self.spans[np.searchsorted(self.node, at, "right") - 1] + where[self.crossing] // SPAN + 1
+
+    def forward(self, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Summed weight of all segmentations up to each node, and the scales."""
+        a, norm = np.zeros((self.nodes, weight.shape[1])), np.ones((self.spans[-1], weight.shape[1]))
         a[self.node] = 1.0
-        for i, j in zip(self.steps[:-1], self.steps[1:]):
+        live = np.arange(len(self.size))
+        for place in range(len(self.steps)):
+            if place and place % SPAN == 0:
+                live = live[self.size[live] >= place]
+                at = self.node[live] + place
+                norm[self.spans[live] + place // SPAN] = now = a[at]
+                ahead = np.minimum(at[:, None] + np.arange(SPAN), (self.node + self.size)[live][:, None])
+                a[ahead] = a[ahead] / now[:, None]
+            i, j = self.steps[place:place + 2] if place + 1 < len(self.steps) else (0, 0)
             if j > i:   # the targets of one step are distinct
                 a[self.target[i:j]] += a[self.source[i:j]] * weight[self.piece[i:j]]
-        return a
-
-    def backward(self, weight: np.ndarray) -> np.ndarray:
-        """Summed weight of all segmentations from each node; one language."""
-        b = np.zeros(self.nodes)
-        b[self.node + self.size] = 1.0
+        return a, norm
+
+    def expected(self, weight: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """How often each piece is used, over all segmentations by their share,
+        where the words are seen so many times; one language."""
+        a, norm = (x[:, 0] for x in self.forward(weight[:, None]))
+        arc = weight[self.piece]
+        arc[self.crossing] /= norm[self.scale]
+        end, b = self.node + self.size, np.zeros(self.nodes)
+        b[end] = 1 / a[end]                                     # sums from each node to the end, over the whole sum
         for i, j in zip(self.steps[-2::-1], self.steps[:0:-1]):
             if j > i:
-                b += np.bincount(self.source[i:j], b[self.target[i:j]] * weight[self.piece[i:j]], self.nodes)
-        return b
+                np.add.at(b, self.source[i:j], b[self.target[i:j]] * arc[i:j])
+        return np.bincount(self.piece, a[self.source] * arc * b[self.target] * np.repeat(seen, self.size + 1)[self.source], len(weight))
 
     def log_likelihood(self, weight: np.ndarray) -> np.ndarray:
         """Per word and language, with weights scaled by ``PER_BYTE``."""
-        total = np.log(self.forward(weight)[self.node + self.size]) + self.size[:, None] * math.log(PER_BYTE)
-        return np.add.reduceat(total, sections(self.parts)[:-1], axis=0) if len(total) else total
+        a, norm = self.forward(weight)
+        total = np.log(a[self.node + self.size]) + self.size[:, None] * math.log(PER_BYTE)
+        return total + np.add.reduceat(np.log(norm), self.spans[:-1], axis=0) if len(total) else total
 
 
 def scaled(probability: np.ndarray, path: str) -> np.ndarray:
-    return probability * (1 / PER_BYTE) ** _trie(path)[2][:, None]
+    return probability * (1 / PER_BYTE) ** _lengths(path)[:, None]
 
 
 def _words(block: Block) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -191,7 +228,7 @@ def fit(labelled: DataFrame, label: str, text: str, row_key: Column, sample_per_
     share = F.create_map(*[F.lit(x) for k in names for x in (k, min(1.0, sample_per_label / sizes[k]))])
     draw = F.pmod(F.xxhash64(row_key), F.lit(1_000_003)) / 1_000_003.0
     counts = kept(word_counts(rows.filter(draw < share[F.col(label)]), label, text), "langid-words")
-    size = len(_trie(path)[2])
+    size = len(_lengths(path))
     probability = np.full((size, len(names)), 1.0 / size)
     schema = pa.schema([("label", pa.string()), ("piece", pa.int32()), ("n", pa.float64())])
     for _ in range(rounds):
@@ -203,19 +240,12 @@ def fit(labelled: DataFrame, label: str, text: str, row_key: Column, sample_per_
             words = batch.column(1).cast(pa.large_binary())
             for k, name in enumerate(names):
                 rows = np.flatnonzero(labels == name)
-                for i in range(0, len(rows), 100_000):
-                    some = rows[i:i + 100_000]
-                    lattice = Lattice(words.take(pa.array(some)), path)
-                    w = weight[:, k]
-                    a, b = lattice.forward(w[:, None])[:, 0], lattice.backward(w)
-                    whole = a[lattice.node + lattice.size]
-                    scale = np.zeros(lattice.nodes)      # times the word is seen, over its weight, at all its nodes
-                    part = np.repeat(np.arange(len(lattice.word)), lattice.size + 1)
-                    scale[:] = (n[some][lattice.word] / whole)[part]
-                    share = a[lattice.source] * w[lattice.piece] * b[lattice.target] * scale[lattice.source]
-                    seen = np.bincount(lattice.piece, share, size)
-                    hit = np.flatnonzero(seen)
-                    yield [pa.array([name] * len(hit), pa.string()), hit.astype(np.int32), seen[hit]]
+                some = words.take(pa.array(rows))
+                part = bytes_of(some)[0][:-1] // FIT_BYTES
+                seen = sum((Lattice(some.take(pa.array(at)), path).expected(weight[:, k], n[rows[at]])
+                            for at in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(part)) + 1)), np.zeros(size))
+                hit = np.flatnonzero(seen)
+                yield [pa.array([name] * len(hit), pa.string()), hit.astype(np.int32), seen[hit]]
 
         got = (counts.mapInArrow(map_batches(schema, expected), "label string, piece int, n double")
                .groupBy("label", "piece").agg(F.sum("n").alias("n")).toPandas())

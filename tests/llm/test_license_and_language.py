@@ -1,3 +1,4 @@
+import math
 import re
 import zlib
 
@@ -46,38 +47,46 @@ def test_scan_of_odd_documents(odd_documents, no_documents):
     assert license_scan.scan_licenses(no_documents).collect() == []
 
 
-def plain_sum(word, weights, path):
-    """Sum over all segmentations of one stretch, by plain recursion on prefixes."""
-    follow, piece_at, _ = language_id._trie(path)
-    total = [1.0] + [0.0] * len(word)
-    for i in range(len(word)):
-        node = 0
-        for j in range(i, len(word)):
-            node = follow[node, word[j]]
-            if not node:
-                break
-            if piece_at[node] >= 0:
-                total[j + 1] += total[i] * weights[piece_at[node]]
-    return total
+def plain_sums(word, weights, pieces):
+    """Logarithms of the sums over all segmentations up to each place and from
+    each place, by plain recursion over the whole word."""
+    def pass_over(text, known):
+        total = [0.0] + [-math.inf] * len(text)
+        for j in range(1, len(text) + 1):
+            ways = [total[i] + math.log(weights[known[text[i:j]]]) for i in range(max(0, j - 40), j) if text[i:j] in known]
+            top = max(ways)
+            total[j] = top + math.log(math.fsum(math.exp(w - top) for w in ways))
+        return total
+    return pass_over(word, pieces), pass_over(word[::-1], {k[::-1]: v for k, v in pieces.items()})[::-1]
 
 
-def test_forward_and_backward():
+def test_sums_over_all_segmentations_of_words_of_any_length():
     path = language_id.vocabulary_path()
+    pieces = {}
+    for i, piece in language_id._pieces(path):
+        pieces.setdefault(piece, i)
     rng = np.random.default_rng(0)
-    weights = rng.random((len(language_id._trie(path)[2]), 2)) * 3
-    words = [b"hello", b"the", "señor".encode(), b"x", b"a" * 75, "漢字".encode()]
+    probability = rng.random((len(language_id._lengths(path)), 2)) ** 4 / 5000 + 1e-9
+    weights = language_id.scaled(probability, path)
+    words = [b"hello", b"the", "señor".encode(), b"x", b"a" * 75, "漢字".encode(), b"b" * 31, b"c" * 32, b"d" * 63, b"e" * 64,
+             "достопримечательностями".encode() * 2, "東京都渋谷区。".encode() * 60, b"internationalisation" * 9]
     lattice = language_id.Lattice(pa.array(words, pa.large_binary()), path)
     got = lattice.log_likelihood(weights)
-    back = lattice.backward(weights[:, 0])
+    seen = np.arange(1.0, len(words) + 1)
+    want = np.zeros(len(probability))
     for k, w in enumerate(words):
         spaced = b" " + w
-        want = np.zeros(2)
-        for i in range(0, len(spaced), language_id.STRETCH):
-            part = spaced[i:i + language_id.STRETCH]
-            want += [np.log(plain_sum(part, weights[:, lang], path)[-1]) + len(part) * np.log(language_id.PER_BYTE) for lang in range(2)]
-        assert np.allclose(got[k], want)
-    forward = lattice.forward(weights[:, :1])[lattice.node + lattice.size, 0]
-    assert np.allclose(back[lattice.node], forward)
+        for lang in range(2):
+            up, down = plain_sums(spaced, probability[:, lang], pieces)
+            assert np.isclose(got[k, lang], up[-1], rtol=1e-9) and np.isclose(up[-1], down[0])
+            if lang == 0:
+                for i in range(len(spaced)):
+                    for j in range(i + 1, min(len(spaced), i + 40) + 1):
+                        if spaced[i:j] in pieces:
+                            piece = pieces[spaced[i:j]]
+                            want[piece] += seen[k] * math.exp(up[i] + math.log(probability[piece, 0]) + down[j] - up[-1])
+    assert np.allclose(lattice.expected(weights[:, 0], seen), want)
+    assert language_id.Lattice(pa.array([], pa.large_binary()), path).log_likelihood(weights).shape == (0, 2)
 
 
 def test_held_out_accuracy(spark):
