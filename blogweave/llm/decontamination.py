@@ -14,7 +14,8 @@ whose values contradict each other.
 Windows of fewer literals (one at least) count where no other window matches
 at that distance: if all their tokens are the same, values too, or, for an item
 that has no other windows and ``WHOLE`` literals, if all of them match and the
-slots agree.
+slots agree.  Windows of placeholders only ("Goethe Schiller 1805") count from
+``WHOLE`` tokens on, by their values alone.
 
 The benchmark's windows reach the tasks as a bitmap of a fixed size, whatever
 their number; windows that hit it are joined exactly.
@@ -89,7 +90,7 @@ class Canonical:
         self.value = mix(word + self.slot.astype(np.uint64))
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, hashes and kinds of the windows that have literals."""
+        """Starts, hashes and kinds of the windows; those without literals have no template."""
         hashes = windows(self.code, size)
         start = np.arange(len(hashes))
         literal = np.zeros(len(self.slot) + 1, np.int64)
@@ -97,9 +98,10 @@ class Canonical:
         inside, literals = start + size <= self.first[self.row[:len(hashes)] + 1], literal[start + size] - literal[start]
         ok = inside & (literals >= min(LITERALS, size))
         few = inside & ~ok & (literals > 0)
-        return (np.concatenate([start[ok], start[few], start[few]]),
-                np.concatenate([hashes[ok], windows(self.value, size)[few], hashes[few]]),
-                np.repeat(np.array([ENOUGH, SAME, TEMPLATE]), [ok.sum(), few.sum(), few.sum()]))
+        same = few | inside & (literals == 0) & (size >= WHOLE)
+        return (np.concatenate([start[ok], start[same], start[few]]),
+                np.concatenate([hashes[ok], windows(self.value, size)[same], hashes[few]]),
+                np.repeat(np.array([ENOUGH, SAME, TEMPLATE]), [ok.sum(), same.sum(), few.sum()]))
 
     def slots(self, start: int, size: int) -> list[str]:
         """The window's slot values, each with its place and type."""

@@ -23,6 +23,7 @@ Candidates are verified by a banded alignment.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -39,6 +40,7 @@ K, LEAST, TABLES, SIMILARITY = 5, 3, 16, 0.8
 LEADERS, MORE_LEADERS = 3, 32
 CELL_BITS = 20           # k-mers are counted by so many bits: 1 M counts, whatever the number of texts
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_WHITE = b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
 def kmers(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -163,19 +165,24 @@ def ordered_similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
 
 
 def sketch_table(docs: DataFrame, key: str, text: str, tables: int) -> DataFrame:
-    """id, node (the sequence's name), n (its k-mers), sketches."""
-    schema = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """id, node (the sequence's name; of a text without words, a name of its
+    characters other than white space), n (its k-mers), sketches, and a hash of
+    the text as it is."""
+    schema = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("raw", pa.int64())])
 
     def work(batch):
         ids = batch.column(0)
         for block in blocks(string_column(batch, text)):
             values, at = kmers(block)
+            nodes = _nodes(values, at)
+            for r in np.flatnonzero(np.diff(at) == 0):
+                nodes[r] = hashlib.md5(block.data[block.offsets[r]:block.offsets[r + 1]].tobytes().translate(None, _WHITE)).digest()
             keys = sketches(values, at, tables).view(np.int64)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, tables, dtype=np.int32)), pa.array(keys.reshape(-1)))
-            yield [ids[block.rows.start:block.rows.stop], pa.array(_nodes(values, at), pa.binary()), np.diff(at), flat]
+            yield [ids[block.rows], pa.array(nodes, pa.binary()), np.diff(at), flat, batch.column(2)[block.rows]]
 
-    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(
-        map_batches(schema, work), "id long, node binary, n long, keys array<long>")
+    return docs.select(F.col(key).cast("long").alias("id"), text, F.xxhash64(text).alias("raw")).mapInArrow(
+        map_batches(schema, work), "id long, node binary, n long, keys array<long>, raw long")
 
 
 def sequences(docs: DataFrame, text: str, wanted: np.ndarray) -> DataFrame:
@@ -305,17 +312,8 @@ def _linked(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return kept((components(edges) if roots is None else joined(roots, edges)).select(F.col("node").alias("of"), "root"), "omh-components")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                    tables: int = TABLES) -> DataFrame:
-    """One row per row of ``docs``: key, class_id (the smallest key among all
-    documents linked with it, directly or not) and copy_of (the smallest key
-    among documents of the same words).
-
-    Texts without words, null ones too, have the same (empty) sequence and are
-    copies of each other.  A row without a key has null classes and links
-    nothing; rows that share a key and differ in text are looked at each.
-    Other columns are ignored; an empty table gives no rows.
-    """
+def _classified(docs: DataFrame, key: str, text: str, similarity: float, tables: int) -> DataFrame:
+    """Per row of ``docs``: id, raw (a hash of its text), node, copy_of, class_id and root (a node that stands for the class)."""
     sketched = kept(sketch_table(docs, key, text, tables), "omh-sketches")
     # all rows of a node have the same sketches
     classes = kept(sketched.filter("id IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.first("keys").alias("keys")),
@@ -360,19 +358,40 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         if new.limit(1).count():
             roots = _linked(roots, new)
     grouped = classes.select("node", "rep")
-    if roots is None:
-        named = grouped.select("node", F.col("rep").alias("copy_of"), F.col("rep").alias("class_id"))
-    else:
-        linked = grouped.join(roots, grouped.node == roots.of, "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
-        least = linked.groupBy("root").agg(F.min("rep").alias("class_id"))
-        named = linked.join(least, "root").select("node", F.col("rep").alias("copy_of"), "class_id")
-    out = sketched.select("id", "node").join(named, "node", "left")
+    linked = (grouped.withColumn("root", F.col("node")) if roots is None else
+              grouped.join(roots, grouped.node == roots.of, "left").select("node", "rep", F.coalesce("root", "node").alias("root")))
+    least = linked.groupBy("root").agg(F.min("rep").alias("class_id"))
+    named = linked.join(least, "root").select("node", F.col("rep").alias("copy_of"), "class_id", "root")
+    return sketched.select("id", "raw", "node").join(named, "node", "left")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                    tables: int = TABLES) -> DataFrame:
+    """One row per row of ``docs``: key, class_id (the smallest key among all
+    documents linked with it, directly or not) and copy_of (the smallest key
+    among documents of the same words).
+
+    Texts without words are copies of each other if they are equal without
+    their white space (null: empty).  A row without a key has null classes and
+    links nothing; rows that share a key and differ in text are looked at each.
+    Other columns are ignored; an empty table gives no rows.
+    """
+    out = _classified(docs, key, text, similarity, tables)
     blank = F.col("id").isNull()
     return out.select(F.col("id").alias(key), F.when(~blank, F.col("class_id")).alias("class_id"), F.when(~blank, F.col("copy_of")).alias("copy_of"))
 
 
-def keep_one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """One row of each class (that of the smallest key), with all its columns;
-    rows without a key stay."""
-    first = near_duplicates(docs, key, **options).filter(F.col("class_id") == F.col(key)).select(key).distinct()
-    return docs.join(first, key, "left_semi").dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull())).select(*docs.columns)
+def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                     tables: int = TABLES) -> DataFrame:
+    """One row of each class, with all its columns: that of the smallest key
+    and, where rows share it, of one of their texts.  Rows that share a key but
+    belong to different classes stay, as do rows without a key."""
+    first = (_classified(docs, key, text, similarity, tables).filter(F.col("class_id") == F.col("id"))
+             .groupBy("root").agg(F.min(F.struct("id", "node", "raw")).alias("one")).select("one.id", "one.raw"))
+    first = kept(first, "omh-first")
+    named = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(docs.columns)})         # apart from the names that are added
+    own, words = (f"c{docs.columns.index(c)}" for c in (key, text))
+    raw = F.xxhash64(words)
+    left = named.join(first, (F.col(own).cast("long") == F.col("id")) & (raw == F.col("raw")), "left_semi").withColumn("raw", raw)
+    return (left.dropDuplicates([own, "raw"]).drop("raw").unionByName(named.filter(F.col(own).isNull()))
+            .withColumnsRenamed({f"c{i}": c for i, c in enumerate(docs.columns)}))

@@ -42,7 +42,7 @@ def brute(rows):
     seqs = {}
     for k, t in rows:
         if k is not None:
-            seqs.setdefault(tuple(shingles(t)), []).append(k)
+            seqs.setdefault(tuple(shingles(t)) or ("", "".join((t or "").split())), []).append(k)
     names = list(seqs)
     root = {s: s for s in names}
 
@@ -170,6 +170,18 @@ def test_one_of_each_stays(odd_documents):
     assert left.filter("doc_id IS NULL").count() == 1
 
 
+def test_rows_that_share_a_key_lose_no_text(spark):
+    x, y = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30))
+    for rows, want in (([(3, x), (5, x), (5, y)], [(3, x), (5, y)]), ([(5, y), (5, x), (3, x), (3, x)], [(3, x), (5, y)]),
+                       ([(7, x), (7, y)], [(7, y), (7, x)]), ([(7, x), (7, x + "!"), (9, x)], None), ([(1, "!!!"), (2, "--"), (3, "! !!"), (4, None), (5, " ")],
+                                                                                                    [(1, "!!!"), (2, "--"), (4, None)])):
+        df = spark.createDataFrame([(k, t, 1, 2) for k, t in rows], "doc_id long, text string, id int, raw int")
+        left = order_minhash.keep_one_of_each(df)
+        assert left.columns == df.columns
+        got = sorted((r.doc_id, r.text) for r in left.collect())
+        assert (got if want else [k for k, _ in got]) == (want or [7])
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5001 + i) for i in range(200)]
