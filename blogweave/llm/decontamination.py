@@ -11,11 +11,12 @@ same value of the document, and the other way round.  That finds questions
 whose numbers, names or units were exchanged, and leaves out chance matches
 whose values contradict each other.
 
-Windows of fewer literals (one at least) count where no other window matches
-at that distance: if all their tokens are the same, values too, or, for an item
-that has no other windows and ``WHOLE`` literals, if all of them match and the
-slots agree.  Windows of placeholders only ("Goethe Schiller 1805") count from
-``WHOLE`` tokens on, by their values alone.
+Where no such window matches at a distance, two others count: one whose words
+are all the same, whatever their types (a name that begins a sentence is no
+placeholder, and a window of names and numbers only has no template); and, for
+an item that has no window of enough literals but ``WHOLE`` of them in all, its
+windows of fewer, if all of them match and the slots agree.  Of fewer than
+``WHOLE`` tokens, only windows with a literal count.
 
 The benchmark's windows reach the tasks as a bitmap of a fixed size, whatever
 their number; windows that hit it are joined exactly.
@@ -34,7 +35,7 @@ from .store import kept
 from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, mix, span_hashes, spans, string_column, windows
 
 WINDOW, LITERALS, WHOLE = 8, 5, 3
-# Kinds of windows: enough literals; fewer, by all values; fewer, by template.
+# Kinds of windows: enough literals; by all words; fewer literals, by template.
 ENOUGH, SAME, TEMPLATE = 0, 1, 2
 
 # Words that are numbers, and words that are units when a number stands before them.
@@ -87,7 +88,7 @@ class Canonical:
             at, back, begin = at[go], back[go] - 1, begin[go]
         self.slot = number * 1 + name * 2 + unit * 3
         self.code = np.where(number, NUM, np.where(name, NAME, np.where(unit, UNIT, word)))
-        self.value = mix(word + self.slot.astype(np.uint64))
+        self.value = word
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, hashes and kinds of the windows; those without literals have no template."""
@@ -98,9 +99,9 @@ class Canonical:
         inside, literals = start + size <= self.first[self.row[:len(hashes)] + 1], literal[start + size] - literal[start]
         ok = inside & (literals >= min(LITERALS, size))
         few = inside & ~ok & (literals > 0)
-        same = few | inside & (literals == 0) & (size >= WHOLE)
+        same = inside & ((literals > 0) | (size >= WHOLE))
         return (np.concatenate([start[ok], start[same], start[few]]),
-                np.concatenate([hashes[ok], windows(self.value, size)[same], hashes[few]]),
+                np.concatenate([hashes[ok], mix(windows(self.value, size)[same]), hashes[few]]),
                 np.repeat(np.array([ENOUGH, SAME, TEMPLATE]), [ok.sum(), same.sum(), few.sum()]))
 
     def slots(self, start: int, size: int) -> list[str]:

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -66,31 +67,51 @@ def canonical(text):
     return out
 
 
-def brute(docs, items, w=8, literals=5):
-    out = {}
-    windows = {}
+def brute(docs, items, w=8, literals=5, whole=3):
+    def count(tokens):
+        return sum(not x.startswith("<") for x, _ in tokens)
+
+    out, windows, words = {}, {}, {}
     for j, t in items:
         c = canonical(t)
         size = min(w, len(c))
-        for i in range(len(c) - size + 1) if c and j is not None else ():
-            windows.setdefault(tuple(k for k, _ in c[i:i + size]), []).append((j, i, c[i:i + size]))
+        own = [c[i:i + size] for i in range(len(c) - size + 1)] if c and j is not None else []
+        enough = [count(x) >= min(literals, size) for x in own]
+        template = count(c) >= whole and not any(enough)
+        need = sum(count(x) > 0 for x in own) if template else 0
+        for i, x in enumerate(own):
+            windows.setdefault(tuple(k for k, _ in x), []).append((j, i, x, enough[i], need))
+            if count(x) or size >= whole:
+                words.setdefault(tuple(v for _, v in x), []).append((j, i))
     for k, t in docs:
         c = canonical(t)
         found = {}
         for size in range(1, w + 1):
-            for i in range(len(c) - size + 1):
-                key = tuple(x for x, _ in c[i:i + size])
-                if sum(not x.startswith("<") for x in key) < min(literals, size) or k is None:
-                    continue
-                for j, at, theirs in windows.get(key, ()):
-                    found.setdefault((j, i - at), []).append((i, [(a, b, x) for (x, a), (_, b) in zip(theirs, c[i:i + size]) if x.startswith("<")]))
-        for (j, _), hits in found.items():
-            pairs = {((x, a), (x, b)) for _, s in hits for a, b, x in s}
-            agree = len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
-            if agree or any(not s for _, s in hits):
+            for i in range(len(c) - size + 1) if k is not None else ():
+                ours = c[i:i + size]
+                for j, at in words.get(tuple(v for _, v in ours), ()) if count(ours) or size >= whole else ():
+                    found.setdefault((j, i - at), ([], [], [], [0]))[1].append((i, []))
+                for j, at, theirs, enough, need in windows.get(tuple(x for x, _ in ours), ()):
+                    slots = [((x, a), (x, b)) for (x, a), (_, b) in zip(theirs, ours) if x.startswith("<")]
+                    many, _, template, needed = found.setdefault((j, i - at), ([], [], [], [0]))
+                    needed[0] = need
+                    if enough:
+                        many.append((i, slots))
+                    elif need and count(ours):
+                        template.append((i, slots))
+        for (j, _), (many, same, template, need) in found.items():
+            def agree(hits):
+                pairs = {p for _, s in hits for p in s}
+                return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+            if many:
+                hits = many if agree(many) or any(not s for _, s in many) else []
+            else:
+                hits = template if need[0] and len(template) >= need[0] and agree(template) else same
+            if hits:
                 n, first, exact = out.get((k, j), (0, 1 << 62, False))
                 places = {i for i, _ in hits}
-                out[k, j] = (n + len(places), min(first, min(places)), exact or all(a == b for a, b in pairs))
+                out[k, j] = (n + len(places), min(first, min(places)), exact or all(a == b for _, s in hits for a, b in s))
     return sorted((k, j, *v) for (k, j), v in out.items())
 
 
@@ -148,6 +169,24 @@ def test_items_of_few_literals(spark):
     assert found == {**{(i, i): True for i in range(5)}, **{(5 + i, i): False for i in range(5)}, (11, 4): True}
 
 
+def test_items_of_any_number_of_literals_equal_plain_search(spark):
+    """Questions made of few words, so that windows of 0 to 8 literals occur, among texts that hold them as they are, changed or in part."""
+    rng = random.Random(8)
+    words = ["what", "is", "of", "the", "Goethe", "Schiller", "1805", "five", "six", "7", "km", "Paris", "was", "born"]
+    items = ["Goethe Schiller 1805", "five six seven", "7", "five six", "the Goethe"]
+    items += [" ".join(rng.choice(words) for _ in range(rng.randint(1, 12))) for _ in range(60)]
+    change = {"Goethe": "Kant", "1805": "1724", "five": "nine", "Paris": "Rome"}
+    texts = ["it says Goethe Schiller 1805 there", "count: five six seven eight", "five six nine"]
+    for t in items * 3:
+        own = t.split()[rng.choice([0, 0, 0, 1]):]
+        texts.append("so it was " + " ".join(change.get(x, x) if rng.random() < 0.3 else x for x in own) + rng.choice([" .", " and so on", ""]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = brute(list(enumerate(texts)), list(enumerate(items)))
+    assert {(0, 0), (1, 1)} <= {x[:2] for x in want} and (2, 1) not in {x[:2] for x in want}
+    assert got(decontamination.find_leaks(docs, bench)) == want
+
+
 def test_the_surest_of_all_rows_are_handed_over(spark):
     """By plain sorting, ties to the smaller row."""
     rng = np.random.default_rng(5)
