@@ -7,8 +7,9 @@ smallest angle.  Each of ``tables`` hash tables has pseudo-random rotations
 bucket is the signed axis nearest to it, or the tuple of ``k`` such axes.  A
 query probes each table's buckets in the order of how little it would have to
 move, as far as a bounded sample of queries, searched exactly, shows to be
-needed for ``recall``.  Candidates are scored exactly, in blocks of a bucket,
-and the best of all blocks merged.  Equal vectors are searched once, as a class.
+needed for ``recall``; where probes are not enough, all vectors are one bucket.
+Candidates are scored exactly, in blocks of a bucket, and the best of all
+blocks merged.  Equal vectors are searched once, as a class.
 """
 
 from __future__ import annotations
@@ -100,11 +101,19 @@ def _matrix(column: pa.Array, kind: str) -> np.ndarray:
 def best_of(queries: np.ndarray, base: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and exact scores of each query's n best (ties: smaller id)."""
     rough = queries @ base.T
-    keep = min(len(ids), n + 4)
-    near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep] if keep < len(ids) else np.tile(np.arange(len(ids)), (len(queries), 1))
-    exact = np.stack([(base[row] * q).sum(axis=1) for q, row in zip(queries, near)]) if len(queries) else np.zeros((0, keep))
-    order = np.lexsort((ids[near], -exact), axis=1)[:, :n]
-    return ids[np.take_along_axis(near, order, 1)], np.take_along_axis(exact, order, 1)
+    few = min(len(ids), n)
+    out, scores = np.zeros((len(queries), few), np.int64), np.zeros((len(queries), few))
+    if not few:
+        return out, scores
+    # whatever rounding can hide among the n best, ties too, is scored exactly
+    error = 4 * (base.shape[1] + 2) * np.finfo(float).eps * np.linalg.norm(queries, axis=1) * np.linalg.norm(base, axis=1).max()
+    cut = np.partition(rough, len(ids) - few, axis=1)[:, len(ids) - few] - error
+    for i, q in enumerate(queries):
+        near = np.flatnonzero(rough[i] >= cut[i])
+        exact = (base[near] * q).sum(axis=1)
+        order = np.lexsort((ids[near], -exact))[:few]
+        out[i], scores[i] = ids[near[order]], exact[order]
+    return out, scores
 
 
 _BEST = "qid long, ids array<long>, scores array<double>"
@@ -137,9 +146,13 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
 
     ``is_query`` takes the id column and gives a condition.  Vectors that are
     null, zero or hold null or non-finite components take no part, nor do rows
-    without an id; a row that repeats another's id and vector counts once.
-    All vectors need the same number of components (a mixture is an error).
-    An empty table gives no rows.
+    without an id, nor vectors of another number of components than most have
+    (ties: the smaller number).  A row that repeats another's id and vector
+    counts once.  An empty table gives no rows.
+
+    Queries whose probes find fewer than n classes, and all of them where
+    ``MOST_PROBES`` do not reach ``recall`` on the sample, are searched exactly:
+    against all vectors, block by block.
     """
     spark = vectors.sparkSession
     empty = "query_id long, rank int, vec_id long, score double"
@@ -149,14 +162,14 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
     classes = kept(rows.groupBy("h", "v").agg(F.min("id").alias("cid"), F.max(is_query(F.col("id")).cast("int")).alias("asks"),
                                               F.count("*").alias("members")), "ann-classes")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    facts = classes.agg(F.count("*"), F.max(norm), F.min(F.size("v")), F.max(F.size("v"))).first()
-    if not facts[0]:
+    facts = (classes.groupBy(F.size("v").alias("dims")).agg(F.sum("members").alias("members"), F.count("*").alias("classes"), F.max(norm).alias("norm"))
+             .orderBy(F.col("members").desc(), "dims").first())
+    if facts is None:
         return spark.createDataFrame([], empty)
-    if facts[2] != facts[3]:
-        raise ValueError(f"vectors of {facts[2]} to {facts[3]} components")
-    dims = facts[2]
-    k = max(1, round(math.log(max(facts[0], 1000) / 1000) / math.log(4 * dims)))
-    hashes = Hashes(dims, facts[1], tables, k)
+    dims = facts.dims
+    classes = classes.filter(F.size("v") == dims)
+    k = max(1, round(math.log(max(facts.classes, 1000) / 1000) / math.log(4 * dims)))
+    hashes = Hashes(dims, facts.norm, tables, k)
     more = n + 1                                         # a query's own row is among its class's best
 
     def packed(df: DataFrame) -> DataFrame:
@@ -190,8 +203,9 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
     for r, own in zip(truth, near):
         if r.qid != r.id:
             same = order[place[r.qid]] == own[:, None]
-            needed.append(np.where(same.any(axis=1), same.argmax(axis=1) + 1, order.shape[2]).min())
+            needed.append(np.where(same.any(axis=1), same.argmax(axis=1) + 1, order.shape[2] + 1).min())
     probes = int(np.quantile(needed, recall, method="higher")) if needed else 1
+    reached = probes <= order.shape[2]
 
     def bucketed(batches):
         for b in batches:
@@ -217,9 +231,8 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
              .join(theirs.groupBy("t", "bucket").agg(F.count("*").alias("n_ask")), ["t", "bucket"])
              .select("t", "bucket", F.ceil(F.col("n_base") / BASE_BLOCK).cast("int").alias("bs"),
                      F.ceil(F.col("n_ask") / QUERY_BLOCK).cast("int").alias("qs")))
-    sizes = kept(sizes, "ann-blocks")
 
-    def dealt(df: DataFrame, mine: str, other: str, side: int) -> DataFrame:
+    def dealt(df: DataFrame, sizes: DataFrame, mine: str, other: str, side: int) -> DataFrame:
         block = F.pmod(F.xxhash64("id"), F.col(mine)).cast("int")
         wide = df.join(sizes, ["t", "bucket"]).select("t", "bucket", "id", "raw", block.alias(mine),
                                                       F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
@@ -233,9 +246,22 @@ def nearest(vectors: DataFrame, is_query, n: int = 20, key: str = "vec_id", vect
         found, scores = best_of(_matrix(raw.take(pa.array(q)), kind), _matrix(raw.take(pa.array(a)), kind), ids[a], more)
         return _best_table(ids[q], found, scores)
 
-    parts = (dealt(own, "bs", "qs", 0).unionByName(dealt(theirs, "qs", "bs", 1))
-             .groupBy("t", "bucket", "bs", "qs").applyInArrow(search, _BEST))
-    best = _merged(parts, more)
+    def searched(own: DataFrame, theirs: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
+        parts = (dealt(own, sizes, "bs", "qs", 0).unionByName(dealt(theirs, sizes, "qs", "bs", 1))
+                 .groupBy("t", "bucket", "bs", "qs").applyInArrow(search, _BEST))
+        return kept(_merged(parts, more), name)
+
+    rest, best = ask, None
+    if reached:
+        best = searched(own, theirs, kept(sizes, "ann-blocks"), "ann-best")
+        full = best.groupBy("qid").agg(F.count("*").alias("found")).filter(F.col("found") >= min(more, facts.classes))
+        rest = kept(ask.join(full, F.col("cid") == F.col("qid"), "left_anti"), "ann-rest")
+    left = rest.count()
+    if left:                                             # one bucket of all vectors, in blocks like any other
+        one = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("bucket")]
+        blocks = spark.createDataFrame([(-1, 0, -(-facts.classes // BASE_BLOCK), -(-left // QUERY_BLOCK))], "t int, bucket long, bs int, qs int")
+        exactly = searched(base.select(F.col("cid").alias("id"), "raw", *one), rest.select(F.col("cid").alias("id"), "raw", *one), blocks, "ann-exact")
+        best = exactly if best is None else best.join(rest.select(F.col("cid").alias("qid")), "qid", "left_anti").unionByName(exactly)
 
     # Classes back to rows: the n + 1 first of each class are enough, as equal scores go by id.
     members = (rows.filter(F.col("h").isNotNull()).join(classes.select("h", "v", "cid"), ["h", "v"])

@@ -94,3 +94,30 @@ def test_key_is_any_condition(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "vec_id long, embedding array<float>")
     got = cross_polytope.nearest(df, lambda k: F.coalesce(k == 9, F.lit(False)), n=3, recall=1.0).orderBy("rank").collect()
     assert [r.vec_id for r in got] == [8, 7, 6]
+
+
+def test_all_ties_reach_the_exact_ranking():
+    rng = np.random.default_rng(6)
+    base = np.tile(rng.normal(size=6), (400, 1)) * np.where(np.arange(400) % 2, 1.0, 1.0 + 1e-17)[:, None]
+    ids, scores = cross_polytope.best_of(rng.normal(size=(3, 6)), base, np.arange(400)[::-1].copy(), 21)
+    assert (ids == np.arange(21)).all() and (scores == scores[:, :1]).all()
+    ids, scores = cross_polytope.best_of(np.ones((2, 3)), np.ones((4, 3)), np.array([9, 3, 5, 1]), 21)
+    assert ids.tolist() == [[1, 3, 5, 9]] * 2
+
+
+@pytest.mark.parametrize("probes", [cross_polytope.MOST_PROBES, 1])
+def test_one_long_vector_and_too_few_probes(spark, monkeypatch, probes):
+    """One norm puts all other vectors into few buckets; then every query still has its 20, exact where probes do not do."""
+    monkeypatch.setattr(cross_polytope, "MOST_PROBES", probes)
+    monkeypatch.setattr(cross_polytope, "BASE_BLOCK", 256)
+    monkeypatch.setattr(cross_polytope, "QUERY_BLOCK", 32)
+    rng = np.random.default_rng(7)
+    rows = [(i, (rng.normal(size=8) * (1e4 if i == 17 else 1)).tolist()) for i in range(1000)]
+    df = spark.createDataFrame(rows + [(2000, [1.0, 2.0]), (2001, [3.0])], "vec_id long, embedding array<double>")
+    want = brute(rows, 20, lambda k: k % 20 == 0)
+    got = {}
+    for r in cross_polytope.search_embeddings(df).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == set(want) and all(len(near) == 20 for near in got.values())
+    hits = sum(len(set(got[q]) & {j for j, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 20 * len(want) and (probes > 1 or hits == 20 * len(want))
