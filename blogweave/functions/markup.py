@@ -35,6 +35,8 @@ _SELF_CLOSED = r"""^<[A-Za-z][^\s/>]*/>$|[\s"']/>$"""
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 _RAW = ("script", "style")
 
+# Up to so many outer elements are looked through one by one, which is cheaper than sorting.
+FEW = 16
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -59,8 +61,7 @@ def powers(ok: Callable[[Column], Column]) -> Column:
 def scan(values: Column, op: Callable[[Column, Column], Column]) -> Column:
     """Prefix combination of an array by an associative ``op``, by doubling."""
     def once(acc: Column, p: Column) -> Column:
-        shifted = F.concat(F.array_repeat(F.lit(None), p), F.slice(acc, F.lit(1), F.size(acc) - p))
-        return F.zip_with(acc, shifted, lambda x, y: F.when(y.isNull(), x).otherwise(op(y, x)))
+        return F.transform(acc, lambda x, k: F.when(k < p, x).otherwise(op(F.get(acc, k - p), x)))
     return let(values, lambda v: F.aggregate(powers(lambda p: p < F.size(v)), v, once))
 
 
@@ -79,20 +80,34 @@ def attribute_of(tag: Column, name: str) -> Column:
     return F.when(F.contains(tag, F.lit("=")), H.unescape_basic(value)).otherwise(F.lit(""))
 
 
-def elements(of: Column, names: tuple[str, ...] | None = None) -> Column:
+def _tag_name(t: Column) -> Column:
+    name = F.regexp_extract(t, _NAME, 1)
+    return F.when(t.rlike("^</?[a-z0-9]*+[A-Z]"), F.lower(name)).otherwise(name)
+
+
+def elements(of: Column, names: tuple[str, ...] | None = None, marked_too: bool = False) -> Column:
     """The elements of a token array, in document order:
     ``ARRAY<STRUCT<i, end, name, level, tag, cls, id>>``.  ``i`` and ``end``
     are the numbers (from 1) of the open tag and of the end tag, or one more
-    than there are tokens; levels of one name differ as their depths do."""
+    than there are tokens; levels of one name differ as their depths do.
+
+    ``names``: only elements of these names; ``marked_too``: and all others
+    that have a class or an id.  Names of which no tag has an attribute are
+    then passed over, however many tags there are."""
     def tag_of(t: Column, k: Column) -> Column:
-        name = F.regexp_extract(t, _NAME, 1)
-        name = F.when(~F.startswith(t, F.lit("<")), F.lit("")).when(t.rlike("^</?[a-z0-9]*+[A-Z]"), F.lower(name)).otherwise(name)
         closes = F.startswith(t, F.lit("</"))
         sign = F.when(closes, F.lit(-1)).when(F.endswith(t, F.lit("/>")) & t.rlike(_SELF_CLOSED), F.lit(0)).otherwise(F.lit(1))
-        return F.struct(name.alias("name"), (k + 1).alias("i"), sign.alias("sign"))
+        return F.when(F.startswith(t, F.lit("<")), F.struct(_tag_name(t).alias("name"), (k + 1).alias("i"), sign.alias("sign")))
+
+    def wanted(x: Column, also: Column | None) -> Column:
+        known = x["name"].isin(*names) if names else (x["name"] != "") & ~x["name"].isin(*VOID, *_RAW)
+        if also is not None:
+            known = known | F.array_contains(also, x["name"])
+        return known & (x["sign"] != 0)
 
-    def wanted(x: Column) -> Column:
-        return (x["name"].isin(*names) if names else (x["name"] != "") & ~x["name"].isin(*VOID, *_RAW)) & (x["sign"] != 0)
+    def with_attributes(o: Column) -> Column:
+        found = F.array_distinct(F.transform(F.filter(o, lambda t: F.startswith(t, F.lit("<")) & F.contains(t, F.lit("="))), _tag_name))
+        return F.filter(found, lambda n: (n != "") & ~n.isin(*VOID, *_RAW))
 
     # a close has the depth of the open tag it ends; what a name's depth starts from does not matter
     def marked(t: Column, total: Column) -> Column:
@@ -113,10 +128,14 @@ def elements(of: Column, names: tuple[str, ...] | None = None) -> Column:
             tag = F.get(o, x["i"] - 1)
             return F.struct(x["i"].alias("i"), x["end"].alias("end"), x["name"].alias("name"), x["level"].alias("level"), tag.alias("tag"),
                             attribute_of(tag, "class").alias("cls"), F.nullif(attribute_of(tag, "id"), F.lit("")).alias("id"))
-        return F.transform(found, one)
+        every = F.transform(found, one)
+        return F.filter(every, lambda x: (x["cls"] != "") | x["id"].isNotNull() | x["name"].isin(*names)) if marked_too else every
 
     def of_tokens(o: Column) -> Column:
-        tags = F.sort_array(F.filter(F.transform(o, tag_of), wanted))
+        tagged = F.transform(o, tag_of)
+        some = (let(with_attributes(o), lambda also: F.filter(tagged, lambda x: wanted(x, also))) if marked_too
+                else F.filter(tagged, lambda x: wanted(x, None)))
+        tags = F.sort_array(some)
         ordered = let(tags, lambda t: let(scan(F.transform(t, lambda x: x["sign"]), lambda a, b: a + b), lambda total: F.sort_array(marked(t, total))))
         return let(F.size(o), lambda n: attributed(o, let(ordered, lambda s: spans(s, n))))
     return let(of, of_tokens)
@@ -152,7 +171,11 @@ def inside(outer: Column, inner: Column, outside: bool = False) -> Column:
             flagged = F.transform(m, lambda x, k: F.struct(x["k"].alias("k"), ((x["role"] == 0) & (
                 (F.get(ends, k) > x["i"]) if not outside else (F.get(ends, k) <= x["i"]))).alias("ok")))
             return F.transform(F.filter(flagged, lambda x: x["ok"]), lambda x: F.get(n, x["k"]))
-        return let(merged, lambda m: let(running_max(F.transform(m, lambda x: x["end"])), lambda ends: chosen(m, ends)))
+        def within(x: Column) -> Column:
+            hit = F.exists(o, lambda y: (y["i"] < x["i"]) & (y["end"] > x["i"]))
+            return ~hit if outside else hit
+        return F.when(F.size(o) <= FEW, F.filter(n, within)).otherwise(
+            let(merged, lambda m: let(running_max(F.transform(m, lambda x: x["end"])), lambda ends: chosen(m, ends))))
     return let(outer, lambda o: let(inner, lambda n: both(o, n)))
 
 
@@ -176,8 +199,11 @@ def first_inside(boxes: Column, inner: Column) -> Column:
                 y = F.get(m, F.get(last, k) - 1)           # nothing follows: index -1 gives null
                 return F.when((x["role"] == 1) & (y["i"] < x["end"]) & (y["i"] > x["i"]), y["k"])
             return F.transform(F.filter(F.reverse(F.transform(m, follower)), lambda k: k.isNotNull()), lambda k: F.get(n, k))
-        return let(merged, lambda m: let(running_max(F.transform(m, lambda x, k: F.when(x["role"] == 0, k + 1).otherwise(F.lit(0)))),
-                                         lambda last: chosen(m, last)))
+        def looked_for(x: Column) -> Column:
+            return F.get(F.filter(n, lambda y: (y["i"] > x["i"]) & (y["i"] < x["end"])), F.lit(0))
+        return F.when(F.size(b) <= FEW, F.filter(F.transform(b, looked_for), lambda y: y.isNotNull())).otherwise(
+            let(merged, lambda m: let(running_max(F.transform(m, lambda x, k: F.when(x["role"] == 0, k + 1).otherwise(F.lit(0)))),
+                                      lambda last: chosen(m, last))))
     return let(boxes, lambda b: let(inner, lambda n: nearest(b, n)))
 
 
@@ -203,7 +229,9 @@ def all_texts(of: Column, found: Column) -> Column:
 
 def first_text(of: Column, found: Column) -> Column:
     """The first text node within a selection; null without one."""
-    return F.get(F.filter(F.transform(found, lambda e: F.get(texts(of, e), F.lit(0))), lambda t: t.isNotNull()), F.lit(0))
+    def first(e: Column) -> Column:
+        return F.get(F.filter(between(of, e), lambda t: t.rlike(_IS_TEXT)), F.lit(0))
+    return H.unescape_basic(F.get(F.filter(F.transform(found, first), lambda t: t.isNotNull()), F.lit(0)))
 
 
 def attributes(found: Column, pattern: str) -> Column:

@@ -194,7 +194,7 @@ def _parsed(pages: DataFrame, *columns) -> DataFrame:
     and ``_within`` (the elements in them)."""
     page = _page_columns(pages)
     page = M.staged(page.select("page_id", "url", "fetched_at", "html", *columns), "_tokens", M.tokens(F.col("html"))).drop("html")
-    page = M.staged(page, "_elements", M.elements(F.col("_tokens")))
+    page = M.staged(page, "_elements", M.elements(F.col("_tokens"), ("div", "a", "li"), marked_too=True))
     page = M.staged(page, "_posts", M.pick(F.col("_elements"), None, "post"))
     return M.staged(page, "_within", M.inside(F.col("_posts"), F.col("_elements")))
 
