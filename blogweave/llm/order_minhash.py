@@ -229,15 +229,24 @@ def verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame
     return both.mapInArrow(map_batches(schema, work), "a binary, b binary, similarity double")
 
 
-def _candidates(members: DataFrame, leaders: int, similarity: float) -> DataFrame:
-    """Each member (t, key, node, n, met) of a bucket with the bucket's
-    leaders, where their lengths allow the similarity."""
+def _led(members: DataFrame, leaders: int, similarity: float) -> DataFrame:
+    """Per node of the members (t, key, node, n, met): the leaders of its
+    buckets, each once, where their lengths allow the similarity.  A bucket's
+    leaders are one row, so that each member is joined once, whatever their number."""
     most = Window.partitionBy("t", "key").orderBy(F.col("met").desc(), "node")
     led = (members.withColumn("r", F.row_number().over(most)).filter(F.col("r") <= leaders)
-           .select("t", "key", F.col("node").alias("leader"), F.col("n").alias("m")))
-    fits = F.least("n", "m") >= F.lit(similarity - 1e-9) * F.greatest("n", "m")
-    return (members.join(led, ["t", "key"]).filter((F.col("node") != F.col("leader")) & fits)
-            .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
+           .groupBy("t", "key").agg(F.collect_list(F.struct("node", "n")).alias("led")))
+    fits = lambda x: F.least("n", x["n"]) >= F.lit(similarity - 1e-9) * F.greatest("n", x["n"])
+    own = F.filter("led", lambda x: (x["node"] != F.col("node")) & fits(x))
+    names = F.transform(own, lambda x: F.hex(x["node"]))       # arrays of text are made distinct by hashing
+    return (members.join(led, ["t", "key"]).select("node", names.alias("led")).filter(F.size("led") > 0)
+            .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("led"))).alias("led")))
+
+
+def _candidates(members: DataFrame, leaders: int, similarity: float) -> DataFrame:
+    """Each member of a bucket with the bucket's leaders, as pairs (a, b)."""
+    rows = _led(members, leaders, similarity).select("node", F.explode("led").alias("led")).select("node", F.unhex("led").alias("leader"))
+    return rows.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
 def rarity(grams: DataFrame) -> np.ndarray:

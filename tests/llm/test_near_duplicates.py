@@ -199,3 +199,14 @@ def test_components(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     assert {r.node: r.root for r in components(df).collect()} == {x: find(x) for x in list(root)}
     assert components(df.limit(0)).collect() == []
+
+
+def test_a_member_is_joined_once_with_all_leaders(spark):
+    """Sixteen buckets of the same near copies: a row per member and bucket, and each leader once, however many buckets it leads."""
+    rows = [(t, 5, bytes([n]), 100, n) for t in range(16) for n in range(60)] + [(99, 7, b"x", 100, 1), (99, 7, bytes([3]), 10, 9)]
+    members = spark.createDataFrame(rows, "t int, key long, node binary, n long, met long")
+    led = {bytes(r.node): sorted(r.led) for r in order_minhash._led(members, 3, 0.8).collect()}
+    top = ["39", "3A", "3B"]
+    assert led == {bytes([n]): [x for x in top if x != f"{n:02X}"] for n in range(60)}
+    pairs = order_minhash._candidates(members, 3, 0.8)
+    assert {tuple(map(bytes, r)) for r in pairs.collect()} == {tuple(sorted((bytes([n]), bytes([m])))) for n in range(60) for m in (57, 58, 59) if n != m}
