@@ -18,7 +18,7 @@ from blogweave.operators import corpus, exports, extract, favourites, frontier,
 from blogweave.operators import pages as pg
 from blogweave.operators import upsert as ups
 from blogweave.operators.collection import KeyedCollection
-from blogweave.session import configure, materialize, scratch_path
+from blogweave.session import configure, materialize, scratch_path, spread
 from blogweave.sources import json_posts
 from blogweave.sources.dims import fixture_sites, sites_frame
 from blogweave.sources.tables import read_table
@@ -393,7 +393,7 @@ def upsert_stream(spark, sf_dir):
 
 
 def _post_pages(spark, sf_dir, comments):
-    return render.post_pages(posts_view(spark, sf_dir), comments)
+    return spread(render.post_pages(posts_view(spark, sf_dir), comments))
 
 
 def _post_columns(posts: DataFrame) -> DataFrame:
@@ -413,7 +413,7 @@ def extract_posts(spark, sf_dir):
 
 def _stored(pages: DataFrame) -> DataFrame:
     """Rendered pages, written and read like fetched ones, as several files."""
-    return materialize(pages.repartition(pages.sparkSession.sparkContext.defaultParallelism), "pages")[0]
+    return materialize(spread(pages), "pages")[0]
 
 
 def _faulty_pages(spark, sf_dir) -> DataFrame:

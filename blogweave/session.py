@@ -146,6 +146,12 @@ def materialize(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame,
     return spark.read.schema(df.schema).parquet(path), (obs.get if obs else {})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly over the shuffle partitions: rows that take long
+    each should not lie in the few tasks that their bytes would make."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
