@@ -52,9 +52,14 @@ def visible_text(html, keep_comments: bool = True) -> Column:
 
 
 def attribute(tag, pattern: str) -> Column:
-    """The value that one of the pattern's three groups has; null without it."""
-    t = _col(tag)
-    return F.when(t.rlike(pattern), unescape_basic(F.concat(*[F.regexp_extract(t, pattern, i) for i in (1, 2, 3)])))
+    """The value of an attribute's pattern (its three ways of quoting); null without it."""
+    def value(m: Column) -> Column:
+        own = F.ltrim(F.substr(m, F.instr(m, "=") + 1), F.lit(" \t\n\r\x0b\x0c"))
+        quoted = F.startswith(own, F.lit('"')) | F.startswith(own, F.lit("'"))
+        return F.when(m != "", unescape_basic(F.when(quoted, F.substr(own, F.lit(2), F.length(own) - 2)).otherwise(own)))
+
+    # one search; the parts are cut from what it finds
+    return F.get(F.transform(F.array(F.regexp_extract(_col(tag), pattern, 0)), value), F.lit(0))
 
 
 def anchors(html) -> Column:

@@ -49,7 +49,7 @@ def _links(of: Column, found: Column, places: tuple[Place, ...]) -> Column:
             inner = boxes
             for step in place.steps[place.first_of:]:
                 inner = M.inside(inner, M.pick(found, *step))
-            nodes = M.first_inside(boxes, F.filter(inner, lambda e: H.attribute(e["tag"], H.HREF).isNotNull()))
+            nodes = M.first_inside(boxes, F.filter(inner, lambda e: e["tag"].rlike(H.HREF)))
         out.append(_rows(place, M.attributes(nodes, H.HREF)))
     return F.concat(*out)
 
