@@ -7,6 +7,9 @@ Java and RE2 split identically.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,12 +33,20 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(TOKEN), F.lit(0))
 
 
+def long_tokens(text) -> Column:
+    """The tokens of ``space_out(text)`` of ``MIN_TOKEN_LENGTH`` and more: of the
+    characters that become spaces only ``_`` could be part of one."""
+    return F.regexp_extract_all(_col(text), F.lit(rf"[\p{{L}}\p{{N}}]{{{MIN_TOKEN_LENGTH},}}+"), F.lit(0))
+
+
 def normalise_token(tok) -> Column:
     """Lower case and ``ё`` → ``е``."""
-    return F.translate(F.lower(_col(tok)), "ё", "е")
+    return F.replace(F.lower(_col(tok)), F.lit("ё"), F.lit("е"))
 
 
 def bag_item(term, n) -> Column:
     """Escaped term, with ``:n`` unless the count is 1."""
-    escaped = F.translate(_col(term), BAG_ESCAPED, "_" * len(BAG_ESCAPED))
+    term = _col(term)
+    some = reduce(or_, [F.contains(term, F.lit(c)) for c in BAG_ESCAPED])
+    escaped = F.when(some, F.translate(term, BAG_ESCAPED, "_" * len(BAG_ESCAPED))).otherwise(term)
     return F.concat(escaped, F.when(_col(n) == 1, F.lit("")).otherwise(F.concat(F.lit(":"), _col(n).cast("string"))))

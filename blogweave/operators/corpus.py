@@ -19,12 +19,19 @@ from blogweave.functions import urls as U
 
 def _tokens(posts: DataFrame, keep_comments: bool) -> DataFrame:
     """``(post_id, modality, term)``: normalised tokens longer than two
-    characters of each post's visible text, one row each."""
-    text = X.space_out(H.visible_text("content_html", keep_comments))
-    return (posts.select("post_id", F.explode(X.tokens(text)).alias("tok")).where(F.length("tok") >= X.MIN_TOKEN_LENGTH)
+    characters of each post's visible text, one row each.  The texts are dealt
+    out by post, which is less than their words by post would be, and then
+    counting the words needs no shuffle."""
+    texts = posts.select("post_id", "content_html").repartition("post_id")
+    return (texts.select("post_id", F.explode(X.long_tokens(H.visible_text("content_html", keep_comments))).alias("tok"))
             .select("post_id", F.lit("words").alias("modality"), X.normalise_token("tok").alias("term")))
 
 
+def vocabulary(posts: DataFrame) -> DataFrame:
+    """The distinct words (``token``) of all posts."""
+    return _lemmatised(_tokens(posts, True), None).select(F.col("term").alias("token")).distinct()
+
+
 def _lemmatised(terms: DataFrame, lemmas: DataFrame | None) -> DataFrame:
     """Replace words by their lemma (identity when unknown), drop empty ones.
     The dictionary join is left to the planner."""

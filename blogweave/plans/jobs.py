@@ -186,7 +186,7 @@ def word_counts(spark, sf_dir):
 def lemma_dictionary(posts: DataFrame) -> DataFrame:
     """A dictionary made from the corpus itself: tokens of four letters and
     more lose their last one, tokens that end in "x" have an empty lemma."""
-    tokens = corpus.word_counts(posts).select(F.col("lemma").alias("token")).distinct()
+    tokens = corpus.vocabulary(posts)
     lemma = F.when(F.col("token").endswith("x"), F.lit("")).otherwise(F.expr("left(token, length(token) - 1)"))
     return tokens.where(F.length("token") >= 4).select("token", lemma.alias("lemma"))
 
