@@ -14,10 +14,11 @@ leaders, so that a bucket's pairs grow with its size only.  Leaders are the
 classes that meet most others over all tables: what many were copied from is
 nearer to each copy than the copies are to each other, and meets most of them.
 Then the groups that a bucket still holds are, each by one member, candidates
-with ``MORE_LEADERS`` of them, until a round finds no new link.  What leaders
-leave open is settled without a cap: all members of buckets that still hold
-several groups are joined, across groups, by their rarest k-mers, as many of
-them as any two similar sequences must share one of.
+with as many of them, until a round finds no new link: more leaders would pair
+small buckets in full.  What leaders leave open is settled without a cap: all
+members of buckets that still hold several groups are joined, across groups, by
+their rarest k-mers, as many of them as any two similar sequences must share
+one of.
 Candidates are verified by a banded alignment.
 """
 
@@ -37,7 +38,7 @@ from .store import kept
 from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, mix, sections, span_hashes, spans, string_column, windows
 
 K, LEAST, TABLES, SIMILARITY = 5, 3, 16, 0.8
-LEADERS, MORE_LEADERS = 3, 32
+LEADERS = 3
 CELL_BITS = 20           # k-mers are counted by so many bits: 1 M counts, whatever the number of texts
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _WHITE = b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
@@ -345,7 +346,7 @@ def _classified(docs: DataFrame, key: str, text: str, similarity: float, tables:
             most = Window.partitionBy("t", "key", "root").orderBy(F.col("met").desc(), "node")
             chosen = own.withColumn("r", F.row_number().over(most)).filter(F.col("r") == 1).select("t", "key", "node", "n", "met")
             several = chosen.groupBy("t", "key").agg(F.count("*").alias("size")).filter("size > 1").select("t", "key")
-            pairs = _candidates(kept(chosen.join(several, ["t", "key"], "left_semi"), "omh-groups"), MORE_LEADERS, similarity)
+            pairs = _candidates(kept(chosen.join(several, ["t", "key"], "left_semi"), "omh-groups"), LEADERS, similarity)
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = kept(pairs, "omh-pairs")
         new = kept(verified(pairs, texts, similarity), "omh-links")

@@ -210,3 +210,26 @@ def test_a_member_is_joined_once_with_all_leaders(spark):
     assert led == {bytes([n]): [x for x in top if x != f"{n:02X}"] for n in range(60)}
     pairs = order_minhash._candidates(members, 3, 0.8)
     assert {tuple(map(bytes, r)) for r in pairs.collect()} == {tuple(sorted((bytes([n]), bytes([m])))) for n in range(60) for m in (57, 58, 59) if n != m}
+
+
+def test_groups_of_a_bucket_meet_few_leaders_each(spark, monkeypatch):
+    """Pairs of texts behind one passage: a round's pairs grow with the buckets' groups, not with their square."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    passage = [word() for _ in range(300)]
+    rows = []
+    for i in range(120):
+        own = [word() for _ in range(60)]
+        rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-1] + [word()]))]
+    made, plain = [], order_minhash._candidates
+
+    def counted(members, *rest):
+        pairs = plain(members, *rest)
+        made.append((pairs.count(), members.count()))
+        return pairs
+
+    monkeypatch.setattr(order_minhash, "_candidates", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()}
+    assert got == {k: k - k % 2 for k, _ in rows}
+    assert len(made) > 1 and all(pairs <= 3 * members for pairs, members in made), made
