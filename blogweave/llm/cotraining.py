@@ -23,13 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import kept
-from .textblocks import ALNUM, ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, mix, sections, span_hashes, spans, string_column
+from .textblocks import ALNUM, ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, mix, releasing, sections, span_hashes, spans, string_column
 
 #: Hashed words and signs (content view), and cells of the metadata view.
 CONTENT_BITS, META_SIZE = 18, 4096
 LABELLED = 16_000                         # bound of the labelled documents that are learned from
 ROUNDS, HANDED = 3, 400                   # of co-training; documents that a view hands on a round, of all unlabelled ones
 SHARE = 0.05                              # and at most this share of them
+BLOCK_BYTES = 1 << 20                     # of text, whose features take some fifty times as much at a time
 LEAST_DOCUMENTS = 5                       # a word must be in so many documents of the sample to have a weight
 CALIBRATION_FOLD = 5                      # one in so many labelled documents is kept for calibration
 
@@ -98,7 +99,7 @@ def feature_rows(df: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in others]
-            for block in blocks(texts):
+            for block in blocks(texts, BLOCK_BYTES):
                 content, at = content_features(block)
                 meta = np.concatenate([layout(block), _declared(batch, block)], axis=1)
                 raw, numbers = content.astype("<i4").tobytes(), meta.astype("<f4").tobytes()
@@ -111,7 +112,7 @@ def feature_rows(df: DataFrame) -> DataFrame:
                     names=[f.name for f in others] + ["content", "meta", "category"])
 
     kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + ["content binary", "meta binary", "category array<int>"])
-    return df.mapInArrow(run, kinds)
+    return df.mapInArrow(releasing(run), kinds)
 
 
 def _declared(batch: pa.RecordBatch, block: Block) -> np.ndarray:
@@ -264,7 +265,7 @@ def _odds(features: DataFrame, weights: dict, bias: dict, edges: np.ndarray) ->
                 names=["row", "doc_id", "same", "content_odds", "meta_odds"])
 
     return (features.select("row", "doc_id", F.xxhash64("content").alias("same"), "content", "meta", "category")
-            .mapInArrow(run, "row long, doc_id long, same long, content_odds double, meta_odds double"))
+            .mapInArrow(releasing(run), "row long, doc_id long, same long, content_odds double, meta_odds double"))
 
 
 def surest(odds: DataFrame, view: str, ups: int, downs: int) -> dict[int, int]:
@@ -355,7 +356,7 @@ def score(docs: DataFrame, model: dict, keep_columns: bool = False) -> DataFrame
         for whole in batches:
             batch = pa.RecordBatch.from_arrays([whole.column(i) if i is not None else pa.nulls(whole.num_rows) for i in roles.values()],
                                                names=list(roles))
-            for block in blocks(string_column(batch, "text")):
+            for block in blocks(string_column(batch, "text"), BLOCK_BYTES):
                 cells, at = content_features(block)
                 views = Views(Sparse(cells, at), np.concatenate([layout(block), _declared(batch, block)], axis=1).astype(np.float32).astype(float),
                               _categories(batch, block), model["edges"])
@@ -369,7 +370,7 @@ def score(docs: DataFrame, model: dict, keep_columns: bool = False) -> DataFrame
                     names=[*[f.name for f in given], "content_score", "meta_score", "score"])
 
     kinds = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in given], "content_score double, meta_score double, score double"])
-    return df.mapInArrow(run, kinds)
+    return df.mapInArrow(releasing(run), kinds)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from .elias_fano import array_bytes, arrays_of, map_arrays, write_arrays
 from .store import folder, kept, write_file
-from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, sections, span_hashes, span_strings, spans, string_column
+from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, releasing, sections, span_hashes, span_strings, spans, string_column
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -225,7 +225,7 @@ def shared_dictionary(docs: DataFrame, text: str, path: str, words: bool, most:
             write_file(target, lambda out: write_arrays(out, arrays))
         return pa.table({"shard": [shard], "path": [target]})
 
-    made = kept(docs.select(text).mapInArrow(run, "shard long, data binary").groupBy("shard").applyInArrow(file, "shard long, path string"), "chunk-files")
+    made = kept(docs.select(text).mapInArrow(releasing(run), "shard long, data binary").groupBy("shard").applyInArrow(file, "shard long, path string"), "chunk-files")
     paths = {r.shard: r.path for r in made.collect()}
     return tuple(paths.get(k, "") for k in range(count)) if any(paths.values()) else ()
 

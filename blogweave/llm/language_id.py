@@ -25,12 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import kept
-from .textblocks import Block, blocks, bytes_of, map_batches, sections, span_strings, spans, string_column
+from .textblocks import Block, blocks, bytes_of, map_batches, releasing, sections, span_strings, spans, string_column
 
 #: Bytes between two scalings; at least the length of any piece.
 SPAN = 32
 #: A lattice is many times its words' size: smaller blocks than elsewhere.
 BLOCK_BYTES, FIT_BYTES = 2 << 20, 1 << 20
+#: Distinct words of a block that are scored at a time, in bytes.
+SCORE_BYTES = 1 << 16
 #: Keeps products over ``SPAN`` bytes near 1: the usual probability of a byte.
 PER_BYTE = 0.1
 
@@ -72,8 +74,8 @@ def _lengths(path: str) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def _trie(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Successors of each node by byte (0: none), and the piece that ends at
-    each node (-1: none)."""
+    """Successors by byte (0: none) of the nodes that have any, which come
+    first, and the piece that ends at each node (-1: none)."""
     nodes: list[dict[int, int]] = [{}]
     ends: dict[int, int] = {}
     for i, piece in _pieces(path):
@@ -84,13 +86,16 @@ def _trie(path: str) -> tuple[np.ndarray, np.ndarray]:
                 nodes.append({})
             at = nodes[at][b]
         ends.setdefault(at, i)
-    follow = np.zeros((len(nodes), 256), np.int32)
-    for n, by in enumerate(nodes):
-        for b, to in by.items():
-            follow[n, b] = to
+    inner = [n for n, by in enumerate(nodes) if by or not n]
+    number = np.zeros(len(nodes), np.uint16 if len(nodes) <= 1 << 16 else np.int32)
+    number[inner + [n for n, by in enumerate(nodes) if n and not by]] = np.arange(len(nodes))
+    follow = np.zeros((len(inner), 256), number.dtype)
+    for row, n in zip(follow, inner):
+        for b, to in nodes[n].items():
+            row[b] = number[to]
     piece_at = np.full(len(nodes), -1, np.int32)
     for n, i in ends.items():
-        piece_at[n] = i
+        piece_at[number[n]] = i
     return follow, piece_at
 
 
@@ -127,7 +132,7 @@ class Lattice:
             hit = np.flatnonzero(piece_at[state] >= 0)
             at = live[hit]
             found.append((place[at], (at + word[at]).astype(np.int32), np.full(len(at), length, np.int32), piece_at[state[hit]]))
-            go = (state > 0) & (left[live] > length)
+            go = (state > 0) & (state < len(follow)) & (left[live] > length)
             live, state = live[go], state[go]
         if found:
             where, self.source, span, self.piece = (np.concatenate(x) for x in zip(*found))
@@ -180,6 +185,13 @@ class Lattice:
         return total + np.add.reduceat(np.log(norm), self.spans[:-1], axis=0) if len(total) else total
 
 
+def word_likelihoods(words: pa.Array, weight: np.ndarray, path: str) -> np.ndarray:
+    """Log likelihood per word and language, a lattice of some words at a time."""
+    part = bytes_of(words)[0][:-1] // SCORE_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(words)]
+    return np.concatenate([Lattice(words.slice(i, j - i), path).log_likelihood(weight) for i, j in zip(edges, edges[1:])])
+
+
 def scaled(probability: np.ndarray, path: str) -> np.ndarray:
     return probability * (1 / PER_BYTE) ** _lengths(path)[:, None]
 
@@ -279,7 +291,7 @@ def predict(df: DataFrame, text: str, model: dict, keep_text: bool = False) -> D
                 words, index, first = _words(block)
                 if not len(index):
                     continue
-                per_word = Lattice(words, path).log_likelihood(weight)[index]
+                per_word = word_likelihoods(words, weight, path)[index]
                 total = np.zeros((len(per_word) + 1, len(names)))
                 np.cumsum(per_word, axis=0, out=total[1:])
                 like = total[first[1:]] - total[first[:-1]]
@@ -296,7 +308,7 @@ def predict(df: DataFrame, text: str, model: dict, keep_text: bool = False) -> D
                 batch.columns[:len(given)] + [pa.array(pred, pa.string()), pa.array(score)],
                 names=[f.name for f in given] + ["lang_pred", "score"])
 
-    return carried.mapInArrow(run, spark_schema)
+    return carried.mapInArrow(releasing(run), spark_schema)
 
 
 def held_out(key: Column, modulus: int, remainder: int) -> Column:

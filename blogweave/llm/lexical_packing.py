@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .encode import WORD_BPE, Encoder, public_path, shared_dictionary, with_end
 from .store import kept
-from .textblocks import map_batches, sections, string_column
+from .textblocks import map_batches, releasing, sections, string_column
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 19
@@ -76,7 +76,7 @@ def encoded(docs: DataFrame, key: str, text: str, tokenizer: str, end: int) -> D
                                               pa.array([counts.astype("<i8").tobytes()], pa.binary())], names=["kind", key, "topic", "n", "ids"])
 
     return (docs.select(F.col(key).cast("long").alias(key), text)
-            .mapInArrow(run, f"kind string, `{key}` long, topic long, n long, ids binary"))
+            .mapInArrow(releasing(run), f"kind string, `{key}` long, topic long, n long, ids binary"))
 
 
 def statistics(coded: DataFrame) -> np.ndarray:
@@ -240,4 +240,4 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, end: int = 1, key: str
     order = [F.col("topic"), F.col(key)]
     return (coded.filter("kind = 'doc'").select("topic", key, "ids").repartitionByRange(*order)
             .sortWithinPartitions(*order, F.xxhash64("ids")).select(key, "ids")
-            .mapInArrow(run, f"`{key}` long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"))
+            .mapInArrow(releasing(run), f"`{key}` long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"))

@@ -111,6 +111,17 @@ def sections(counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def releasing(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; what Arrow holds without use at a task's end
+    goes back to the system, as Spark keeps the worker for other stages."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return tidy
+
+
 def map_batches(schema: pa.Schema, work: Callable[[pa.RecordBatch], Iterable[list]]) -> Callable:
     """A ``mapInArrow`` function; ``work`` yields lists of column arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +130,7 @@ def map_batches(schema: pa.Schema, work: Callable[[pa.RecordBatch], Iterable[lis
                 for columns in work(batch):
                     yield pa.RecordBatch.from_arrays(
                         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-    return run
+    return releasing(run)
 
 
 def span_strings(block: Block, starts: np.ndarray, ends: np.ndarray, member: np.ndarray) -> pa.Array:
