@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitmaps import bitmap_of, dense, passes
-from .components import components, joined
+from .components import joined, stars
 from .store import kept
 from .textblocks import ALNUM, ASCII_LOWER, Block, blocks, map_batches, mix, sections, span_hashes, spans, string_column, windows
 
@@ -213,17 +213,13 @@ def node_hashes(nodes: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) that are similar enough, with their similarity."""
+    """The pairs (a, b) with their similarity, 0 where it is too low."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
 
     def work(batch):
-        out = []
-        for a, b, x, y in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-            s = ordered_similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), similarity)
-            if s >= similarity:
-                out.append((a, b, s))
-        if out:
-            yield [pa.array(c, f.type) for c, f in zip(zip(*out), schema)]
+        yield [batch.column(0), batch.column(1),
+               pa.array([ordered_similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), similarity)
+                         for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.float64())]
 
     both = (pairs.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
             .join(grams.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b").select("a", "b", "x", "y"))
@@ -311,15 +307,29 @@ def pairs_across(apart: DataFrame, similarity: float) -> DataFrame:
               .filter((F.col("root1") != F.col("root2")) & (F.col("least1") <= F.col("most2")) & (F.col("most1") >= similarity * F.col("least2") - 1e-9)
                       & (F.least("rest1", "rest2") >= F.ceil(share * (F.col("least1") + F.col("least2")) - 1e-9)))
               .select("token", "root1", "root2"))
-    met = (sides(short, "1").join(kept(groups, "omh-group-pairs"), ["token", "root1"]).join(sides(rows, "2"), ["token", "root2"])
+    met = (sides(short, "1").join(groups, ["token", "root1"]).join(sides(rows, "2"), ["token", "root2"])
            .filter((F.col("n1") <= F.col("n2")) & (F.col("n1") >= similarity * F.col("n2") - 1e-9)
                    & (F.least("rest1", "rest2") >= F.ceil(share * (F.col("n1") + F.col("n2")) - 1e-9))))
     return met.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
 
 
 def _linked(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """of, root of the nodes that hang on another; a node that is not there is its own root."""
     edges = links.select("a", "b")
-    return kept((components(edges) if roots is None else joined(roots, edges)).select(F.col("node").alias("of"), "root"), "omh-components")
+    return (stars(edges) if roots is None else kept(joined(roots, edges), "omh-components")).withColumnRenamed("node", "of")
+
+
+def _open(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The members (t, key, node, n, met) of the buckets that hold several
+    groups, with their roots and the bucket's size."""
+    own = members.select("t", "key", "node", "n", "met")
+    own = (own.withColumn("root", F.col("node")) if roots is None else
+           own.join(roots, own.node == roots.of, "left").select("t", "key", "node", "n", "met", F.coalesce("root", "node").alias("root")))
+    several = (own.groupBy("t", "key").agg(F.count("*").alias("size"), F.min("root").alias("one"), F.max("root").alias("other"))
+               .filter("one != other").select("t", "key", "size"))
+    # dealt out for the join alone, as in _with_least: a large bucket's rows can be split over tasks
+    spot = F.xxhash64("t", "key")
+    return kept(own.withColumn("h", spot).join(several.withColumn("h", spot), ["h", "t", "key"]).drop("h"), "omh-open")
 
 
 def _classified(docs: DataFrame, key: str, text: str, similarity: float, tables: int) -> DataFrame:
@@ -330,41 +340,36 @@ def _classified(docs: DataFrame, key: str, text: str, similarity: float, tables:
                    "omh-classes")
     members = (classes.filter("n > 0").select("node", "n", F.posexplode("keys").alias("t", "key")))
     shared = members.groupBy("t", "key").agg(F.count("*").alias("size")).filter("size > 1")
-    members = kept(members.join(shared, ["t", "key"]), "omh-buckets")
-    met = members.groupBy("node").agg(F.sum("size").alias("met"))
-    members = kept(members.drop("size").join(met, "node"), "omh-members")
+    # a node has a bucket a table at most
+    members = (members.join(shared, ["t", "key"]).groupBy("node")
+               .agg(F.first("n").alias("n"), F.sum("size").alias("met"), F.collect_list(F.struct("t", "key")).alias("buckets")))
+    members = kept(members.select("node", "n", "met", F.inline("buckets")), "omh-members")
     # every class that shares a bucket may be asked for, in this round or a later one
-    wanted = bitmap_of(node_hashes(met.select("node")), "hash")
+    wanted = bitmap_of(node_hashes(members), "hash")
     texts = kept(sequences(docs, text, wanted).dropDuplicates(["node"]), "omh-texts")
 
-    roots = tried = None
-    while True:
-        if roots is None:
-            pairs = _candidates(members, LEADERS, similarity)
-        else:   # a bucket's groups, each by one member
-            own = members.join(roots, members.node == roots.of, "left").select("t", "key", "node", "n", "met", F.coalesce("root", "node").alias("root"))
-            most = Window.partitionBy("t", "key", "root").orderBy(F.col("met").desc(), "node")
-            chosen = own.withColumn("r", F.row_number().over(most)).filter(F.col("r") == 1).select("t", "key", "node", "n", "met")
-            several = chosen.groupBy("t", "key").agg(F.count("*").alias("size")).filter("size > 1").select("t", "key")
-            pairs = _candidates(kept(chosen.join(several, ["t", "key"], "left_semi"), "omh-groups"), LEADERS, similarity)
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = kept(pairs, "omh-pairs")
-        new = kept(verified(pairs, texts, similarity), "omh-links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if not new.limit(1).count():
-            break
+    # Of each round, the buckets that hold several groups go into the next one.
+    roots, left = None, members
+    tried = kept(verified(_candidates(members, LEADERS, similarity), texts, similarity), "omh-tried")
+    new = tried.filter(F.col("similarity") >= similarity)
+    while new.limit(1).count():
         roots = _linked(roots, new)
+        left = _open(left, roots)
+        # a bucket's groups, each by one member
+        most = Window.partitionBy("t", "key", "root").orderBy(F.col("met").desc(), "node")
+        chosen = left.withColumn("r", F.row_number().over(most)).filter(F.col("r") == 1).select("t", "key", "node", "n", "met")
+        pairs = _candidates(chosen, LEADERS, similarity).join(tried, ["a", "b"], "left_anti")
+        more = kept(verified(pairs, texts, similarity), "omh-tried")
+        tried, new = tried.unionByName(more), more.filter(F.col("similarity") >= similarity)
+    if roots is None:
+        left = _open(left, roots)
     # What leaders leave open: members of different groups in the same bucket.
     # A bucket of LEADERS + 1 has had all its pairs in the first round.
-    own = members.select("t", "key", "node")
-    own = (own.withColumn("root", F.col("node")) if roots is None else
-           own.join(roots, own.node == roots.of, "left").select("t", "key", "node", F.coalesce("root", "node").alias("root")))
-    several = (own.groupBy("t", "key").agg(F.count("*").alias("size"), F.min("root").alias("one"), F.max("root").alias("other"))
-               .filter((F.col("size") > LEADERS + 1) & (F.col("one") != F.col("other"))).select("t", "key"))
-    apart = kept(own.join(several, ["t", "key"], "left_semi").select("node", "root").distinct(), "omh-apart")
+    apart = left.filter(F.col("size") > LEADERS + 1)
     if apart.limit(1).count():
-        pairs = pairs_across(kept(apart.join(texts, "node"), "omh-apart-texts"), similarity)
-        new = kept(verified(kept(pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs"), texts, similarity), "omh-links")
+        apart = kept(apart.select("node", "root").distinct().join(texts, "node"), "omh-apart-texts")
+        pairs = pairs_across(apart, similarity).join(tried, ["a", "b"], "left_anti")
+        new = kept(verified(pairs, texts, similarity).filter(F.col("similarity") >= similarity), "omh-links")
         if new.limit(1).count():
             roots = _linked(roots, new)
     grouped = classes.select("node", "rep")
