@@ -39,6 +39,20 @@ class Item(NamedTuple):
     total: int           # ids of the whole document
 
 
+def document_frequencies(ids: np.ndarray, at: np.ndarray, vocabulary: int) -> np.ndarray:
+    """In how many rows each id occurs; row r has ids[at[r]:at[r + 1]].  Rows
+    are marked in a table of bytes of 8 MB, and so few that a byte can count them."""
+    group = max(1, min(255, (8 << 20) // vocabulary, len(at) - 1))
+    seen = np.zeros((group, vocabulary), np.uint8)
+    out = np.zeros(vocabulary, np.int64)
+    for i in range(0, len(at) - 1, group):
+        j = min(i + group, len(at) - 1)
+        seen[np.repeat(np.arange(j - i), np.diff(at[i:j + 1])), ids[at[i]:at[j]]] = 1
+        out += seen[:j - i].sum(axis=0, dtype=np.uint8)
+        seen[:j - i] = 0
+    return out
+
+
 def encoded(docs: DataFrame, key: str, text: str, tokenizer: str, end: int) -> DataFrame:
     """kind, key, topic, n, ids: a "doc" row per document (ids as little-endian
     unsigned integers of two or four bytes), and a "df" row per task and 64 Ki
@@ -53,13 +67,7 @@ def encoded(docs: DataFrame, key: str, text: str, tokenizer: str, end: int) -> D
         for batch in batches:
             for rows, ids, sizes in encoder.encode(string_column(batch, text)):
                 at = sections(sizes)
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                group = max(1, (8 << 20) // size)         # rows whose presence table is 8 MB
-                for i in range(0, len(sizes), group):
-                    seen = np.zeros((min(group, len(sizes) - i), size), bool)
-                    part = slice(at[i], at[min(i + group, len(sizes))])
-                    seen[row[part] - i, ids[part]] = True
-                    frequency += seen.sum(axis=0)
+                frequency += document_frequencies(ids, at, size)
                 top = np.zeros(len(sizes), np.int64)
                 full = np.flatnonzero(sizes)
                 if len(full):
