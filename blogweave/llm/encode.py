@@ -13,8 +13,11 @@ memory; a task encodes by itself what is not among them.
 from __future__ import annotations
 
 import os
+import string
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from .elias_fano import array_bytes, arrays_of, map_arrays, write_arrays
 from .store import folder, kept, write_file
-from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, releasing, sections, span_hashes, span_strings, spans, string_column
+from .textblocks import ASCII_LOWER, NOT_SPACE, Block, blocks, bytes_of, releasing, sections, span_hashes, spans, string_column
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -37,6 +40,7 @@ GATHERED = 1_000_000
 _MAY_BE_SPACE = np.zeros(256, bool)
 _MAY_BE_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _CHECK = np.uint64(0xC0FFEE1234567)
+_LOWER, _SPACE = ASCII_LOWER.tobytes(), np.flatnonzero(~NOT_SPACE).astype(np.uint8).tobytes()
 
 
 def public_path(name: str) -> str:
@@ -56,9 +60,9 @@ def tokenizer_of(path: str):
 def chunks_of(block: Block, words: bool) -> tuple[pa.Array, np.ndarray]:
     """A block's chunks in order, and the first one of each row."""
     if words:
-        lower = Block(block.rows, ASCII_LOWER[block.data], block.offsets)
-        starts, ends, first = spans(lower, NOT_SPACE)
-        return span_strings(lower, starts, ends, NOT_SPACE), first
+        starts, ends, first = spans(block, NOT_SPACE)
+        data = block.data.tobytes().translate(_LOWER, _SPACE)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(sections(ends - starts)), pa.py_buffer(data)]), first
     data = block.data
     cut = np.zeros(len(data) + 1, bool)
     if len(data) > 1:
@@ -75,11 +79,106 @@ def _hashes(chunks: pa.Array) -> np.ndarray:
     return span_hashes(data, at[:-1], at[1:])
 
 
+class Plain:
+    """Chunks that a vocabulary's normalizer leaves as they are, and that it cuts
+    just where letters, digits and punctuation meet (before and after each digit).
+
+    These are put through the vocabulary's merges with spaces at the cuts, many
+    chunks at a time; the ids that end a word tell which are whose.  The letters
+    are below U+0800, where none composes with the one before it; an apostrophe
+    may belong to the letters after it and is not plain."""
+
+    LETTER, DIGIT, SIGN = 1, 2, 3
+    #: Chunks that are encoded as one string.
+    JOINED = 64
+
+    def __init__(self, tokenizer):
+        from tokenizers import Tokenizer, pre_tokenizers
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        self.kind = np.zeros(0x800, np.uint8)
+        if not suffix or tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
+            return
+        self.kind[[ord(c) for c in string.punctuation if c != "'"]] = self.SIGN
+        self.kind[48:58] = self.DIGIT
+        for c in range(97, 0x800):
+            x = chr(c)
+            if unicodedata.category(x)[0] == "L" and tokenizer.normalizer.normalize_str(x) == x:
+                self.kind[c] = self.LETTER if len(tokenizer.pre_tokenizer.pre_tokenize_str(f"a{x}a")) == 1 else 0
+        self.last = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+        self.last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.merges = Tokenizer(tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        own = [chr(c) for c in np.flatnonzero(self.kind)]
+        probe = pa.array([x.encode() for x in [*own, *(f"a{x}b1" for x in own), "".join(own)]], pa.large_binary())
+        ids, sizes = _one_by_one(tokenizer, probe)
+        mine = self.encode(probe)
+        if mine is None or not (np.array_equal(mine[0], ids) and np.array_equal(mine[1], sizes)):
+            self.kind[:] = 0                      # another kind of vocabulary
+
+    def kinds(self, data: np.ndarray) -> np.ndarray:
+        """Of each byte, that of its character; 0: not plain."""
+        tail = np.append((data & 0xC0) == 0x80, False)
+        two = ((data & 0xE0) == 0xC0) & tail[1:]
+        code = np.where(data < 0x80, data, 0).astype(np.int64)
+        at = np.flatnonzero(two)
+        code[at] = (data[at] & np.int64(31)) << 6 | data[at + 1] & np.int64(63)
+        out = self.kind[code]
+        out[at + 1] = out[at]
+        return out
+
+    def which(self, chunks: pa.Array) -> np.ndarray:
+        """The plain ones among the chunks."""
+        if not self.kind.any():
+            return np.zeros(0, np.int64)
+        at, data = bytes_of(chunks)
+        other = sections(self.kinds(data) == 0)
+        return np.flatnonzero((other[at[1:]] == other[at[:-1]]) & (at[1:] > at[:-1]))
+
+    def encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """Plain chunks' ids one after the other, and each one's number of them;
+        none if they cannot be told apart."""
+        at, data = bytes_of(chunks)
+        kind = self.kinds(data)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == self.DIGIT)
+        cut[at] = True
+        words = sections(cut[:-1])[at]                # before each chunk
+        place = np.arange(len(data)) + np.cumsum(cut[:-1]) - 1
+        spaced = np.full(len(data) + int(words[-1]), 32, np.uint8)
+        spaced[place] = data
+        raw, edges = spaced.tobytes(), np.append(place[at[:-1:self.JOINED]], len(spaced)).tolist()
+        coded = self.merges.encode_batch_fast([raw[a:b].decode().rstrip(" ") for a, b in zip(edges, edges[1:])], add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in coded), np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != words[-1]:
+            return None
+        return ids, np.diff(ends[words[1:] - 1], prepend=0)
+
+
+@lru_cache(maxsize=2)
+def _plain(path: str) -> Plain:
+    return Plain(tokenizer_of(path))
+
+
+def _one_by_one(tokenizer, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    coded = [e.ids for e in tokenizer.encode_batch_fast(chunks.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+    return np.fromiter(chain.from_iterable(coded), np.uint32, int(sizes.sum())), sizes
+
+
 def _encoded(path: str, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The chunks' ids one after the other, and each one's number of them."""
-    coded = [e.ids for e in tokenizer_of(path).encode_batch_fast(chunks.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-    return np.fromiter((i for ids in coded for i in ids), np.uint32, int(sizes.sum())), sizes
+    plain = _plain(path).which(chunks)
+    mine = _plain(path).encode(chunks.take(pa.array(plain))) if len(plain) else None
+    if mine is None:
+        return _one_by_one(tokenizer_of(path), chunks)
+    rest = np.setdiff1d(np.arange(len(chunks)), plain, assume_unique=True)
+    more = _one_by_one(tokenizer_of(path), chunks.take(pa.array(rest)))
+    sizes, start = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+    sizes[plain], sizes[rest] = mine[1], more[1]
+    start[plain], start[rest] = sections(mine[1])[:-1], len(mine[0]) + sections(more[1])[:-1]
+    return gather(np.concatenate([mine[0], more[0]]), start, sizes), sizes
 
 
 def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

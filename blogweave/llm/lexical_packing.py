@@ -121,7 +121,14 @@ class Index:
         self.begin = where
         self.size = np.diff(np.concatenate([where, [len(term)]]))
         self.slot = np.searchsorted(entries, term)
-        self.items = len(items)
+        self.items = self.listed = len(items)
+
+    def narrow(self, items: np.ndarray) -> None:
+        """Only the marked items are scored from now on; the others get 0."""
+        stay = items[self.entry]
+        self.size = np.bincount(np.repeat(np.arange(len(self.size)), self.size)[stay], minlength=len(self.size))
+        self.begin = sections(self.size)[:-1]
+        self.entry, self.weight, self.listed = self.entry[stay], self.weight[stay], int(items.sum())
 
     def scores(self, item: int) -> np.ndarray:
         """Of all items against the words of one."""
@@ -148,6 +155,8 @@ def windows(items: list[Item], idf: np.ndarray, mean: float, window: int) -> tup
         scores = None
         while room:
             if scores is None:
+                if 4 * int(unused.sum()) < 3 * index.listed:
+                    index.narrow(unused)
                 scores = np.where(unused, index.scores(seed), -1.0)
             best = int(scores.argmax())       # ties: the first in the shard's order
             if scores[best] < 0:
